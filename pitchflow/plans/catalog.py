@@ -18,11 +18,18 @@ from pitchflow.functions.names import sanitized
 from pitchflow.operators import consume, gold, quality, silver
 from pitchflow.operators.columns import rename_columns, sanitize_column_names
 from pitchflow.plans import oracle
-from pitchflow.sources.fixture import raw_matches, read_orders
+from pitchflow.plans import pipeline
+from pitchflow.session import new_run_dir
+from pitchflow.sources import landing
+from pitchflow.sources.fixture import raw_matches, read_orders, season_documents, write_documents
+from pitchflow.sources.tables import read_table
+from pitchflow.streaming.bronze import ingest_landing, read_bronze
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 SEASON_OF_INTEREST = 2024  # C1 asks for one season's final table
+MATCHES_PER_DOCUMENT = 1000  # landing documents built from orders hold at most this many
+FIRST_DROP_LAST_SEASON = 2021  # the stream test lands seasons up to here first, the rest later
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +56,63 @@ def _no_audit(df: DataFrame) -> DataFrame:
     return df.drop(*spec.AUDIT_RENAMES.values())
 
 
+# --- Bronze -----------------------------------------------------------------
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return season_documents(read_orders(spark, sf_dir), MATCHES_PER_DOCUMENT)
+
+
+def q_bronze_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON Lines landing, typed schema inference, explode + flatten."""
+    run = new_run_dir(spark, "bronze_explode")
+    write_documents(_documents(spark, sf_dir), f"{run}/landing")
+    docs = landing.read_documents(spark, f"{run}/landing", infer_types=True)
+    return landing.explode_matches(docs, lineage=False)
+
+
+def q_bronze_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three incremental runs.
+
+    Run 1 ingests the seasons up to 2021 (base and Spanish fields); run 2
+    lands the later seasons, whose English fields are new columns; run 3
+    finds no new file and must add nothing.
+    """
+    run = new_run_dir(spark, "bronze_stream")
+    docs = _documents(spark, sf_dir)
+    files = f"{run}/landing/*/*.json"
+    bronze, state = f"{run}/bronze", f"{run}/state"
+    write_documents(docs.filter(F.col("temporada") <= FIRST_DROP_LAST_SEASON), f"{run}/landing/drop1")
+    ingest_landing(spark, files, bronze, state)
+    write_documents(docs.filter(F.col("temporada") > FIRST_DROP_LAST_SEASON), f"{run}/landing/drop2")
+    ingest_landing(spark, files, bronze, state)
+    ingest_landing(spark, files, bronze, state)
+    return read_bronze(spark, bronze).drop(spec.SOURCE_FILE_COL, spec.LOAD_TIME_COL)
+
+
+def q_bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-line layout, one document per file, with file lineage and load time."""
+    run = new_run_dir(spark, "bronze_lineage")
+    write_documents(_documents(spark, sf_dir), f"{run}/landing", one_document_per_file=True)
+    docs = landing.read_documents(spark, f"{run}/landing/*/*.json", multi_line=True)
+    rows = landing.to_bronze(docs)
+    source = F.col(spec.SOURCE_FILE_COL)
+    return rows.groupBy("temporada").agg(
+        F.count(F.lit(1)).alias("partidos"),
+        F.count_distinct(source).alias("archivos"),
+        F.count_if(source.endswith(".json")).alias("con_archivo_json"),
+        F.count(spec.LOAD_TIME_COL).alias("con_hora_de_carga"),
+    )
+
+
+def q_layered_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing -> Bronze stream -> Silver table -> Gold tables; standings read back."""
+    run = new_run_dir(spark, "pipeline")
+    write_documents(_documents(spark, sf_dir), f"{run}/landing/drop1")
+    pipeline.run_pipeline(spark, f"{run}/landing/*/*.json", f"{run}/tables")
+    return read_table(spark, f"{run}/tables", *pipeline.STANDINGS)
+
+
 # --- Silver steps -----------------------------------------------------------
 
 
@@ -162,6 +226,15 @@ def q_fouls_and_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Oracle SQL -------------------------------------------------------------
 
 
+def _sql_bronze_lineage() -> str:
+    return (
+        "SELECT CAST(year(o_orderdate) + 25 AS VARCHAR) AS temporada, count(*) AS partidos,"
+        f" count(DISTINCT o_orderkey // {MATCHES_PER_DOCUMENT}) AS archivos,"
+        " count(*) AS con_archivo_json, count(*) AS con_hora_de_carga"
+        " FROM orders GROUP BY 1"
+    )
+
+
 def _sql_sanitize_rename() -> str:
     mapping = dict(spec.BASE_RENAMES)
     mapping.update({es: target for es, _, target in spec.STATS})
@@ -293,6 +366,10 @@ def _sql_silver_matches() -> str:
 
 
 QUERIES: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
+    "bronze_explode": (q_bronze_explode, lambda: oracle.raw_sql()),
+    "bronze_stream_ingest": (q_bronze_stream_ingest, lambda: oracle.raw_sql(as_text=True)),
+    "bronze_lineage": (q_bronze_lineage, _sql_bronze_lineage),
+    "layered_pipeline": (q_layered_pipeline, lambda: oracle.standings_sql()),
     "sanitize_rename": (q_sanitize_rename, _sql_sanitize_rename),
     "unify_languages": (q_unify_languages, _sql_unify),
     "parse_dates": (q_parse_dates, _sql_parse_dates),

@@ -115,3 +115,18 @@ def season_documents(orders: DataFrame, matches_per_document: int = 1000) -> Dat
             spec.DATA_FIELD,
         )
     )
+
+
+def write_documents(docs: DataFrame, path: str, one_document_per_file: bool = False) -> str:
+    """Write landing documents as JSON.
+
+    By default JSON Lines (one document per line, many per file). With
+    ``one_document_per_file`` each document goes to its own file under
+    ``doc=<id>/``, the layout of a multi-line landing drop. NULL fields are
+    left out, as a source that lacks a statistic would do.
+    """
+    if one_document_per_file:
+        docs.write.mode("errorifexists").partitionBy("doc").json(path)
+    else:
+        docs.drop("doc").write.mode("errorifexists").json(path)
+    return path
