@@ -22,13 +22,19 @@ def sanitize_column_names(df: DataFrame) -> DataFrame:
     Raises ``ValueError`` when two names would become equal
     (``"A b"`` and ``"A_b"``), since Spark would then see an ambiguous column.
     """
-    mapping = {c: sanitized(c) for c in df.columns if " " in c}
+    mapping = sanitized_names(df.columns)
     if not mapping:
         return df
+    return rename_columns(df, mapping)
+
+
+def sanitized_names(columns: list[str]) -> dict[str, str]:
+    """``{old: new}`` for the names holding a space; raises on a collision."""
+    mapping = {c: sanitized(c) for c in columns if " " in c}
     seen: dict[str, str] = {}
-    for c in df.columns:
+    for c in columns:
         new = mapping.get(c, c).lower()
         if new in seen:
             raise ValueError(f"sanitizing makes {seen[new]!r} and {c!r} the same column name")
         seen[new] = c
-    return rename_columns(df, mapping)
+    return mapping

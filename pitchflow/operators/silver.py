@@ -7,20 +7,26 @@ and streaming input.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchflow import spec
 from pitchflow.functions import names, parsing
-from pitchflow.operators.columns import sanitize_column_names
+from pitchflow.functions.memo import per_application, schema_key
+from pitchflow.operators.columns import sanitized_names
+
+
+def _fields(schema: str) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in T.StructType.fromJson(json.loads(schema)).fields}
 
 
-def _lookup(df: DataFrame, landing_name: str) -> Column | None:
+def _lookup(fields: dict[str, T.DataType], landing_name: str) -> Column | None:
     """Column for a landing field, by sanitized name first, then as written."""
-    present = set(df.columns)
     for candidate in (names.sanitized(landing_name), landing_name):
-        if candidate in present:
+        if candidate in fields:
             return names.col(candidate)
     return None
 
@@ -29,13 +35,12 @@ def _null(type_name: str) -> Column:
     return F.lit(None).cast(type_name)
 
 
-def _lookup_or_null(df: DataFrame, landing_name: str, type_name: str) -> Column:
-    found = _lookup(df, landing_name)
+def _lookup_or_null(fields: dict[str, T.DataType], landing_name: str, type_name: str) -> Column:
+    found = _lookup(fields, landing_name)
     return _null(type_name) if found is None else found
 
 
-def _field_type(df: DataFrame, landing_name: str) -> T.DataType | None:
-    fields = {f.name: f.dataType for f in df.schema.fields}
+def _field_type(fields: dict[str, T.DataType], landing_name: str) -> T.DataType | None:
     return fields.get(names.sanitized(landing_name), fields.get(landing_name))
 
 
@@ -46,7 +51,16 @@ def unify_languages(df: DataFrame) -> DataFrame:
     * each statistic becomes ``coalesce(spanish, english)`` under its Silver name;
       when the two sides have different types both go through string first;
     * a field present in no file becomes a typed NULL instead of an error.
+
+    Field names are looked up sanitized first, then as written, so the input
+    may be Bronze as stored or after :func:`sanitize_column_names`.
     """
+    return df.select(*_unify_columns(schema_key(df)))
+
+
+@per_application
+def _unify_columns(schema: str) -> list[Column]:
+    df = _fields(schema)
     base = [parsing.to_int(_lookup_or_null(df, "temporada", "string")).alias("temporada")]
     for landing, silver in spec.BASE_RENAMES.items():
         base.append(_lookup_or_null(df, landing, "string").alias(silver))
@@ -70,22 +84,31 @@ def unify_languages(df: DataFrame) -> DataFrame:
         else:
             expr = F.coalesce(*[parsing.as_text(c) for c, _ in sides])
         stats.append(expr.alias(silver))
-    return df.select(*base, *stats)
+    return [*base, *stats]
 
 
 def parse_dates(df: DataFrame) -> DataFrame:
     """``fecha_raw`` (string) -> ``fecha`` (date); the raw column is dropped."""
+    return df.select(*_date_columns(tuple(df.columns)))
+
+
+@per_application
+def _date_columns(columns: tuple[str, ...]) -> list[Column]:
     fecha = parsing.parse_match_date(F.col("fecha_raw"), F.col("temporada")).alias("fecha")
-    return df.select(*[names.col(c) for c in df.columns if c != "fecha_raw"], fecha)
+    return [*[names.col(c) for c in columns if c != "fecha_raw"], fecha]
 
 
 def parse_score(df: DataFrame) -> DataFrame:
     """Adds ``goles_local``, ``goles_visitante`` and ``resultado`` from ``marcador``."""
+    goals, result = _score_columns()
+    return df.withColumns(goals).withColumns(result)
+
+
+@per_application
+def _score_columns() -> tuple[dict[str, Column], dict[str, Column]]:
     home, away = parsing.score_goals(F.col("marcador"))
-    with_goals = df.withColumns({"goles_local": home, "goles_visitante": away})
-    return with_goals.withColumn(
-        "resultado", parsing.result_letter(F.col("goles_local"), F.col("goles_visitante"))
-    )
+    result = parsing.result_letter(F.col("goles_local"), F.col("goles_visitante"))
+    return {"goles_local": home, "goles_visitante": away}, {"resultado": result}
 
 
 def split_value_pct(df: DataFrame) -> DataFrame:
@@ -93,7 +116,12 @@ def split_value_pct(df: DataFrame) -> DataFrame:
 
     Listed columns missing from the input are skipped (T6).
     """
-    present = set(df.columns)
+    replaced = _split_columns(frozenset(df.columns))
+    return df.withColumns(replaced) if replaced else df
+
+
+@per_application
+def _split_columns(present: frozenset[str]) -> dict[str, Column]:
     replaced: dict[str, Column] = {}
     for c in spec.STATS_WITH_PCT:
         if c in present:
@@ -102,7 +130,7 @@ def split_value_pct(df: DataFrame) -> DataFrame:
     for c in spec.STATS_PCT_ONLY:
         if c in present:
             replaced[c] = parsing.percent_only(F.col(c))
-    return df.withColumns(replaced) if replaced else df
+    return replaced
 
 
 def _cast(c: Column, source: T.DataType, target: str) -> Column:
@@ -117,7 +145,12 @@ def _cast(c: Column, source: T.DataType, target: str) -> Column:
 
 def cast_to_schema(df: DataFrame) -> DataFrame:
     """Select the declared Silver columns in declared order, each cast to its type."""
-    fields = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*_schema_columns(schema_key(df)))
+
+
+@per_application
+def _schema_columns(schema: str) -> list[Column]:
+    fields = _fields(schema)
     out = []
     for column in spec.silver_schema():
         if column.name in fields:
@@ -128,14 +161,19 @@ def cast_to_schema(df: DataFrame) -> DataFrame:
                 out.append(_cast(F.col(column.name), source, column.type).alias(column.name))
         else:
             out.append(_null(column.type).alias(column.name))
-    return df.select(*out)
+    return out
 
 
 def silver_matches(bronze: DataFrame) -> DataFrame:
-    """The whole Silver chain (T9): sanitize, unify, dates, score, value/pct, types."""
+    """The whole Silver chain (T9): sanitize, unify, dates, score, value/pct, types.
+
+    Unification reads every field by its sanitized name or as written and
+    drops the rest, so sanitizing needs no projection of its own here; its
+    collision check still runs.
+    """
+    sanitized_names(bronze.columns)
     return (
-        bronze.transform(sanitize_column_names)
-        .transform(unify_languages)
+        bronze.transform(unify_languages)
         .transform(parse_dates)
         .transform(parse_score)
         .transform(split_value_pct)

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchflow import spec
+from pitchflow.functions.memo import per_application
 
 TEAMS = 18
 SEASON_SHIFT_YEARS = 25
@@ -33,8 +34,22 @@ ENGLISH_FROM = 2022
 ORDER_KEY = "o_orderkey"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores when the scan yields fewer splits.
+
+    A small file with one row group is one split, so every per-row step
+    after it would run in one task. At volume the scan already has more
+    splits than cores and this adds no shuffle. Only the columns the query
+    reads cross the exchange, since Catalyst prunes below it.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df
+
+
 def read_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
 
 
 def _team(n: Column) -> Column:
@@ -61,6 +76,11 @@ def _stat_value(target: str, j: int, k: Column) -> Column:
 
 def raw_matches(orders: DataFrame, keep_key: bool = False) -> DataFrame:
     """One raw match per order, with the landing field names and types."""
+    return orders.select(*_raw_columns(keep_key))
+
+
+@per_application
+def _raw_columns(keep_key: bool) -> list[Column]:
     k, c = F.col(ORDER_KEY), F.col("o_custkey")
     day = F.add_months(F.to_date("o_orderdate"), 12 * SEASON_SHIFT_YEARS)
     season = (F.year("o_orderdate") + SEASON_SHIFT_YEARS).cast("bigint")
@@ -91,20 +111,21 @@ def raw_matches(orders: DataFrame, keep_key: bool = False) -> DataFrame:
             spanish_cols.append(F.when(spanish, value).alias(es))
             english_cols.append(F.when(english, value).alias(en))
     key = [k] if keep_key else []
-    return orders.select(*key, *cols, *spanish_cols, *english_cols)
+    return [*key, *cols, *spanish_cols, *english_cols]
 
 
-def season_documents(orders: DataFrame, matches_per_document: int = 1000) -> DataFrame:
-    """Landing documents ``{temporada, data: [match, ...]}`` of at most N matches each.
+def season_documents(orders: DataFrame, keys_per_document: int = 5000) -> DataFrame:
+    """Landing documents ``{temporada, data: [match, ...]}``.
 
-    Matches are grouped by season and order-key block, so no group can hold
-    more than ``matches_per_document`` rows however the data is skewed. The
-    ``doc`` column is the document id (season and block), for writers that
-    lay out one document per file.
+    A document holds the matches of one season whose order keys fall in one
+    block of ``keys_per_document`` consecutive keys. Keys are unique, so no
+    document can hold more than that many matches however the seasons or
+    teams are skewed, and ``collect_list`` never gathers an unbounded group.
+    ``doc`` is the document id, for writers that lay out one document per file.
     """
     raw = raw_matches(orders, keep_key=True)
     fields = [c for c in raw.columns if c not in (ORDER_KEY, "temporada")]
-    block = F.floor(F.col(ORDER_KEY) / F.lit(matches_per_document))
+    block = F.floor(F.col(ORDER_KEY) / F.lit(keys_per_document))
     match = F.struct(*[F.col(f"`{f}`") for f in fields])
     return (
         raw.groupBy("temporada", block.alias("block"))

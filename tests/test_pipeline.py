@@ -1,0 +1,138 @@
+"""Hand-written landing files -> Bronze -> Silver -> Gold, with literal expectations."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+from conftest import EMPTY_SEASON, SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
+
+from pitchflow.plans import pipeline
+from pitchflow.sources.tables import read_table
+from pitchflow.streaming.bronze import read_bronze
+
+
+def _by(rows, *keys):
+    if len(keys) == 1:
+        return {r[keys[0]]: r for r in rows}
+    return {tuple(r[k] for k in keys): r for r in rows}
+
+
+def _rules(report):
+    return {r["rule"]: (r["passed"], r["failed"], r["unknown"]) for r in report}
+
+
+def test_layered_pipeline(spark, ansi, workdir):
+    landing = os.path.join(workdir, "landing")
+    write_doc(landing, "2020.json", SEASON_2020)
+    write_doc(landing, "2021.json", SEASON_2021)
+    write_doc(landing, "2022.json", EMPTY_SEASON)
+    write_doc(landing, "2026.json", SEASON_2026)
+    root = os.path.join(workdir, "tables")
+
+    run = pipeline.run_pipeline(spark, f"{landing}/*.json", root, multi_line=True)
+    assert run.bronze.documents == 4
+
+    bronze = read_bronze(spark, run.path(pipeline.BRONZE))
+    assert bronze.count() == 8  # the empty season adds no row
+    assert "Tiros totales_local" in bronze.columns  # names with spaces kept
+    assert "Posesión_local" in bronze.columns  # and accents
+
+    silver = _by(read_table(spark, root, *pipeline.SILVER).collect(), "url")
+    assert len(silver) == 8
+    assert len(read_table(spark, root, *pipeline.SILVER).columns) == 87
+    r = silver["m/2020/1"]
+    assert (r.fecha, r.goles_local, r.goles_visitante, r.resultado) == (dt.date(2020, 7, 25), 2, 1, "L")
+    assert silver["m/2020/2"].fecha == dt.date(2020, 7, 26)
+    assert silver["m/2020/2"].resultado == "V"
+    assert silver["m/2020/3"].fecha is None
+    assert silver["m/2020/3"].resultado == "E"
+    r = silver["m/2020/4"]
+    assert (r.goles_local, r.goles_visitante, r.resultado) == (None, None, None)
+    assert r.tiros_totales_local is None
+    r = silver["m/2021/1"]
+    assert r.fecha == dt.date(2021, 3, 6)
+    assert (r.tiros_totales_local, r.pases_precisos_local, r.pases_precisos_local_pct) == (12, 340, 80.0)
+    assert (r.pases_precisos_visitante, r.pases_precisos_visitante_pct) == (210, 70.0)
+    assert (r.posesion_local, r.posesion_visitante) == (55, 45)
+    assert r.fuente.endswith("2021.json")
+    assert r.fecha_carga is not None
+    r = silver["m/2021/2"]
+    assert (r.tiros_totales_local, r.tiros_totales_visitante, r.posesion_local) == (9, 11, None)
+    r = silver["m/2026/1"]
+    assert r.fecha == dt.date(2026, 2, 14)
+    assert r.tiros_totales_local == 15  # English name
+    assert (r.pases_precisos_local, r.pases_precisos_local_pct) == (100, 87.5)
+    assert (r.pases_precisos_visitante, r.pases_precisos_visitante_pct) == (12, None)
+    assert (r.posesion_local, r.posesion_visitante) == (64, 35)
+    r = silver["m/2026/2"]
+    assert (r.goles_local, r.goles_visitante, r.resultado) == (2, None, None)
+
+    standings = _by(read_table(spark, root, *pipeline.STANDINGS).collect(), "temporada", "equipo")
+    expected = {
+        (2020, "Alpha"): (2, 1, 1, 0, 2, 1, 1, 4, 1),
+        (2020, "Delta"): (1, 1, 0, 0, 3, 1, 2, 3, 2),
+        (2020, "Gamma"): (2, 0, 1, 1, 1, 3, -2, 1, 3),
+        (2020, "Beta"): (1, 0, 0, 1, 1, 2, -1, 0, 4),
+        # exact ties share a position and skip the next one
+        (2021, "Alpha"): (1, 1, 0, 0, 1, 0, 1, 3, 1),
+        (2021, "Gamma"): (1, 1, 0, 0, 1, 0, 1, 3, 1),
+        (2021, "Beta"): (1, 0, 0, 1, 0, 1, -1, 0, 3),
+        (2021, "Delta"): (1, 0, 0, 1, 0, 1, -1, 0, 3),
+        (2026, "Alpha"): (1, 1, 0, 0, 2, 0, 2, 3, 1),
+        (2026, "Delta"): (1, 0, 0, 1, 0, 2, -2, 0, 2),
+    }
+    cols = ("partidos_jugados", "victorias", "empates", "derrotas", "goles_favor", "goles_contra",
+            "diferencia_goles", "puntos", "posicion")
+    assert {k: tuple(v[c] for c in cols) for k, v in standings.items()} == expected
+
+    perf = _by(read_table(spark, root, *pipeline.PERFORMANCE).collect(), "temporada", "equipo", "rol")
+    assert set(perf) == {(2026, "Delta", "local"), (2026, "Alpha", "visitante")}
+    d = perf[(2026, "Delta", "local")]
+    assert (d.partidos_jugados, d.derrotas, d.puntos, d.goles_favor, d.goles_contra) == (1, 1, 0, 0, 2)
+    assert (d.posesion_promedio, d.tiros_totales_promedio, d.disparos_puerta_promedio) == (64.0, 15.0, 4.0)
+    assert (d.faltas_promedio, d.tarjetas_amarillas_promedio, d.tarjetas_rojas_promedio) == (11.0, 2.0, 0.0)
+    assert d.saques_esquina_promedio == 3.0
+    a = perf[(2026, "Alpha", "visitante")]
+    assert (a.victorias, a.puntos, a.posesion_promedio, a.faltas_promedio) == (1, 3, 35.0, 9.0)
+
+    dq = _rules(run.rules["silver_partidos"])
+    assert dq["marcador valido"] == (6, 2, 0)
+    assert dq["goles no negativos"] == (6, 0, 2)  # NULL goals are unknown, not failed
+    assert dq["posesion valida"] == (8, 0, 0)
+    assert all(v[1] == 0 for v in _rules(run.rules["gold_tabla_posiciones"]).values())
+    assert all(v[1] == 0 for v in _rules(run.rules["gold_rendimiento_equipo"]).values())
+
+    # A later drop: new field, and a stat that changes from number to "n (p%)".
+    write_doc(landing, "2026-late.json", SEASON_2026_LATE)
+    run2 = pipeline.run_pipeline(spark, f"{landing}/*.json", root, multi_line=True)
+    assert run2.bronze.documents == 1  # only the new file is read
+    bronze = read_bronze(spark, run2.path(pipeline.BRONZE))
+    assert bronze.count() == 9
+    assert bronze.filter(bronze["`Expected goals_local`"].isNotNull()).count() == 1
+    silver = _by(read_table(spark, root, *pipeline.SILVER).collect(), "url")
+    r = silver["m/2026/3"]
+    assert (r.pases_precisos_visitante, r.pases_precisos_visitante_pct) == (90, 70.0)
+    assert (silver["m/2026/1"].pases_precisos_visitante, silver["m/2026/1"].pases_precisos_visitante_pct) == (12, None)
+    standings = _by(read_table(spark, root, *pipeline.STANDINGS).collect(), "temporada", "equipo")
+    assert tuple(standings[(2026, "Alpha")][c] for c in cols) == (2, 1, 1, 0, 5, 3, 2, 4, 1)
+    assert tuple(standings[(2026, "Gamma")][c] for c in cols) == (1, 0, 1, 0, 3, 3, 0, 1, 2)
+    assert standings[(2026, "Delta")].posicion == 3
+    perf = _by(read_table(spark, root, *pipeline.PERFORMANCE).collect(), "temporada", "equipo", "rol")
+    a = perf[(2026, "Alpha", "visitante")]
+    # averages skip the match without statistics; partidos_jugados counts it
+    assert (a.partidos_jugados, a.posesion_promedio, a.tiros_totales_promedio) == (2, 35.0, 8.0)
+    g = perf[(2026, "Gamma", "local")]
+    assert (g.partidos_jugados, g.puntos, g.posesion_promedio) == (1, 1, None)
+
+
+def test_tables_registered_with_properties(spark, workdir):
+    landing = os.path.join(workdir, "landing")
+    write_doc(landing, "2021.json", SEASON_2021)
+    root = os.path.join(workdir, "tables")
+    pipeline.run_pipeline(spark, f"{landing}/*.json", root, multi_line=True, register=True)
+    props = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES silver.silver_partidos").collect()}
+    assert props.get("quality") == "silver"
+    assert spark.table("gold.gold_tabla_posiciones").count() == 4
+    desc = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED gold.gold_tabla_posiciones").collect()}
+    assert desc.get("Comment", "").startswith("Standings")
