@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from pitchflow.sources.landing import SchemaStore, to_bronze
+from pitchflow.sources.landing import SchemaStore, json_options, to_bronze
 
 
 @dataclass
@@ -50,11 +50,7 @@ def ingest_landing(
     schema = SchemaStore(spark, f"{state_dir}/schema").refresh(
         landing, multi_line=multi_line, infer_types=infer_types
     )
-    reader = (
-        spark.readStream.schema(schema)
-        .option("multiLine", str(multi_line).lower())
-        .option("mode", "PERMISSIVE")
-    )
+    reader = spark.readStream.schema(schema).options(**json_options(multi_line, infer_types))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     bronze = to_bronze(reader.json(landing))
