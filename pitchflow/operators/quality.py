@@ -28,7 +28,8 @@ def load_rules(entries: list[dict] | list[Rule]) -> dict[str, str]:
     return out
 
 
-def _counts(rules: list[Rule]) -> list[Column]:
+def rule_counts(rules: list[Rule]) -> list[Column]:
+    """Three counting aggregates per rule, named ``passed_i``, ``failed_i``, ``unknown_i``."""
     exprs = []
     for i, (_, constraint) in enumerate(rules):
         cond = F.expr(constraint)
@@ -42,7 +43,7 @@ def _counts(rules: list[Rule]) -> list[Column]:
 
 def rule_report(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row per rule: ``rule, passed, failed, unknown`` (Q2); rows are not touched."""
-    counts = df.agg(*_counts(rules))
+    counts = df.agg(*rule_counts(rules))
     rows = [
         F.struct(
             F.lit(name).alias("rule"),
@@ -62,18 +63,22 @@ def observe_rules(df: DataFrame, rules: list[Rule], name: str) -> tuple[DataFram
     scan. Read the result with :func:`observation_report` after the action.
     """
     obs = Observation(name)
-    return df.observe(obs, *_counts(rules)), obs
+    return df.observe(obs, *rule_counts(rules)), obs
 
 
 def observation_report(obs: Observation, rules: list[Rule]) -> list[dict]:
     """Observed counts as ``[{"rule", "passed", "failed", "unknown"}, ...]``."""
-    got = obs.get
+    return counts_report(obs.get, rules)
+
+
+def counts_report(got: dict, rules: list[Rule]) -> list[dict]:
+    """Named counts (see :func:`rule_counts`) as one dict per rule."""
     return [
         {
             "rule": rule_name,
-            "passed": got[f"passed_{i}"],
-            "failed": got[f"failed_{i}"],
-            "unknown": got[f"unknown_{i}"],
+            "passed": got.get(f"passed_{i}", 0),
+            "failed": got.get(f"failed_{i}", 0),
+            "unknown": got.get(f"unknown_{i}", 0),
         }
         for i, (rule_name, _) in enumerate(rules)
     ]

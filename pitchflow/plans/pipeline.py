@@ -2,12 +2,16 @@
 
 Plain functions called in layer order; no scheduler. Each layer reads the
 previous layer's written table, so a refresh after new landing files
-recomputes Silver and Gold from the full Bronze table.
+brings every layer up to date.
 
 * Bronze: incremental streaming ingest (append, exactly-once file sink).
 * Silver: one narrow stage over Bronze, written partitioned by season, so
-  Gold's season filter prunes folders instead of scanning them.
-* Gold: standings and performance, each one aggregate over Silver.
+  Gold's season filter prunes folders instead of scanning them. By default
+  it is incremental too (a stream over the new Bronze files); ``full``
+  rebuilds it from all of Bronze, as a batch overwrite.
+* Gold: standings and performance, each one aggregate over Silver, rebuilt
+  in full (a rank over a season needs the whole season; the aggregate
+  reads only the handful of Silver columns it uses).
 
 Quality rules ride on the writes: the counts are observed while the rows
 are written, so checking them costs no extra scan.
@@ -22,8 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pitchflow import spec
 from pitchflow.operators import gold, silver
 from pitchflow.operators.quality import observation_report, observe_rules
-from pitchflow.sources.tables import read_table, table_path, write_table
+from pitchflow.sources.tables import read_table, register_table, table_path, write_table
 from pitchflow.streaming.bronze import IngestResult, ingest_landing, read_bronze
+from pitchflow.streaming.silver import stream_silver
 
 BRONZE = ("bronze", "bronze_partidos")
 SILVER = ("silver", "silver_partidos")
@@ -57,12 +62,21 @@ def _write_checked(df: DataFrame, rules, root: str, layer_table, quality: str, r
     return observation_report(obs, rules)
 
 
-def refresh_silver(spark: SparkSession, root: str, register: bool = False) -> list[dict]:
-    bronze = read_bronze(spark, table_path(root, *BRONZE))
-    return _write_checked(
-        silver.silver_matches(bronze), spec.SILVER_RULES, root, SILVER, "silver", register,
-        partition_by=["temporada"],
+def refresh_silver(spark: SparkSession, root: str, register: bool = False, full: bool = False) -> list[dict]:
+    """Clean the Bronze rows into Silver; returns the rule report of the rows written."""
+    if full:
+        bronze = read_bronze(spark, table_path(root, *BRONZE))
+        return _write_checked(
+            silver.silver_matches(bronze), spec.SILVER_RULES, root, SILVER, "silver", register,
+            partition_by=["temporada"],
+        )
+    report = stream_silver(
+        spark, table_path(root, *BRONZE), table_path(root, *SILVER),
+        f"{root}/_state/{SILVER[1]}", spec.SILVER_RULES,
     )
+    if register:
+        register_table(spark, root, *SILVER, comment=COMMENTS[SILVER], properties={"quality": "silver"})
+    return report
 
 
 def refresh_gold(spark: SparkSession, root: str, register: bool = False) -> dict[str, list[dict]]:
@@ -85,14 +99,15 @@ def run_pipeline(
     multi_line: bool = False,
     infer_types: bool = False,
     register: bool = False,
+    full_silver: bool = False,
 ) -> PipelineRun:
-    """Ingest new landing files, then rebuild Silver and Gold."""
+    """Ingest new landing files, bring Silver up to date, rebuild Gold."""
     root = root.rstrip("/")
     ingest = ingest_landing(
         spark, landing, table_path(root, *BRONZE), f"{root}/_state/{BRONZE[1]}",
         multi_line=multi_line, infer_types=infer_types,
     )
     run = PipelineRun(root=root, bronze=ingest)
-    run.rules[SILVER[1]] = refresh_silver(spark, root, register)
+    run.rules[SILVER[1]] = refresh_silver(spark, root, register, full=full_silver)
     run.rules.update(refresh_gold(spark, root, register))
     return run

@@ -35,21 +35,35 @@ def write_table(
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    writer.save(path)
     if register:
-        spark = df.sparkSession
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
-        writer.option("path", path).saveAsTable(f"`{layer}`.`{name}`")
-        props = dict(properties or {})
-        if comment:
-            spark.sql(f"COMMENT ON TABLE `{layer}`.`{name}` IS {_sql_str(comment)}")
-        if props:
-            listed = ", ".join(f"{_sql_str(k)} = {_sql_str(v)}" for k, v in props.items())
-            spark.sql(f"ALTER TABLE `{layer}`.`{name}` SET TBLPROPERTIES ({listed})")
-    else:
-        writer.save(path)
+        register_table(df.sparkSession, root, layer, name, comment=comment, properties=properties)
     return path
 
 
+def register_table(
+    spark: SparkSession,
+    root: str,
+    layer: str,
+    name: str,
+    *,
+    comment: str | None = None,
+    properties: dict[str, str] | None = None,
+) -> str:
+    """Name the folder ``<layer>.<name>`` in the session catalog, with comment and properties."""
+    path = table_path(root, layer, name)
+    qualified = f"`{layer}`.`{name}`"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+    spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+    spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet")
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {qualified} IS {_sql_str(comment)}")
+    if properties:
+        listed = ", ".join(f"{_sql_str(k)} = {_sql_str(v)}" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {qualified} SET TBLPROPERTIES ({listed})")
+    return qualified
+
+
 def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
     """Scan of a layer table by path (filters on partition columns prune folders)."""
     return spark.read.parquet(table_path(root, layer, name))

@@ -136,3 +136,27 @@ def test_tables_registered_with_properties(spark, workdir):
     assert spark.table("gold.gold_tabla_posiciones").count() == 4
     desc = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED gold.gold_tabla_posiciones").collect()}
     assert desc.get("Comment", "").startswith("Standings")
+
+
+def test_incremental_and_full_silver_agree(spark, workdir):
+    landing = os.path.join(workdir, "landing")
+    write_doc(landing, "2020.json", SEASON_2020)
+    write_doc(landing, "2021.json", SEASON_2021)
+    inc, full = os.path.join(workdir, "inc"), os.path.join(workdir, "full")
+    pipeline.run_pipeline(spark, f"{landing}/*.json", inc, multi_line=True)
+    pipeline.run_pipeline(spark, f"{landing}/*.json", full, multi_line=True, full_silver=True)
+    write_doc(landing, "2026.json", SEASON_2026)
+    write_doc(landing, "2026-late.json", SEASON_2026_LATE)
+    run_inc = pipeline.run_pipeline(spark, f"{landing}/*.json", inc, multi_line=True)
+    run_full = pipeline.run_pipeline(spark, f"{landing}/*.json", full, multi_line=True, full_silver=True)
+    # incremental reports the rows it added, full reports the whole table
+    assert _rules(run_inc.rules["silver_partidos"])["equipo_local no nulo"] == (3, 0, 0)
+    assert _rules(run_full.rules["silver_partidos"])["equipo_local no nulo"] == (9, 0, 0)
+
+    def rows(root, table, drop=()):
+        df = read_table(spark, root, *table).drop(*drop)
+        return sorted(tuple(str(v) for v in r) for r in df.select(sorted(df.columns)).collect())
+
+    assert rows(inc, pipeline.SILVER, ["fecha_carga"]) == rows(full, pipeline.SILVER, ["fecha_carga"])
+    assert rows(inc, pipeline.STANDINGS) == rows(full, pipeline.STANDINGS)
+    assert rows(inc, pipeline.PERFORMANCE) == rows(full, pipeline.PERFORMANCE)
