@@ -17,16 +17,18 @@ from pitchflow.operators.gold import played, team_view
 DEFAULT_TOP_K = 10
 
 
-def season_table(standings: DataFrame, season: int) -> DataFrame:
-    """Final standings of one season, in table order."""
-    return (
-        standings.filter(F.col("temporada") == F.lit(season))
-        .select(
-            "temporada", "posicion", "equipo", "partidos_jugados", "victorias", "empates",
-            "derrotas", "goles_favor", "goles_contra", "diferencia_goles", "puntos",
-        )
-        .orderBy("posicion", "equipo")
-    )
+def season_table(standings: DataFrame, season: int | None = None) -> DataFrame:
+    """Final standings of each season (or of one), in table order.
+
+    With a season, the filter on the rank's partition column is pushed
+    below the window and the aggregate, down to the scan side.
+    """
+    if season is not None:
+        standings = standings.filter(F.col("temporada") == F.lit(season))
+    return standings.select(
+        "temporada", "posicion", "equipo", "partidos_jugados", "victorias", "empates",
+        "derrotas", "goles_favor", "goles_contra", "diferencia_goles", "puntos",
+    ).orderBy("temporada", "posicion", "equipo")
 
 
 def all_time_points(standings: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
