@@ -75,15 +75,29 @@ def _stat_value(target: str, j: int, k: Column) -> Column:
 
 
 def raw_matches(orders: DataFrame, keep_key: bool = False) -> DataFrame:
-    """One raw match per order, with the landing field names and types."""
-    return orders.select(*_raw_columns(keep_key))
+    """One raw match per order, with the landing field names and types.
+
+    Per-row terms every field uses (season, match day, language flags) are
+    computed once in a first projection; Catalyst keeps it separate rather
+    than inline them into the 131 fields that reference them.
+    """
+    k, c = F.col(ORDER_KEY), F.col("o_custkey")
+    season = (F.year("o_orderdate") + SEASON_SHIFT_YEARS).cast("bigint")
+    per_row = orders.select(
+        k,
+        c,
+        season.alias("_season"),
+        F.add_months(F.to_date("o_orderdate"), 12 * SEASON_SHIFT_YEARS).alias("_day"),
+        (season == SPANISH_SEASON).alias("_spanish"),
+        ((season >= ENGLISH_FROM) & (k % 5 != 0)).alias("_english"),
+    )
+    return per_row.select(*_raw_columns(keep_key))
 
 
 @per_application
 def _raw_columns(keep_key: bool) -> list[Column]:
     k, c = F.col(ORDER_KEY), F.col("o_custkey")
-    day = F.add_months(F.to_date("o_orderdate"), 12 * SEASON_SHIFT_YEARS)
-    season = (F.year("o_orderdate") + SEASON_SHIFT_YEARS).cast("bigint")
+    day, season = F.col("_day"), F.col("_season")
     score = F.when(k % 23 == 0, F.lit("Sin jugar")).otherwise(
         F.concat(((7 * k + c) % 5).cast("string"), F.lit(" - "), ((3 * k + 11 * c) % 4).cast("string"))
     )
@@ -100,8 +114,7 @@ def _raw_columns(keep_key: bool) -> list[Column]:
         score.alias("marcador"),
         F.concat(F.lit("match/"), k.cast("string")).alias("url"),
     ]
-    spanish = season == SPANISH_SEASON
-    english = (season >= ENGLISH_FROM) & (k % 5 != 0)
+    spanish, english = F.col("_spanish"), F.col("_english")
     spanish_cols, english_cols = [], []
     for j, (es, en, target) in enumerate(spec.STATS):
         value = _stat_value(target, j, k)
