@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitchflow import spec
 from pitchflow.operators import gold, silver
 from pitchflow.operators.quality import observation_report, observe_rules
+from pitchflow.sources.landing import bronze_schema
 from pitchflow.sources.tables import read_table, register_table, table_path, write_table
 from pitchflow.streaming.bronze import IngestResult, ingest_landing, read_bronze
 from pitchflow.streaming.silver import stream_silver
@@ -35,6 +36,10 @@ SILVER = ("silver", "silver_partidos")
 STANDINGS = ("gold", "gold_tabla_posiciones")
 PERFORMANCE = ("gold", "gold_rendimiento_equipo")
 
+# Files per micro-batch of the streams: a backfill commits in bounded steps,
+# so a failure repeats one step, not the whole history.
+MAX_FILES_PER_TRIGGER = 10_000
+
 COMMENTS = {
     SILVER: "Match statistics: two languages unified, dates and scores parsed, value/pct split.",
     STANDINGS: "Standings per season and team, played matches only.",
@@ -62,7 +67,13 @@ def _write_checked(df: DataFrame, rules, root: str, layer_table, quality: str, r
     return observation_report(obs, rules)
 
 
-def refresh_silver(spark: SparkSession, root: str, register: bool = False, full: bool = False) -> list[dict]:
+def refresh_silver(
+    spark: SparkSession,
+    root: str,
+    register: bool = False,
+    full: bool = False,
+    landing_schema=None,
+) -> list[dict]:
     """Clean the Bronze rows into Silver; returns the rule report of the rows written."""
     if full:
         bronze = read_bronze(spark, table_path(root, *BRONZE))
@@ -73,6 +84,8 @@ def refresh_silver(spark: SparkSession, root: str, register: bool = False, full:
     report = stream_silver(
         spark, table_path(root, *BRONZE), table_path(root, *SILVER),
         f"{root}/_state/{SILVER[1]}", spec.SILVER_RULES,
+        bronze_schema=bronze_schema(landing_schema) if landing_schema is not None else None,
+        max_files_per_trigger=MAX_FILES_PER_TRIGGER,
     )
     if register:
         register_table(spark, root, *SILVER, comment=COMMENTS[SILVER], properties={"quality": "silver"})
@@ -106,8 +119,11 @@ def run_pipeline(
     ingest = ingest_landing(
         spark, landing, table_path(root, *BRONZE), f"{root}/_state/{BRONZE[1]}",
         multi_line=multi_line, infer_types=infer_types,
+        max_files_per_trigger=MAX_FILES_PER_TRIGGER,
     )
     run = PipelineRun(root=root, bronze=ingest)
-    run.rules[SILVER[1]] = refresh_silver(spark, root, register, full=full_silver)
+    run.rules[SILVER[1]] = refresh_silver(
+        spark, root, register, full=full_silver, landing_schema=ingest.schema
+    )
     run.rules.update(refresh_gold(spark, root, register))
     return run

@@ -193,6 +193,26 @@ class SchemaStore:
         return merged
 
 
+def bronze_schema(doc_schema: T.StructType, field: str = spec.DATA_FIELD) -> T.StructType:
+    """Schema of the Bronze rows :func:`to_bronze` makes from documents of ``doc_schema``.
+
+    Lets a reader of the Bronze folder state its schema from the schema
+    memory instead of merging the footers of every Bronze file.
+    """
+    by_name = {f.name: f for f in doc_schema.fields}
+    season = by_name.get("temporada", T.StructField("temporada", T.StringType()))
+    data = by_name[field].dataType
+    element = data.elementType if isinstance(data, T.ArrayType) else T.StructType([])
+    return T.StructType(
+        [
+            T.StructField("temporada", season.dataType, True),
+            T.StructField(spec.SOURCE_FILE_COL, T.StringType(), True),
+            *[T.StructField(f.name, f.dataType, True) for f in element.fields],
+            T.StructField(spec.LOAD_TIME_COL, T.TimestampType(), True),
+        ]
+    )
+
+
 def explode_matches(docs: DataFrame, field: str = spec.DATA_FIELD, lineage: bool = True) -> DataFrame:
     """One row per match (P1, P2): season, source file, then every match field.
 

@@ -14,6 +14,7 @@ added.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from pitchflow.operators.quality import Rule, counts_report, rule_counts
 from pitchflow.operators.silver import silver_matches
@@ -37,11 +38,16 @@ def stream_silver(
     state_dir: str,
     rules: list[Rule],
     *,
+    bronze_schema: T.StructType | None = None,
     max_files_per_trigger: int | None = None,
     metrics_name: str = "dq_silver",
 ) -> list[dict]:
-    """One incremental Silver run; returns the rule report of the rows it added."""
-    schema = read_bronze(spark, bronze_path).schema  # union of every Bronze file's columns
+    """One incremental Silver run; returns the rule report of the rows it added.
+
+    ``bronze_schema`` (from the schema memory) spares a merge of every
+    Bronze file's footer; without it the Bronze folder is read to find it.
+    """
+    schema = bronze_schema or read_bronze(spark, bronze_path).schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -94,3 +94,16 @@ def test_typed_inference_keeps_numbers(spark, workdir):
     assert types["Tiros totales_local"] == "bigint"
     assert types["Pases precisos_local"] == "string"
     assert rows.filter("`_source_file` like '%2021.json'").count() == 2
+
+
+def test_bronze_schema_matches_written_bronze(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    write_doc(land, "2021.json", SEASON_2021)
+    write_doc(land, "2026.json", SEASON_2026)
+    bronze, state = os.path.join(workdir, "bronze"), os.path.join(workdir, "state")
+    res = ingest_landing(spark, f"{land}/*.json", bronze, state, multi_line=True)
+    stated = L.bronze_schema(res.schema)
+    written = read_bronze(spark, bronze).schema
+    assert sorted((f.name, f.dataType.simpleString()) for f in stated.fields) == sorted(
+        (f.name, f.dataType.simpleString()) for f in written.fields
+    )
