@@ -22,12 +22,13 @@ def as_text(col: Column) -> Column:
 def to_int(col: Column) -> Column:
     """Lenient integer: ``"12"``, ``12.0`` and ``"64.5"`` give 12/12/64; junk gives NULL.
 
-    A plain integer literal takes the direct cast (parsed in place, no
-    allocation); anything else goes through double, so decimals truncate
-    (as a non-ANSI cast would) instead of failing the ANSI string-to-int
-    parse. Both paths agree wherever the direct one gives a value.
+    Goes through double so that decimals truncate (as a non-ANSI cast
+    would) instead of failing the ANSI string-to-int parse. (A two-branch
+    form with a direct int cast first was ~10% faster on plain columns but
+    doubles the expression wherever Catalyst inlines it, e.g. into the
+    played-match filter: slower overall.)
     """
-    return F.coalesce(col.try_cast("int"), col.try_cast("double").try_cast("int"))
+    return col.try_cast("double").try_cast("int")
 
 
 def to_double(col: Column) -> Column:
