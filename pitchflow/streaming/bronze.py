@@ -39,6 +39,7 @@ def ingest_landing(
     multi_line: bool = False,
     infer_types: bool = False,
     max_files_per_trigger: int | None = None,
+    timeout_seconds: int = 6 * 3600,
     query_name: str | None = None,
 ) -> IngestResult:
     """Run one incremental ingest of ``landing`` into ``bronze_path``.
@@ -63,7 +64,9 @@ def ingest_landing(
     if query_name:
         writer = writer.queryName(query_name)
     query = writer.start(bronze_path)
-    query.awaitTermination()
+    if not query.awaitTermination(timeout_seconds):
+        query.stop()
+        raise TimeoutError(f"bronze ingest did not finish within {timeout_seconds} s")
     if query.exception() is not None:
         raise RuntimeError(f"bronze ingest failed: {query.exception()}")
     progress = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0]

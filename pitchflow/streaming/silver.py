@@ -40,6 +40,7 @@ def stream_silver(
     *,
     bronze_schema: T.StructType | None = None,
     max_files_per_trigger: int | None = None,
+    timeout_seconds: int = 6 * 3600,
     metrics_name: str = "dq_silver",
 ) -> list[dict]:
     """One incremental Silver run; returns the rule report of the rows it added.
@@ -60,7 +61,9 @@ def stream_silver(
         .trigger(availableNow=True)
         .start(silver_path)
     )
-    query.awaitTermination()
+    if not query.awaitTermination(timeout_seconds):
+        query.stop()
+        raise TimeoutError(f"silver refresh did not finish within {timeout_seconds} s")
     if query.exception() is not None:
         raise RuntimeError(f"silver refresh failed: {query.exception()}")
     totals: dict[str, int] = {}

@@ -107,3 +107,23 @@ def test_bronze_schema_matches_written_bronze(spark, workdir):
     assert sorted((f.name, f.dataType.simpleString()) for f in stated.fields) == sorted(
         (f.name, f.dataType.simpleString()) for f in written.fields
     )
+
+
+def test_silver_same_from_typed_and_string_bronze(spark, workdir):
+    from pitchflow.operators.silver import silver_matches
+
+    land = os.path.join(workdir, "landing")
+    for name, doc in (("2020.json", SEASON_2020), ("2021.json", SEASON_2021),
+                      ("2026.json", SEASON_2026), ("2026-late.json", SEASON_2026_LATE)):
+        write_doc(land, name, doc)
+    files = f"{land}/*.json"
+    typed = L.to_bronze(L.read_documents(spark, files, multi_line=True, infer_types=True))
+    strings = L.to_bronze(L.read_documents(spark, files, multi_line=True))
+    assert dict(typed.dtypes)["Tiros totales_local"] == "bigint"
+    # a field that is a number in one file and text in another is inferred as text
+    assert dict(typed.dtypes)["Accurate passes_visitante"] == "string"
+    drop = ["fecha_carga"]
+    a = silver_matches(typed).drop(*drop)
+    b = silver_matches(strings).drop(*drop)
+    assert a.dtypes == b.dtypes
+    assert _rows(a) == _rows(b)
