@@ -18,7 +18,7 @@ from pitchflow.functions.names import sanitized
 from pitchflow.operators import consume, gold, quality, silver
 from pitchflow.operators.columns import rename_columns, sanitize_column_names
 from pitchflow.plans import oracle
-from pitchflow.plans import pipeline
+from pitchflow.plans import layers
 from pitchflow.session import new_run_dir
 from pitchflow.sources import landing
 from pitchflow.sources.fixture import raw_matches, read_orders, season_documents, write_documents
@@ -104,12 +104,12 @@ def q_bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_layered_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_layer_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing -> Bronze stream -> Silver table -> Gold tables; standings read back."""
-    run = new_run_dir(spark, "pipeline")
+    run = new_run_dir(spark, "layers")
     write_documents(_documents(spark, sf_dir), f"{run}/landing/drop1")
-    pipeline.run_pipeline(spark, f"{run}/landing/*/*.json", f"{run}/tables")
-    return read_table(spark, f"{run}/tables", *pipeline.STANDINGS)
+    layers.refresh_layers(spark, f"{run}/landing/*/*.json", f"{run}/tables")
+    return read_table(spark, f"{run}/tables", *layers.STANDINGS)
 
 
 # --- Silver steps -----------------------------------------------------------
@@ -367,7 +367,7 @@ QUERIES: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
     "bronze_explode": (q_bronze_explode, lambda: oracle.raw_sql()),
     "bronze_stream_ingest": (q_bronze_stream_ingest, lambda: oracle.raw_sql(as_text=True)),
     "bronze_lineage": (q_bronze_lineage, _sql_bronze_lineage),
-    "layered_pipeline": (q_layered_pipeline, lambda: oracle.standings_sql()),
+    "layer_refresh": (q_layer_refresh, lambda: oracle.standings_sql()),
     "sanitize_rename": (q_sanitize_rename, _sql_sanitize_rename),
     "unify_languages": (q_unify_languages, _sql_unify),
     "parse_dates": (q_parse_dates, _sql_parse_dates),

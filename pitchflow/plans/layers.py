@@ -1,4 +1,4 @@
-"""The layered pipeline: landing -> Bronze -> Silver -> Gold (K3).
+"""Layer refresh: landing -> Bronze -> Silver -> Gold (K3).
 
 Plain functions called in layer order; no scheduler. Each layer reads the
 previous layer's written table, so a refresh after new landing files
@@ -104,7 +104,7 @@ def refresh_gold(spark: SparkSession, root: str, register: bool = False) -> dict
     }
 
 
-def run_pipeline(
+def refresh_layers(
     spark: SparkSession,
     landing: str,
     root: str,

@@ -232,5 +232,5 @@ def add_load_time(df: DataFrame) -> DataFrame:
 
 
 def to_bronze(docs: DataFrame, field: str = spec.DATA_FIELD, lineage: bool = True) -> DataFrame:
-    """Bronze pipeline body (T8): explode + flatten + load time."""
+    """Bronze chain (T8): explode + flatten + load time."""
     return add_load_time(explode_matches(docs, field, lineage))

@@ -9,7 +9,7 @@ import pytest
 from conftest import SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
 
 from pitchflow.operators import consume
-from pitchflow.plans import pipeline
+from pitchflow.plans import layers
 from pitchflow.sources.tables import read_table
 
 
@@ -21,11 +21,11 @@ def gold(spark):
                       ("2026.json", SEASON_2026), ("2026-late.json", SEASON_2026_LATE)):
         write_doc(land, name, doc)
     root = os.path.join(work, "tables")
-    pipeline.run_pipeline(spark, f"{land}/*.json", root, multi_line=True)
+    layers.refresh_layers(spark, f"{land}/*.json", root, multi_line=True)
     return (
-        read_table(spark, root, *pipeline.SILVER),
-        read_table(spark, root, *pipeline.STANDINGS),
-        read_table(spark, root, *pipeline.PERFORMANCE),
+        read_table(spark, root, *layers.SILVER),
+        read_table(spark, root, *layers.STANDINGS),
+        read_table(spark, root, *layers.PERFORMANCE),
     )
 
 

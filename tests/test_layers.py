@@ -7,7 +7,7 @@ import os
 
 from conftest import EMPTY_SEASON, SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
 
-from pitchflow.plans import pipeline
+from pitchflow.plans import layers
 from pitchflow.sources.tables import read_table
 from pitchflow.streaming.bronze import read_bronze
 
@@ -22,7 +22,7 @@ def _rules(report):
     return {r["rule"]: (r["passed"], r["failed"], r["unknown"]) for r in report}
 
 
-def test_layered_pipeline(spark, ansi, workdir):
+def test_layer_refresh(spark, ansi, workdir):
     landing = os.path.join(workdir, "landing")
     write_doc(landing, "2020.json", SEASON_2020)
     write_doc(landing, "2021.json", SEASON_2021)
@@ -30,17 +30,17 @@ def test_layered_pipeline(spark, ansi, workdir):
     write_doc(landing, "2026.json", SEASON_2026)
     root = os.path.join(workdir, "tables")
 
-    run = pipeline.run_pipeline(spark, f"{landing}/*.json", root, multi_line=True)
+    run = layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True)
     assert run.bronze.documents == 4
 
-    bronze = read_bronze(spark, run.path(pipeline.BRONZE))
+    bronze = read_bronze(spark, run.path(layers.BRONZE))
     assert bronze.count() == 8  # the empty season adds no row
     assert "Tiros totales_local" in bronze.columns  # names with spaces kept
     assert "Posesión_local" in bronze.columns  # and accents
 
-    silver = _by(read_table(spark, root, *pipeline.SILVER).collect(), "url")
+    silver = _by(read_table(spark, root, *layers.SILVER).collect(), "url")
     assert len(silver) == 8
-    assert len(read_table(spark, root, *pipeline.SILVER).columns) == 87
+    assert len(read_table(spark, root, *layers.SILVER).columns) == 87
     r = silver["m/2020/1"]
     assert (r.fecha, r.goles_local, r.goles_visitante, r.resultado) == (dt.date(2020, 7, 25), 2, 1, "L")
     assert silver["m/2020/2"].fecha == dt.date(2020, 7, 26)
@@ -68,7 +68,7 @@ def test_layered_pipeline(spark, ansi, workdir):
     r = silver["m/2026/2"]
     assert (r.goles_local, r.goles_visitante, r.resultado) == (2, None, None)
 
-    standings = _by(read_table(spark, root, *pipeline.STANDINGS).collect(), "temporada", "equipo")
+    standings = _by(read_table(spark, root, *layers.STANDINGS).collect(), "temporada", "equipo")
     expected = {
         (2020, "Alpha"): (2, 1, 1, 0, 2, 1, 1, 4, 1),
         (2020, "Delta"): (1, 1, 0, 0, 3, 1, 2, 3, 2),
@@ -86,7 +86,7 @@ def test_layered_pipeline(spark, ansi, workdir):
             "diferencia_goles", "puntos", "posicion")
     assert {k: tuple(v[c] for c in cols) for k, v in standings.items()} == expected
 
-    perf = _by(read_table(spark, root, *pipeline.PERFORMANCE).collect(), "temporada", "equipo", "rol")
+    perf = _by(read_table(spark, root, *layers.PERFORMANCE).collect(), "temporada", "equipo", "rol")
     assert set(perf) == {(2026, "Delta", "local"), (2026, "Alpha", "visitante")}
     d = perf[(2026, "Delta", "local")]
     assert (d.partidos_jugados, d.derrotas, d.puntos, d.goles_favor, d.goles_contra) == (1, 1, 0, 0, 2)
@@ -105,20 +105,20 @@ def test_layered_pipeline(spark, ansi, workdir):
 
     # A later drop: new field, and a stat that changes from number to "n (p%)".
     write_doc(landing, "2026-late.json", SEASON_2026_LATE)
-    run2 = pipeline.run_pipeline(spark, f"{landing}/*.json", root, multi_line=True)
+    run2 = layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True)
     assert run2.bronze.documents == 1  # only the new file is read
-    bronze = read_bronze(spark, run2.path(pipeline.BRONZE))
+    bronze = read_bronze(spark, run2.path(layers.BRONZE))
     assert bronze.count() == 9
     assert bronze.filter(bronze["`Expected goals_local`"].isNotNull()).count() == 1
-    silver = _by(read_table(spark, root, *pipeline.SILVER).collect(), "url")
+    silver = _by(read_table(spark, root, *layers.SILVER).collect(), "url")
     r = silver["m/2026/3"]
     assert (r.pases_precisos_visitante, r.pases_precisos_visitante_pct) == (90, 70.0)
     assert (silver["m/2026/1"].pases_precisos_visitante, silver["m/2026/1"].pases_precisos_visitante_pct) == (12, None)
-    standings = _by(read_table(spark, root, *pipeline.STANDINGS).collect(), "temporada", "equipo")
+    standings = _by(read_table(spark, root, *layers.STANDINGS).collect(), "temporada", "equipo")
     assert tuple(standings[(2026, "Alpha")][c] for c in cols) == (2, 1, 1, 0, 5, 3, 2, 4, 1)
     assert tuple(standings[(2026, "Gamma")][c] for c in cols) == (1, 0, 1, 0, 3, 3, 0, 1, 2)
     assert standings[(2026, "Delta")].posicion == 3
-    perf = _by(read_table(spark, root, *pipeline.PERFORMANCE).collect(), "temporada", "equipo", "rol")
+    perf = _by(read_table(spark, root, *layers.PERFORMANCE).collect(), "temporada", "equipo", "rol")
     a = perf[(2026, "Alpha", "visitante")]
     # averages skip the match without statistics; partidos_jugados counts it
     assert (a.partidos_jugados, a.posesion_promedio, a.tiros_totales_promedio) == (2, 35.0, 8.0)
@@ -130,7 +130,7 @@ def test_tables_registered_with_properties(spark, workdir):
     landing = os.path.join(workdir, "landing")
     write_doc(landing, "2021.json", SEASON_2021)
     root = os.path.join(workdir, "tables")
-    pipeline.run_pipeline(spark, f"{landing}/*.json", root, multi_line=True, register=True)
+    layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True, register=True)
     props = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES silver.silver_partidos").collect()}
     assert props.get("quality") == "silver"
     assert spark.table("gold.gold_tabla_posiciones").count() == 4
@@ -143,12 +143,12 @@ def test_incremental_and_full_silver_agree(spark, workdir):
     write_doc(landing, "2020.json", SEASON_2020)
     write_doc(landing, "2021.json", SEASON_2021)
     inc, full = os.path.join(workdir, "inc"), os.path.join(workdir, "full")
-    pipeline.run_pipeline(spark, f"{landing}/*.json", inc, multi_line=True)
-    pipeline.run_pipeline(spark, f"{landing}/*.json", full, multi_line=True, full_silver=True)
+    layers.refresh_layers(spark, f"{landing}/*.json", inc, multi_line=True)
+    layers.refresh_layers(spark, f"{landing}/*.json", full, multi_line=True, full_silver=True)
     write_doc(landing, "2026.json", SEASON_2026)
     write_doc(landing, "2026-late.json", SEASON_2026_LATE)
-    run_inc = pipeline.run_pipeline(spark, f"{landing}/*.json", inc, multi_line=True)
-    run_full = pipeline.run_pipeline(spark, f"{landing}/*.json", full, multi_line=True, full_silver=True)
+    run_inc = layers.refresh_layers(spark, f"{landing}/*.json", inc, multi_line=True)
+    run_full = layers.refresh_layers(spark, f"{landing}/*.json", full, multi_line=True, full_silver=True)
     # incremental reports the rows it added, full reports the whole table
     assert _rules(run_inc.rules["silver_partidos"])["equipo_local no nulo"] == (3, 0, 0)
     assert _rules(run_full.rules["silver_partidos"])["equipo_local no nulo"] == (9, 0, 0)
@@ -157,6 +157,6 @@ def test_incremental_and_full_silver_agree(spark, workdir):
         df = read_table(spark, root, *table).drop(*drop)
         return sorted(tuple(str(v) for v in r) for r in df.select(sorted(df.columns)).collect())
 
-    assert rows(inc, pipeline.SILVER, ["fecha_carga"]) == rows(full, pipeline.SILVER, ["fecha_carga"])
-    assert rows(inc, pipeline.STANDINGS) == rows(full, pipeline.STANDINGS)
-    assert rows(inc, pipeline.PERFORMANCE) == rows(full, pipeline.PERFORMANCE)
+    assert rows(inc, layers.SILVER, ["fecha_carga"]) == rows(full, layers.SILVER, ["fecha_carga"])
+    assert rows(inc, layers.STANDINGS) == rows(full, layers.STANDINGS)
+    assert rows(inc, layers.PERFORMANCE) == rows(full, layers.PERFORMANCE)

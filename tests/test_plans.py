@@ -10,7 +10,7 @@ import re
 from conftest import SEASON_2020, SEASON_2021, SEASON_2026, SMALL_SF, write_doc
 
 from pitchflow.operators import gold
-from pitchflow.plans import catalog, pipeline
+from pitchflow.plans import catalog, layers
 from pitchflow.sources.tables import read_table
 
 
@@ -33,7 +33,7 @@ def _tables(spark, workdir):
     for name, doc in (("2020.json", SEASON_2020), ("2021.json", SEASON_2021), ("2026.json", SEASON_2026)):
         write_doc(land, name, doc)
     root = os.path.join(workdir, "tables")
-    pipeline.run_pipeline(spark, f"{land}/*.json", root, multi_line=True)
+    layers.refresh_layers(spark, f"{land}/*.json", root, multi_line=True)
     return root
 
 
@@ -48,7 +48,7 @@ def test_silver_has_no_exchange(spark, workdir):
 
 def test_gold_prunes_and_pushes_down(spark, workdir):
     root = _tables(spark, workdir)
-    silver = read_table(spark, root, *pipeline.SILVER)
+    silver = read_table(spark, root, *layers.SILVER)
     perf_plan = _plan(gold.team_performance(silver))
     # the season filter prunes Silver's partition folders; the played filter reaches the scan
     assert "PartitionFilters: [isnotnull(temporada" in perf_plan and ">= 2022" in perf_plan
