@@ -160,3 +160,17 @@ def test_incremental_and_full_silver_agree(spark, workdir):
     assert rows(inc, layers.SILVER, ["fecha_carga"]) == rows(full, layers.SILVER, ["fecha_carga"])
     assert rows(inc, layers.STANDINGS) == rows(full, layers.STANDINGS)
     assert rows(inc, layers.PERFORMANCE) == rows(full, layers.PERFORMANCE)
+
+
+def test_command_line_refresh(spark, workdir, capsys):
+    import json
+
+    from pitchflow.__main__ import main
+
+    landing = os.path.join(workdir, "landing")
+    write_doc(landing, "2021.json", SEASON_2021)
+    root = os.path.join(workdir, "tables")
+    assert main(["refresh", "--landing", f"{landing}/*.json", "--root", root, "--multi-line"]) == 0
+    out = json.loads(capsys.readouterr().out)
+    assert out["documents"] == 1
+    assert _rules(out["rules"]["gold_tabla_posiciones"])["posicion positiva"] == (4, 0, 0)
