@@ -41,11 +41,14 @@ def ingest_landing(
     max_files_per_trigger: int | None = None,
     timeout_seconds: int = 6 * 3600,
     query_name: str | None = None,
+    archive_dir: str | None = None,
 ) -> IngestResult:
     """Run one incremental ingest of ``landing`` into ``bronze_path``.
 
     ``state_dir`` holds the stream checkpoint and the schema memory; keep it
-    outside the landing folder, on storage every executor shares.
+    outside the landing folder, on storage every executor shares. With
+    ``archive_dir``, files whose batch committed are moved there, so the
+    landing folder each trigger lists stays small over a long history.
     """
     state_dir = state_dir.rstrip("/")
     schema = SchemaStore(spark, f"{state_dir}/schema").refresh(
@@ -54,6 +57,8 @@ def ingest_landing(
     reader = spark.readStream.schema(schema).options(**json_options(multi_line, infer_types))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     bronze = to_bronze(reader.json(landing))
     writer = (
         bronze.writeStream.format("parquet")

@@ -127,3 +127,16 @@ def test_silver_same_from_typed_and_string_bronze(spark, workdir):
     b = silver_matches(strings).drop(*drop)
     assert a.dtypes == b.dtypes
     assert _rows(a) == _rows(b)
+
+
+def test_archive_processed_landing_files(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    write_doc(land, "2021.json", SEASON_2021)
+    bronze, state = os.path.join(workdir, "bronze"), os.path.join(workdir, "state")
+    archive = os.path.join(workdir, "archive")
+    ingest_landing(spark, f"{land}/*.json", bronze, state, multi_line=True, archive_dir=archive)
+    write_doc(land, "2026.json", SEASON_2026)
+    ingest_landing(spark, f"{land}/*.json", bronze, state, multi_line=True, archive_dir=archive)
+    assert read_bronze(spark, bronze).count() == 4
+    archived = [f for _, _, files in os.walk(archive) for f in files if f.endswith(".json")]
+    assert "2021.json" in archived  # the first run's file, once its batch committed
