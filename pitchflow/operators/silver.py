@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from pitchflow import spec
 from pitchflow.functions import names, parsing
-from pitchflow.functions.memo import per_application, schema_key
+from pitchflow.functions.memo import app_key, per_application, schema_key
 from pitchflow.operators.columns import sanitized_names
 
 
@@ -55,7 +55,7 @@ def unify_languages(df: DataFrame) -> DataFrame:
     Field names are looked up sanitized first, then as written, so the input
     may be Bronze as stored or after :func:`sanitize_column_names`.
     """
-    return df.select(*_unify_columns(schema_key(df)))
+    return df.select(*_unify_columns(app_key(df), schema_key(df)))
 
 
 @per_application
@@ -89,7 +89,7 @@ def _unify_columns(schema: str) -> list[Column]:
 
 def parse_dates(df: DataFrame) -> DataFrame:
     """``fecha_raw`` (string) -> ``fecha`` (date); the raw column is dropped."""
-    return df.select(*_date_columns(tuple(df.columns)))
+    return df.select(*_date_columns(app_key(df), tuple(df.columns)))
 
 
 @per_application
@@ -100,7 +100,7 @@ def _date_columns(columns: tuple[str, ...]) -> list[Column]:
 
 def parse_score(df: DataFrame) -> DataFrame:
     """Adds ``goles_local``, ``goles_visitante`` and ``resultado`` from ``marcador``."""
-    goals, result = _score_columns()
+    goals, result = _score_columns(app_key(df))
     return df.withColumns(goals).withColumns(result)
 
 
@@ -116,7 +116,7 @@ def split_value_pct(df: DataFrame) -> DataFrame:
 
     Listed columns missing from the input are skipped (T6).
     """
-    replaced = _split_columns(frozenset(df.columns))
+    replaced = _split_columns(app_key(df), frozenset(df.columns))
     return df.withColumns(replaced) if replaced else df
 
 
@@ -145,7 +145,7 @@ def _cast(c: Column, source: T.DataType, target: str) -> Column:
 
 def cast_to_schema(df: DataFrame) -> DataFrame:
     """Select the declared Silver columns in declared order, each cast to its type."""
-    return df.select(*_schema_columns(schema_key(df)))
+    return df.select(*_schema_columns(app_key(df), schema_key(df)))
 
 
 @per_application

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchflow import spec
-from pitchflow.functions.memo import per_application
+from pitchflow.functions.memo import app_key, per_application
 
 TEAMS = 18
 SEASON_SHIFT_YEARS = 25
@@ -91,7 +91,7 @@ def raw_matches(orders: DataFrame, keep_key: bool = False) -> DataFrame:
         (season == SPANISH_SEASON).alias("_spanish"),
         ((season >= ENGLISH_FROM) & (k % 5 != 0)).alias("_english"),
     )
-    return per_row.select(*_raw_columns(keep_key))
+    return per_row.select(*_raw_columns(app_key(orders), keep_key))
 
 
 @per_application
