@@ -24,7 +24,6 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
-from zoneinfo import ZoneInfo
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -77,10 +76,13 @@ def infer_schema(
     sampling_ratio: float = 1.0,
 ) -> T.StructType | None:
     """Schema of the documents under ``path`` (only files changed after
-    ``modified_after`` when given); ``None`` when there is nothing to read."""
+    ``modified_after``, a UTC ``YYYY-MM-DDTHH:MM:SS``, when given); ``None``
+    when there is nothing to read."""
     reader = _reader(spark, multi_line, infer_types).option("samplingRatio", str(sampling_ratio))
     if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
+        # the threshold is UTC; the zone is stated, since the session zone
+        # would otherwise change which files it lets through
+        reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
     try:
         schema = reader.json(path).schema
     except AnalysisException:
@@ -171,9 +173,10 @@ class SchemaStore:
             .text(f"{self.path}/v={version}")
         )
 
-    def _now(self) -> dt.datetime:
-        tz = ZoneInfo(self.spark.conf.get("spark.sql.session.timeZone") or "UTC")
-        return dt.datetime.now(tz).replace(tzinfo=None, microsecond=0)
+    @staticmethod
+    def _now() -> dt.datetime:
+        """Wall-clock UTC: file modification times are compared in UTC."""
+        return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
     def refresh(self, landing: str, *, multi_line: bool = False, infer_types: bool = False) -> T.StructType:
         """Merge the schema of new landing files into memory and return it."""

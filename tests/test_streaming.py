@@ -140,3 +140,18 @@ def test_archive_processed_landing_files(spark, workdir):
     assert read_bronze(spark, bronze).count() == 4
     archived = [f for _, _, files in os.walk(archive) for f in files if f.endswith(".json")]
     assert "2021.json" in archived  # the first run's file, once its batch committed
+
+
+def test_schema_refresh_independent_of_session_time_zone(spark, workdir):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Lima")
+    try:
+        land = os.path.join(workdir, "landing")
+        write_doc(land, "2021.json", SEASON_2021)
+        store = L.SchemaStore(spark, os.path.join(workdir, "schema"))
+        store.refresh(f"{land}/*.json", multi_line=True)
+        write_doc(land, "2026.json", SEASON_2026)
+        s2 = store.refresh(f"{land}/*.json", multi_line=True)
+        assert "Total shots_local" in {f.name for f in s2["data"].dataType.elementType.fields}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
