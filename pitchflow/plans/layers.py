@@ -9,9 +9,11 @@ brings every layer up to date.
   Gold's season filter prunes folders instead of scanning them. By default
   it is incremental too (a stream over the new Bronze files); ``full``
   rebuilds it from all of Bronze, as a batch overwrite.
-* Gold: standings and performance, each one aggregate over Silver, rebuilt
-  in full (a rank over a season needs the whole season; the aggregate
-  reads only the handful of Silver columns it uses).
+* Gold: standings and performance, each one aggregate over Silver,
+  partitioned by season. A rank needs a whole season, and only a season is
+  needed: after an incremental Silver run only the seasons that received
+  rows are rebuilt (their Silver partitions read, their Gold partitions
+  replaced); a full Silver rebuild rebuilds every season.
 
 Quality rules ride on the writes: the counts are observed while the rows
 are written, so checking them costs no extra scan.
@@ -22,6 +24,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitchflow import spec
 from pitchflow.operators import gold, silver
@@ -48,10 +51,11 @@ COMMENTS = {
 
 
 @dataclass
-class PipelineRun:
+class LayerRun:
     root: str
     bronze: IngestResult
     rules: dict[str, list[dict]] = field(default_factory=dict)
+    seasons_rebuilt: set | None = None  # None: every season
 
     def path(self, layer_table: tuple[str, str]) -> str:
         return table_path(self.root, *layer_table)
@@ -73,33 +77,55 @@ def refresh_silver(
     register: bool = False,
     full: bool = False,
     landing_schema=None,
-) -> list[dict]:
-    """Clean the Bronze rows into Silver; returns the rule report of the rows written."""
+) -> tuple[list[dict], set | None]:
+    """Clean the Bronze rows into Silver.
+
+    Returns the rule report of the rows written and the seasons they touched
+    (``None`` after a full rebuild: every season).
+    """
     if full:
         bronze = read_bronze(spark, table_path(root, *BRONZE))
-        return _write_checked(
+        report = _write_checked(
             silver.silver_matches(bronze), spec.SILVER_RULES, root, SILVER, "silver", register,
             partition_by=["temporada"],
         )
-    report = stream_silver(
+        return report, None
+    refreshed = stream_silver(
         spark, table_path(root, *BRONZE), table_path(root, *SILVER),
         f"{root}/_state/{SILVER[1]}", spec.SILVER_RULES,
         bronze_schema=bronze_schema(landing_schema) if landing_schema is not None else None,
         max_files_per_trigger=MAX_FILES_PER_TRIGGER,
     )
     if register:
-        register_table(spark, root, *SILVER, comment=COMMENTS[SILVER], properties={"quality": "silver"})
-    return report
+        register_table(
+            spark, root, *SILVER, comment=COMMENTS[SILVER], properties={"quality": "silver"},
+            schema=read_table(spark, root, *SILVER).schema, partition_by=["temporada"],
+        )
+    return refreshed.report, refreshed.seasons
+
 
+def refresh_gold(
+    spark: SparkSession, root: str, register: bool = False, seasons: set | None = None
+) -> dict[str, list[dict]]:
+    """Rebuild the Gold tables: every season, or only ``seasons``.
 
-def refresh_gold(spark: SparkSession, root: str, register: bool = False) -> dict[str, list[dict]]:
+    With ``seasons``, only those Silver partitions are read and only those
+    Gold partitions are replaced; the report covers the rebuilt seasons.
+    """
     matches = read_table(spark, root, *SILVER)
+    partial = seasons is not None
+    if partial:
+        if not seasons:
+            return {STANDINGS[1]: [], PERFORMANCE[1]: []}
+        matches = matches.filter(F.col("temporada").isin(sorted(seasons)))
+    kw = {"partition_by": ["temporada"], "replace_partitions": partial}
     return {
         STANDINGS[1]: _write_checked(
-            gold.standings(matches), spec.STANDINGS_RULES, root, STANDINGS, "gold", register
+            gold.standings(matches), spec.STANDINGS_RULES, root, STANDINGS, "gold", register, **kw
         ),
         PERFORMANCE[1]: _write_checked(
-            gold.team_performance(matches), spec.PERFORMANCE_RULES, root, PERFORMANCE, "gold", register
+            gold.team_performance(matches), spec.PERFORMANCE_RULES, root, PERFORMANCE, "gold", register,
+            **kw,
         ),
     }
 
@@ -113,17 +139,19 @@ def refresh_layers(
     infer_types: bool = False,
     register: bool = False,
     full_silver: bool = False,
-) -> PipelineRun:
-    """Ingest new landing files, bring Silver up to date, rebuild Gold."""
+) -> LayerRun:
+    """Ingest new landing files, bring Silver up to date, rebuild the Gold seasons that changed."""
     root = root.rstrip("/")
     ingest = ingest_landing(
         spark, landing, table_path(root, *BRONZE), f"{root}/_state/{BRONZE[1]}",
         multi_line=multi_line, infer_types=infer_types,
         max_files_per_trigger=MAX_FILES_PER_TRIGGER,
     )
-    run = PipelineRun(root=root, bronze=ingest)
-    run.rules[SILVER[1]] = refresh_silver(
+    run = LayerRun(root=root, bronze=ingest)
+    report, seasons = refresh_silver(
         spark, root, register, full=full_silver, landing_schema=ingest.schema
     )
-    run.rules.update(refresh_gold(spark, root, register))
+    run.rules[SILVER[1]] = report
+    run.seasons_rebuilt = seasons
+    run.rules.update(refresh_gold(spark, root, register, seasons=seasons))
     return run

@@ -8,7 +8,9 @@ Optionally it is also registered in the session catalog as
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -29,15 +31,25 @@ def write_table(
     comment: str | None = None,
     properties: dict[str, str] | None = None,
     register: bool = False,
+    replace_partitions: bool = False,
 ) -> str:
-    """Full-result sink: overwrite ``<root>/<layer>/<name>`` with ``df``."""
+    """Result sink: overwrite ``<root>/<layer>/<name>`` with ``df``.
+
+    With ``replace_partitions`` only the partitions present in ``df`` are
+    replaced (dynamic partition overwrite); the others are kept.
+    """
     path = table_path(root, layer, name)
     writer = df.write.mode("overwrite").format("parquet")
+    if replace_partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
     if register:
-        register_table(df.sparkSession, root, layer, name, comment=comment, properties=properties)
+        register_table(
+            df.sparkSession, root, layer, name, comment=comment, properties=properties,
+            schema=df.schema, partition_by=partition_by,
+        )
     return path
 
 
@@ -49,13 +61,30 @@ def register_table(
     *,
     comment: str | None = None,
     properties: dict[str, str] | None = None,
+    schema: StructType | None = None,
+    partition_by: list[str] | None = None,
 ) -> str:
-    """Name the folder ``<layer>.<name>`` in the session catalog, with comment and properties."""
+    """Name the folder ``<layer>.<name>`` in the session catalog, with comment and properties.
+
+    With ``schema`` the columns (and partition columns) are stated, so an
+    empty partitioned table registers too; otherwise they are read from
+    the files.
+    """
     path = table_path(root, layer, name)
     qualified = f"`{layer}`.`{name}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
     spark.sql(f"DROP TABLE IF EXISTS {qualified}")
-    spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet")
+    if schema is None:
+        spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet")
+    else:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {qualified} ({cols}) USING parquet{parts} LOCATION {_sql_str(path)}")
+        if partition_by:
+            try:  # catalogs that track partitions need them listed once
+                spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
+            except AnalysisException:
+                pass  # this catalog finds partitions from the folders at read time
     if comment:
         spark.sql(f"COMMENT ON TABLE {qualified} IS {_sql_str(comment)}")
     if properties:

@@ -13,7 +13,10 @@ added.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchflow.operators.quality import Rule, counts_report, rule_counts
@@ -21,6 +24,12 @@ from pitchflow.operators.silver import silver_matches
 from pitchflow.streaming.bronze import read_bronze
 
 
+@dataclass
+class SilverRefresh:
+    report: list[dict]
+    seasons: set = field(default_factory=set)  # seasons that received rows
+
+
 def _observed(progress, name: str) -> dict | None:
     metrics = getattr(progress, "observedMetrics", None)
     if metrics is None:
@@ -42,8 +51,9 @@ def stream_silver(
     max_files_per_trigger: int | None = None,
     timeout_seconds: int = 6 * 3600,
     metrics_name: str = "dq_silver",
-) -> list[dict]:
-    """One incremental Silver run; returns the rule report of the rows it added.
+) -> SilverRefresh:
+    """One incremental Silver run; returns the rule report of the rows it added
+    and the seasons they belong to (so Gold can rebuild just those).
 
     ``bronze_schema`` (from the schema memory) spares a merge of every
     Bronze file's footer; without it the Bronze folder is read to find it.
@@ -52,7 +62,8 @@ def stream_silver(
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    rows = silver_matches(reader.parquet(bronze_path)).observe(metrics_name, *rule_counts(rules))
+    seasons = F.collect_set("temporada").alias("seasons")  # at most one entry per season
+    rows = silver_matches(reader.parquet(bronze_path)).observe(metrics_name, *rule_counts(rules), seasons)
     query = (
         rows.writeStream.format("parquet")
         .partitionBy("temporada")
@@ -67,8 +78,10 @@ def stream_silver(
     if query.exception() is not None:
         raise RuntimeError(f"silver refresh failed: {query.exception()}")
     totals: dict[str, int] = {}
+    touched: set = set()
     for progress in query.recentProgress:
-        got = _observed(progress, metrics_name)
-        for key, value in (got or {}).items():
+        got = _observed(progress, metrics_name) or {}
+        touched.update(got.pop("seasons", None) or [])
+        for key, value in got.items():
             totals[key] = totals.get(key, 0) + (value or 0)
-    return counts_report(totals, rules)
+    return SilverRefresh(counts_report(totals, rules), touched)

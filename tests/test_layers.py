@@ -32,6 +32,7 @@ def test_layer_refresh(spark, ansi, workdir):
 
     run = layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True)
     assert run.bronze.documents == 4
+    assert run.seasons_rebuilt == {2020, 2021, 2026}
 
     bronze = read_bronze(spark, run.path(layers.BRONZE))
     assert bronze.count() == 8  # the empty season adds no row
@@ -107,6 +108,7 @@ def test_layer_refresh(spark, ansi, workdir):
     write_doc(landing, "2026-late.json", SEASON_2026_LATE)
     run2 = layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True)
     assert run2.bronze.documents == 1  # only the new file is read
+    assert run2.seasons_rebuilt == {2026}  # only its season's Gold partitions are rebuilt
     bronze = read_bronze(spark, run2.path(layers.BRONZE))
     assert bronze.count() == 9
     assert bronze.filter(bronze["`Expected goals_local`"].isNotNull()).count() == 1
