@@ -24,10 +24,16 @@ from pitchflow.operators.silver import silver_matches
 from pitchflow.streaming.bronze import read_bronze
 
 
+# Micro-batch progress kept per query; the rule counts and touched seasons
+# are summed over it, so it must hold every batch of one run.
+PROGRESS_RETENTION = 100_000
+
+
 @dataclass
 class SilverRefresh:
     report: list[dict]
-    seasons: set = field(default_factory=set)  # seasons that received rows
+    # seasons that received rows; None when not known for sure (rebuild all)
+    seasons: set | None = field(default_factory=set)
 
 
 def _observed(progress, name: str) -> dict | None:
@@ -64,14 +70,16 @@ def stream_silver(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     seasons = F.collect_set("temporada").alias("seasons")  # at most one entry per season
     rows = silver_matches(reader.parquet(bronze_path)).observe(metrics_name, *rule_counts(rules), seasons)
-    query = (
-        rows.writeStream.format("parquet")
-        .partitionBy("temporada")
-        .option("checkpointLocation", f"{state_dir.rstrip('/')}/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(silver_path)
-    )
+    conf_key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(conf_key, None)
+    spark.conf.set(conf_key, str(PROGRESS_RETENTION))  # read when the query starts
+    try:
+        query = _start(rows, silver_path, state_dir)
+    finally:
+        if before is None:
+            spark.conf.unset(conf_key)
+        else:
+            spark.conf.set(conf_key, before)
     if not query.awaitTermination(timeout_seconds):
         query.stop()
         raise TimeoutError(f"silver refresh did not finish within {timeout_seconds} s")
@@ -79,9 +87,23 @@ def stream_silver(
         raise RuntimeError(f"silver refresh failed: {query.exception()}")
     totals: dict[str, int] = {}
     touched: set = set()
-    for progress in query.recentProgress:
+    progresses = query.recentProgress
+    for progress in progresses:
         got = _observed(progress, metrics_name) or {}
         touched.update(got.pop("seasons", None) or [])
         for key, value in got.items():
             totals[key] = totals.get(key, 0) + (value or 0)
+    if len(progresses) >= PROGRESS_RETENTION:  # early batches may have been dropped
+        return SilverRefresh(counts_report(totals, rules), None)
     return SilverRefresh(counts_report(totals, rules), touched)
+
+
+def _start(rows, silver_path: str, state_dir: str):
+    return (
+        rows.writeStream.format("parquet")
+        .partitionBy("temporada")
+        .option("checkpointLocation", f"{state_dir.rstrip('/')}/checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start(silver_path)
+    )
