@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from pitchflow.sources.landing import SchemaStore, json_options, to_bronze
+from pitchflow.streaming.progress import full_progress
 
 
 @dataclass
@@ -68,7 +69,8 @@ def ingest_landing(
     )
     if query_name:
         writer = writer.queryName(query_name)
-    query = writer.start(bronze_path)
+    with full_progress(spark):
+        query = writer.start(bronze_path)
     if not query.awaitTermination(timeout_seconds):
         query.stop()
         raise TimeoutError(f"bronze ingest did not finish within {timeout_seconds} s")

@@ -1,0 +1,34 @@
+"""Keep every micro-batch's progress of one availableNow run.
+
+Run reports (rows read, observed rule counts, seasons touched) are summed
+over ``query.recentProgress``, which Spark caps at
+``spark.sql.streaming.numRecentProgressUpdates`` (100 by default). The cap
+is raised while a query starts (the setting is read then) and restored.
+"""
+
+from __future__ import annotations
+
+import contextlib
+
+from pyspark.sql import SparkSession
+
+PROGRESS_RETENTION = 100_000
+_KEY = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+@contextlib.contextmanager
+def full_progress(spark: SparkSession):
+    before = spark.conf.get(_KEY, None)
+    spark.conf.set(_KEY, str(PROGRESS_RETENTION))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_KEY)
+        else:
+            spark.conf.set(_KEY, before)
+
+
+def maybe_truncated(progresses) -> bool:
+    """True when the list is full, so early batches may have been dropped."""
+    return len(progresses) >= PROGRESS_RETENTION

@@ -22,11 +22,7 @@ from pyspark.sql import types as T
 from pitchflow.operators.quality import Rule, counts_report, rule_counts
 from pitchflow.operators.silver import silver_matches
 from pitchflow.streaming.bronze import read_bronze
-
-
-# Micro-batch progress kept per query; the rule counts and touched seasons
-# are summed over it, so it must hold every batch of one run.
-PROGRESS_RETENTION = 100_000
+from pitchflow.streaming.progress import full_progress, maybe_truncated
 
 
 @dataclass
@@ -70,16 +66,8 @@ def stream_silver(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     seasons = F.collect_set("temporada").alias("seasons")  # at most one entry per season
     rows = silver_matches(reader.parquet(bronze_path)).observe(metrics_name, *rule_counts(rules), seasons)
-    conf_key = "spark.sql.streaming.numRecentProgressUpdates"
-    before = spark.conf.get(conf_key, None)
-    spark.conf.set(conf_key, str(PROGRESS_RETENTION))  # read when the query starts
-    try:
+    with full_progress(spark):
         query = _start(rows, silver_path, state_dir)
-    finally:
-        if before is None:
-            spark.conf.unset(conf_key)
-        else:
-            spark.conf.set(conf_key, before)
     if not query.awaitTermination(timeout_seconds):
         query.stop()
         raise TimeoutError(f"silver refresh did not finish within {timeout_seconds} s")
@@ -93,7 +81,7 @@ def stream_silver(
         touched.update(got.pop("seasons", None) or [])
         for key, value in got.items():
             totals[key] = totals.get(key, 0) + (value or 0)
-    if len(progresses) >= PROGRESS_RETENTION:  # early batches may have been dropped
+    if maybe_truncated(progresses):  # early batches may have been dropped
         return SilverRefresh(counts_report(totals, rules), None)
     return SilverRefresh(counts_report(totals, rules), touched)
 
