@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import quality, simhash
+from pitchflow.llm import decontaminate, packing, quality, simhash
 from pitchflow.llm.common import read_table, ship_code
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best window of every document and benchmark item with similarity 0.8 or more."""
+    found = decontaminate.hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "start_word", "n_words", "distance")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket, batch and slot of every document."""
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, 2 bits)."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
@@ -22,7 +33,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES = [op8_simhash, op10_quality]
+QUERIES = [op3_decontaminate, op5_packing, op8_simhash, op10_quality]
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
