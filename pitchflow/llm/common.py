@@ -10,14 +10,16 @@ from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pitchflow.session import new_run_dir
 
 #: Text bytes that one document shard holds at most, unless a single document is longer.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 
 _shipped: set[str] = set()
@@ -96,38 +98,29 @@ def batched(frames: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
 # Document shards
 # ---------------------------------------------------------------------------
 
-SHARD_SCHEMA = "shard long, doc_id long, flag boolean, text binary"
 
+def document_shards(rows: DataFrame, label: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Stored table of ``rows``, which have a binary column ``text``, with a column ``shard`` (long).
 
-def document_shards(docs: DataFrame, flag=None, label: str = "shards", shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Stored table (shard, doc_id, flag, text as bytes) of ``docs``.
-
-    A shard is a run of documents of one input task with ``shard_bytes`` of text
-    at most (one longer document makes a shard of its own). Shard numbers are
-    written with the rows, so that they hold for every later step even if the
-    input is then read with other splits.
+    A shard is a run of rows of one input task with ``shard_bytes`` of text at
+    most (one longer text makes a shard of its own). Shard numbers are written
+    with the rows, so that they hold for every later step, however the table is
+    then split.
     """
 
     def number(batches):
         part, seq, held = TaskContext.get().partitionId(), 0, 0
         for b in batches:
             shards = []
-            for n in pa.compute.binary_length(b.column("text")).to_pylist():
+            for n in pc.binary_length(b.column("text")).to_pylist():
                 if held and held + n > shard_bytes:
                     seq, held = seq + 1, 0
                 held += n
                 shards.append((part << 32) + seq)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shards, pa.int64()), b.column("doc_id"), b.column("flag"), b.column("text")],
-                names=["shard", "doc_id", "flag", "text"],
-            )
-
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        (F.lit(False) if flag is None else F.coalesce(flag, F.lit(False))).alias("flag"),
-        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
-    )
-    return stored(rows.mapInArrow(number, SHARD_SCHEMA), label)
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), *b.columns], names=["shard", *b.schema.names])
+
+    schema = StructType([StructField("shard", LongType()), *rows.schema.fields])
+    return stored(rows.mapInArrow(number, schema), label)
 
 
 # ---------------------------------------------------------------------------

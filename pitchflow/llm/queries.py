@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import decontaminate, packing, quality, simhash
+from pitchflow.llm import decontaminate, packing, quality, simhash, suffix_dedup
 from pitchflow.llm.common import read_table, ship_code
 
 
@@ -17,6 +17,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "similarity", "start_word", "n_words", "distance")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated strings of 50 bytes."""
+    return suffix_dedup.removed(read_table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bucket, batch and slot of every document."""
     return packing.pack(read_table(spark, sf_dir, "documents"))
@@ -33,7 +38,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES = [op3_decontaminate, op5_packing, op8_simhash, op10_quality]
+QUERIES = [op3_decontaminate, op4_suffix_dedup, op5_packing, op8_simhash, op10_quality]
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
