@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import decontaminate, packing, quality, simhash, suffix_dedup
+from pitchflow.llm import decontaminate, extract, packing, quality, simhash, suffix_dedup
 from pitchflow.llm.common import read_table, ship_code
 
 
+def op1_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best window of every document and benchmark item with similarity 0.8 or more."""
     found = decontaminate.hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -38,7 +43,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES = [op3_decontaminate, op4_suffix_dedup, op5_packing, op8_simhash, op10_quality]
+QUERIES = [op1_extract, op3_decontaminate, op4_suffix_dedup, op5_packing, op8_simhash, op10_quality]
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
