@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import decontaminate, extract, packing, quality, simhash, suffix_dedup
+from pitchflow.llm import decontaminate, extract, packing, quality, simhash, suffix_dedup, warc
 from pitchflow.llm.common import read_table, ship_code
 
 
@@ -32,6 +32,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    index = warc.write_archives(read_table(spark, sf_dir, "pages"))
+    return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, 2 bits)."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
@@ -43,7 +49,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES = [op1_extract, op3_decontaminate, op4_suffix_dedup, op5_packing, op8_simhash, op10_quality]
+QUERIES = [op1_extract, op3_decontaminate, op4_suffix_dedup, op5_packing, op6_warc, op8_simhash, op10_quality]
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -58,5 +64,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: _shipped(q) for q in QUERIES}
 
 
+OP6_SQL = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, url, strlen(h) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last_id FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to, url
+FROM m
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_warc": OP6_SQL}
