@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import decontaminate, extract, packing, quality, simhash, suffix_dedup, warc
+from pitchflow.llm import brown, decontaminate, extract, packing, quality, simhash, suffix_dedup, warc
 from pitchflow.llm.common import read_table, ship_code
 
 
@@ -44,12 +44,17 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and class-model score of every document."""
+    return brown.lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from the labels that aren't held out."""
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES = [op1_extract, op3_decontaminate, op4_suffix_dedup, op5_packing, op6_warc, op8_simhash, op10_quality]
+QUERIES = [op1_extract, op3_decontaminate, op4_suffix_dedup, op5_packing, op6_warc, op8_simhash, op9_brown_lm, op10_quality]
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
