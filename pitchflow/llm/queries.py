@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import brown, decontaminate, extract, packing, quality, simhash, suffix_dedup, warc
+from pitchflow.llm import brown, decontaminate, extract, itq, packing, quality, simhash, suffix_dedup, warc
 from pitchflow.llm.common import read_table, ship_code
 
 
@@ -38,6 +38,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+def op7_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at cosine 0.95."""
+    return itq.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, 2 bits)."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
@@ -54,7 +59,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES = [op1_extract, op3_decontaminate, op4_suffix_dedup, op5_packing, op6_warc, op8_simhash, op9_brown_lm, op10_quality]
+QUERIES = [op1_extract, op3_decontaminate, op4_suffix_dedup, op5_packing, op6_warc, op7_itq, op8_simhash, op9_brown_lm, op10_quality]
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
