@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import brown, decontaminate, extract, itq, packing, quality, simhash, suffix_dedup, warc
+from pitchflow.llm import brown, decontaminate, extract, itq, packing, quality, simhash, suffix_dedup, toxicity, warc
 from pitchflow.llm.common import read_table, ship_code
 
 
@@ -16,6 +16,11 @@ def op1_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labels that aren't held out."""
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best window of every document and benchmark item with similarity 0.8 or more."""
     found = decontaminate.hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -59,7 +64,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES = [op1_extract, op3_decontaminate, op4_suffix_dedup, op5_packing, op6_warc, op7_itq, op8_simhash, op9_brown_lm, op10_quality]
+QUERIES = [op1_extract, op2_toxicity, op3_decontaminate, op4_suffix_dedup, op5_packing, op6_warc, op7_itq, op8_simhash, op9_brown_lm, op10_quality]
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
