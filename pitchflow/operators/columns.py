@@ -2,39 +2,32 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame
 
-from pitchflow.functions.names import col, sanitized
+from pitchflow.functions.names import sanitized
 
 
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Rename the columns found in ``mapping``; the others keep their names.
-
-    One projection; names are matched literally (spaces, dots and accents
-    included).
-    """
-    return df.select(*[col(c).alias(mapping.get(c, c)) for c in df.columns])
+    """Give the columns that ``mapping`` names their new names, spaces, dots and accents taken literally."""
+    return df.withColumnsRenamed(mapping)
 
 
 def sanitize_column_names(df: DataFrame) -> DataFrame:
-    """Replace spaces by ``_`` in every column name; a no-op when none has one.
+    """Spaces in column names become ``_``; see :func:`check_distinct`."""
+    return df.toDF(*check_distinct(df.columns))
+
+
+def check_distinct(columns: list[str]) -> list[str]:
+    """The sanitized names, in order.
 
-    Raises ``ValueError`` when two names would become equal
-    (``"A b"`` and ``"A_b"``), since Spark would then see an ambiguous column.
+    Raises ``ValueError`` when two columns would share one (``"A b"`` and ``"A_b"``),
+    since Spark could not tell them apart.
     """
-    mapping = sanitized_names(df.columns)
-    if not mapping:
-        return df
-    return rename_columns(df, mapping)
-
-
-def sanitized_names(columns: list[str]) -> dict[str, str]:
-    """``{old: new}`` for the names holding a space; raises on a collision."""
-    mapping = {c: sanitized(c) for c in columns if " " in c}
-    seen: dict[str, str] = {}
-    for c in columns:
-        new = mapping.get(c, c).lower()
-        if new in seen:
-            raise ValueError(f"sanitizing makes {seen[new]!r} and {c!r} the same column name")
-        seen[new] = c
-    return mapping
+    clean = [sanitized(c) for c in columns]
+    repeated = [n for n, many in Counter(n.lower() for n in clean).items() if many > 1]
+    if repeated:
+        clash = [c for c, n in zip(columns, clean, strict=True) if n.lower() in repeated]
+        raise ValueError(f"sanitizing makes these the same column name: {clash}")
+    return clean

@@ -2,8 +2,9 @@
 
 They answer the questions the Gold tables are documented to serve. Inputs
 are already aggregated (season x team [x role]), so windows partitioned by
-team and the small sorts here work on bounded data; ``limit`` appears only
-where a top-k report is the question.
+team and the ranks over all rows work on a few rows per team and season.
+A ranking returns every row with its rank; ``k`` keeps the ranks up to k where
+the caller wants a top-k report.
 """
 
 from __future__ import annotations
@@ -14,7 +15,11 @@ from pyspark.sql import functions as F
 from pitchflow import spec
 from pitchflow.operators.gold import played, team_view
 
-DEFAULT_TOP_K = 10
+
+def _ranked(df: DataFrame, order: list, k: int | None) -> DataFrame:
+    """``puesto`` (rank by ``order``) in front of the rows; ties share a rank."""
+    ranked = df.select(F.rank().over(Window.orderBy(*order)).alias("puesto"), "*")
+    return ranked if k is None else ranked.filter(F.col("puesto") <= k)
 
 
 def season_table(standings: DataFrame, season: int | None = None) -> DataFrame:
@@ -31,19 +36,15 @@ def season_table(standings: DataFrame, season: int | None = None) -> DataFrame:
     ).orderBy("temporada", "posicion", "equipo")
 
 
-def all_time_points(standings: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
-    """Teams with most points (then best goal difference) over all seasons, top k."""
-    return (
-        standings.groupBy("equipo")
-        .agg(
-            F.sum("puntos").alias("puntos_totales"),
-            F.sum("diferencia_goles").alias("diferencia_goles_total"),
-            F.sum("partidos_jugados").alias("partidos_jugados"),
-            F.count(F.lit(1)).alias("temporadas"),
-        )
-        .orderBy(F.col("puntos_totales").desc(), F.col("diferencia_goles_total").desc(), "equipo")
-        .limit(k)
+def all_time_points(standings: DataFrame, k: int | None = None) -> DataFrame:
+    """Teams by points (then goal difference) over all seasons."""
+    totals = standings.groupBy("equipo").agg(
+        F.sum("puntos").alias("puntos_totales"),
+        F.sum("diferencia_goles").alias("diferencia_goles_total"),
+        F.sum("partidos_jugados").alias("partidos_jugados"),
+        F.count(F.lit(1)).alias("temporadas"),
     )
+    return _ranked(totals, [F.col("puntos_totales").desc(), F.col("diferencia_goles_total").desc()], k)
 
 
 def season_record(standings: DataFrame) -> DataFrame:
@@ -93,19 +94,20 @@ def home_vs_away(performance: DataFrame) -> DataFrame:
     )
 
 
-def possession_and_accuracy(performance: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
-    """Highest possession, then shooting accuracy (on target / total shots), top k."""
-    accuracy = F.try_divide(F.col("disparos_puerta_promedio"), F.col("tiros_totales_promedio"))
-    return (
-        performance.select(
-            "temporada", "equipo", "rol", "posesion_promedio", accuracy.alias("precision_tiro")
-        )
-        .orderBy(
-            F.col("posesion_promedio").desc(), F.col("precision_tiro").desc(),
-            "temporada", "equipo", "rol",
-        )
-        .limit(k)
+def possession_and_accuracy(
+    silver: DataFrame, k: int | None = None, start_year: int = spec.PERFORMANCE_START_YEAR
+) -> DataFrame:
+    """Season, team and role by possession, then shooting accuracy (on target / total shots).
+
+    From Silver match rows: a ratio of the rounded Gold averages would swap near ranks.
+    """
+    recent = played(silver).filter(F.col("temporada") >= F.lit(start_year))
+    teams = team_view(recent, ["posesion", "disparos_puerta", "tiros_totales"])
+    sums = teams.groupBy("temporada", "equipo", "rol").agg(
+        F.avg("posesion").alias("posesion_promedio"),
+        F.try_divide(F.sum("disparos_puerta"), F.sum("tiros_totales")).alias("precision_tiro"),
     )
+    return _ranked(sums, [F.col("posesion_promedio").desc(), F.col("precision_tiro").desc()], k)
 
 
 def shots_on_target_evolution(performance: DataFrame) -> DataFrame:
@@ -122,39 +124,27 @@ def shots_on_target_evolution(performance: DataFrame) -> DataFrame:
     )
 
 
-def away_fouls(performance: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
-    """Teams committing most fouls when playing away, top k."""
-    return (
-        performance.filter(F.col("rol") == F.lit(spec.SIDE_AWAY))
-        .select(
-            "temporada", "equipo", "faltas_promedio",
-            "tarjetas_amarillas_promedio", "tarjetas_rojas_promedio",
-        )
-        .orderBy(F.col("faltas_promedio").desc(), "temporada", "equipo")
-        .limit(k)
+def away_fouls(performance: DataFrame, k: int | None = None) -> DataFrame:
+    """Teams by fouls when playing away."""
+    away = performance.filter(F.col("rol") == F.lit(spec.SIDE_AWAY)).select(
+        "temporada", "equipo", "faltas_promedio", "tarjetas_amarillas_promedio", "tarjetas_rojas_promedio"
     )
+    return _ranked(away, [F.col("faltas_promedio").desc()], k)
 
 
-def fouls_and_cards(silver: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
-    """Most fouls and cards per match, per season and team, top k.
+def fouls_and_cards(silver: DataFrame, k: int | None = None) -> DataFrame:
+    """Season and team by fouls, then cards, per match.
 
     Computed from Silver match rows, not from Gold averages: the Gold
     ``partidos_jugados`` also counts matches without statistics, so
-    weighting its averages by it would be wrong.
+    weighting its averages by it would be wrong. A team without statistics has
+    NULL averages and ranks last.
     """
     teams = team_view(played(silver), ["faltas", "tarjetas_amarillas", "tarjetas_rojas"])
     cards = F.col("tarjetas_amarillas") + F.col("tarjetas_rojas")
-    return (
-        teams.groupBy("temporada", "equipo")
-        .agg(
-            F.count("faltas").alias("partidos_con_estadisticas"),
-            F.avg("faltas").alias("faltas_por_partido"),
-            F.avg(cards).alias("tarjetas_por_partido"),
-        )
-        .filter(F.col("partidos_con_estadisticas") > 0)
-        .orderBy(
-            F.col("faltas_por_partido").desc(), F.col("tarjetas_por_partido").desc(),
-            "temporada", "equipo",
-        )
-        .limit(k)
+    sums = teams.groupBy("temporada", "equipo").agg(
+        F.count("faltas").alias("partidos_con_estadisticas"),
+        F.avg("faltas").alias("faltas_por_partido"),
+        F.avg(cards).alias("tarjetas_por_partido"),
     )
+    return _ranked(sums, [F.col("faltas_por_partido").desc(), F.col("tarjetas_por_partido").desc()], k)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pitchflow import spec
 from pitchflow.functions import names, parsing
 from pitchflow.functions.memo import app_key, per_application, schema_key
-from pitchflow.operators.columns import sanitized_names
+from pitchflow.operators.columns import check_distinct
 
 
 def _fields(schema: str) -> dict[str, T.DataType]:
@@ -69,11 +69,7 @@ def _unify_columns(schema: str) -> list[Column]:
         base.append(_lookup_or_null(df, landing, kind).alias(silver))
 
     stats = []
-    seen = set()
     for es, en, silver in spec.STATS:
-        if silver in seen:
-            continue
-        seen.add(silver)
         sides = [(c, _field_type(df, n)) for n in dict.fromkeys([es, en]) if (c := _lookup(df, n)) is not None]
         if not sides:
             expr = _null("string")
@@ -171,7 +167,7 @@ def silver_matches(bronze: DataFrame) -> DataFrame:
     drops the rest, so sanitizing needs no projection of its own here; its
     collision check still runs.
     """
-    sanitized_names(bronze.columns)
+    check_distinct(bronze.columns)
     return (
         bronze.transform(unify_languages)
         .transform(parse_dates)

@@ -207,7 +207,7 @@ def q_home_vs_away(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_possession_and_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consume.possession_and_accuracy(_performance(spark, sf_dir))
+    return consume.possession_and_accuracy(_silver(spark, sf_dir))
 
 
 def q_shots_on_target_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,13 +279,17 @@ def _sql_season_table() -> str:
     )
 
 
+def _ranked_sql(src: str, order: str) -> str:
+    return f"SELECT CAST(rank() OVER (ORDER BY {order}) AS INTEGER) AS puesto, * FROM ({src}) r"
+
+
 def _sql_all_time_points() -> str:
-    return (
+    return _ranked_sql(
         "SELECT equipo, CAST(sum(puntos) AS BIGINT) AS puntos_totales,"
         " CAST(sum(diferencia_goles) AS BIGINT) AS diferencia_goles_total,"
         " CAST(sum(partidos_jugados) AS BIGINT) AS partidos_jugados, count(*) AS temporadas"
-        f" FROM ({oracle.standings_sql()}) g GROUP BY equipo"
-        f" ORDER BY puntos_totales DESC, diferencia_goles_total DESC, equipo LIMIT {consume.DEFAULT_TOP_K}"
+        f" FROM ({oracle.standings_sql()}) g GROUP BY equipo",
+        "puntos_totales DESC, diferencia_goles_total DESC",
     )
 
 
@@ -317,13 +321,16 @@ def _sql_home_vs_away() -> str:
 
 
 def _sql_possession_and_accuracy() -> str:
-    return (
-        "SELECT temporada, equipo, rol, posesion_promedio,"
-        " CASE WHEN tiros_totales_promedio = 0 THEN NULL"
-        " ELSE disparos_puerta_promedio / tiros_totales_promedio END AS precision_tiro"
-        f" FROM ({oracle.performance_sql()}) p"
-        " ORDER BY posesion_promedio DESC NULLS LAST, precision_tiro DESC NULLS LAST,"
-        f" temporada, equipo, rol LIMIT {consume.DEFAULT_TOP_K}"
+    recent = (
+        f"SELECT * FROM ({oracle.silver_sql()}) s WHERE resultado IS NOT NULL"
+        f" AND temporada >= {spec.PERFORMANCE_START_YEAR}"
+    )
+    teams = oracle.team_view_select(recent, ["posesion", "disparos_puerta", "tiros_totales"])
+    return _ranked_sql(
+        "SELECT temporada, equipo, rol, avg(posesion) AS posesion_promedio,"
+        " CAST(sum(disparos_puerta) AS DOUBLE) / nullif(sum(tiros_totales), 0) AS precision_tiro"
+        f" FROM ({teams}) t GROUP BY temporada, equipo, rol",
+        "posesion_promedio DESC NULLS LAST, precision_tiro DESC NULLS LAST",
     )
 
 
@@ -338,24 +345,23 @@ def _sql_shots_on_target_evolution() -> str:
 
 
 def _sql_away_fouls() -> str:
-    return (
+    return _ranked_sql(
         "SELECT temporada, equipo, faltas_promedio, tarjetas_amarillas_promedio,"
         f" tarjetas_rojas_promedio FROM ({oracle.performance_sql()}) p"
-        f" WHERE rol = '{spec.SIDE_AWAY}'"
-        f" ORDER BY faltas_promedio DESC NULLS LAST, temporada, equipo LIMIT {consume.DEFAULT_TOP_K}"
+        f" WHERE rol = '{spec.SIDE_AWAY}'",
+        "faltas_promedio DESC NULLS LAST",
     )
 
 
 def _sql_fouls_and_cards() -> str:
     played = f"SELECT * FROM ({oracle.silver_sql()}) s WHERE resultado IS NOT NULL"
     teams = oracle.team_view_select(played, ["faltas", "tarjetas_amarillas", "tarjetas_rojas"])
-    return (
+    return _ranked_sql(
         "SELECT temporada, equipo, count(faltas) AS partidos_con_estadisticas,"
         " avg(faltas) AS faltas_por_partido,"
         " avg(tarjetas_amarillas + tarjetas_rojas) AS tarjetas_por_partido"
-        f" FROM ({teams}) t GROUP BY temporada, equipo HAVING count(faltas) > 0"
-        " ORDER BY faltas_por_partido DESC NULLS LAST, tarjetas_por_partido DESC NULLS LAST,"
-        f" temporada, equipo LIMIT {consume.DEFAULT_TOP_K}"
+        f" FROM ({teams}) t GROUP BY temporada, equipo",
+        "faltas_por_partido DESC NULLS LAST, tarjetas_por_partido DESC NULLS LAST",
     )
 
 

@@ -7,7 +7,7 @@ only the fixed values of :mod:`pitchflow.spec` with the Spark code.
 
 DuckDB differences handled here:
 
-* a double-to-int cast rounds in DuckDB and truncates in Spark: ``trunc`` first;
+* text to int goes by a digit rule of its own, without a double in between;
 * ``sum`` of integers is HUGEINT: cast to BIGINT / INTEGER like Spark's types;
 * ``round`` on a double: Spark rounds the shortest decimal form half-up, so
   the oracle rounds ``CAST(CAST(x AS VARCHAR) AS DECIMAL)``;
@@ -32,7 +32,12 @@ def lit(s: str) -> str:
 
 
 def to_int(x: str) -> str:
-    return f"TRY_CAST(trunc(TRY_CAST({x} AS DOUBLE)) AS INTEGER)"
+    """Digits with an optional sign and decimal tail, cut at the point."""
+    text = f"trim(CAST({x} AS VARCHAR))"
+    return (
+        f"CASE WHEN regexp_full_match({text}, '[+-]?[0-9]+([.][0-9]*)?')"
+        f" THEN TRY_CAST(split_part({text}, '.', 1) AS INTEGER) END"
+    )
 
 
 def spark_round(x: str, digits: int) -> str:
@@ -71,7 +76,8 @@ def raw_select(with_key: bool = False) -> str:
         f" ELSE strftime({day}, '%A, %B %-d') END AS fecha",
         f"'team_' || lpad(CAST({c} % {t} AS VARCHAR), 2, '0') AS local",
         f"'team_' || lpad(CAST(({c} % {t} + 1 + {k} % 17) % {t} AS VARCHAR), 2, '0') AS visitante",
-        f"CASE WHEN {k} % 23 = 0 THEN 'Sin jugar' ELSE CAST((7 * {k} + {c}) % 5 AS VARCHAR)"
+        f"CASE WHEN {k} % 23 = 0 THEN 'Sin jugar' WHEN {k} % 29 = 0 THEN '2d - 1'"
+        f" WHEN {k} % 31 = 0 THEN '1e3 - 7f' ELSE CAST((7 * {k} + {c}) % 5 AS VARCHAR)"
         f" || ' - ' || CAST((3 * {k} + 11 * {c}) % 4 AS VARCHAR) END AS marcador",
         f"'match/' || CAST({k} AS VARCHAR) AS url",
     ]
@@ -108,11 +114,7 @@ def unified_select(src: str) -> str:
     """Base renames + unified statistics (still in landing types)."""
     cols = [f"TRY_CAST(temporada AS INTEGER) AS temporada"]
     cols += [f"{q(landing)} AS {q(silver)}" for landing, silver in spec.BASE_RENAMES.items()]
-    seen = set()
     for es, en, silver in spec.STATS:
-        if silver in seen:
-            continue
-        seen.add(silver)
         expr = q(es) if es == en else f"coalesce({q(es)}, {q(en)})"
         cols.append(f"{expr} AS {q(silver)}")
     return "SELECT " + ",\n  ".join(cols) + f"\nFROM ({src}) raw"

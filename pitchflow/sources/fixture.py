@@ -6,7 +6,8 @@ With k = ``o_orderkey`` and c = ``o_custkey``:
 
 * season = order year + 25 (1995-2001 -> 2020-2026); match day = order date + 300 months;
 * home ``team_<c % 18>``, away ``team_<(c % 18 + 1 + k % 17) % 18>`` (never the home team);
-* score ``Sin jugar`` when k % 23 = 0, else ``(7k + c) % 5 - (3k + 11c) % 4``;
+* score ``Sin jugar`` when k % 23 = 0, ``2d - 1`` when k % 29 = 0, ``1e3 - 7f`` when
+  k % 31 = 0 (texts that are no whole numbers), else ``(7k + c) % 5 - (3k + 11c) % 4``;
 * date text by k % 3: ``dd-MM-yyyy`` / ``EEEE, MMMM d, yyyy`` / ``EEEE, MMMM d`` (no year);
 * statistics: none in 2020, Spanish names in 2021, English names from 2022
   (missing when k % 5 = 0); possession has one name in both languages;
@@ -34,22 +35,8 @@ ENGLISH_FROM = 2022
 ORDER_KEY = "o_orderkey"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores when the scan yields fewer splits.
-
-    A small file with one row group is one split, so every per-row step
-    after it would run in one task. At volume the scan already has more
-    splits than cores and this adds no shuffle. Only the columns the query
-    reads cross the exchange, since Catalyst prunes below it.
-    """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
-    return df
-
-
 def read_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return spark.read.parquet(f"{sf_dir}/orders.parquet")
 
 
 def _team(n: Column) -> Column:
@@ -98,8 +85,11 @@ def raw_matches(orders: DataFrame, keep_key: bool = False) -> DataFrame:
 def _raw_columns(keep_key: bool) -> list[Column]:
     k, c = F.col(ORDER_KEY), F.col("o_custkey")
     day, season = F.col("_day"), F.col("_season")
-    score = F.when(k % 23 == 0, F.lit("Sin jugar")).otherwise(
-        F.concat(((7 * k + c) % 5).cast("string"), F.lit(" - "), ((3 * k + 11 * c) % 4).cast("string"))
+    score = (
+        F.when(k % 23 == 0, F.lit("Sin jugar"))
+        .when(k % 29 == 0, F.lit("2d - 1"))
+        .when(k % 31 == 0, F.lit("1e3 - 7f"))
+        .otherwise(F.concat(((7 * k + c) % 5).cast("string"), F.lit(" - "), ((3 * k + 11 * c) % 4).cast("string")))
     )
     fecha = (
         F.when(k % 3 == 0, F.date_format(day, "dd-MM-yyyy"))

@@ -144,9 +144,9 @@ POINTS_DRAW = 1
 
 # Gold performance: base statistic, rounding digits of its average.
 GOLD_STATS = [
+    ("posesion", 1),
     ("tiros_totales", 1),
     ("disparos_puerta", 1),
-    ("posesion", 1),
     ("faltas", 1),
     ("tarjetas_amarillas", 2),
     ("tarjetas_rojas", 2),

@@ -6,13 +6,13 @@ from pitchflow.operators.columns import rename_columns, sanitize_column_names
 
 
 def test_sanitize_replaces_spaces(spark):
-    df = spark.createDataFrame([(1, 2, 3)], "`Accurate crosses_local` int, `Posesión_local` int, url int")
-    assert sanitize_column_names(df).columns == ["Accurate_crosses_local", "Posesión_local", "url"]
+    df = spark.createDataFrame([(1, 2, 3, 4)], "`Accurate crosses_local` int, `Posesión_local` int, `x. y` int, url int")
+    assert sanitize_column_names(df).columns == ["Accurate_crosses_local", "Posesión_local", "x._y", "url"]
 
 
-def test_sanitize_noop_returns_same_frame(spark):
+def test_sanitize_keeps_clean_names(spark):
     df = spark.createDataFrame([(1,)], "a_b int")
-    assert sanitize_column_names(df) is df
+    assert sanitize_column_names(df).columns == ["a_b"]
 
 
 def test_sanitize_collision_raises(spark):

@@ -41,7 +41,7 @@ def test_season_table_orders_ties_by_name(gold):
 def test_all_time_points(gold):
     _, st, _ = gold
     rows = [(r.equipo, r.puntos_totales, r.diferencia_goles_total, r.temporadas)
-            for r in consume.all_time_points(st, k=2).collect()]
+            for r in consume.all_time_points(st, k=2).orderBy("puesto").collect()]
     assert rows == [("Alpha", 11, 4, 3), ("Gamma", 5, -1, 3)]
 
 
@@ -63,21 +63,26 @@ def test_home_vs_away_pivot(gold):
 
 
 def test_possession_and_accuracy(gold):
-    _, _, perf = gold
-    top = consume.possession_and_accuracy(perf, k=1).first()
-    assert (top.equipo, top.rol, top.posesion_promedio) == ("Delta", "local", 64.0)
+    silver, _, perf = gold
+    every = consume.possession_and_accuracy(silver)
+    assert every.count() == perf.count()
+    top = consume.possession_and_accuracy(silver, k=1).first()
+    assert (top.puesto, top.equipo, top.rol, top.posesion_promedio) == (1, "Delta", "local", 64.0)
     assert top.precision_tiro == pytest.approx(4.0 / 15.0)
 
 
 def test_away_fouls_and_fouls_and_cards(gold):
-    silver, _, perf = gold
-    away = consume.away_fouls(perf).collect()
-    assert [(r.equipo, r.faltas_promedio) for r in away][0] == ("Alpha", 9.0)
+    silver, st, perf = gold
+    away = consume.away_fouls(perf).orderBy("puesto").collect()
+    assert [(r.puesto, r.equipo, r.faltas_promedio) for r in away][0] == (1, "Alpha", 9.0)
     cards = {(r.temporada, r.equipo): r for r in consume.fouls_and_cards(silver).collect()}
     beta = cards[(2021, "Beta")]
     assert (beta.partidos_con_estadisticas, beta.faltas_por_partido, beta.tarjetas_por_partido) == (1, 14.0, 4.0)
-    # teams and seasons without any statistic are left out
-    assert (2020, "Alpha") not in cards
+    # teams and seasons without any statistic are listed last, with NULL averages
+    assert len(cards) == st.count()
+    alpha = cards[(2020, "Alpha")]
+    assert (alpha.partidos_con_estadisticas, alpha.faltas_por_partido) == (0, None)
+    assert alpha.puesto == max(r.puesto for r in cards.values())
 
 
 def test_shots_on_target_evolution(gold):

@@ -1,33 +1,6 @@
 from __future__ import annotations
 
-import contextlib
-import io
-
-from conftest import SMALL_SF
-
 from pitchflow.session import new_run_dir, shared_dir
-from pitchflow.sources.fixture import spread
-
-
-def _plan(df) -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()
-
-
-def test_single_split_scan_is_spread_over_cores(spark):
-    one_split = spark.read.parquet(f"{SMALL_SF}/orders.parquet")
-    assert one_split.rdd.getNumPartitions() == 1
-    spread_out = spread(one_split)
-    assert spread_out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert "RoundRobinPartitioning" in _plan(spread_out)
-    assert spread_out.count() == one_split.count()
-
-
-def test_wide_scan_is_left_alone(spark):
-    wide = spark.range(0, 1000, 1, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert spread(wide) is wide
 
 
 def test_run_dirs_live_under_the_checkpoint_dir(spark):
