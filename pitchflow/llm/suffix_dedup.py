@@ -39,7 +39,8 @@ from pitchflow.llm.common import discard, document_shards, stored
 from pitchflow.llm.suffixes import common_prefixes, merge_sorted, suffix_array, words_at
 
 LENGTH = 50
-_GRAM = 24
+#: Shorter grams give fewer anchors, but more that unrelated documents share by chance.
+_GRAM = 32
 #: Bytes of anchor hashes, or of surroundings, that one merging task gets on average.
 BUCKET_BYTES = 12 << 20
 #: A NULL doc_id ranks behind all others.
@@ -72,7 +73,10 @@ def anchors(text: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int) -
     w = words_at(text)
     grams = len(text) - _GRAM + 1
     with np.errstate(over="ignore"):
-        h = w[:grams] * np.uint64(0x9E3779B97F4A7C15) + w[8 : grams + 8] * np.uint64(0xC2B2AE3D27D4EB4F) + w[16 : grams + 16] * np.uint64(0x165667B19E3779F9)
+        h = w[:grams] * np.uint64(0x9E3779B97F4A7C15)
+        h += w[8 : grams + 8] * np.uint64(0xC2B2AE3D27D4EB4F)
+        h += w[16 : grams + 16] * np.uint64(0x165667B19E3779F9)
+        h += w[24 : grams + 24] * np.uint64(0xD1B54A32D192ED03)
         del w
         h = _mixed(h, 0xD6E8FEB86659FD93)
     width = length - _GRAM + 1
