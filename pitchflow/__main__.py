@@ -1,7 +1,7 @@
 """Command line: ``python -m pitchflow <command>``.
 
-* ``refresh``: ingest new landing files and bring Silver and Gold up to date;
-  prints the rule report. Paths come from the arguments or from the session
+* ``refresh``: ingest new landing files and bring Silver and Gold up to date, also after
+  a refresh that failed; prints the rule report. Paths come from the arguments or from the session
   settings ``spark.pitchflow.landing`` and ``spark.pitchflow.root``.
 * ``query NAME``: run one registered query on a data folder and show it.
 * ``list``: the registered query names.
@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     refresh.add_argument("--landing", help="landing files (folder or glob)")
     refresh.add_argument("--root", help="folder holding the layer tables")
     refresh.add_argument("--multi-line", action="store_true", help="one document per file")
-    refresh.add_argument("--infer-types", action="store_true", help="keep inferred numbers in Bronze")
+    refresh.add_argument("--infer-types", action="store_true", help="read Bronze with the types its documents had")
     refresh.add_argument("--full-silver", action="store_true", help="rebuild Silver from all of Bronze")
     refresh.add_argument("--register", action="store_true", help="name the tables in the catalog")
 
@@ -65,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
         multi_line=args.multi_line, infer_types=args.infer_types,
         register=args.register, full_silver=args.full_silver,
     )
-    print(json.dumps({"documents": run.bronze.documents, "rules": run.rules}, indent=2))
+    print(json.dumps({"documents": run.bronze.documents, "malformed": run.bronze.malformed, "rules": run.rules}, indent=2))
     return 0
 
 

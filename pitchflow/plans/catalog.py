@@ -8,6 +8,7 @@ the compared projections.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,8 @@ from pitchflow.plans import oracle
 from pitchflow.plans import layers
 from pitchflow.session import new_run_dir
 from pitchflow.sources import landing
-from pitchflow.sources.fixture import raw_matches, read_orders, season_documents, write_documents
-from pitchflow.sources.tables import read_table
-from pitchflow.streaming.bronze import ingest_landing, read_bronze
+from pitchflow.sources.fixture import documents_of, raw_matches, read_orders, season_documents, write_documents
+from pitchflow.streaming.bronze import ingest_landing, read_bronze, read_quarantine
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -70,12 +70,21 @@ def q_bronze_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.explode_matches(docs, lineage=False)
 
 
+def _date_back(spark: SparkSession, files: str, days: int) -> None:
+    """Set the modification time of the files to ``days`` ago, as a copy that keeps dates would."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files)
+    store = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    at = int((time.time() - days * 86_400) * 1000)
+    for s in store.globStatus(pattern) or []:
+        store.setTimes(s.getPath(), at, -1)
+
+
 def q_bronze_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three incremental runs.
 
     Run 1 ingests the seasons up to 2021 (base and Spanish fields); run 2
-    lands the later seasons, whose English fields are new columns; run 3
-    finds no new file and must add nothing.
+    lands the later seasons, whose English fields are new columns, in files
+    dated 30 days back; run 3 finds no new file and must add nothing.
     """
     run = new_run_dir(spark, "bronze_stream")
     docs = _documents(spark, sf_dir)
@@ -84,32 +93,78 @@ def q_bronze_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_documents(docs.filter(F.col("temporada") <= FIRST_DROP_LAST_SEASON), f"{run}/landing/drop1")
     ingest_landing(spark, files, bronze, state)
     write_documents(docs.filter(F.col("temporada") > FIRST_DROP_LAST_SEASON), f"{run}/landing/drop2")
+    _date_back(spark, f"{run}/landing/drop2/*.json", 30)
     ingest_landing(spark, files, bronze, state)
-    ingest_landing(spark, files, bronze, state)
-    return read_bronze(spark, bronze).drop(spec.SOURCE_FILE_COL, spec.LOAD_TIME_COL)
+    known = ingest_landing(spark, files, bronze, state).schema
+    return read_bronze(spark, bronze, known).drop(spec.SOURCE_FILE_COL, spec.LOAD_TIME_COL)
 
 
 def q_bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multi-line layout, one document per file, with file lineage and load time."""
     run = new_run_dir(spark, "bronze_lineage")
-    write_documents(_documents(spark, sf_dir), f"{run}/landing", one_document_per_file=True)
-    docs = landing.read_documents(spark, f"{run}/landing/*/*.json", multi_line=True)
+    written = _documents(spark, sf_dir)
+    write_documents(written, f"{run}/landing", one_document_per_file=True)
+    schema = landing.as_stored(written.drop("doc").schema)
+    docs = landing.read_documents(spark, f"{run}/landing/*/*.json", schema, multi_line=True)
     rows = landing.to_bronze(docs)
-    source = F.col(spec.SOURCE_FILE_COL)
-    return rows.groupBy("temporada").agg(
+    name = F.regexp_extract(spec.SOURCE_FILE_COL, r"/doc=([^/]+)/[^/]+\.json$", 1)
+    return rows.groupBy("temporada", name.alias("documento")).agg(
         F.count(F.lit(1)).alias("partidos"),
-        F.count_distinct(source).alias("archivos"),
-        F.count_if(source.endswith(".json")).alias("con_archivo_json"),
         F.count(spec.LOAD_TIME_COL).alias("con_hora_de_carga"),
     )
 
 
+def q_bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drop with one broken document per season: rows kept, and texts set aside."""
+    run = new_run_dir(spark, "bronze_quarantine")
+    docs = _documents(spark, sf_dir)
+    write_documents(docs, f"{run}/landing/good")
+    cut_off = F.concat(F.lit('{"temporada": '), F.col("temporada").cast("string"), F.lit(', "data": [{"local": "tea'))
+    docs.select("temporada").distinct().select(cut_off.alias("value")).write.text(f"{run}/landing/broken")
+    known = ingest_landing(spark, f"{run}/landing/*/*", f"{run}/bronze", f"{run}/state").schema
+    kept = read_bronze(spark, f"{run}/bronze", known).groupBy("temporada").agg(F.count(F.lit(1)).alias("partidos"))
+    season = F.regexp_extract("value", r'"temporada": (\d+)', 1).alias("temporada")
+    aside = read_quarantine(spark, f"{run}/bronze").groupBy(season).agg(F.count(F.lit(1)).alias("apartados"))
+    return kept.join(aside, "temporada", "full").select("temporada", "partidos", "apartados")
+
+
+TYPED_CHANGES = spec.STATS[0][1]  # a plain statistic of the English layout, number first, then text
+TYPED_STAYS = spec.STATS[1][1]
+
+
+def q_bronze_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops in which one statistic goes from number to text, read with the remembered types."""
+    run = new_run_dir(spark, "bronze_typed")
+    raw = raw_matches(read_orders(spark, sf_dir), keep_key=True)
+    text = F.concat(F.col(f"`{TYPED_CHANGES}`").cast("string"), F.lit(" (9%)"))
+    files, bronze, state = f"{run}/landing/*/*.json", f"{run}/bronze", f"{run}/state"
+    for drop, part in (("drop1", raw.filter("temporada <= 2023")), ("drop2", raw.filter("temporada > 2023").withColumn(TYPED_CHANGES, text))):
+        write_documents(documents_of(part, MATCHES_PER_DOCUMENT), f"{run}/landing/{drop}")
+        known = ingest_landing(spark, files, bronze, state).schema
+    rows = read_bronze(spark, bronze, known, typed=True)
+    return rows.select("url", "temporada", F.col(f"`{TYPED_CHANGES}`").alias("cambia"), F.col(f"`{TYPED_STAYS}`").alias("sigue"))
+
+
 def q_layer_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing -> Bronze stream -> Silver table -> Gold tables; standings read back."""
     run = new_run_dir(spark, "layers")
     write_documents(_documents(spark, sf_dir), f"{run}/landing/drop1")
     layers.refresh_layers(spark, f"{run}/landing/*/*.json", f"{run}/tables")
-    return read_table(spark, f"{run}/tables", *layers.STANDINGS)
+    return layers.read_layer(spark, f"{run}/tables", layers.STANDINGS)
+
+
+def q_layer_refresh_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops; the refresh of the second ends before Gold; a plain refresh without
+    new files must bring Gold up to date (K3)."""
+    run = new_run_dir(spark, "layers_recovery")
+    docs = _documents(spark, sf_dir)
+    files, tables = f"{run}/landing/*/*.json", f"{run}/tables"
+    write_documents(docs.filter(F.col("temporada") <= FIRST_DROP_LAST_SEASON), f"{run}/landing/drop1")
+    layers.refresh_layers(spark, files, tables)
+    write_documents(docs.filter(F.col("temporada") > FIRST_DROP_LAST_SEASON), f"{run}/landing/drop2")
+    layers.refresh_layers(spark, files, tables, skip_gold=True)
+    layers.refresh_layers(spark, files, tables)
+    return layers.read_layer(spark, tables, layers.STANDINGS)
 
 
 # --- Silver steps -----------------------------------------------------------
@@ -149,6 +204,12 @@ def q_percent_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.split_value_pct(_unified(spark, sf_dir)).select("url", *spec.STATS_PCT_ONLY)
 
 
+def q_split_some(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Splitting rows that lack half of the listed statistics."""
+    lacking = _unified(spark, sf_dir).drop(*spec.STATS_WITH_PCT[::2], spec.STATS_PCT_ONLY[0])
+    return silver.split_value_pct(lacking).select("url", *_split_columns()[2::4], *_split_columns()[3::4], spec.STATS_PCT_ONLY[1])
+
+
 def q_silver_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _no_audit(_silver(spark, sf_dir))
 
@@ -226,11 +287,26 @@ def q_fouls_and_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql_bronze_lineage() -> str:
+    season = "CAST(year(o_orderdate) + 25 AS VARCHAR)"
+    return (
+        f"SELECT {season} AS temporada,"
+        f" printf('%s-%06d', {season}, o_orderkey // {MATCHES_PER_DOCUMENT}) AS documento,"
+        " count(*) AS partidos, count(*) AS con_hora_de_carga FROM orders GROUP BY 1, 2"
+    )
+
+
+def _sql_bronze_quarantine() -> str:
     return (
         "SELECT CAST(year(o_orderdate) + 25 AS VARCHAR) AS temporada, count(*) AS partidos,"
-        f" count(DISTINCT o_orderkey // {MATCHES_PER_DOCUMENT}) AS archivos,"
-        " count(*) AS con_archivo_json, count(*) AS con_hora_de_carga"
-        " FROM orders GROUP BY 1"
+        " CAST(1 AS BIGINT) AS apartados FROM orders GROUP BY 1"
+    )
+
+
+def _sql_bronze_typed() -> str:
+    changes, stays = oracle.q(TYPED_CHANGES), oracle.q(TYPED_STAYS)
+    return (
+        f"SELECT url, temporada, CAST({changes} AS VARCHAR) || CASE WHEN temporada > 2023 THEN ' (9%)' ELSE '' END AS cambia,"
+        f" {stays} AS sigue FROM ({oracle.raw_sql()}) r"
     )
 
 
@@ -262,6 +338,10 @@ def _sql_split() -> str:
     return _sql_silver_columns(["url", *_split_columns()])
 
 
+def _sql_split_some() -> str:
+    return _sql_silver_columns(["url", *_split_columns()[2::4], *_split_columns()[3::4], spec.STATS_PCT_ONLY[1]])
+
+
 def _sql_percent_only() -> str:
     return _sql_silver_columns(["url", *spec.STATS_PCT_ONLY])
 
@@ -373,12 +453,16 @@ QUERIES: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
     "bronze_explode": (q_bronze_explode, lambda: oracle.raw_sql()),
     "bronze_stream_ingest": (q_bronze_stream_ingest, lambda: oracle.raw_sql(as_text=True)),
     "bronze_lineage": (q_bronze_lineage, _sql_bronze_lineage),
+    "bronze_quarantine": (q_bronze_quarantine, _sql_bronze_quarantine),
+    "bronze_typed": (q_bronze_typed, _sql_bronze_typed),
     "layer_refresh": (q_layer_refresh, lambda: oracle.standings_sql()),
+    "layer_refresh_recovery": (q_layer_refresh_recovery, lambda: oracle.standings_sql()),
     "sanitize_rename": (q_sanitize_rename, _sql_sanitize_rename),
     "unify_languages": (q_unify_languages, _sql_unify),
     "parse_dates": (q_parse_dates, _sql_parse_dates),
     "parse_score": (q_parse_score, _sql_parse_score),
     "split_value_pct": (q_split_value_pct, _sql_split),
+    "split_some": (q_split_some, _sql_split_some),
     "percent_only": (q_percent_only, _sql_percent_only),
     "silver_matches": (q_silver_matches, _sql_silver_matches),
     "team_view": (q_team_view, _sql_team_view),

@@ -1,22 +1,23 @@
 """Layer refresh: landing -> Bronze -> Silver -> Gold (K3).
 
-Plain functions called in layer order; no scheduler. Each layer reads the
-previous layer's written table, so a refresh after new landing files
-brings every layer up to date.
-
-* Bronze: incremental streaming ingest (append, exactly-once file sink).
-* Silver: one narrow stage over Bronze, written partitioned by season, so
-  Gold's season filter prunes folders instead of scanning them. By default
-  it is incremental too (a stream over the new Bronze files); ``full``
-  rebuilds it from all of Bronze, as a batch overwrite.
-* Gold: standings and performance, each one aggregate over Silver,
-  partitioned by season. A rank needs a whole season, and only a season is
-  needed: after an incremental Silver run only the seasons that received
-  rows are rebuilt (their Silver partitions read, their Gold partitions
-  replaced); a full Silver rebuild rebuilds every season.
-
-Quality rules ride on the writes: the counts are observed while the rows
-are written, so checking them costs no extra scan.
+Plain functions called in layer order; no scheduler. Bronze, Silver and the
+sums Gold is made of grow by batches with the same numbers, each a folder that
+counts once its write is committed. What is left to do is always the difference
+between two layers' committed batches, read from the folders themselves: a
+batch is due if the next layer lacks it or has it from before it was last
+written. A refresh after a failure, wherever it happened, does what is missing.
+
+* Bronze: incremental streaming ingest; one batch per micro-batch.
+* Silver: one narrow stage over each Bronze batch that has no Silver batch yet,
+  partitioned by season. ``full`` writes all batches again.
+* Sums: each new Silver batch added up by season, team and role: sums and
+  counts, read from the new Silver files only.
+* Gold: standings and performance, rolled up from the sums of all batches, a few
+  rows per batch, season and team. Both tables are rewritten by every refresh,
+  so neither can stay behind Silver.
+
+Quality rules ride on the writes: the counts are observed while the rows are
+written, so checking them costs no extra scan.
 """
 
 from __future__ import annotations
@@ -24,26 +25,37 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchflow import spec
 from pitchflow.operators import gold, silver
-from pitchflow.operators.quality import observation_report, observe_rules
-from pitchflow.sources.landing import bronze_schema
-from pitchflow.sources.tables import read_table, register_table, table_path, write_table
+from pitchflow.operators.quality import load_rules, observation_report, observe_rules
+from pitchflow.sources.landing import SchemaStore, as_stored, bronze_schema
+from pitchflow.sources.tables import (
+    BATCH,
+    committed_batches,
+    pending_batches,
+    read_batches,
+    read_table,
+    register_table,
+    table_path,
+    write_batch,
+    write_table,
+)
 from pitchflow.streaming.bronze import IngestResult, ingest_landing, read_bronze
-from pitchflow.streaming.silver import stream_silver
 
 BRONZE = ("bronze", "bronze_partidos")
 SILVER = ("silver", "silver_partidos")
+SUMS = ("gold", "gold_sumas_equipo")
 STANDINGS = ("gold", "gold_tabla_posiciones")
 PERFORMANCE = ("gold", "gold_rendimiento_equipo")
 
-# Files per micro-batch of the streams: a backfill commits in bounded steps,
+# Files per micro-batch of the ingest: a backfill commits in bounded steps,
 # so a failure repeats one step, not the whole history.
 MAX_FILES_PER_TRIGGER = 10_000
 
 COMMENTS = {
+    BRONZE: "Match rows as landed: original field names, every value as text, with source file and load time.",
     SILVER: "Match statistics: two languages unified, dates and scores parsed, value/pct split.",
     STANDINGS: "Standings per season and team, played matches only.",
     PERFORMANCE: "Average performance per season, team and role, from the start year on.",
@@ -55,79 +67,100 @@ class LayerRun:
     root: str
     bronze: IngestResult
     rules: dict[str, list[dict]] = field(default_factory=dict)
-    seasons_rebuilt: set | None = None  # None: every season
+    silver_batches: list[int] = field(default_factory=list)
 
     def path(self, layer_table: tuple[str, str]) -> str:
         return table_path(self.root, *layer_table)
 
 
-def _write_checked(df: DataFrame, rules, root: str, layer_table, quality: str, register: bool, **kw):
-    observed, obs = observe_rules(df, rules, f"dq_{layer_table[1]}")
-    write_table(
-        observed, root, *layer_table,
-        comment=COMMENTS.get(layer_table), properties={"quality": quality},
-        register=register, **kw,
-    )
-    return observation_report(obs, rules)
+def _state(root: str) -> str:
+    return f"{root}/_state/{BRONZE[1]}"
+
+
+def silver_table_schema() -> T.StructType:
+    kinds = {"string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(), "date": T.DateType(), "timestamp": T.TimestampType()}
+    return T.StructType([T.StructField(c.name, kinds[c.type], True) for c in spec.silver_schema()])
+
+
+def read_layer(spark: SparkSession, root: str, layer_table: tuple[str, str]) -> DataFrame:
+    """The rows of a layer table, with its declared columns also when it has no rows."""
+    root = root.rstrip("/")
+    path = table_path(root, *layer_table)
+    if layer_table == BRONZE:
+        return read_bronze(spark, path, SchemaStore(spark, f"{_state(root)}/schema").load()[0] or T.StructType([]))
+    matches = spark.createDataFrame([], silver_table_schema())
+    if layer_table == SILVER:
+        return read_batches(spark, path, matches.schema)
+    sums = gold.team_sums(matches)
+    if layer_table == SUMS:
+        return read_batches(spark, path, sums.schema)
+    schema = (gold.standings_of(sums) if layer_table == STANDINGS else gold.performance_of(sums)).schema
+    return read_table(spark, root, *layer_table, schema)
+
+
+def _added(reports: list[list[dict]], rules: dict[str, str]) -> list[dict]:
+    """The rule counts of several writes, added up."""
+    total = {name: {"rule": name, "passed": 0, "failed": 0, "unknown": 0} for name in rules}
+    for report in reports:
+        for r in report:
+            for k in ("passed", "failed", "unknown"):
+                total[r["rule"]][k] += r[k]
+    return list(total.values())
 
 
 def refresh_silver(
-    spark: SparkSession,
-    root: str,
-    register: bool = False,
-    full: bool = False,
-    landing_schema=None,
-) -> tuple[list[dict], set | None]:
-    """Clean the Bronze rows into Silver.
+    spark: SparkSession, root: str, *, full: bool = False, typed: bool = False, register: bool = False
+) -> tuple[list[dict], list[int]]:
+    """Write the Silver batches that are missing, or all of them.
 
-    Returns the rule report of the rows written and the seasons they touched
-    (``None`` after a full rebuild: every season).
+    Returns the rule report of the rows written and the batches' numbers.
     """
-    if full:
-        bronze = read_bronze(spark, table_path(root, *BRONZE))
-        report = _write_checked(
-            silver.silver_matches(bronze), spec.SILVER_RULES, root, SILVER, "silver", register,
-            partition_by=["temporada"],
-        )
-        return report, None
-    refreshed = stream_silver(
-        spark, table_path(root, *BRONZE), table_path(root, *SILVER),
-        f"{root}/_state/{SILVER[1]}", spec.SILVER_RULES,
-        bronze_schema=bronze_schema(landing_schema) if landing_schema is not None else None,
-        max_files_per_trigger=MAX_FILES_PER_TRIGGER,
-    )
+    source, target = table_path(root, *BRONZE), table_path(root, *SILVER)
+    pending = list(committed_batches(spark, source)) if full else pending_batches(spark, source, target)
+    known, _ = SchemaStore(spark, f"{_state(root)}/schema").load()
+    rules = load_rules(spec.SILVER_RULES)
+    reports = []
+    for b in pending:
+        rows = silver.silver_matches(read_bronze(spark, source, known, [b], typed))
+        observed, obs = observe_rules(rows, list(rules.items()), f"dq_{SILVER[1]}_{b}")
+        write_batch(observed, target, b, ["temporada"])
+        reports.append(observation_report(obs, list(rules.items())))
     if register:
-        register_table(
-            spark, root, *SILVER, comment=COMMENTS[SILVER], properties={"quality": "silver"},
-            schema=read_table(spark, root, *SILVER).schema, partition_by=["temporada"],
+        _register_batches(spark, root, SILVER, silver_table_schema(), "silver", ["temporada"])
+    return _added(reports, rules), pending
+
+
+def refresh_sums(spark: SparkSession, root: str) -> None:
+    """Add up the Silver batches that have no sums yet, or were written again since."""
+    source, target = table_path(root, *SILVER), table_path(root, *SUMS)
+    for b in pending_batches(spark, source, target):
+        write_batch(gold.team_sums(read_batches(spark, source, silver_table_schema(), [b])), target, b)
+
+
+def refresh_gold(spark: SparkSession, root: str, register: bool = False) -> dict[str, list[dict]]:
+    """Rewrite both Gold tables from the sums of all batches."""
+    sums = read_layer(spark, root, SUMS)
+    out = {}
+    for table, df, entries in (
+        (STANDINGS, gold.standings_of(sums), spec.STANDINGS_RULES),
+        (PERFORMANCE, gold.performance_of(sums), spec.PERFORMANCE_RULES),
+    ):
+        rules = list(load_rules(entries).items())
+        observed, obs = observe_rules(df, rules, f"dq_{table[1]}")
+        write_table(
+            observed, root, *table, partition_by=["temporada"],
+            comment=COMMENTS[table], properties={"quality": "gold"}, register=register,
         )
-    return refreshed.report, refreshed.seasons
+        out[table[1]] = observation_report(obs, rules)
+    return out
 
 
-def refresh_gold(
-    spark: SparkSession, root: str, register: bool = False, seasons: set | None = None
-) -> dict[str, list[dict]]:
-    """Rebuild the Gold tables: every season, or only ``seasons``.
-
-    With ``seasons``, only those Silver partitions are read and only those
-    Gold partitions are replaced; the report covers the rebuilt seasons.
-    """
-    matches = read_table(spark, root, *SILVER)
-    partial = seasons is not None
-    if partial:
-        if not seasons:
-            return {STANDINGS[1]: [], PERFORMANCE[1]: []}
-        matches = matches.filter(F.col("temporada").isin(sorted(seasons)))
-    kw = {"partition_by": ["temporada"], "replace_partitions": partial}
-    return {
-        STANDINGS[1]: _write_checked(
-            gold.standings(matches), spec.STANDINGS_RULES, root, STANDINGS, "gold", register, **kw
-        ),
-        PERFORMANCE[1]: _write_checked(
-            gold.team_performance(matches), spec.PERFORMANCE_RULES, root, PERFORMANCE, "gold", register,
-            **kw,
-        ),
-    }
+def _register_batches(spark, root, table, schema: T.StructType, quality: str, partition_by: list[str]) -> None:
+    stated = T.StructType([*schema.fields, T.StructField(BATCH, T.IntegerType())])
+    register_table(
+        spark, root, *table, comment=COMMENTS[table], properties={"quality": quality},
+        schema=stated, partition_by=[BATCH, *partition_by],
+    )
 
 
 def refresh_layers(
@@ -139,19 +172,25 @@ def refresh_layers(
     infer_types: bool = False,
     register: bool = False,
     full_silver: bool = False,
+    skip_gold: bool = False,
 ) -> LayerRun:
-    """Ingest new landing files, bring Silver up to date, rebuild the Gold seasons that changed."""
+    """Ingest new landing files and bring every layer up to date.
+
+    ``infer_types`` reads Bronze with the remembered types; ``full_silver`` writes all Silver
+    batches again; both mix freely with plain refreshes. ``skip_gold`` stops after Silver.
+    """
     root = root.rstrip("/")
     ingest = ingest_landing(
-        spark, landing, table_path(root, *BRONZE), f"{root}/_state/{BRONZE[1]}",
-        multi_line=multi_line, infer_types=infer_types,
-        max_files_per_trigger=MAX_FILES_PER_TRIGGER,
+        spark, landing, table_path(root, *BRONZE), _state(root),
+        multi_line=multi_line, max_files_per_trigger=MAX_FILES_PER_TRIGGER,
     )
+    if register:
+        _register_batches(spark, root, BRONZE, bronze_schema(as_stored(ingest.schema)), "bronze", [])
     run = LayerRun(root=root, bronze=ingest)
-    report, seasons = refresh_silver(
-        spark, root, register, full=full_silver, landing_schema=ingest.schema
+    run.rules[SILVER[1]], run.silver_batches = refresh_silver(
+        spark, root, full=full_silver, typed=infer_types, register=register
     )
-    run.rules[SILVER[1]] = report
-    run.seasons_rebuilt = seasons
-    run.rules.update(refresh_gold(spark, root, register, seasons=seasons))
+    if not skip_gold:
+        refresh_sums(spark, root)
+        run.rules.update(refresh_gold(spark, root, register))
     return run

@@ -126,7 +126,11 @@ def season_documents(orders: DataFrame, keys_per_document: int = 5000) -> DataFr
     teams are skewed, and ``collect_list`` never gathers an unbounded group.
     ``doc`` is the document id, for writers that lay out one document per file.
     """
-    raw = raw_matches(orders, keep_key=True)
+    return documents_of(raw_matches(orders, keep_key=True), keys_per_document)
+
+
+def documents_of(raw: DataFrame, keys_per_document: int) -> DataFrame:
+    """Raw matches with their order key, as landing documents (see :func:`season_documents`)."""
     fields = [c for c in raw.columns if c not in (ORDER_KEY, "temporada")]
     block = F.floor(F.col(ORDER_KEY) / F.lit(keys_per_document))
     match = F.struct(*[F.col(f"`{f}`") for f in fields])

@@ -9,21 +9,18 @@ Two layouts are read:
   files split at line boundaries, so a large landing drop spreads over all
   executors. This is the layout to use at volume.
 
-Schemas: by default every primitive is read as a string
-(``primitivesAsString``). A statistic that is a number in one file and
-``"n (p%)"`` in the next then never breaks a read or a Parquet merge, and
-Silver does the typing. ``infer_types=True`` keeps inferred numbers instead.
-
-The encoding is stated (UTF-8, the JSON interchange encoding) rather than
-detected: in multi-line mode, detection makes Spark's parser take a much
-slower path for wide string schemas (about 17x on the landing documents).
+The incremental ingest reads documents as text (:func:`raw_documents`) and parses
+them itself, so that the fields of exactly the files of a batch are known
+(:func:`document_schema`), and a text that is no JSON object is set aside instead
+of lost. Stored values are text: a statistic that is a number in one file and
+``"n (p%)"`` in the next then never breaks a read, and typed values are a
+projection (:func:`typed_columns`).
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import json
-import os
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,14 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchflow import spec
-from pitchflow.functions.names import quote
-
+from pitchflow.functions.names import col, quote
 
 ENCODING = "UTF-8"
 
 
 def json_options(multi_line: bool, infer_types: bool = False) -> dict[str, str]:
-    """Reader options shared by the batch and the streaming landing readers."""
+    """Options of the batch landing reader. The encoding is stated: detecting it makes
+    the parser take a much slower path for wide string schemas."""
     return {
         "multiLine": str(multi_line).lower(),
         "primitivesAsString": str(not infer_types).lower(),
@@ -47,10 +44,6 @@ def json_options(multi_line: bool, infer_types: bool = False) -> dict[str, str]:
     }
 
 
-def _reader(spark: SparkSession, multi_line: bool, infer_types: bool):
-    return spark.read.options(**json_options(multi_line, infer_types))
-
-
 def read_documents(
     spark: SparkSession,
     path: str,
@@ -60,35 +53,60 @@ def read_documents(
     infer_types: bool = False,
 ) -> DataFrame:
     """Batch read of landing documents (S2, S4); infers the schema when none is given."""
-    reader = _reader(spark, multi_line, infer_types)
+    reader = spark.read.options(**json_options(multi_line, infer_types))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
 
 
-def infer_schema(
-    spark: SparkSession,
-    path: str,
-    *,
-    multi_line: bool = False,
-    infer_types: bool = False,
-    modified_after: str | None = None,
-    sampling_ratio: float = 1.0,
-) -> T.StructType | None:
-    """Schema of the documents under ``path`` (only files changed after
-    ``modified_after``, a UTC ``YYYY-MM-DDTHH:MM:SS``, when given); ``None``
-    when there is nothing to read."""
-    reader = _reader(spark, multi_line, infer_types).option("samplingRatio", str(sampling_ratio))
-    if modified_after:
-        # the threshold is UTC; the zone is stated, since the session zone
-        # would otherwise change which files it lets through
-        reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
-    try:
-        schema = reader.json(path).schema
-    except AnalysisException:
-        return None
-    fields = [f for f in schema.fields if f.name != "_corrupt_record"]
-    return T.StructType(fields) if fields else None
+def raw_documents(text: DataFrame) -> DataFrame:
+    """(value, source file, v) of a text read of landing files; ``v`` is the parsed document,
+    NULL for a text that is no JSON object. Blank lines are no documents."""
+    parsed = F.try_parse_json("value")
+    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    return text.where(F.trim("value") != "").select(
+        "value", F.col("_metadata.file_path").alias(spec.SOURCE_FILE_COL), F.when(is_object, parsed).alias("v")
+    )
+
+
+def document_schema(raw: DataFrame) -> tuple[T.StructType, int, int]:
+    """Fields and types of the documents (numbers kept), and how many texts are
+    documents and how many are none. One aggregation over the parsed documents."""
+    row = raw.agg(
+        F.schema_of_variant_agg("v").alias("s"), F.count("v").alias("good"), F.count_if(F.col("v").isNull()).alias("bad")
+    ).first()
+    ddl = re.sub(r"`(?:[^`]|``)*`|\bOBJECT<", lambda m: m[0] if m[0].startswith("`") else "STRUCT<", row["s"])
+    found = _plain(T.DataType.fromDDL(ddl)) if ddl.startswith("STRUCT<") else None
+    return found if isinstance(found, T.StructType) else T.StructType([]), row["good"], row["bad"]
+
+
+def _plain(t: T.DataType) -> T.DataType:
+    """Types as a JSON reader would infer them; what has no single type is text."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _plain(f.dataType), True) for f in t.fields])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_plain(t.elementType), True)
+    if isinstance(t, T.DecimalType):
+        return T.DoubleType()
+    return t if isinstance(t, (T.LongType, T.DoubleType, T.BooleanType, T.NullType)) else T.StringType()
+
+
+def as_stored(schema: T.StructType, field: str = spec.DATA_FIELD) -> T.StructType:
+    """The schema that documents are read with: all values as text, the match list as a list of structs."""
+    fields = []
+    for f in schema.fields:
+        kind: T.DataType = T.StringType()
+        if f.name == field and isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+            inner = [T.StructField(g.name, T.StringType(), True) for g in f.dataType.elementType.fields]
+            kind = T.ArrayType(T.StructType(inner), True)
+        fields.append(T.StructField(f.name, kind, True))
+    return T.StructType(fields)
+
+
+def parse_documents(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """The documents of :func:`raw_documents` as columns of text, with their source file."""
+    doc = F.from_json("value", as_stored(schema)).alias("doc")
+    return raw.where("v is not null").select(doc, spec.SOURCE_FILE_COL).select("doc.*", spec.SOURCE_FILE_COL)
 
 
 def _merge_types(a: T.DataType, b: T.DataType) -> T.DataType:
@@ -129,83 +147,48 @@ def merge_schemas(old: T.StructType | None, new: T.StructType | None) -> T.Struc
 class SchemaStore:
     """Schema memory kept between runs (S3).
 
-    Each refresh infers the schema of the files that changed since the last
-    refresh (with an overlap, to absorb clock skew), merges it into the
-    stored one and writes a new version. Versions are written through Spark,
-    so the store works on any file system the cluster shares; a version
-    appears only once its write committed, so a failed run leaves the last
-    good one in place.
+    Every batch merges the fields of its own documents into the memory before
+    its rows are written, and writes a new version if that changed it.
+    Versions are written through Spark, so the store works on any file system the
+    cluster shares; a version appears only once its write committed.
     """
 
-    def __init__(self, spark: SparkSession, path: str, overlap_seconds: int = 600):
+    def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.overlap = dt.timedelta(seconds=overlap_seconds)
-
-    def _known_missing(self) -> bool:
-        """True when the store is on the local file system and not there yet
-        (saves a failing read; other file systems just try the read)."""
-        if self.path.startswith("file:"):
-            return not os.path.exists("/" + self.path[len("file:"):].lstrip("/"))
-        if "://" not in self.path:
-            return not os.path.exists(self.path)
-        return False
-
-    def load(self) -> tuple[T.StructType | None, str | None, int]:
-        if self._known_missing():
-            return None, None, 0
+
+    def load(self) -> tuple[T.StructType | None, int]:
         try:
-            versions = self.spark.read.text(self.path)
-            latest = versions.orderBy(F.col("v").desc()).select("value", "v").first()
-        except AnalysisException:
-            return None, None, 0
+            versions = self.spark.read.schema("value string, v int").text(self.path)
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None, 0
+            raise
+        latest = versions.orderBy(F.col("v").desc()).first()
         if latest is None:
-            return None, None, 0
-        doc = json.loads(latest["value"])
-        return T.StructType.fromJson(doc["schema"]), doc.get("inferred_until"), int(latest["v"])
-
-    def save(self, schema: T.StructType, inferred_until: str, version: int) -> None:
-        doc = json.dumps({"schema": schema.jsonValue(), "inferred_until": inferred_until})
-        (
-            self.spark.createDataFrame([(doc,)], "value string")
-            .coalesce(1)
-            .write.mode("errorifexists")
-            .text(f"{self.path}/v={version}")
-        )
-
-    @staticmethod
-    def _now() -> dt.datetime:
-        """Wall-clock UTC: file modification times are compared in UTC."""
-        return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-
-    def refresh(self, landing: str, *, multi_line: bool = False, infer_types: bool = False) -> T.StructType:
-        """Merge the schema of new landing files into memory and return it."""
-        old, until, version = self.load()
-        started = self._now()
-        since = None
-        if until:
-            since = (dt.datetime.fromisoformat(until) - self.overlap).isoformat(timespec="seconds")
-        new = infer_schema(
-            self.spark, landing, multi_line=multi_line, infer_types=infer_types, modified_after=since
-        )
-        merged = merge_schemas(old, new)
-        if not merged.fields:
-            raise ValueError(f"no landing documents found under {landing}")
+            return None, 0
+        return T.StructType.fromJson(json.loads(latest["value"])), int(latest["v"])
+
+    def merge(self, found: T.StructType) -> T.StructType:
+        """The memory with the fields of ``found``."""
+        old, version = self.load()
+        merged = merge_schemas(old, found)
         if merged != old:
-            self.save(merged, started.isoformat(timespec="seconds"), version + 1)
+            doc = self.spark.createDataFrame([(json.dumps(merged.jsonValue()),)], "value string")
+            doc.coalesce(1).write.mode("overwrite").text(f"{self.path}/v={version + 1}")
         return merged
 
 
 def bronze_schema(doc_schema: T.StructType, field: str = spec.DATA_FIELD) -> T.StructType:
-    """Schema of the Bronze rows :func:`to_bronze` makes from documents of ``doc_schema``.
+    """Schema of the rows :func:`to_bronze` makes from documents of ``doc_schema``.
 
     Lets a reader of the Bronze folder state its schema from the schema
     memory instead of merging the footers of every Bronze file.
     """
     by_name = {f.name: f for f in doc_schema.fields}
     season = by_name.get("temporada", T.StructField("temporada", T.StringType()))
-    data = by_name[field].dataType
-    element = data.elementType if isinstance(data, T.ArrayType) else T.StructType([])
+    data = by_name[field].dataType if field in by_name else None
+    element = data.elementType if isinstance(data, T.ArrayType) and isinstance(data.elementType, T.StructType) else T.StructType([])
     return T.StructType(
         [
             T.StructField("temporada", season.dataType, True),
@@ -216,15 +199,26 @@ def bronze_schema(doc_schema: T.StructType, field: str = spec.DATA_FIELD) -> T.S
     )
 
 
+def typed_columns(bronze: DataFrame, doc_schema: T.StructType) -> DataFrame:
+    """Bronze rows with the remembered types; a value that does not fit gives NULL."""
+    kinds = {f.name: f.dataType for f in bronze_schema(doc_schema).fields}
+    plain = (T.LongType, T.DoubleType, T.BooleanType)
+    return bronze.select(*[col(c).try_cast(kinds[c]).alias(c) if isinstance(kinds.get(c), plain) else col(c) for c in bronze.columns])
+
+
 def explode_matches(docs: DataFrame, field: str = spec.DATA_FIELD, lineage: bool = True) -> DataFrame:
     """One row per match (P1, P2): season, source file, then every match field.
 
-    The source file is captured before the explode (S5); a NULL or empty
-    match array gives no row.
+    The source file is captured before the explode (S5); a NULL, absent or empty
+    match list gives no row.
     """
-    keep = [F.col("temporada")]
+    keep = [F.col("temporada") if "temporada" in docs.columns else F.lit(None).cast("string").alias("temporada")]
     if lineage:
-        keep.append(F.col("_metadata.file_path").alias(spec.SOURCE_FILE_COL))
+        known = spec.SOURCE_FILE_COL in docs.columns
+        keep.append(F.col(spec.SOURCE_FILE_COL if known else "_metadata.file_path").alias(spec.SOURCE_FILE_COL))
+    kind = docs.schema[field].dataType if field in docs.columns else None
+    if not (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)):
+        return docs.select(*keep).where(F.lit(False))
     one_per_match = docs.select(*keep, F.explode(F.col(quote(field))).alias("partido"))
     return one_per_match.select(*[c for c in one_per_match.columns if c != "partido"], "partido.*")
 

@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from pitchflow.functions.names import quote
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -93,6 +96,45 @@ def register_table(
     return qualified
 
 
-def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    """Scan of a layer table by path (filters on partition columns prune folders)."""
-    return spark.read.parquet(table_path(root, layer, name))
+def read_table(spark: SparkSession, root: str, layer: str, name: str, schema: StructType) -> DataFrame:
+    """Scan of a layer table by path (filters on partition columns prune folders).
+
+    The schema is stated, so a table without rows can be read too.
+    """
+    return spark.read.schema(schema).parquet(table_path(root, layer, name))
+
+
+# ---------------------------------------------------------------------------
+# Tables that grow by batches: one folder per batch, complete once Spark has
+# marked it. A batch is written again as a whole if its first write failed.
+# ---------------------------------------------------------------------------
+
+BATCH = "lote"
+
+
+def committed_batches(spark: SparkSession, path: str) -> dict[int, int]:
+    """Numbers of the batches whose write was committed, ascending, with the time of that."""
+    marks = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{BATCH}=*/_SUCCESS")
+    store = marks.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = {int(s.getPath().getParent().getName().split("=")[1]): s.getModificationTime() for s in store.globStatus(marks) or []}
+    return dict(sorted(found.items()))
+
+
+def pending_batches(spark: SparkSession, source: str, target: str) -> list[int]:
+    """Committed batches of ``source`` that ``target`` does not have, or has from before they were last written."""
+    done = committed_batches(spark, target)
+    return [b for b, at in committed_batches(spark, source).items() if done.get(b, -1) < at]
+
+
+def write_batch(df: DataFrame, path: str, batch: int, partition_by: list[str] | None = None) -> None:
+    df.write.mode("overwrite").partitionBy(*partition_by or []).parquet(f"{path}/{BATCH}={batch}")
+
+
+def read_batches(spark: SparkSession, path: str, schema: StructType, batches: list[int] | None = None) -> DataFrame:
+    """The rows of the committed batches, or of some of them."""
+    chosen = list(committed_batches(spark, path)) if batches is None else batches
+    if not chosen:
+        return spark.createDataFrame([], schema)
+    stated = StructType([*schema.fields, StructField(BATCH, IntegerType())])
+    rows = spark.read.schema(stated).option("basePath", path).parquet(*[f"{path}/{BATCH}={b}" for b in chosen])
+    return rows.select(*[F.col(quote(f.name)) for f in schema.fields])

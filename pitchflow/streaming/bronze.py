@@ -1,16 +1,15 @@
 """Incremental Bronze ingest with Structured Streaming.
 
-Each call is one ``availableNow`` run: it reads every landing file the
-checkpoint has not seen yet (in as many micro-batches as the rate limits
-ask for), appends the match rows to the Bronze Parquet folder through the
-exactly-once file sink, and stops. A second call with no new files adds
-nothing. A failed run restarts from the checkpoint: files committed by the
-sink are not read again, files of the failed batch are.
-
-Before the stream starts, the schema memory is refreshed from the new
-files, so a file that brings a new statistic is ingested with that column
-(a file read under an older schema would lose it for good, since the
-checkpoint never re-reads it).
+Each call is one ``availableNow`` run over the landing files the checkpoint has
+not seen yet, in as many micro-batches as the rate limit asks for, and stops. A
+micro-batch is one batch folder of the Bronze table: the fields of its own
+documents are merged into the schema memory, its match rows are written as text
+columns, and texts that are no documents go to the quarantine table with their
+file. A failed batch is run again from the checkpoint and replaces its folder, so
+a refresh neither loses nor repeats rows.
+
+Which files are new is the checkpoint's business alone: file dates play no part,
+and files of any age are taken.
 """
 
 from __future__ import annotations
@@ -20,17 +19,45 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from pitchflow.sources.landing import SchemaStore, json_options, to_bronze
-from pitchflow.streaming.progress import full_progress
+from pitchflow import spec
+from pitchflow.sources.landing import (
+    SchemaStore,
+    add_load_time,
+    as_stored,
+    bronze_schema,
+    document_schema,
+    parse_documents,
+    raw_documents,
+    to_bronze,
+    typed_columns,
+)
+from pitchflow.sources.tables import BATCH, committed_batches, read_batches, write_batch
+
+#: The file source forgets files older than this, counted from the newest; a hundred years.
+MAX_FILE_AGE = "36500d"
+QUARANTINE_SCHEMA = T.StructType(
+    [
+        T.StructField("value", T.StringType()),
+        T.StructField(spec.SOURCE_FILE_COL, T.StringType()),
+        T.StructField(spec.LOAD_TIME_COL, T.TimestampType()),
+    ]
+)
 
 
 @dataclass
 class IngestResult:
+    """What one run read: micro-batches, documents, texts set aside, and the schema memory after it."""
+
     batches: int
     documents: int
+    malformed: int
     schema: T.StructType
 
 
+def quarantine_path(bronze_path: str) -> str:
+    return f"{bronze_path.rstrip('/')}_apartados"
+
+
 def ingest_landing(
     spark: SparkSession,
     landing: str,
@@ -38,10 +65,8 @@ def ingest_landing(
     state_dir: str,
     *,
     multi_line: bool = False,
-    infer_types: bool = False,
     max_files_per_trigger: int | None = None,
-    timeout_seconds: int = 6 * 3600,
-    query_name: str | None = None,
+    timeout_seconds: int | None = None,
     archive_dir: str | None = None,
 ) -> IngestResult:
     """Run one incremental ingest of ``landing`` into ``bronze_path``.
@@ -52,39 +77,62 @@ def ingest_landing(
     landing folder each trigger lists stays small over a long history.
     """
     state_dir = state_dir.rstrip("/")
-    schema = SchemaStore(spark, f"{state_dir}/schema").refresh(
-        landing, multi_line=multi_line, infer_types=infer_types
-    )
-    reader = spark.readStream.schema(schema).options(**json_options(multi_line, infer_types))
+    store = SchemaStore(spark, f"{state_dir}/schema")
+    reader = spark.readStream.option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    bronze = to_bronze(reader.json(landing))
-    writer = (
-        bronze.writeStream.format("parquet")
+    done: list[tuple[int, int]] = []
+
+    def write(text: DataFrame, batch: int) -> None:
+        raw = text.persist()  # read and parsed once for the fields, the rows and the quarantine
+        found, good, bad = document_schema(raw)
+        schema = store.merge(found)
+        write_batch(to_bronze(parse_documents(raw, schema)), bronze_path, batch)
+        if bad:
+            aside = add_load_time(raw.where("v is null").select("value", spec.SOURCE_FILE_COL))
+            write_batch(aside, quarantine_path(bronze_path), batch)
+        raw.unpersist()
+        done.append((good, bad))
+
+    query = (
+        raw_documents(reader.text(landing, wholetext=multi_line))
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{state_dir}/checkpoint")
-        .outputMode("append")
         .trigger(availableNow=True)
+        .start()
     )
-    if query_name:
-        writer = writer.queryName(query_name)
-    with full_progress(spark):
-        query = writer.start(bronze_path)
-    if not query.awaitTermination(timeout_seconds):
+    if timeout_seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_seconds):
         query.stop()
         raise TimeoutError(f"bronze ingest did not finish within {timeout_seconds} s")
-    if query.exception() is not None:
-        raise RuntimeError(f"bronze ingest failed: {query.exception()}")
-    progress = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0]
-    return IngestResult(
-        batches=len(progress),
-        documents=sum(p["numInputRows"] for p in progress),
-        schema=schema,
-    )
+    schema, _ = store.load()
+    return IngestResult(len(done), sum(g for g, _ in done), sum(b for _, b in done), schema or T.StructType([]))
+
+
+def read_bronze(
+    spark: SparkSession,
+    bronze_path: str,
+    doc_schema: T.StructType | None = None,
+    batches: list[int] | None = None,
+    typed: bool = False,
+) -> DataFrame:
+    """Batch scan of the committed Bronze batches.
+
+    With the schema memory (``doc_schema``) the columns are stated; rows ingested
+    before a column appeared read it as NULL, and ``typed`` gives numbers where
+    every document had numbers. Without it the files' columns are merged.
+    """
+    if doc_schema is None:
+        chosen = list(committed_batches(spark, bronze_path)) if batches is None else batches
+        paths = [f"{bronze_path}/{BATCH}={b}" for b in chosen]
+        return spark.read.option("mergeSchema", "true").parquet(*paths)
+    rows = read_batches(spark, bronze_path, bronze_schema(as_stored(doc_schema)), batches)
+    return typed_columns(rows, doc_schema) if typed else rows
 
 
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """Batch scan of the Bronze folder; files from different runs are merged
-    by column name, so rows ingested before a column appeared read it as NULL."""
-    return spark.read.option("mergeSchema", "true").parquet(bronze_path)
+def read_quarantine(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """(value, source file, load time) of every text that was set aside."""
+    return read_batches(spark, quarantine_path(bronze_path), QUARANTINE_SCHEMA)

@@ -10,7 +10,6 @@ from conftest import SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, wr
 
 from pitchflow.operators import consume
 from pitchflow.plans import layers
-from pitchflow.sources.tables import read_table
 
 
 @pytest.fixture(scope="module")
@@ -23,9 +22,9 @@ def gold(spark):
     root = os.path.join(work, "tables")
     layers.refresh_layers(spark, f"{land}/*.json", root, multi_line=True)
     return (
-        read_table(spark, root, *layers.SILVER),
-        read_table(spark, root, *layers.STANDINGS),
-        read_table(spark, root, *layers.PERFORMANCE),
+        layers.read_layer(spark, root, layers.SILVER),
+        layers.read_layer(spark, root, layers.STANDINGS),
+        layers.read_layer(spark, root, layers.PERFORMANCE),
     )
 
 

@@ -8,8 +8,8 @@ import os
 from conftest import EMPTY_SEASON, SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
 
 from pitchflow.plans import layers
-from pitchflow.sources.tables import read_table
-from pitchflow.streaming.bronze import read_bronze
+from pitchflow.plans.layers import read_layer
+from pitchflow.streaming.bronze import read_bronze, read_quarantine
 
 
 def _by(rows, *keys):
@@ -32,16 +32,16 @@ def test_layer_refresh(spark, ansi, workdir):
 
     run = layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True)
     assert run.bronze.documents == 4
-    assert run.seasons_rebuilt == {2020, 2021, 2026}
+    assert run.silver_batches == [0]
 
     bronze = read_bronze(spark, run.path(layers.BRONZE))
     assert bronze.count() == 8  # the empty season adds no row
     assert "Tiros totales_local" in bronze.columns  # names with spaces kept
     assert "Posesión_local" in bronze.columns  # and accents
 
-    silver = _by(read_table(spark, root, *layers.SILVER).collect(), "url")
+    silver = _by(read_layer(spark, root, layers.SILVER).collect(), "url")
     assert len(silver) == 8
-    assert len(read_table(spark, root, *layers.SILVER).columns) == 87
+    assert len(read_layer(spark, root, layers.SILVER).columns) == 87
     r = silver["m/2020/1"]
     assert (r.fecha, r.goles_local, r.goles_visitante, r.resultado) == (dt.date(2020, 7, 25), 2, 1, "L")
     assert silver["m/2020/2"].fecha == dt.date(2020, 7, 26)
@@ -69,7 +69,7 @@ def test_layer_refresh(spark, ansi, workdir):
     r = silver["m/2026/2"]
     assert (r.goles_local, r.goles_visitante, r.resultado) == (2, None, None)
 
-    standings = _by(read_table(spark, root, *layers.STANDINGS).collect(), "temporada", "equipo")
+    standings = _by(read_layer(spark, root, layers.STANDINGS).collect(), "temporada", "equipo")
     expected = {
         (2020, "Alpha"): (2, 1, 1, 0, 2, 1, 1, 4, 1),
         (2020, "Delta"): (1, 1, 0, 0, 3, 1, 2, 3, 2),
@@ -87,7 +87,7 @@ def test_layer_refresh(spark, ansi, workdir):
             "diferencia_goles", "puntos", "posicion")
     assert {k: tuple(v[c] for c in cols) for k, v in standings.items()} == expected
 
-    perf = _by(read_table(spark, root, *layers.PERFORMANCE).collect(), "temporada", "equipo", "rol")
+    perf = _by(read_layer(spark, root, layers.PERFORMANCE).collect(), "temporada", "equipo", "rol")
     assert set(perf) == {(2026, "Delta", "local"), (2026, "Alpha", "visitante")}
     d = perf[(2026, "Delta", "local")]
     assert (d.partidos_jugados, d.derrotas, d.puntos, d.goles_favor, d.goles_contra) == (1, 1, 0, 0, 2)
@@ -108,19 +108,19 @@ def test_layer_refresh(spark, ansi, workdir):
     write_doc(landing, "2026-late.json", SEASON_2026_LATE)
     run2 = layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True)
     assert run2.bronze.documents == 1  # only the new file is read
-    assert run2.seasons_rebuilt == {2026}  # only its season's Gold partitions are rebuilt
+    assert run2.silver_batches == [1]  # and only its Bronze batch is cleaned
     bronze = read_bronze(spark, run2.path(layers.BRONZE))
     assert bronze.count() == 9
     assert bronze.filter(bronze["`Expected goals_local`"].isNotNull()).count() == 1
-    silver = _by(read_table(spark, root, *layers.SILVER).collect(), "url")
+    silver = _by(read_layer(spark, root, layers.SILVER).collect(), "url")
     r = silver["m/2026/3"]
     assert (r.pases_precisos_visitante, r.pases_precisos_visitante_pct) == (90, 70.0)
     assert (silver["m/2026/1"].pases_precisos_visitante, silver["m/2026/1"].pases_precisos_visitante_pct) == (12, None)
-    standings = _by(read_table(spark, root, *layers.STANDINGS).collect(), "temporada", "equipo")
+    standings = _by(read_layer(spark, root, layers.STANDINGS).collect(), "temporada", "equipo")
     assert tuple(standings[(2026, "Alpha")][c] for c in cols) == (2, 1, 1, 0, 5, 3, 2, 4, 1)
     assert tuple(standings[(2026, "Gamma")][c] for c in cols) == (1, 0, 1, 0, 3, 3, 0, 1, 2)
     assert standings[(2026, "Delta")].posicion == 3
-    perf = _by(read_table(spark, root, *layers.PERFORMANCE).collect(), "temporada", "equipo", "rol")
+    perf = _by(read_layer(spark, root, layers.PERFORMANCE).collect(), "temporada", "equipo", "rol")
     a = perf[(2026, "Alpha", "visitante")]
     # averages skip the match without statistics; partidos_jugados counts it
     assert (a.partidos_jugados, a.posesion_promedio, a.tiros_totales_promedio) == (2, 35.0, 8.0)
@@ -128,6 +128,90 @@ def test_layer_refresh(spark, ansi, workdir):
     assert (g.partidos_jugados, g.puntos, g.posesion_promedio) == (1, 1, None)
 
 
+def _rows(spark, root, table, drop=()):
+    df = read_layer(spark, root, table).drop(*drop)
+    return sorted(tuple(str(v) for v in r) for r in df.collect())
+
+
+def test_refresh_after_failures_does_what_is_missing(spark, workdir):
+    landing, root, whole = (os.path.join(workdir, d) for d in ("landing", "tables", "whole"))
+    write_doc(landing, "2020.json", SEASON_2020)
+    layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True)
+    write_doc(landing, "2021.json", SEASON_2021)
+    # the refresh ends after Bronze, then after Silver
+    layers.ingest_landing(spark, f"{landing}/*.json", f"{root}/bronze/bronze_partidos", layers._state(root), multi_line=True)
+    write_doc(landing, "2026.json", SEASON_2026)
+    layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True, skip_gold=True)
+    assert {r.temporada for r in read_layer(spark, root, layers.STANDINGS).collect()} == {2020}
+    run = layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True)
+    assert (run.bronze.batches, run.silver_batches) == (0, [])
+    layers.refresh_layers(spark, f"{landing}/*.json", whole, multi_line=True)
+    for table in (layers.STANDINGS, layers.PERFORMANCE):
+        assert _rows(spark, root, table) == _rows(spark, whole, table)
+
+
+def test_null_season_and_old_files(spark, workdir):
+    landing, root = os.path.join(workdir, "landing"), os.path.join(workdir, "tables")
+    write_doc(landing, "2020.json", SEASON_2020)
+    layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True)
+    late = {"temporada": "unknown", "data": [{**SEASON_2021["data"][0], "Never seen_local": 4}]}
+    path = write_doc(landing, "late.json", late)
+    os.utime(path, (1e9, 1e9))  # years older than every file before
+    layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True)
+    bronze = read_layer(spark, root, layers.BRONZE)
+    assert bronze.count() == 5 and bronze.filter("`Never seen_local` = '4'").count() == 1
+    teams = {r.equipo for r in read_layer(spark, root, layers.STANDINGS).filter("temporada is null").collect()}
+    assert teams == {"Alpha", "Beta"}
+
+
+def test_malformed_documents_are_set_aside(spark, workdir):
+    landing, root = os.path.join(workdir, "landing"), os.path.join(workdir, "tables")
+    write_doc(landing, "2020.json", SEASON_2020)
+    with open(os.path.join(landing, "broken.json"), "w") as f:
+        f.write('{"temporada": 2021, "data": [{"local": "Al')
+    run = layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True)
+    assert (run.bronze.documents, run.bronze.malformed) == (1, 1)
+    aside = read_quarantine(spark, run.path(layers.BRONZE)).collect()
+    assert len(aside) == 1 and aside[0]["_source_file"].endswith("broken.json") and aside[0]["value"].endswith('"Al')
+
+
+def test_tables_without_rows_can_be_read(spark, workdir):
+    landing, root = os.path.join(workdir, "landing"), os.path.join(workdir, "tables")
+    write_doc(landing, "2022.json", EMPTY_SEASON)
+    layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True, register=True)
+    for table in (layers.BRONZE, layers.SILVER, layers.SUMS, layers.STANDINGS, layers.PERFORMANCE):
+        assert read_layer(spark, root, table).count() == 0
+    assert len(read_layer(spark, root, layers.SILVER).columns) == 87
+
+
+def test_statistic_that_turns_from_number_to_text(spark, workdir):
+    landing, plain, typed = (os.path.join(workdir, d) for d in ("landing", "plain", "typed"))
+    write_doc(landing, "2026.json", SEASON_2026)
+    for drop in (None, SEASON_2026_LATE):
+        if drop:
+            write_doc(landing, "2026-late.json", drop)
+        layers.refresh_layers(spark, f"{landing}/*.json", plain, multi_line=True)
+        run = layers.refresh_layers(spark, f"{landing}/*.json", typed, multi_line=True, infer_types=True)
+    bronze = read_bronze(spark, run.path(layers.BRONZE), run.bronze.schema, typed=True)
+    kinds = dict(bronze.dtypes)
+    assert (kinds["Accurate passes_visitante"], kinds["Total shots_local"]) == ("string", "bigint")
+    assert _rows(spark, plain, layers.SILVER, ["fecha_carga"]) == _rows(spark, typed, layers.SILVER, ["fecha_carga"])
+
+
+def test_performance_column_order(spark, workdir):
+    assert read_layer_columns(spark)[:3] == ["temporada", "equipo", "rol"]
+    assert [c for c in read_layer_columns(spark) if c.endswith("_promedio")] == [
+        "posesion_promedio", "tiros_totales_promedio", "disparos_puerta_promedio", "faltas_promedio",
+        "tarjetas_amarillas_promedio", "tarjetas_rojas_promedio", "saques_esquina_promedio",
+    ]
+
+
+def read_layer_columns(spark) -> list[str]:
+    from pitchflow.operators import gold
+
+    return gold.team_performance(spark.createDataFrame([], layers.silver_table_schema())).columns
+
+
 def test_tables_registered_with_properties(spark, workdir):
     landing = os.path.join(workdir, "landing")
     write_doc(landing, "2021.json", SEASON_2021)
@@ -135,6 +219,12 @@ def test_tables_registered_with_properties(spark, workdir):
     layers.refresh_layers(spark, f"{landing}/*.json", root, multi_line=True, register=True)
     props = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES silver.silver_partidos").collect()}
     assert props.get("quality") == "silver"
+    props = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES bronze.bronze_partidos").collect()}
+    assert props.get("quality") == "bronze"
+    assert spark.table("bronze.bronze_partidos").count() == 2
+    assert spark.table("silver.silver_partidos").count() == 2
+    desc = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED bronze.bronze_partidos").collect()}
+    assert desc.get("Comment", "").startswith("Match rows as landed")
     assert spark.table("gold.gold_tabla_posiciones").count() == 4
     desc = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED gold.gold_tabla_posiciones").collect()}
     assert desc.get("Comment", "").startswith("Standings")
@@ -155,13 +245,10 @@ def test_incremental_and_full_silver_agree(spark, workdir):
     assert _rules(run_inc.rules["silver_partidos"])["equipo_local no nulo"] == (3, 0, 0)
     assert _rules(run_full.rules["silver_partidos"])["equipo_local no nulo"] == (9, 0, 0)
 
-    def rows(root, table, drop=()):
-        df = read_table(spark, root, *table).drop(*drop)
-        return sorted(tuple(str(v) for v in r) for r in df.select(sorted(df.columns)).collect())
-
-    assert rows(inc, layers.SILVER, ["fecha_carga"]) == rows(full, layers.SILVER, ["fecha_carga"])
-    assert rows(inc, layers.STANDINGS) == rows(full, layers.STANDINGS)
-    assert rows(inc, layers.PERFORMANCE) == rows(full, layers.PERFORMANCE)
+    mixed = layers.refresh_layers(spark, f"{landing}/*.json", full, multi_line=True)
+    assert mixed.silver_batches == []
+    for table, drop in ((layers.SILVER, ["fecha_carga"]), (layers.STANDINGS, ()), (layers.PERFORMANCE, ())):
+        assert _rows(spark, inc, table, drop) == _rows(spark, full, table, drop)
 
 
 def test_command_line_refresh(spark, workdir, capsys):

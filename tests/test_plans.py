@@ -11,7 +11,6 @@ from conftest import SEASON_2020, SEASON_2021, SEASON_2026, SMALL_SF, write_doc
 
 from pitchflow.operators import gold
 from pitchflow.plans import catalog, layers
-from pitchflow.sources.tables import read_table
 
 
 def _plan(df, mode="formatted") -> str:
@@ -26,6 +25,7 @@ def test_team_view_scans_once(spark):
     assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 1
     assert "Union" not in plan
     assert "Generate" in plan
+    assert "Exchange" not in plan  # nothing is shuffled between the scan and the rows
 
 
 def _tables(spark, workdir):
@@ -48,7 +48,7 @@ def test_silver_has_no_exchange(spark, workdir):
 
 def test_gold_prunes_and_pushes_down(spark, workdir):
     root = _tables(spark, workdir)
-    silver = read_table(spark, root, *layers.SILVER)
+    silver = layers.read_layer(spark, root, layers.SILVER)
     perf_plan = _plan(gold.team_performance(silver))
     # the season filter prunes Silver's partition folders; the played filter reaches the scan
     assert "PartitionFilters: [isnotnull(temporada" in perf_plan and ">= 2022" in perf_plan
@@ -59,4 +59,4 @@ def test_gold_prunes_and_pushes_down(spark, workdir):
     st_plan = _plan(gold.standings(silver))
     exchanges = re.findall(r"^\(\d+\) Exchange", st_plan, re.M)
     assert len(exchanges) == 2  # group keys, then season for the rank
-    assert "partial_count" in st_plan  # map-side partial aggregate before the shuffle
+    assert "partial_sum" in st_plan  # map-side partial aggregate before the shuffle
