@@ -1,33 +0,0 @@
-"""Column-level building blocks (``Column -> Column``)."""
-
-from pitchflow.functions.names import col, quote, sanitized
-from pitchflow.functions.parsing import (
-    as_text,
-    flag,
-    parse_match_date,
-    pct_part,
-    percent_only,
-    result_letter,
-    score_goals,
-    strip_weekday,
-    to_double,
-    to_int,
-    value_part,
-)
-
-__all__ = [
-    "as_text",
-    "col",
-    "flag",
-    "parse_match_date",
-    "pct_part",
-    "percent_only",
-    "quote",
-    "result_letter",
-    "sanitized",
-    "score_goals",
-    "strip_weekday",
-    "to_double",
-    "to_int",
-    "value_part",
-]

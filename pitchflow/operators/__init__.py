@@ -1,31 +0,0 @@
-"""DataFrame-level operators (``DataFrame -> DataFrame``)."""
-
-from pitchflow.operators.columns import rename_columns, sanitize_column_names
-from pitchflow.operators.gold import played, standings, team_performance, team_view
-from pitchflow.operators.quality import load_rules, observe_rules, rule_report
-from pitchflow.operators.silver import (
-    cast_to_schema,
-    parse_dates,
-    parse_score,
-    silver_matches,
-    split_value_pct,
-    unify_languages,
-)
-
-__all__ = [
-    "cast_to_schema",
-    "load_rules",
-    "observe_rules",
-    "parse_dates",
-    "parse_score",
-    "played",
-    "rename_columns",
-    "rule_report",
-    "sanitize_column_names",
-    "silver_matches",
-    "split_value_pct",
-    "standings",
-    "team_performance",
-    "team_view",
-    "unify_languages",
-]

@@ -44,11 +44,11 @@ def workdir():
 SEASON_2020 = {
     "temporada": 2020,
     "data": [
-        {"fecha": "25-07-2020", "local": "Alpha", "visitante": "Beta", "marcador": "2 - 1", "url": "m/2020/1"},
-        {"fecha": "Sunday, July 26, 2020", "local": "Gamma", "visitante": "Delta", "marcador": "1 - 3",
+        {"fecha": "08-08-2020", "local": "Alpha", "visitante": "Beta", "marcador": "2 - 1", "url": "m/2020/1"},
+        {"fecha": "Sunday, August 9, 2020", "local": "Gamma", "visitante": "Delta", "marcador": "1 - 3",
          "url": "m/2020/2"},
         {"fecha": "not a date", "local": "Alpha", "visitante": "Gamma", "marcador": "0 - 0", "url": "m/2020/3"},
-        {"fecha": "01-08-2020", "local": "Beta", "visitante": "Delta", "marcador": "Sin jugar", "url": "m/2020/4"},
+        {"fecha": "15-08-2020", "local": "Beta", "visitante": "Delta", "marcador": "Sin jugar", "url": "m/2020/4"},
     ],
 }
 
@@ -57,7 +57,7 @@ SEASON_2021 = {
     "temporada": 2021,
     "data": [
         {
-            "fecha": "Saturday, March 6, 2021", "local": "Alpha", "visitante": "Beta", "marcador": "1 - 0",
+            "fecha": "Friday, April 2, 2021", "local": "Alpha", "visitante": "Beta", "marcador": "1 - 0",
             "url": "m/2021/1",
             "Tiros totales_local": 12, "Tiros totales_visitante": 7,
             "Disparos a puerta_local": 5, "Disparos a puerta_visitante": 2,
@@ -65,11 +65,11 @@ SEASON_2021 = {
             "Tarjetas amarillas_local": 1, "Tarjetas amarillas_visitante": 3,
             "Tarjetas rojas_local": 0, "Tarjetas rojas_visitante": 1,
             "Saques de esquina_local": 6, "Saques de esquina_visitante": 2,
-            "Pases precisos_local": "340 (80%)", "Pases precisos_visitante": "210 (70%)",
+            "Pases precisos_local": "271 (83%)", "Pases precisos_visitante": "198 (66%)",
             "Posesión_local": "55%", "Posesión_visitante": "45%",
         },
         {
-            "fecha": "07-03-2021", "local": "Gamma", "visitante": "Delta", "marcador": "1 - 0",
+            "fecha": "03-04-2021", "local": "Gamma", "visitante": "Delta", "marcador": "1 - 0",
             "url": "m/2021/2",
             "Tiros totales_local": 9, "Tiros totales_visitante": 11,
         },
@@ -80,7 +80,7 @@ SEASON_2026 = {
     "temporada": 2026,
     "data": [
         {
-            "fecha": "Saturday, February 14", "local": "Delta", "visitante": "Alpha", "marcador": "0 - 2",
+            "fecha": "Friday, May 8", "local": "Delta", "visitante": "Alpha", "marcador": "0 - 2",
             "url": "m/2026/1",
             "Total shots_local": 15, "Total shots_visitante": 8,
             "Shots on target_local": 4, "Shots on target_visitante": 6,
@@ -88,11 +88,11 @@ SEASON_2026 = {
             "Yellow cards_local": 2, "Yellow cards_visitante": 0,
             "Red cards_local": 0, "Red cards_visitante": 0,
             "Corners_local": 3, "Corners_visitante": 5,
-            "Accurate passes_local": "100 (87.5%)", "Accurate passes_visitante": 12,
-            "Posesión_local": "64.5%", "Posesión_visitante": "35.5%",
+            "Accurate passes_local": "120 (62.5%)", "Accurate passes_visitante": 12,
+            "Posesión_local": "61.5%", "Posesión_visitante": "38.5%",
         },
         {
-            "fecha": "Sunday, February 15", "local": "Beta", "visitante": "Gamma", "marcador": "2 - 1 (4-3)",
+            "fecha": "Saturday, May 9", "local": "Beta", "visitante": "Gamma", "marcador": "2 - 1 (4-3)",
             "url": "m/2026/2",
         },
     ],
@@ -104,9 +104,9 @@ SEASON_2026_LATE = {
     "temporada": 2026,
     "data": [
         {
-            "fecha": "Saturday, February 21", "local": "Gamma", "visitante": "Alpha", "marcador": "3 - 3",
+            "fecha": "Friday, May 15", "local": "Gamma", "visitante": "Alpha", "marcador": "3 - 3",
             "url": "m/2026/3",
-            "Accurate passes_visitante": "90 (70%)",
+            "Accurate passes_visitante": "77 (58%)",
             "Expected goals_local": "1.7",
         },
     ],

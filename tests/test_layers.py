@@ -43,8 +43,8 @@ def test_layer_refresh(spark, ansi, workdir):
     assert len(silver) == 8
     assert len(read_layer(spark, root, layers.SILVER).columns) == 87
     r = silver["m/2020/1"]
-    assert (r.fecha, r.goles_local, r.goles_visitante, r.resultado) == (dt.date(2020, 7, 25), 2, 1, "L")
-    assert silver["m/2020/2"].fecha == dt.date(2020, 7, 26)
+    assert (r.fecha, r.goles_local, r.goles_visitante, r.resultado) == (dt.date(2020, 8, 8), 2, 1, "L")
+    assert silver["m/2020/2"].fecha == dt.date(2020, 8, 9)
     assert silver["m/2020/2"].resultado == "V"
     assert silver["m/2020/3"].fecha is None
     assert silver["m/2020/3"].resultado == "E"
@@ -52,20 +52,20 @@ def test_layer_refresh(spark, ansi, workdir):
     assert (r.goles_local, r.goles_visitante, r.resultado) == (None, None, None)
     assert r.tiros_totales_local is None
     r = silver["m/2021/1"]
-    assert r.fecha == dt.date(2021, 3, 6)
-    assert (r.tiros_totales_local, r.pases_precisos_local, r.pases_precisos_local_pct) == (12, 340, 80.0)
-    assert (r.pases_precisos_visitante, r.pases_precisos_visitante_pct) == (210, 70.0)
+    assert r.fecha == dt.date(2021, 4, 2)
+    assert (r.tiros_totales_local, r.pases_precisos_local, r.pases_precisos_local_pct) == (12, 271, 83.0)
+    assert (r.pases_precisos_visitante, r.pases_precisos_visitante_pct) == (198, 66.0)
     assert (r.posesion_local, r.posesion_visitante) == (55, 45)
     assert r.fuente.endswith("2021.json")
     assert r.fecha_carga is not None
     r = silver["m/2021/2"]
     assert (r.tiros_totales_local, r.tiros_totales_visitante, r.posesion_local) == (9, 11, None)
     r = silver["m/2026/1"]
-    assert r.fecha == dt.date(2026, 2, 14)
+    assert r.fecha == dt.date(2026, 5, 8)
     assert r.tiros_totales_local == 15  # English name
-    assert (r.pases_precisos_local, r.pases_precisos_local_pct) == (100, 87.5)
+    assert (r.pases_precisos_local, r.pases_precisos_local_pct) == (120, 62.5)
     assert (r.pases_precisos_visitante, r.pases_precisos_visitante_pct) == (12, None)
-    assert (r.posesion_local, r.posesion_visitante) == (64, 35)
+    assert (r.posesion_local, r.posesion_visitante) == (61, 38)
     r = silver["m/2026/2"]
     assert (r.goles_local, r.goles_visitante, r.resultado) == (2, None, None)
 
@@ -91,11 +91,11 @@ def test_layer_refresh(spark, ansi, workdir):
     assert set(perf) == {(2026, "Delta", "local"), (2026, "Alpha", "visitante")}
     d = perf[(2026, "Delta", "local")]
     assert (d.partidos_jugados, d.derrotas, d.puntos, d.goles_favor, d.goles_contra) == (1, 1, 0, 0, 2)
-    assert (d.posesion_promedio, d.tiros_totales_promedio, d.disparos_puerta_promedio) == (64.0, 15.0, 4.0)
+    assert (d.posesion_promedio, d.tiros_totales_promedio, d.disparos_puerta_promedio) == (61.0, 15.0, 4.0)
     assert (d.faltas_promedio, d.tarjetas_amarillas_promedio, d.tarjetas_rojas_promedio) == (11.0, 2.0, 0.0)
     assert d.saques_esquina_promedio == 3.0
     a = perf[(2026, "Alpha", "visitante")]
-    assert (a.victorias, a.puntos, a.posesion_promedio, a.faltas_promedio) == (1, 3, 35.0, 9.0)
+    assert (a.victorias, a.puntos, a.posesion_promedio, a.faltas_promedio) == (1, 3, 38.0, 9.0)
 
     dq = _rules(run.rules["silver_partidos"])
     assert dq["marcador valido"] == (6, 2, 0)
@@ -114,7 +114,7 @@ def test_layer_refresh(spark, ansi, workdir):
     assert bronze.filter(bronze["`Expected goals_local`"].isNotNull()).count() == 1
     silver = _by(read_layer(spark, root, layers.SILVER).collect(), "url")
     r = silver["m/2026/3"]
-    assert (r.pases_precisos_visitante, r.pases_precisos_visitante_pct) == (90, 70.0)
+    assert (r.pases_precisos_visitante, r.pases_precisos_visitante_pct) == (77, 58.0)
     assert (silver["m/2026/1"].pases_precisos_visitante, silver["m/2026/1"].pases_precisos_visitante_pct) == (12, None)
     standings = _by(read_layer(spark, root, layers.STANDINGS).collect(), "temporada", "equipo")
     assert tuple(standings[(2026, "Alpha")][c] for c in cols) == (2, 1, 1, 0, 5, 3, 2, 4, 1)
@@ -123,7 +123,7 @@ def test_layer_refresh(spark, ansi, workdir):
     perf = _by(read_layer(spark, root, layers.PERFORMANCE).collect(), "temporada", "equipo", "rol")
     a = perf[(2026, "Alpha", "visitante")]
     # averages skip the match without statistics; partidos_jugados counts it
-    assert (a.partidos_jugados, a.posesion_promedio, a.tiros_totales_promedio) == (2, 35.0, 8.0)
+    assert (a.partidos_jugados, a.posesion_promedio, a.tiros_totales_promedio) == (2, 38.0, 8.0)
     g = perf[(2026, "Gamma", "local")]
     assert (g.partidos_jugados, g.puntos, g.posesion_promedio) == (1, 1, None)
 

@@ -36,3 +36,13 @@ def test_entry_smoke(spark):
         "temporada", "equipo", "partidos_jugados", "victorias", "empates", "derrotas",
         "goles_favor", "goles_contra", "diferencia_goles", "puntos", "posicion",
     ]
+
+
+@pytest.mark.parametrize("name", ["standings", "team_performance", "silver_matches", "possession_and_accuracy"])
+def test_column_order_and_types(spark, con, name):
+    """Columns in the oracle's order, and the same kind of value in each."""
+    df = entry.queries()[name](spark, SMALL_SF)
+    told = con.sql(SQL[name])
+    kinds = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+    assert df.columns == list(told.columns)
+    assert [kinds[t] for _, t in df.dtypes] == [str(t) for t in told.types]
