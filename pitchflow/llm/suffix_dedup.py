@@ -35,6 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitchflow.functions.names import col
 from pitchflow.llm.common import discard, document_shards, stored
 from pitchflow.llm.suffixes import common_prefixes, merge_sorted, suffix_array, words_at
 
@@ -106,6 +107,8 @@ def _spans_of(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _by_bucket(keys: np.ndarray, buckets: int):
     """(bucket, indices in ascending key order)."""
+    if not len(keys):
+        return
     bucket = (keys >> np.uint64(20)) % np.uint64(buckets)
     order = np.lexsort((keys, bucket))
     found, at = np.unique(bucket[order], return_index=True)
@@ -389,8 +392,9 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     _, changed = repeats(docs, length, with_text=True)
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.withColumn("digest", F.unhex(F.sha2(raw, 256))).alias("d")
-    joined = rows.join(changed.alias("c"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("c.doc_id")) & (F.col("d.digest") == F.col("c.digest")), "left")
-    text = F.when(F.col("c.digest").isNull(), F.col("d.text")).otherwise(F.col("c.kept"))
-    fresh = {"text": text, "n_chars": F.when(F.col("c.digest").isNull(), F.col("d.n_chars")).otherwise(F.length(text)) if "n_chars" in docs.columns else None}
-    return joined.select(*[(fresh.get(c) if fresh.get(c) is not None else F.col(f"d.{c}")).alias(c) for c in docs.columns])
+    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(raw, 256)).alias("digest"))
+    joined = rows.alias("d").join(changed.select("doc_id", "digest", "kept").alias("c"), _same("d", "c"), "left")
+    is_cut = F.col("c.digest").isNotNull()
+    fresh = {"text": F.col("c.kept"), "n_chars": F.length("c.kept").cast("long")}
+    old = {c: F.col("row").getField(c) for c in docs.columns}
+    return joined.select(*[(F.when(is_cut, fresh[c]).otherwise(v) if c in fresh else v).alias(c) for c, v in old.items()])

@@ -239,6 +239,8 @@ def train(texts: list[bytes], y: np.ndarray, prior: float, steps: int = 320, rat
         net.scale, net.shift = 0.0, 8.0 if len(y) and y[0] else -8.0
         return net
     check = r.random(len(y)) < 0.25  # these calibrate the scores
+    if len(set(y[check].tolist())) < 2 or len(set(y[~check].tolist())) < 2:
+        check[:] = False
     told, truth = [t for t, c in zip(texts, check, strict=True) if c], y[check]
     texts, y = [t for t, c in zip(texts, check, strict=True) if not c], y[~check]
     x, rows = numbered(texts)
@@ -271,7 +273,7 @@ def train(texts: list[bytes], y: np.ndarray, prior: float, steps: int = 320, rat
             second[k] += 0.01 * (g * g - second[k])
             size = np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8
             net.p[k] = (net.p[k] * (1 - DECAY * rate) - rate * (first[k] / (1 - 0.9**step)) / size).astype(np.float32)
-    if len(set(truth.tolist())) < 2:
+    if not len(truth):
         told, truth = texts, y
     _calibrate(net, net.scores(told, raw=True), truth, prior)
     return net

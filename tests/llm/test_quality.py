@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+
+from pitchflow.llm import quality
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_given_documents_held_out_accuracy(spark, docs):
+    sf = "/root/testdata/sf0.01"
+    table, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    out = {r.doc_id: r for r in quality.quality_scores(table, labels).collect()}
+    assert len(out) == table.count()
+    assert all(r.held_out == (zlib.crc32(str(d).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for d, r in out.items())
+    held = [(r.quality, out[r.doc_id].predicted) for r in labels.collect() if out[r.doc_id].held_out]
+    assert len(held) > 50 and np.mean([a == b for a, b in held]) > 0.95
+    kept = {r.doc_id for r in quality.keep_good(table, labels).collect()}
+    assert kept == {d for d, r in out.items() if r.predicted}
+
+
+def test_held_out_labels_are_not_learnt(spark, docs):
+    rows = [(i, "plain words in a line " * 5 if i % 2 else "### *** !!! " * 8) for i in range(80)]
+    held = {i for i in range(80) if zlib.crc32(str(i).encode()) % 4 == 2}
+
+    def labels(flip):
+        return spark.createDataFrame([(i, (i % 2) ^ (flip and i in held), 0) for i in range(80)], LABELS)
+
+    a, b = ([(r.doc_id, r.score) for r in quality.quality_scores(docs(rows), labels(f)).orderBy("doc_id").collect()] for f in (False, True))
+    assert a == b
+    assert all(s == i % 2 for i, s in a)
+
+
+def test_edge_cases(spark, docs):
+    good, bad = "the words of a plain text are here and there", "%%% $$$ ||| &&&"
+    rows = [(i, good if i % 2 else bad) for i in range(40)] + [(100, None), (101, ""), (102, "x"), (103, good * 20_000), (None, bad), (1, good), (1, good)]
+    df = docs(rows).selectExpr("*", "1 as score", "2 as y", "3 as quality", "4 as counts")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(1, 1, 0), (1, 0, 1), (2, None, 0), (None, 1, 1), (3, 7, 1)], LABELS).selectExpr("*", "'t' as text")
+    out = quality.quality_scores(df, labels).collect()
+    assert len(out) == len(rows)
+    by = {r.doc_id: r for r in out}
+    assert by[100].score == by[101].score and 0 < by[100].score < 1  # no terms: the share of label 1
+    assert by[103].score >= 0.7 and by[None].score < 0.1 and by[None].held_out is False
+    assert quality.keep_good(df, labels).columns == df.columns
+
+
+def test_empty_tables(spark, docs):
+    none = spark.createDataFrame([], LABELS)
+    assert quality.quality_scores(docs([]), none).count() == 0
+    assert [(r.score, r.predicted) for r in quality.quality_scores(docs([(1, "a b")]), none).collect()] == [(1.0, 1)]
+
+
+def test_votes_are_exact_neighbours():
+    r = np.random.default_rng(0)
+    counts = r.poisson(0.05, (90, quality.TERMS)).astype(np.float32)
+    y = r.integers(0, 2, 60).astype(float)
+    model = quality.Model(np.ones(quality.TERMS, np.float32), r.standard_normal((quality.TERMS, 12)).astype(np.float32), np.zeros((0, 12)), y, 0.5, neighbours=5)
+    model.vectors = model.project(counts[:60])
+    for x, s in zip(model.project(counts[60:]), model.scores(counts[60:])):
+        cos = model.vectors @ x
+        near = np.argsort(-cos)[:5]
+        weight = np.maximum(cos[near], 0).astype(float) ** 8
+        assert abs(s - (weight * y[near]).sum() / weight.sum()) < 1e-5
