@@ -24,7 +24,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best window of every document and benchmark item with similarity 0.8 or more."""
     found = decontaminate.hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "item_id", "similarity", "start_word", "n_words", "distance")
+    return found.select("doc_id", "item_id", "similarity", "n_words")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +79,62 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: _shipped(q) for q in QUERIES}
 
 
+OP3_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w FROM documents
+), iw AS (
+  SELECT item_id, w, len(w) AS n, least(5, len(w)) AS k
+  FROM (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark)
+  WHERE len(w) > 0
+), shingle AS (
+  SELECT item_id, k, list_slice(w, p, p + k - 1) AS sh, count(*) AS c FROM iw, unnest(generate_series(1, n - k + 1)) AS u(p) GROUP BY ALL
+), pair AS (
+  SELECT DISTINCT doc_id, item_id FROM (
+    SELECT doc_id, k, list_slice(w, p, p + k - 1) AS sh
+    FROM dw, (SELECT DISTINCT k FROM iw), unnest(generate_series(1, len(w) - k + 1)) AS u(p)
+  ) JOIN shingle USING (k, sh)
+), win AS (
+  SELECT doc_id, item_id, s, n, iw.k AS k, n - iw.k + 1 AS total, least(n, len(dw.w)) - iw.k + 1 AS held, dw.w AS w
+  FROM pair JOIN dw USING (doc_id) JOIN iw USING (item_id), unnest(generate_series(1, greatest(len(dw.w) - n, 0) + 1)) AS u(s)
+), counted AS (
+  SELECT doc_id, item_id, s, n, k, total, held, list_slice(w, s + i, s + i + k - 1) AS sh, count(*) AS c
+  FROM win, unnest(generate_series(0, held - 1)) AS u(i) GROUP BY ALL
+), common AS (
+  SELECT doc_id, item_id, s, n, total, held, sum(least(counted.c, shingle.c)) AS common
+  FROM counted JOIN shingle USING (item_id, k, sh) GROUP BY ALL
+)
+SELECT doc_id, item_id, max(common / (total + held - common)) AS similarity, CAST(n AS INTEGER) AS n_words
+FROM common GROUP BY doc_id, item_id, n HAVING max(common / (total + held - common)) >= 0.8
+"""
+
+OP4_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n_bytes FROM documents
+), w AS (
+  SELECT doc_id, s, substr(h, 2 * s + 1, 100) AS w FROM d, unnest(generate_series(0, n_bytes - 50)) AS u(s)
+), f AS (
+  SELECT w, min(doc_id) AS first_id FROM w GROUP BY w HAVING min(doc_id) < max(doc_id)
+), g AS (
+  SELECT w.doc_id, w.s FROM w JOIN f ON w.w = f.w WHERE f.first_id < w.doc_id
+), n AS (
+  SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50 THEN 0 ELSE 1 END AS starts FROM g
+), k AS (
+  SELECT doc_id, s, sum(starts) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM n
+), sp AS (
+  SELECT doc_id, span, min(s) AS a, max(s) + 50 AS b FROM k GROUP BY doc_id, span
+), lost AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last_b FROM sp GROUP BY doc_id
+), kept AS (
+  SELECT p.doc_id, string_agg(substr(d.h, 2 * p.before + 1, 2 * (p.a - p.before)), '' ORDER BY p.a) AS h
+  FROM (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM sp) p JOIN d USING (doc_id)
+  GROUP BY p.doc_id
+)
+SELECT d.doc_id, CAST(d.n_bytes AS BIGINT) AS n_bytes, CAST(coalesce(lost.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(lost.n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN lost.doc_id IS NULL THEN d.h ELSE kept.h || substr(d.h, 2 * lost.last_b + 1) END)) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 OP6_SQL = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, url, strlen(h) AS payload_bytes, sha1(h) AS payload_digest FROM p),
@@ -89,6 +145,23 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM m
 """
 
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
+         coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                  AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS usable
+  FROM embeddings
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.usable AND b.usable AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+)
+SELECT v.vec_id, (SELECT count(*) FROM link WHERE link.a = v.vec_id) AS n_links,
+       r.component_id, v.vec_id = r.component_id AS kept
+FROM v JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = v.vec_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": OP6_SQL}
+    return {"op3_decontaminate": OP3_SQL, "op4_suffix_dedup": OP4_SQL, "op6_warc": OP6_SQL, "op7_itq": OP7_SQL}
