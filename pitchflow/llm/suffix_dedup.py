@@ -183,9 +183,11 @@ def ask(shards: DataFrame, shared: DataFrame, length: int, buckets: int) -> Data
         kept = np.cumsum(cover[:-1]) > 0
         to = np.cumsum(kept) - 1
         _, rank = suffix_array(text[kept], length)
-        what = np.stack((key.view(np.int64), rank[to[left]], rank[to[right - length]], right - left), axis=1)
-        _, first, number = np.unique(what, axis=0, return_index=True, return_inverse=True)
-        number = number.reshape(-1)
+        what = (right - left, rank[to[left]] << 32 | rank[to[right - length]], key)
+        order = np.lexsort(what)
+        new = np.concatenate(([True], np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in what])))
+        first, number = order[new], np.empty(len(key), np.int64)
+        number[order] = np.cumsum(new) - 1
         least = np.full(len(first), _NO_ID)
         np.minimum.at(least, number, ids[doc])
         rows = [(-1, at, b"", b"", number.astype(np.uint32).tobytes(), doc.astype(np.uint32).tobytes(), left.astype(np.uint32).tobytes(), b"")]
@@ -293,10 +295,10 @@ def _text_hash(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndar
     return h
 
 
-def cut(shards: DataFrame, asked: DataFrame, answers: DataFrame, length: int, with_text: bool) -> DataFrame:
+def cut(shards: DataFrame, notes: DataFrame, answers: DataFrame, length: int, with_text: bool) -> DataFrame:
     """(doc_id, digest, n_removed, n_spans, kept_sha256[, kept]) of the documents that lose bytes."""
     schema = "doc_id long, digest binary, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text
-    notes = asked.where("bucket = -1").select("shard", F.col("numbers").alias("a"), F.col("sizes").alias("b"), F.col("offsets").alias("c"), F.lit(None).cast("binary").alias("d"))
+    notes = notes.select("shard", F.col("numbers").alias("a"), F.col("sizes").alias("b"), F.col("offsets").alias("c"), F.lit(None).cast("binary").alias("d"))
     told = answers.select("shard", F.col("numbers").alias("a"), F.col("low").alias("b"), F.col("high").alias("c"), F.col("ids").alias("d"))
     both = notes.union(told)
 
@@ -358,10 +360,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> t
     asked = stored(ask(shards, shared, length, max(1, anchors_in * (2 * length) // BUCKET_BYTES)), "repeats-asked")
     discard(shared)
     answers = stored(answer(asked, length), "repeats-answers")
+    notes = stored(asked.where("bucket = -1").select("shard", "numbers", "sizes", "offsets"), "repeats-notes")
+    discard(asked)
     kept = [F.lit("").alias("kept")] * with_text
     whole = copies.select("doc_id", "digest", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(hashlib.sha256().hexdigest()).alias("kept_sha256"), *kept)
-    changed = stored(cut(shards, asked, answers, length, with_text).dropDuplicates(["doc_id", "digest"]).unionByName(whole), "repeats-changed")
-    for table in (shards, asked, answers):
+    changed = stored(cut(shards, notes, answers, length, with_text).dropDuplicates(["doc_id", "digest"]).unionByName(whole), "repeats-changed")
+    for table in (shards, notes, answers):
         discard(table)
     return documents, changed
 
