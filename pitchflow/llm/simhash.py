@@ -97,8 +97,11 @@ class BKForest:
 
     def pairs(self, radius: int):
         """Index pairs (i, j), i < j by row, within ``radius`` bits, tree by tree, in pieces."""
-        for at in range(0, len(self.fps), 20_000):
-            query = np.arange(at, min(at + 20_000, len(self.fps)))
+        # So many queries at once that their open nodes stay few even if nothing can be pruned.
+        largest = int(np.bincount(self.root).max(initial=1))
+        step = max(64, (1 << 22) // largest)
+        for at in range(0, len(self.fps), step):
+            query = np.arange(at, min(at + step, len(self.fps)))
             node = self.root[query]
             while len(query):
                 d = np.bitwise_count(self.fps[query] ^ self.fps[node]).astype(np.int64)
@@ -111,10 +114,28 @@ class BKForest:
                 node = self.children[np.repeat(low - np.cumsum(many) + many, many) + np.arange(len(query))]
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges with the same components as (a, b): each node but the least of a component, to the least."""
+    nodes, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    least = np.arange(len(nodes))
+    while True:
+        before = least.copy()
+        np.minimum.at(least, x, before[y])
+        np.minimum.at(least, y, before[x])
+        least = least[least]
+        if np.array_equal(least, before):
+            break
+    rest = least != np.arange(len(nodes))
+    return nodes[rest], nodes[least[rest]]
+
+
 def links(classes: DataFrame, radius: int) -> DataFrame:
-    """(a, b) for all pairs of distinct fingerprints within ``radius`` bits.
+    """(a, b): edges between distinct fingerprints with the components of all pairs
+    within ``radius`` bits.
 
-    A pair that meets in several shards is returned by the first one only.
+    A pair that meets in several shards is taken in the first one only; each shard
+    returns its pairs' components as stars.
     """
     masks = block_masks(radius)
     shards = max(1, -(-classes.count() * len(masks) // SHARD_ROWS))
@@ -135,7 +156,7 @@ def links(classes: DataFrame, radius: int) -> DataFrame:
                 for m in masks[:i]:
                     new &= ((x ^ y) & m) != 0
                 out.append((x[new], y[new]))
-        a, b = (np.concatenate([p[k] for p in out]).view(np.int64) if out else np.zeros(0, np.int64) for k in (0, 1))
+        a, b = stars(*(np.concatenate([np.zeros(0, np.uint64), *[p[k] for p in out]]).view(np.int64) for k in (0, 1)))
         return pa.table({"a": a, "b": b})
 
     return keyed.groupBy("shard").applyInArrow(run, "a long, b long")

@@ -84,3 +84,9 @@ def test_empty_table_and_keep_one(docs):
     kept = simhash.keep_one(docs(rows))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 2, 4]
+
+
+def test_stars_keep_the_components():
+    a, b = simhash.stars(np.array([5, 3, 9, 9, -4]), np.array([3, 2, 8, 7, 8]))
+    assert sorted(zip(a.tolist(), b.tolist())) == [(3, 2), (5, 2), (7, -4), (8, -4), (9, -4)]
+    assert [len(x) for x in simhash.stars(np.zeros(0, np.int64), np.zeros(0, np.int64))] == [0, 0]
