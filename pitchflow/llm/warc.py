@@ -34,6 +34,8 @@ FILE_BYTES = 256 << 20
 #: Records at most this far apart are fetched together, up to so many bytes.
 GAP_BYTES = 256 << 10
 READ_BYTES = 16 << 20
+#: Archive bytes that one reading task gets on average.
+TASK_BYTES = 16 << 20
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX_SCHEMA = "file string, offset long, length long, page_id long, url string, payload_digest string, record_type string"
 RECORD_SCHEMA = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
@@ -192,4 +194,6 @@ def read_records(index: DataFrame) -> DataFrame:
             f.close()
 
     chosen = index.select("file", "offset", "length")
-    return chosen.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, RECORD_SCHEMA)
+    # The rows are small, what they point to is not: tasks by the bytes to read.
+    tasks = max(1, -(-(chosen.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
+    return chosen.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, RECORD_SCHEMA)
