@@ -112,6 +112,12 @@ def read_table(spark: SparkSession, root: str, layer: str, name: str, schema: St
 BATCH = "lote"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system of ``path`` has it."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def committed_batches(spark: SparkSession, path: str) -> dict[int, int]:
     """Numbers of the batches whose write was committed, ascending, with the time of that."""
     marks = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{BATCH}=*/_SUCCESS")

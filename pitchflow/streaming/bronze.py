@@ -31,7 +31,7 @@ from pitchflow.sources.landing import (
     to_bronze,
     typed_columns,
 )
-from pitchflow.sources.tables import BATCH, committed_batches, read_batches, write_batch
+from pitchflow.sources.tables import BATCH, committed_batches, path_exists, read_batches, write_batch
 
 #: The file source forgets files older than this, counted from the newest; a hundred years.
 MAX_FILE_AGE = "36500d"
@@ -77,6 +77,9 @@ def ingest_landing(
     landing folder each trigger lists stays small over a long history.
     """
     state_dir = state_dir.rstrip("/")
+    if committed_batches(spark, bronze_path) and not path_exists(spark, f"{state_dir}/checkpoint/offsets"):
+        # a new checkpoint would count batches from 0 again and replace the ones there
+        raise ValueError(f"{bronze_path} has batches, but {state_dir} has no checkpoint of them")
     store = SchemaStore(spark, f"{state_dir}/schema")
     reader = spark.readStream.option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
@@ -127,6 +130,8 @@ def read_bronze(
     """
     if doc_schema is None:
         chosen = list(committed_batches(spark, bronze_path)) if batches is None else batches
+        if not chosen:
+            return read_batches(spark, bronze_path, bronze_schema(T.StructType([])), [])
         paths = [f"{bronze_path}/{BATCH}={b}" for b in chosen]
         return spark.read.option("mergeSchema", "true").parquet(*paths)
     rows = read_batches(spark, bronze_path, bronze_schema(as_stored(doc_schema)), batches)

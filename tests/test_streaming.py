@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from conftest import SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
 
 from pitchflow import spec
@@ -132,6 +133,16 @@ def test_silver_same_from_typed_and_string_bronze(spark, workdir):
     assert _rows(a) == _rows(b)
 
 
+def test_lost_checkpoint_is_refused(spark, workdir):
+    land = os.path.join(workdir, "landing")
+    write_doc(land, "2021.json", SEASON_2021)
+    bronze = os.path.join(workdir, "bronze")
+    ingest_landing(spark, f"{land}/*.json", bronze, os.path.join(workdir, "state"), multi_line=True)
+    with pytest.raises(ValueError):
+        ingest_landing(spark, f"{land}/*.json", bronze, os.path.join(workdir, "other"), multi_line=True)
+    assert read_bronze(spark, bronze).count() == 2
+
+
 def test_archive_processed_landing_files(spark, workdir):
     land = os.path.join(workdir, "landing")
     write_doc(land, "2021.json", SEASON_2021)
