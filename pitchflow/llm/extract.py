@@ -46,7 +46,9 @@ _MARKS = frozenset(
     banners cookie cookies consent gdpr notice notices notification notifications alert alerts popup popups modal overlay newsletter subscribe
     subscription signup sidebar sidebars rail widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs toolbar topbar
     footer masthead comment comments disqus respond replies reply discussion social share sharing related recommended recommendations
-    pagination pager login search skip copyright""".split()
+    pagination pager login search skip copyright
+    commentlist commentform commentarea commentbox commentsection adsbygoogle adsense adslot adbox adunit adcontainer adwrapper
+    topnav sidenav subnav mainnav sitenav pagefooter sitefooter siteheader sharebar sharedaddy""".split()
 )
 _ARTICLE_MARKS = _MARKS & frozenset("ad ads advert sponsored promo comment comments reply related recommended".split())
 _IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
