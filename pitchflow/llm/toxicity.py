@@ -2,7 +2,7 @@
 
 Every text is cut into overlapping windows of words. A word's input is the sum of an
 embedding of the word, if it is among the sample's frequent words, and the mean
-embedding of its hashed character trigrams. Forward and backward gated recurrent units read the window, attention
+embedding of its hashed strings of four characters. Forward and backward gated recurrent units read the window, attention
 pools their states, and a logistic unit gives the window's score; a text has
 the score of its highest window, calibrated on the training texts.
 
@@ -27,21 +27,25 @@ MAX_PER_LABEL = 2_000
 MAX_SAMPLE_BYTES = 16_384
 WINDOW = 32
 STRIDE = 24
-#: Words with an embedding of their own: the most frequent in the sample, in three texts at least.
+#: Words with an embedding of their own: the most frequent in the sample, in so many texts at least.
 VOCABULARY = 8_000
-CHAR_SLOTS = 16_384
+LEAST_TEXTS = 8
+CHAR_SLOTS = 32_768
 INPUT = 16
 HIDDEN = 8
 THRESHOLD = 0.5
 _EDGE = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BATCH = 256
+#: Size of the labels' log odds in the first embeddings.
+ODDS_SCALE = 1.0
+PRIOR_TEXTS = 10
 #: Weight decay of a training step, times its rate.
-DECAY = 0.3
+DECAY = 4.0
 
 
 @dataclass
 class Inputs:
-    """Different words of some texts: 64-bit hash, slots of the trigrams, their word, their number."""
+    """Different words of some texts: 64-bit hash, slots of the strings of four, their word, their number."""
 
     words: np.ndarray
     chars: np.ndarray
@@ -59,11 +63,12 @@ def numbered(texts: list[bytes]) -> tuple[Inputs, list[np.ndarray]]:
     rows = [np.array([number.setdefault(w, len(number) + 1) for w in words_of(t)], np.int32) for t in texts]
     bare = [w.strip(_EDGE) or w for w in number]
     size = np.fromiter(map(len, bare), np.int64, len(bare))
-    text = np.frombuffer(b" " + b" ".join(bare) + b"  ", np.uint8).astype(np.uint64)
+    text = np.frombuffer(b" " + b"  ".join(bare) + b"    ", np.uint8).astype(np.uint64)
     with np.errstate(over="ignore"):
-        gram = (text[:-2] * np.uint64(0x9E3779B1) ^ text[1:-1] * np.uint64(0x85EBCA77) ^ text[2:] * np.uint64(0xC2B2AE3D)) * np.uint64(0x9E3779B97F4A7C15)
-        # A word of n bytes has n trigrams, the blanks on its sides included.
-        start = np.cumsum(size + 1) - size - 1
+        four = text[:-3] << np.uint64(24) | text[1:-2] << np.uint64(16) | text[2:-1] << np.uint64(8) | text[3:]
+        gram = (four ^ four >> np.uint64(15)) * np.uint64(0x9E3779B97F4A7C15)
+        # A word of n bytes has n strings of four, the blank before it and those behind it included.
+        start = np.cumsum(size + 2) - size - 2
         owner = np.repeat(np.arange(len(bare)), size)
         place = np.repeat(start, size) + np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
         chars = (gram[place] >> np.uint64(40)) % np.uint64(CHAR_SLOTS)
@@ -226,6 +231,24 @@ def _subset(x: Inputs, used: np.ndarray) -> Inputs:
     return Inputs(x.words[used], x.chars[pick], np.repeat(np.arange(len(used)), n), x.count[used])
 
 
+def _odds(x: Inputs, rows: list[np.ndarray], y: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For words, then for strings of four: the number of texts with it, and the smoothed log odds
+    of toxic against other texts to have it."""
+    size = np.bincount(x.owner, minlength=len(x.words))
+    start = np.cumsum(size) - size
+    counts = [np.zeros((2, n)) for n in (len(x.words), CHAR_SLOTS)]
+    for row, label in zip(rows, y.astype(int), strict=True):
+        own = np.unique(row) - 1
+        n = size[own]
+        slots = x.chars[np.repeat(start[own] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        counts[0][label, own] += 1
+        counts[1][label, np.unique(slots)] += 1
+    texts = np.bincount(y.astype(int), minlength=2)[:, None]
+    prior = PRIOR_TEXTS * texts / texts.sum()  # what no text has gets even odds, what few have little more
+    shares = [np.log((c + prior) / (texts + PRIOR_TEXTS)) for c in counts]
+    return [(c.sum(axis=0), s[1] - s[0]) for c, s in zip(counts, shares, strict=True)]
+
+
 def train(texts: list[bytes], y: np.ndarray, prior: float, steps: int = 320, rate: float = 0.01, seed: int = 11) -> Network:
     """Train on labelled texts with Adam; ``prior`` is the share of label 1 among all labelled texts.
 
@@ -245,9 +268,13 @@ def train(texts: list[bytes], y: np.ndarray, prior: float, steps: int = 320, rat
     texts, y = [t for t, c in zip(texts, check, strict=True) if not c], y[~check]
     x, rows = numbered(texts)
     ids, owner = windows_of(rows)
-    seen = np.bincount(np.concatenate([np.unique(row) for row in rows] or [np.zeros(0, np.int64)]), minlength=len(x.words) + 1)[1:]
-    often = np.argsort(-seen, kind="stable")[:VOCABULARY]
-    net = Network(np.unique(x.words[often[seen[often] >= 3]]), seed)
+    words, chars = _odds(x, rows, y)
+    often = np.argsort(-words[0], kind="stable")[:VOCABULARY]
+    often = often[words[0][often] >= LEAST_TEXTS]
+    net = Network(np.unique(x.words[often]), seed)
+    # Embeddings start from what the sample says by itself: the labels' odds for each word and string.
+    net.p["word"][net.rows(x.words[often]), 0] = ODDS_SCALE * words[1][often]
+    net.p["char"][:, 1] = ODDS_SCALE * chars[1]
     of = y[owner].astype(np.float32)
     ones, zeros = np.flatnonzero(of == 1), np.flatnonzero(of == 0)
     hard = zeros
