@@ -133,21 +133,23 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
     is the smallest node reachable.
 
     Alternating large-star and small-star steps on written tables: every step
-    is two aggregations with partial sums and one join each, no node's
-    neighbourhood is gathered in a task, and nothing but two numbers a round
-    comes to the driver. Stops when a round changes no edge.
+    is an aggregation with a map-side part and a join with its written result, so
+    that Spark can split a node with many neighbours; no neighbourhood is gathered
+    in a task, and nothing but two numbers a round comes to the driver. Stops when
+    a round changes no edge.
     """
     ordered = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     now, before = stored(ordered, label), None
     while (sign := _signature(now)) != before:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lower = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), label)
+        large = stored(both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), label)
+        lower = stored(large.groupBy("u").agg(F.min("v").alias("m")), label)
         small = large.join(lower, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lower).distinct()
-        old, before = now, sign
+        old, before = [now, least, large, lower], sign
         now = stored(small, label)
-        discard(old)
+        for table in old:
+            discard(table)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
