@@ -52,7 +52,7 @@ def planned(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"), F.sha1(payload).alias("digest"))
     small = stored(rows.where(F.octet_length("payload") >= least).select("page_id", "digest", F.octet_length("payload").alias("size")), "warc-digests")
-    first = small.groupBy("digest", "size").agg(F.max("page_id").alias("refers_to"))
+    first = stored(small.groupBy("digest", "size").agg(F.max("page_id").alias("refers_to")), "warc-last")
     again = small.join(first, ["digest", "size"]).where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
     again = stored(again.select("page_id", "digest", "refers_to").distinct(), "warc-revisits")
     same = F.col("p.page_id").eqNullSafe(F.col("r.page_id")) & (F.col("p.digest") == F.col("r.digest"))
