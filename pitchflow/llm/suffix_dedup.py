@@ -81,9 +81,10 @@ def anchors(text: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int) -
         del w
         h = _mixed(h, 0xD6E8FEB86659FD93)
     width = length - _GRAM + 1
-    low = _slide(h, width, np.minimum)
-    edge = np.zeros(width - 1, np.uint64)
-    chosen = np.flatnonzero(_slide(np.concatenate((edge, low, edge)), width, np.maximum) == h)
+    rank = (h >> np.uint64(32)).astype(np.uint32)  # equal ranks of unequal strings make both anchors
+    low = _slide(rank, width, np.minimum)
+    edge = np.zeros(width - 1, np.uint32)
+    chosen = np.flatnonzero(_slide(np.concatenate((edge, low, edge)), width, np.maximum) == rank)
     doc = np.searchsorted(begin, chosen, side="right") - 1
     inside = (chosen + _GRAM <= end[doc]) & (end[doc] - begin[doc] >= length)
     chosen, doc = chosen[inside], doc[inside]
@@ -106,13 +107,14 @@ def _spans_of(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _by_bucket(keys: np.ndarray, buckets: int):
-    """(bucket, indices in ascending key order)."""
+    """(bucket, indices of its keys) for ascending ``keys``; their order stays."""
     if not len(keys):
         return
-    bucket = (keys >> np.uint64(20)) % np.uint64(buckets)
-    order = np.lexsort((keys, bucket))
-    found, at = np.unique(bucket[order], return_index=True)
-    for b, part in zip(found.tolist(), np.split(order, at[1:]), strict=True):
+    bucket = ((keys >> np.uint64(20)) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.uint64)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    for b, part in zip(bucket[at].tolist(), np.split(order, at[1:]), strict=True):
         yield b, part
 
 
@@ -141,7 +143,8 @@ def sieve(shards: DataFrame, length: int, buckets: int) -> DataFrame:
             merged = [merge_sorted(x, y) for x, y in zip(runs[::2], runs[1::2], strict=False)]
             shared += [both for _, both in merged]
             runs = [x for x, _ in merged] + runs[len(merged) * 2 :]
-        hot = np.unique(np.concatenate(shared))
+        hot = np.sort(np.concatenate(shared))
+        hot = hot[np.flatnonzero(np.diff(hot, prepend=~hot[:1]))]
         out = {"shard": [], "keys": []}
         for s, own in zip(shard, blobs, strict=True):
             _, both = merge_sorted(hot, own)
@@ -349,9 +352,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> t
     """(documents, changed): every row's doc_id, digest and n_bytes; and of those that lose
     bytes n_removed, n_spans, kept_sha256 (and kept)."""
     documents = stored(_keyed(docs).select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "repeats-documents")
-    first = documents.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    first = stored(documents.groupBy("digest").agg(F.min("doc_id").alias("first")), "repeats-first")  # a table of its own, so that Spark can split the copies of one text
     copies = documents.join(first, "digest").where((F.col("n_bytes") >= length) & F.col("first").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first")))
-    copies = stored(copies.select("doc_id", "digest", "n_bytes").distinct(), "repeats-copies")
+    copies = stored(copies.select("doc_id", "digest", "n_bytes"), "repeats-copies").dropDuplicates(["doc_id", "digest"])
     originals = _keyed(docs).alias("d").join(copies.alias("c"), _same("d", "c"), "left_anti")
     shards = document_shards(originals, "repeats-shards")
     bytes_in = shards.agg(F.sum(F.length("text"))).first()[0] or 0
