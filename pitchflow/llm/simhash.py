@@ -18,9 +18,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitchflow.functions.names import col
 from pitchflow.llm.common import connected_components, stored
 
 SEED = 42
@@ -53,16 +54,23 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int(np.packbits(ones * 2 > len(hashes)).view(">u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp long) of every row; a NULL text counts as an empty one."""
+def _key() -> list[Column]:
+    """doc_id and SHA-256 of the text; rows that agree in both are copies of one another."""
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(raw, 256)).alias("digest")]
+
+
+def fingerprints(docs: DataFrame, shingle: int, with_digest: bool = False) -> DataFrame:
+    """(doc_id[, digest], fp long) of every row; a NULL text counts as an empty one."""
 
     def run(batches):
         for b in batches:
             fps = [fingerprint(t, shingle) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+            own = b.schema.names[:-1]
+            yield pa.RecordBatch.from_arrays([*map(b.column, own), pa.array(np.array(fps, np.uint64).view(np.int64))], names=[*own, "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(*_key()[: 1 + with_digest], F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, digest binary, fp long" if with_digest else "doc_id long, fp long")
 
 
 def block_masks(radius: int) -> list[np.uint64]:
@@ -173,19 +181,44 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
     """
     fps = stored(fingerprints(docs, shingle), "simhash-fingerprints")
     classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
-    groups = connected_components(links(classes, radius), "simhash-components")
-    joined = classes.join(groups, classes.fp == groups.node, "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    joined = _components(classes, radius)
     first = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = stored(joined.join(first, "component").select("fp", "component_id"), "simhash-named")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _components(classes: DataFrame, radius: int) -> DataFrame:
+    """``classes`` with ``component``, the smallest fingerprint reachable."""
+    groups = connected_components(links(classes, radius), "simhash-components")
+    return classes.join(groups, classes.fp == groups.node, "left").withColumn("component", F.coalesce("component", "fp")).drop("node")
+
+
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one row per component: that of the smallest doc_id.
 
-    Rows that share this doc_id are equal copies if their texts are; of such rows
-    all but one go. Rows without a doc_id stay.
+    Rows are told apart by doc_id and text. Of rows that share the smallest doc_id
+    of a component the one with the smallest SHA-256 of its text stays, and of
+    its copies the one with the smallest JSON. A doc_id that goes in one component
+    stays where it is another's smallest. Rows without a doc_id don't count as
+    copies of rows with one; among themselves, one per component stays.
     """
-    found = near_duplicates(docs, shingle, radius)
-    gone = found.where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    fps = stored(fingerprints(docs, shingle, with_digest=True), "simhash-fingerprints")
+    keys = stored(fps.groupBy("doc_id", "digest", "fp").agg(F.count("*").alias("n")), "simhash-keys")
+    named = stored(_components(stored(keys.select("fp").distinct(), "simhash-classes"), radius), "simhash-named")
+    least = keys.join(named, "fp").groupBy("component", F.col("doc_id").isNull().alias("no_id")).agg(F.min(F.struct("doc_id", "digest")).alias("x"))
+    first = least.select("x.doc_id", "x.digest", F.lit(True).alias("kept"))
+    marked = keys.alias("r").join(first.alias("k"), _same("r", "k"), "left").select("r.doc_id", "r.digest", "n", F.col("kept").isNotNull().alias("kept"))
+    marked = stored(marked, "simhash-marked")
+    # Rows go by doc_id, which is short; of a doc_id with rows that go and rows that stay, the latter come back by text.
+    gone = stored(marked.where("not kept or n > 1").select("doc_id").distinct(), "simhash-gone")
+    back = marked.where("kept").alias("r").join(gone.alias("k"), F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
+    back = stored(back.select("doc_id", "digest"), "simhash-back")
+    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), *_key()).alias("r")
+    once = rows.join(gone.alias("k"), F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")), "left_anti").select("row")
+    several = rows.join(back.alias("k"), _same("r", "k"), "left_semi")
+    several = several.groupBy("doc_id", "digest").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
+    return once.union(several).select("row.*")
+
+
+def _same(a: str, b: str) -> Column:
+    return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.digest") == F.col(f"{b}.digest"))

@@ -90,3 +90,20 @@ def test_stars_keep_the_components():
     a, b = simhash.stars(np.array([5, 3, 9, 9, -4]), np.array([3, 2, 8, 7, 8]))
     assert sorted(zip(a.tolist(), b.tolist())) == [(3, 2), (5, 2), (7, -4), (8, -4), (9, -4)]
     assert [len(x) for x in simhash.stars(np.zeros(0, np.int64), np.zeros(0, np.int64))] == [0, 0]
+
+
+def test_keep_one_of_repeated_and_clashing_ids(docs):
+    one, two, three = "first text of some words", "another text, which is longer", "the third one is different again"
+    rows = [(1, one), (1, one), (1, one), (9, one)]  # copies of one row
+    rows += [(3, two), (5, two), (5, three), (6, three)]  # 5 goes beside 3 and stays beside 6
+    rows += [(7, "x y z"), (7, "X y  z"), (7, "X y  z")]  # one id, two spellings of one fingerprint
+    rows += [(8, "alpha beta"), (8, "gamma delta")]  # one id, smallest of two components
+    rows += [(None, "no id here"), (None, "no id here"), (None, "NO id here"), (None, one)]
+    df = docs(rows)
+    out = simhash.keep_one(df.repartition(5))
+    assert out.dtypes == df.dtypes
+    got = sorted((repr(r.doc_id), r.text.lower().split()) for r in out.collect())
+    want = [(1, one), (3, two), (5, three), (7, "x y z"), (8, "alpha beta"), (8, "gamma delta"), (None, "no id here"), (None, one)]
+    assert got == sorted((repr(d), t.split()) for d, t in want)
+    again = simhash.keep_one(df.repartition(2))
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, out.collect()))
