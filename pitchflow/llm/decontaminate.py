@@ -8,7 +8,8 @@ hit.
 1. Seeds: such a window shares at least 0.8 of the item's shingles, so windows
    without shared shingles need no fingerprint. Every shingle of every
    document is looked up among the items' shingles; documents that share
-   enough with an item give the windows aligned with the shared shingles.
+   enough with an item give every window that holds enough shared shingles
+   to be a hit, wherever it starts.
 2. Each window gets a 64-bit SimHash. Eight blocks of eight bits index the items'
    fingerprints with all values within two bits of a block; fingerprints
    within 23 bits agree with some block to two bits, so none is missed.
@@ -86,6 +87,23 @@ def _blocks(fp: str) -> Column:
     return F.expr(f"transform(sequence(0, {_BLOCKS - 1}), b -> struct(b AS block, cast(shiftrightunsigned({fp}, 8 * b) & 255L as int) AS value))")
 
 
+def _starts(least: float) -> Column:
+    """All starts of windows of ``n`` words that hold enough of the sorted ``places`` of shared
+    shingles for a similarity of ``least``, each once.
+
+    What a window and an item have in common is at most the number of such places in it. A
+    window with ``m`` places or more, the first of them number ``i``, starts behind place
+    ``i - 1``, not behind place ``i``, and reaches to place ``i + m - 1``.
+    """
+    total = "(n - shingle + 1)"
+    # A text shorter than the item has one window, and it may hold fewer shingles than the item.
+    m = f"greatest(1, cast(ceil(if(size(w) >= n, {2 * least / (1 + least)!r}D, {least!r}D) * {total} - 1e-9D) as int))"
+    low = f"greatest(0, if(i > 0, places[greatest(i - 1, 0)] + 1, 0), places[i + {m} - 1] - {total} + 1)"
+    return F.expr(
+        f"flatten(transform(sequence(0, size(places) - 1), i -> if(i + {m} > size(places) or {low} > places[i], cast(array() as array<int>), sequence({low}, places[i]))))"
+    )
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, text_hash, item_id, similarity, start_word, n_words, distance): the best
     window of each document and item with similarity ``least`` or more.
@@ -96,7 +114,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> Da
     item_id and other words are compared one by one. Extra columns are not read.
     """
     found = stored(items(benchmark), "decontaminate-items")
-    seeds = found.select("item_id", "n", "shingle", F.size("hashes").alias("total"), F.xxhash64("hashes").alias("which"), F.posexplode("hashes").alias("offset", "h"))
+    seeds = found.select("item_id", "n", "shingle", F.size("hashes").alias("total"), F.xxhash64("hashes").alias("which"), F.explode(F.array_distinct("hashes")).alias("h"))
     small = found.agg(F.sum(F.size("hashes"))).first()[0] or 0
     lengths = [r[0] for r in found.select("shingle").distinct().collect()]
     look_up = F.broadcast(seeds) if small <= BROADCAST_ROWS else seeds
@@ -106,24 +124,20 @@ def hits(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> Da
         last = F.size("w") - k
         at = texts.where(last >= 0).select("doc_id", "text_hash", "w", F.explode(F.sequence(F.lit(0), last)).alias("p"))
         at = at.select("doc_id", "text_hash", "p", _hash("w", F.col("p"), k).alias("h"))
-        own = at.join(look_up.where(F.col("shingle") == k), "h").select("doc_id", "text_hash", "item_id", "which", "total", (F.col("p") - F.col("offset")).alias("start"))
+        own = at.join(look_up.where(F.col("shingle") == k), "h").select("doc_id", "text_hash", "item_id", "which", "total", "p")
         pairs = own if pairs is None else pairs.union(own)
     key = ["doc_id", "text_hash", "item_id", "which"]
-    aligned = pairs.groupBy(*key, "total", "start").agg(F.count("*").alias("shared"))
-    enough = (
-        aligned.groupBy(*key, "total")
-        .agg(F.sum("shared").alias("shared"), F.collect_set("start").alias("starts"))
-        .where(F.col("shared") >= F.lit(least) * F.col("total"))
-        .select(*key, "starts")
-    )
+    enough = pairs.groupBy(*key, "total").agg(F.sort_array(F.collect_set("p")).alias("places"))
+    enough = enough.where(F.size("places") >= F.lit(least) * F.col("total")).select(*key, "places")
     enough = stored(enough, "decontaminate-seeds")
 
     # Windows of the texts that share enough with an item; keys are joined null-safely.
     left, right = texts.alias("t"), enough.alias("e")
     windows = left.join(right, F.col("t.doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("t.text_hash") == F.col("e.text_hash")))
-    windows = windows.select("t.doc_id", "t.text_hash", "w", F.col("e.which").alias("seed"), F.explode("starts").alias("start"))
+    windows = windows.select("t.doc_id", "t.text_hash", "w", F.col("e.which").alias("seed"), "places")
     sizes = found.select(F.xxhash64("hashes").alias("seed"), "n", "shingle").distinct()
     windows = windows.join(F.broadcast(sizes) if small <= BROADCAST_ROWS else sizes, "seed")
+    windows = windows.select("*", F.explode(_starts(least)).alias("start"))
     windows = windows.withColumn("start", F.greatest(F.least("start", F.size("w") - F.col("n")), F.lit(0))).withColumn("held", F.least("n", F.size("w") - F.col("start")))
     hashes = None
     for k in lengths or [SHINGLE]:

@@ -115,3 +115,36 @@ def test_near_blocks_reach_every_code_within_the_radius(spark):
         pairs.append([x - (1 << 64) if x >> 63 else x for x in (a, b)])
     df = spark.createDataFrame(pairs, "x long, y long").select(decontaminate._near_blocks("x").alias("near"), decontaminate._blocks("y").alias("own"))
     assert df.selectExpr("arrays_overlap(near, own) AS met").where("not met").count() == 0
+
+
+def test_windows_between_the_aligned_ones(spark, docs):
+    """Inserted words together with edits at both ends: the best window is aligned with no shared shingle."""
+    item = [f"w{i}" for i in range(58)]
+    text = ["x", "y", "z", "first", *item[1:29], "new", "words", *item[29:57], "last", "p", "q", "r"]
+    rows, bench = [(1, " ".join(text))], [(1, " ".join(item))]
+    want = brute(rows, bench)
+    assert want == {(1, 1): 0.8}
+    assert got(decontaminate.hits(docs(rows), bench_table(spark, bench))) == want
+
+
+def test_inserted_and_deleted_words_against_brute_force(spark, docs):
+    r = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(80)]
+    bench = [(i, [r.choice(vocabulary) for _ in range(n)]) for i, n in enumerate((8, 20, 45, 60, 90, 120))]
+    bench.append((9, ["a", "a", "b"] * 20))  # repeated shingles
+    rows = []
+    for d in range(200):
+        item = list(r.choice(bench)[1])
+        for _ in range(r.randint(0, 2)):
+            at = r.randint(0, len(item) // 2) + len(item) // 4
+            item[at:at] = [r.choice(vocabulary) for _ in range(r.randint(1, 5))]
+        if r.random() < 0.5:
+            del item[len(item) // 3 : len(item) // 3 + r.randint(1, 2)]
+        for at in (0, -1):
+            if r.random() < 0.5:
+                item[at] = r.choice(vocabulary)
+        rows.append((d, " ".join([*r.choices(vocabulary, k=r.randint(0, 9)), *item, *r.choices(vocabulary, k=r.randint(0, 9))])))
+    bench = [(i, " ".join(w)) for i, w in bench]
+    found, want = got(decontaminate.hits(docs(rows), bench_table(spark, bench))), brute(rows, bench)
+    assert set(found) == set(want) and len(want) > 40
+    assert all(abs(found[k] - want[k]) < 1e-9 for k in want)
