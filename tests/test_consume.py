@@ -6,7 +6,7 @@ import os
 import tempfile
 
 import pytest
-from conftest import SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
+from samples import SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
 
 from pitchflow.operators import consume
 from pitchflow.plans import layers

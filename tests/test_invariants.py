@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import SMALL_SF
+from samples import SMALL_SF
 from pyspark.sql import functions as F
 
 from pitchflow import spec

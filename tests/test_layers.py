@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from conftest import EMPTY_SEASON, SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
+from samples import EMPTY_SEASON, SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
 
 from pitchflow.plans import layers
 from pitchflow.plans.layers import read_layer

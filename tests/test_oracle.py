@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from compare import compare, duckdb_with_views
-from conftest import SMALL_SF
+from samples import SMALL_SF
 
 import __spark_entry__ as entry
 from pitchflow.plans import catalog

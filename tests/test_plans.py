@@ -7,7 +7,7 @@ import io
 import os
 import re
 
-from conftest import SEASON_2020, SEASON_2021, SEASON_2026, SMALL_SF, write_doc
+from samples import SEASON_2020, SEASON_2021, SEASON_2026, SMALL_SF, write_doc
 
 from pitchflow.operators import gold
 from pitchflow.plans import catalog, layers

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
+from samples import SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
 
 from pitchflow import spec
 from pitchflow.sources import landing as L
