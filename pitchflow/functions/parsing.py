@@ -24,10 +24,10 @@ def to_int(col: Column) -> Column:
 
     Text must be digits with an optional sign and decimal tail, which is cut
     off: ``" 15"`` and ``"8.9"`` give 15 and 8; ``"1e3"``, ``"2d"`` and junk give
-    NULL. Numbers are truncated.
+    NULL. Numbers are truncated. The pattern is only tried on what is no plain integer.
     """
-    digits = F.regexp_extract(as_text(col), r"^\s*([+-]?\d+)(?:\.\d*)?\s*$", 1).try_cast("int")
-    return F.when(F.typeof(col) == "string", digits).otherwise(col.try_cast("int"))
+    cut = F.regexp_extract(as_text(col), r"^\s*([+-]?\d+)(?:\.\d*)?\s*$", 1).try_cast("int")
+    return F.coalesce(col.try_cast("int"), F.when(F.typeof(col) == "string", cut))
 
 
 def to_double(col: Column) -> Column:
@@ -45,20 +45,23 @@ def parse_match_date(raw: Column, season: Column) -> Column:
     1. ``dd-MM-yyyy``                       ``02-05-2025``
     2. weekday stripped, ``MMMM d, yyyy``   ``Friday, May 2, 2025``
     3. weekday stripped + ``", <season>"``  ``Friday, May 2``
+
+    The formats exclude each other by their first character and their comma, so
+    each text is parsed by the only format it can have: a failed parse costs an exception.
     """
     no_weekday = strip_weekday(raw)
     with_season = F.concat(no_weekday, F.lit(", "), as_text(season))
-    return F.coalesce(
-        F.try_to_date(raw, spec.DATE_FORMAT_NUMERIC),
-        F.try_to_date(no_weekday, spec.DATE_FORMAT_TEXT_EN),
-        F.try_to_date(with_season, spec.DATE_FORMAT_TEXT_EN),
+    return (
+        F.when(raw.between("0", "9~"), F.try_to_date(raw, spec.DATE_FORMAT_NUMERIC))
+        .when(F.contains(no_weekday, F.lit(",")), F.try_to_date(no_weekday, spec.DATE_FORMAT_TEXT_EN))
+        .otherwise(F.try_to_date(with_season, spec.DATE_FORMAT_TEXT_EN))
     )
 
 
 def score_goals(score: Column) -> tuple[Column, Column]:
     """``"2 - 1"`` -> (2, 1); ``"Sin jugar"`` -> (NULL, NULL); out-of-range parts are NULL."""
-    parts = F.split(score, spec.SCORE_SEPARATOR_RE)
-    return to_int(F.get(parts, 0)), to_int(F.get(parts, 1))
+    home, away = (F.split_part(score, F.lit(spec.SCORE_SEPARATOR_RE), F.lit(i)) for i in (1, 2))
+    return to_int(home), to_int(away)
 
 
 def result_letter(home_goals: Column, away_goals: Column) -> Column:
@@ -73,7 +76,7 @@ def result_letter(home_goals: Column, away_goals: Column) -> Column:
 
 def value_part(raw: Column) -> Column:
     """``"51 (72%)"`` -> 51; a plain ``9`` -> 9."""
-    return to_int(F.regexp_extract(as_text(raw), spec.LEADING_INT_RE, 1))
+    return F.regexp_extract(as_text(raw), spec.LEADING_INT_RE, 1).try_cast("int")
 
 
 def pct_part(raw: Column) -> Column:
@@ -83,7 +86,7 @@ def pct_part(raw: Column) -> Column:
 
 def percent_only(raw: Column) -> Column:
     """``"38%"`` -> 38; ``"51.7%"`` -> 51 (truncated)."""
-    return to_int(F.regexp_extract(as_text(raw), spec.FIRST_NUMBER_RE, 1))
+    return F.substring_index(F.regexp_extract(as_text(raw), spec.FIRST_NUMBER_RE, 1), ".", 1).try_cast("int")
 
 
 def flag(cond: Column) -> Column:

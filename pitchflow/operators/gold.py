@@ -51,8 +51,12 @@ def team_view(matches: DataFrame, stats: list[str] | None = None) -> DataFrame:
 
 
 def played(matches: DataFrame) -> DataFrame:
-    """Matches with a result (F1)."""
-    return matches.filter(F.col("resultado").isNotNull())
+    """Matches with a result (F1).
+
+    A match has a result exactly when it has both goals; asking for the goals
+    spares a plan that derives them from the score the branches of the result.
+    """
+    return matches.filter(F.col("goles_local").isNotNull() & F.col("goles_visitante").isNotNull())
 
 
 _RECORD = ["partidos", "es_victoria", "es_empate", "es_derrota", "goles_favor", "goles_contra"]

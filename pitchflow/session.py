@@ -17,6 +17,9 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM does not compile methods of over 8000 bytes. Fused wide projections are
+    # longer; beyond this limit Spark evaluates them by projections cut into short methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
