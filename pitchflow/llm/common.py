@@ -12,7 +12,7 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -158,3 +158,42 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
 def _signature(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return row[0], row[1]
+
+
+# ---------------------------------------------------------------------------
+# Global order
+# ---------------------------------------------------------------------------
+
+#: ``at`` has the block above these bits and the place in the block below them.
+PLACE_BITS = 33
+
+
+def in_order(rows: DataFrame, order: list[Column], label: str) -> DataFrame:
+    """Stored table of ``rows`` with a column ``at`` (long) that ascends in ``order``.
+
+    The rows are dealt to blocks by range and sorted there; ``at >> PLACE_BITS`` is the
+    block, and within a block the numbers are consecutive from 0 on. Equal rows are told
+    apart by where they were read, so that a block never has to hold all copies of a row;
+    which of them comes first is not defined.
+    """
+    spark = rows.sparkSession
+    blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*order, F.col("_read")]
+    dealt = rows.withColumn("_read", F.monotonically_increasing_id()).repartitionByRange(blocks, *keys).sortWithinPartitions(*keys)
+    return stored(dealt.drop("_read").withColumn("at", F.monotonically_increasing_id()), label)
+
+
+def block_of(at: str = "at") -> Column:
+    return F.shiftright(at, PLACE_BITS)
+
+
+def numbered(rows: DataFrame, group: str, label: str) -> DataFrame:
+    """Rows of :func:`in_order`, sorted by the column ``group`` first, with ``idx`` (from 0 on) in
+    the group and ``n``, the group's rows. No task sees a whole group: blocks count their rows of each
+    group, and the counts of the blocks before are added to the place in the block."""
+    runs = rows.groupBy(group, block_of().alias("block")).agg(F.min("at").alias("first"), F.count("*").alias("many"))
+    by_group = Window.partitionBy(group)
+    before = F.coalesce(F.sum("many").over(by_group.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = stored(runs.select(group, "block", "first", before.alias("before"), F.sum("many").over(by_group).alias("n")), label)
+    found = rows.withColumn("block", block_of()).join(runs, [group, "block"])
+    return found.withColumn("idx", F.col("before") + F.col("at") - F.col("first")).drop("block", "first", "before", "at")

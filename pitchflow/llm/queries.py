@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import brown, decontaminate, extract, itq, packing, quality, simhash, suffix_dedup, toxicity, warc
+from pitchflow.llm import brown, decontaminate, extract, itq, merkle, packing, quality, simhash, suffix_dedup, toxicity, warc
 from pitchflow.llm.common import read_table, ship_code
 
 
@@ -64,7 +64,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES = [op1_extract, op2_toxicity, op3_decontaminate, op4_suffix_dedup, op5_packing, op6_warc, op7_itq, op8_simhash, op9_brown_lm, op10_quality]
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, every fifth of them checked with a tampered text."""
+    return merkle.checked(read_table(spark, sf_dir, "documents"), merkle.tampered())
+
+
+QUERIES = [
+    op1_extract, op2_toxicity, op3_decontaminate, op4_suffix_dedup, op5_packing, op6_warc, op7_itq, op8_simhash, op9_brown_lm, op10_quality,
+    op12_merkle,
+]
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -163,5 +171,64 @@ FROM v JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a =
 """
 
 
+OP12_SQL = """
+WITH RECURSIVE doc AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, lang, n_chars, text,
+         list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ord(x)::BIGINT)),
+           lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))
+         ) AS crc
+  FROM documents
+), given AS (
+  SELECT *, CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS told FROM doc
+), front AS (
+  SELECT rid, doc_id, source, coalesce(strlen(source) || ':' || source, '-') AS g, text, told,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS fields
+  FROM given
+), leaf AS (
+  SELECT rid, doc_id, source, g, sha256(fields || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(fields || coalesce(strlen(told) || ':' || told, '-')) AS given_leaf
+  FROM front
+), place AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n FROM leaf
+), node(level, g, idx, n, h) AS (
+  SELECT 0, g, idx, n, leaf FROM place
+  UNION ALL
+  SELECT level + 1, g, idx // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM node WHERE n > 1 GROUP BY level, g, idx // 16, n
+), sub AS (
+  SELECT g, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+  FROM (SELECT DISTINCT g, source FROM leaf) JOIN (SELECT g, h FROM node WHERE n = 1) USING (g)
+), top(level, idx, n, h) AS (
+  SELECT 0, idx, n, h FROM sub
+  UNION ALL
+  SELECT level + 1, idx // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY level, idx // 16, n
+), step AS (
+  SELECT level, g, idx,
+         coalesce(string_agg(h, '') OVER (PARTITION BY level, g, idx // 16 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (PARTITION BY level, g, idx // 16 ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM node WHERE n > 1
+), top_step AS (
+  SELECT level, idx,
+         coalesce(string_agg(h, '') OVER (PARTITION BY level, idx // 16 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (PARTITION BY level, idx // 16 ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM top WHERE n > 1
+), fold(rid, g, level, idx, h, proof) AS (
+  SELECT rid, g, 0, idx, given_leaf, '' FROM place
+  UNION ALL
+  SELECT rid, f.g, f.level + 1, f.idx // 16, sha256(l || f.h || r), proof || l || r
+  FROM fold f JOIN step s ON s.level = f.level AND s.g = f.g AND s.idx = f.idx
+), top_fold(rid, level, idx, h, proof) AS (
+  SELECT rid, 0, sub.idx, f.h, proof FROM (SELECT rid, g, arg_max(h, level) AS h, arg_max(proof, level) AS proof FROM fold GROUP BY rid, g) f JOIN sub USING (g)
+  UNION ALL
+  SELECT rid, f.level + 1, f.idx // 16, sha256(l || f.h || r), proof || l || r
+  FROM top_fold f JOIN top_step s ON s.level = f.level AND s.idx = f.idx
+)
+SELECT p.doc_id, p.leaf, sub.h AS subroot, root.h AS root, sha256(e.proof) AS proof_sha256, e.h AS folded_root, e.h = root.h AS verified
+FROM place p JOIN sub USING (g) JOIN (SELECT rid, arg_max(h, level) AS h, arg_max(proof, level) AS proof FROM top_fold GROUP BY rid) e USING (rid),
+     (SELECT h FROM top WHERE n = 1) root
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3_SQL, "op4_suffix_dedup": OP4_SQL, "op6_warc": OP6_SQL, "op7_itq": OP7_SQL}
+    return {"op3_decontaminate": OP3_SQL, "op4_suffix_dedup": OP4_SQL, "op6_warc": OP6_SQL, "op7_itq": OP7_SQL, "op12_merkle": OP12_SQL}
