@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import brown, decontaminate, extract, itq, merkle, packing, quality, simhash, suffix_dedup, toxicity, warc
+from pitchflow.llm import brown, decontaminate, extract, itq, lexical, merkle, packing, quality, simhash, suffix_dedup, toxicity, warc
 from pitchflow.llm.common import read_table, ship_code
 
 
@@ -69,9 +69,14 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.checked(read_table(spark, sf_dir, "documents"), merkle.tampered())
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest-scoring documents of every benchmark item."""
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = [
     op1_extract, op2_toxicity, op3_decontaminate, op4_suffix_dedup, op5_packing, op6_warc, op7_itq, op8_simhash, op9_brown_lm, op10_quality,
-    op12_merkle,
+    op12_merkle, op13_lexical,
 ]
 
 
@@ -229,6 +234,33 @@ FROM place p JOIN sub USING (g) JOIN (SELECT rid, arg_max(h, level) AS h, arg_ma
      (SELECT h FROM top WHERE n = 1) root
 """
 
+OP13_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item AS (
+  SELECT row_number() OVER () AS iid, item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), total AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS length FROM doc WHERE len(w) > 0
+), entry AS (
+  SELECT rid, doc_id, len(w) AS n, t, count(*) AS tf FROM doc, unnest(w) AS u(t) GROUP BY ALL
+), term AS (
+  SELECT t, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM entry, total GROUP BY t
+), query AS (
+  SELECT iid, item_id, t, count(*) AS many FROM item, unnest(w) AS u(t) GROUP BY ALL
+), scored AS (
+  SELECT iid, item_id, rid, doc_id,
+         CAST(sum(many * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * n_docs) // length))))) AS BIGINT) AS score
+  FROM query JOIN entry USING (t) JOIN term USING (t), total GROUP BY ALL
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3_SQL, "op4_suffix_dedup": OP4_SQL, "op6_warc": OP6_SQL, "op7_itq": OP7_SQL, "op12_merkle": OP12_SQL}
+    return {"op3_decontaminate": OP3_SQL, "op4_suffix_dedup": OP4_SQL, "op6_warc": OP6_SQL, "op7_itq": OP7_SQL, "op12_merkle": OP12_SQL, "op13_lexical": OP13_SQL}
