@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import brown, decontaminate, extract, itq, lexical, merkle, packing, quality, simhash, suffix_dedup, toxicity, warc
+from pitchflow.llm import brown, decontaminate, extract, itq, lexical, merkle, order_minhash, packing, quality, simhash, suffix_dedup, toxicity, warc
 from pitchflow.llm.common import read_table, ship_code
 
 
@@ -64,6 +64,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return order_minhash.edits(read_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, every fifth of them checked with a tampered text."""
     return merkle.checked(read_table(spark, sf_dir, "documents"), merkle.tampered())
@@ -76,7 +81,7 @@ def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [
     op1_extract, op2_toxicity, op3_decontaminate, op4_suffix_dedup, op5_packing, op6_warc, op7_itq, op8_simhash, op9_brown_lm, op10_quality,
-    op12_merkle, op13_lexical,
+    op11_order_minhash, op12_merkle, op13_lexical,
 ]
 
 
@@ -176,6 +181,44 @@ FROM v JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a =
 """
 
 
+OP11_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER (ORDER BY doc_id DESC NULLS LAST) AS rid, doc_id, coalesce(text, '') AS text FROM documents
+), pair AS (
+  SELECT d.rid, d.doc_id, d.text, left(d.text, length(d.text) - length(d.text) // 2) || left(e.text, length(d.text) // 2) AS edited
+  FROM doc d JOIN doc e ON e.rid = d.rid % (SELECT count(*) FROM doc) + 1
+), said AS (
+  SELECT rid, 0 AS kind, text FROM pair UNION ALL SELECT rid, 1 AS kind, edited FROM pair
+), token AS (
+  SELECT rid, kind, regexp_extract_all(text, '[^\x20\x09-\x0D]{1,8}') AS w FROM said
+), kmer AS (
+  SELECT rid, kind, p AS pos, array_to_string(list_slice(w, p, p + 2), ' ') AS x
+  FROM token, unnest(generate_series(1, CASE WHEN len(w) = 0 THEN 0 ELSE greatest(len(w) - 2, 1) END)) AS u(p)
+), ring AS (
+  SELECT rid, kind, pos, x, md5(x || ' ' || (row_number() OVER (PARTITION BY rid, kind, x ORDER BY pos) - 1)) AS place FROM kmer
+), placed AS (
+  SELECT rid, kind, list(place ORDER BY place) AS places, list(pos ORDER BY place) AS at, list(x ORDER BY pos) AS xs FROM ring GROUP BY rid, kind
+), mark AS (
+  SELECT j, printf('%02x', j * 2) AS m FROM range(128) r(j)
+), met AS (
+  SELECT rid, kind, j, len(list_filter(places, lambda z: z < m)) AS f, len(places) AS n, at, xs FROM placed, mark
+), picked AS (
+  SELECT rid, kind, j, xs, least(at[f % n + 1], at[(f + 1) % n + 1]) AS a, greatest(at[f % n + 1], at[(f + 1) % n + 1]) AS b FROM met
+), part AS (
+  SELECT rid, kind, j, left(md5(xs[a] || ' ' || xs[b]), 8) AS c FROM picked
+), print AS (
+  SELECT rid, kind, list(c ORDER BY j) AS cs FROM part GROUP BY rid, kind
+), every AS (
+  SELECT rid, kind, coalesce(cs, list_transform(range(128), lambda z: left(md5(''), 8))) AS cs FROM said LEFT JOIN print USING (rid, kind)
+)
+SELECT p.doc_id, CAST(length(p.text) AS BIGINT) AS n_chars, sha256(p.edited) AS edited_sha256,
+       array_to_string(a.cs, '') AS fingerprint, array_to_string(b.cs, '') AS edited_fingerprint,
+       len(list_filter(range(1, 129), lambda z: a.cs[z] = b.cs[z])) / 128 AS near_edited,
+       len(list_filter(range(1, 129), lambda z: a.cs[z] = e.cs[z])) / 128 AS near_next
+FROM pair p JOIN every a ON a.rid = p.rid AND a.kind = 0 JOIN every b ON b.rid = p.rid AND b.kind = 1
+JOIN every e ON e.rid = p.rid % (SELECT count(*) FROM doc) + 1 AND e.kind = 0
+"""
+
 OP12_SQL = """
 WITH RECURSIVE doc AS (
   SELECT row_number() OVER () AS rid, doc_id, source, lang, n_chars, text,
@@ -263,4 +306,7 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3_SQL, "op4_suffix_dedup": OP4_SQL, "op6_warc": OP6_SQL, "op7_itq": OP7_SQL, "op12_merkle": OP12_SQL, "op13_lexical": OP13_SQL}
+    return {
+        "op3_decontaminate": OP3_SQL, "op4_suffix_dedup": OP4_SQL, "op6_warc": OP6_SQL, "op7_itq": OP7_SQL,
+        "op11_order_minhash": OP11_SQL, "op12_merkle": OP12_SQL, "op13_lexical": OP13_SQL,
+    }
