@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 
 from pitchflow.llm.common import block_of, in_order
 
-TOKEN = 8
+TOKEN = 16
 KMER = 3
 PICKED = 2
-COMPONENTS = 128
+COMPONENTS = 64
 #: Hex digits of a component.
 DIGITS = 8
 _SPACE = r"\x20\x09-\x0D"
@@ -36,27 +36,33 @@ def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     k-mers than are picked, the ring goes round to the first again.
     """
     kept = rows.columns
-    tokens = rows.withColumn("_token", F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(f"[^{_SPACE}]{{1,{TOKEN}}}"), F.lit(0)))
-    kmers = tokens.withColumn(
-        "_kmer",
-        F.expr(f"if(size(_token) = 0, array(), transform(sequence(1, greatest(size(_token) - {KMER - 1}, 1)), i -> concat_ws(' ', slice(_token, i, {KMER}))))"),
-    ).drop("_token")
+    runs = rows.withColumn("_run", F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(f"[^{_SPACE}]{{1,{TOKEN}}}"), F.lit(0)))
+
+    def kmer(at: str, *more: str) -> str:
+        own = [f"get(_run, {at} + {k})" for k in range(KMER)] + list(more)
+        whole = ", ' ', ".join(own)
+        return f"if(size(_run) >= {KMER}, concat({whole}), concat_ws(' ', {', '.join(own)}))"
+
+    # Every k-mer as if it were the first of its kind; equal ones then stand together, in the order of the text.
+    alike = runs.withColumn(
+        "_alike",
+        F.expr(f"""if(size(_run) = 0, array(), sort_array(transform(sequence(0, greatest(size(_run) - {KMER}, 0)),
+               i -> struct(md5({kmer('i', "'0'")}) AS place, i AS at))))"""),
+    )
     # Powers of two up to the number of k-mers, descending, for binary search.
-    steps = kmers.withColumn("_step", F.expr("transform(sequence(cast(log2(size(_kmer) + 1) AS int), 0, -1), t -> shiftleft(1, t))"))
-    alike = steps.withColumn("_alike", F.expr("sort_array(transform(_kmer, (x, i) -> struct(x AS kmer, i AS at)))"))
-    # Equal k-mers stand together, in the order of the text: the occurrence is the distance to the first.
-    before = "aggregate(_step, 0, (o, s) -> if(i >= o + s AND get(_alike, i - o - s).kmer = x.kmer, o + s, o))"
-    occurrence = f"if(i > 0 AND get(_alike, i - 1).kmer = x.kmer, {before}, 0)"
-    ring = alike.withColumn(
-        "_ring", F.expr(f"sort_array(transform(_alike, (x, i) -> struct(md5(concat(x.kmer, ' ', cast({occurrence} AS string))) AS place, x.at AS at)))")
-    ).drop("_alike")
-    width = 256 // COMPONENTS
-    first = f"aggregate(_step, 0, (n, s) -> if(n + s <= size(_ring) AND get(_ring, n + s - 1).place < lower(lpad(hex(j * {width}), 2, '0')), n + s, n))"
-    met = ring.withColumn("_first", F.expr(f"transform(sequence(0, {COMPONENTS - 1}), j -> {first})"))
-    picked = f"array_sort(transform(sequence(0, {PICKED - 1}), p -> get(_ring, (f + p) % size(_ring)).at))"
-    component = f"substring(md5(array_join(transform({picked}, a -> get(_kmer, a)), ' ')), 1, {DIGITS})"
+    steps = alike.withColumn("_step", F.expr("transform(sequence(cast(log2(size(_alike) + 1) AS int), 0, -1), t -> shiftleft(1, t))"))
+    again = "i > 0 AND get(_alike, i - 1).place = x.place"
+    before = "aggregate(_step, 0, (o, s) -> if(i >= o + s AND get(_alike, i - o - s).place = x.place, o + s, o))"
+    moved = f"struct(md5({kmer('x.at', f'cast({before} AS string)')}) AS place, x.at AS at)"
+    later = steps.withColumn("_later", F.expr(f"filter(transform(_alike, (x, i) -> if({again}, {moved}, NULL)), e -> e IS NOT NULL)"))
+    ring = later.withColumn("_ring", F.expr(f"if(size(_later) = 0, _alike, sort_array(concat(filter(_alike, (x, i) -> NOT ({again})), _later)))"))
+    marks = ", ".join(f"'{k * 256 // COMPONENTS:02x}'" for k in range(COMPONENTS))
+    first = "aggregate(_step, 0, (n, s) -> if(n + s <= size(_ring) AND get(_ring, n + s - 1).place < m, n + s, n))"
+    met = ring.withColumn("_first", F.expr(f"transform(array({marks}), m -> {first})"))
+    picked = f"sort_array(transform(sequence(0, {PICKED - 1}), p -> get(_ring, (f + p) % size(_ring)).at))"
+    component = f"substring(md5(array_join(transform({picked}, a -> {kmer('a')}), ' ')), 1, {DIGITS})"
     nothing = f"repeat(substring(md5(''), 1, {DIGITS}), {COMPONENTS})"
-    found = F.expr(f"unhex(if(size(_kmer) = 0, {nothing}, array_join(transform(_first, f -> {component}), '')))")
+    found = F.expr(f"unhex(if(size(_ring) = 0, {nothing}, array_join(transform(_first, f -> {component}), '')))")
     return met.select(*[F.col(c) for c in kept], found.alias(name))
 
 

@@ -190,31 +190,31 @@ WITH doc AS (
 ), said AS (
   SELECT rid, 0 AS kind, text FROM pair UNION ALL SELECT rid, 1 AS kind, edited FROM pair
 ), token AS (
-  SELECT rid, kind, regexp_extract_all(text, '[^\x20\x09-\x0D]{1,8}') AS w FROM said
+  SELECT rid, kind, regexp_extract_all(text, '[^\x20\x09-\x0D]{1,16}') AS w FROM said
 ), kmer AS (
   SELECT rid, kind, p AS pos, array_to_string(list_slice(w, p, p + 2), ' ') AS x
   FROM token, unnest(generate_series(1, CASE WHEN len(w) = 0 THEN 0 ELSE greatest(len(w) - 2, 1) END)) AS u(p)
 ), ring AS (
   SELECT rid, kind, pos, x, md5(x || ' ' || (row_number() OVER (PARTITION BY rid, kind, x ORDER BY pos) - 1)) AS place FROM kmer
 ), placed AS (
-  SELECT rid, kind, list(place ORDER BY place) AS places, list(pos ORDER BY place) AS at, list(x ORDER BY pos) AS xs FROM ring GROUP BY rid, kind
+  SELECT rid, kind, list(place ORDER BY place) AS places, list(pos ORDER BY place) AS ats, list(x ORDER BY pos) AS xs FROM ring GROUP BY rid, kind
 ), mark AS (
-  SELECT j, printf('%02x', j * 2) AS m FROM range(128) r(j)
+  SELECT j, printf('%02x', j * 4) AS m FROM range(64) r(j)
 ), met AS (
-  SELECT rid, kind, j, len(list_filter(places, lambda z: z < m)) AS f, len(places) AS n, at, xs FROM placed, mark
+  SELECT rid, kind, j, len(list_filter(places, lambda z: z < m)) AS f, len(places) AS n, ats, xs FROM placed, mark
 ), picked AS (
-  SELECT rid, kind, j, xs, least(at[f % n + 1], at[(f + 1) % n + 1]) AS a, greatest(at[f % n + 1], at[(f + 1) % n + 1]) AS b FROM met
+  SELECT rid, kind, j, xs, least(ats[f % n + 1], ats[(f + 1) % n + 1]) AS a, greatest(ats[f % n + 1], ats[(f + 1) % n + 1]) AS b FROM met
 ), part AS (
   SELECT rid, kind, j, left(md5(xs[a] || ' ' || xs[b]), 8) AS c FROM picked
 ), print AS (
   SELECT rid, kind, list(c ORDER BY j) AS cs FROM part GROUP BY rid, kind
 ), every AS (
-  SELECT rid, kind, coalesce(cs, list_transform(range(128), lambda z: left(md5(''), 8))) AS cs FROM said LEFT JOIN print USING (rid, kind)
+  SELECT rid, kind, coalesce(cs, list_transform(range(64), lambda z: left(md5(''), 8))) AS cs FROM said LEFT JOIN print USING (rid, kind)
 )
 SELECT p.doc_id, CAST(length(p.text) AS BIGINT) AS n_chars, sha256(p.edited) AS edited_sha256,
        array_to_string(a.cs, '') AS fingerprint, array_to_string(b.cs, '') AS edited_fingerprint,
-       len(list_filter(range(1, 129), lambda z: a.cs[z] = b.cs[z])) / 128 AS near_edited,
-       len(list_filter(range(1, 129), lambda z: a.cs[z] = e.cs[z])) / 128 AS near_next
+       len(list_filter(range(1, 65), lambda z: a.cs[z] = b.cs[z])) / 64 AS near_edited,
+       len(list_filter(range(1, 65), lambda z: a.cs[z] = e.cs[z])) / 64 AS near_next
 FROM pair p JOIN every a ON a.rid = p.rid AND a.kind = 0 JOIN every b ON b.rid = p.rid AND b.kind = 1
 JOIN every e ON e.rid = p.rid % (SELECT count(*) FROM doc) + 1 AND e.kind = 0
 """
