@@ -23,7 +23,7 @@ import json
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,9 @@ from pitchflow.functions.names import col, quote
 
 ENCODING = "UTF-8"
 
+#: Column of the ingested rows with the values that have no column.
+RESCUED = "_rescatado"
+
 
 def json_options(multi_line: bool, infer_types: bool = False) -> dict[str, str]:
     """Options of the batch landing reader. The encoding is stated: detecting it makes
@@ -62,22 +65,49 @@ def read_documents(
 def raw_documents(text: DataFrame) -> DataFrame:
     """(value, source file, v) of a text read of landing files; ``v`` is the parsed document,
     NULL for a text that is no JSON object. Blank lines are no documents."""
-    parsed = F.try_parse_json("value")
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
-    return text.where(F.trim("value") != "").select(
-        "value", F.col("_metadata.file_path").alias(spec.SOURCE_FILE_COL), F.when(is_object, parsed).alias("v")
-    )
+    parsed = F.when(F.col("value").rlike(r"^\s*\{"), F.try_parse_json("value"))
+    return text.where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias(spec.SOURCE_FILE_COL), parsed.alias("v"))
+
+
+def _got(variant: str, path: str, kind: str) -> Column:
+    return F.expr(f"try_variant_get({variant}, '{path}', '{kind}')")
+
 
+def document_elements(raw: DataFrame, field: str = spec.DATA_FIELD) -> DataFrame:
+    """(source file, v, season, pos, e) of the documents of :func:`raw_documents`: one row for each element
+    ``e`` of the match list, numbered by ``pos``; one row without element for a document without any.
 
-def document_schema(raw: DataFrame) -> tuple[T.StructType, int, int]:
-    """Fields and types of the documents (numbers kept), and how many texts are
-    documents and how many are none. One aggregation over the parsed documents."""
-    row = raw.agg(
-        F.schema_of_variant_agg("v").alias("s"), F.count("v").alias("good"), F.count_if(F.col("v").isNull()).alias("bad")
+    What stands in the place of the list, a single match or a value that is none, is
+    taken as its only element, so that no document can hide another's matches.
+    """
+    whole = _got("v", f"$.{field}", "variant")
+    listed = F.coalesce(_got("v", f"$.{field}", "array<variant>"), F.when(~F.is_variant_null(whole), F.array(whole)))
+    found = raw.where("v is not null").select(spec.SOURCE_FILE_COL, "v", F.posexplode_outer(listed).alias("pos", "e"))
+    return found.withColumn("season", _got("v", "$.temporada", "variant"))
+
+
+def document_schema(raw: DataFrame, field: str = spec.DATA_FIELD) -> tuple[T.StructType, int, int, int]:
+    """Fields and types of the documents (numbers kept), how many texts are documents, how many are
+    none, and how many elements of match lists are no matches. One aggregation over the parsed documents."""
+    found = document_elements(raw, field).withColumn("is_match", _got("e", "$", "struct<>").isNotNull())
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    row = found.agg(
+        F.schema_of_variant_agg(F.when(F.col("is_match"), F.col("e"))).alias("s"),
+        F.schema_of_variant_agg(F.when(first, F.col("season"))).alias("t"),
+        F.count_if(first).alias("good"),
+        F.count_if(F.col("e").isNotNull() & ~F.col("is_match")).alias("stray"),
     ).first()
-    ddl = re.sub(r"`(?:[^`]|``)*`|\bOBJECT<", lambda m: m[0] if m[0].startswith("`") else "STRUCT<", row["s"])
-    found = _plain(T.DataType.fromDDL(ddl)) if ddl.startswith("STRUCT<") else None
-    return found if isinstance(found, T.StructType) else T.StructType([]), row["good"], row["bad"]
+    bad = raw.where("v is null").count()
+    fields = [T.StructField("temporada", _plain(_type(row["t"])))] if row["good"] else []
+    match = _type(row["s"])
+    if isinstance(match, T.StructType):
+        fields.append(T.StructField(field, T.ArrayType(_plain(match), True)))
+    return T.StructType(fields), row["good"], bad, row["stray"]
+
+
+def _type(of_variants: str) -> T.DataType:
+    ddl = re.sub(r"`(?:[^`]|``)*`|\bOBJECT<", lambda m: m[0] if m[0].startswith("`") else "STRUCT<", of_variants)
+    return T.StringType() if ddl == "VARIANT" else T.DataType.fromDDL(ddl)
 
 
 def _plain(t: T.DataType) -> T.DataType:
@@ -103,10 +133,47 @@ def as_stored(schema: T.StructType, field: str = spec.DATA_FIELD) -> T.StructTyp
     return T.StructType(fields)
 
 
-def parse_documents(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """The documents of :func:`raw_documents` as columns of text, with their source file."""
-    doc = F.from_json("value", as_stored(schema)).alias("doc")
-    return raw.where("v is not null").select(doc, spec.SOURCE_FILE_COL).select("doc.*", spec.SOURCE_FILE_COL)
+def match_fields(schema: T.StructType, field: str = spec.DATA_FIELD) -> tuple[list[T.StructField], list[T.StructField]]:
+    """The remembered match fields that are columns, and those that cannot be.
+
+    Column names are told apart without regard to case, and the season, the audit columns and the
+    rescue column are taken. The first of several such fields is the column, for good, since
+    the memory keeps the order in which fields were met; the others are rescued.
+    """
+    data = next((f.dataType for f in schema.fields if f.name == field), None)
+    inner = data.elementType.fields if isinstance(data, T.ArrayType) and isinstance(data.elementType, T.StructType) else []
+    taken = {"temporada", spec.SOURCE_FILE_COL, spec.LOAD_TIME_COL, RESCUED}
+    stored, clashing = [], []
+    for f in inner:
+        (clashing if f.name.lower() in taken else stored).append(f)
+        taken.add(f.name.lower())
+    return stored, clashing
+
+
+def _texts(fields: list[T.StructField]) -> str:
+    """A struct type with a text for each field."""
+    return f"struct<{','.join(quote(f.name) + ':string' for f in fields)}>".replace("'", "\\'")
+
+
+def bronze_rows(raw: DataFrame, schema: T.StructType, field: str = spec.DATA_FIELD) -> DataFrame:
+    """One row per match of the documents of :func:`raw_documents`, all values as text (T8 for the ingest).
+
+    ``_rescatado`` has, as a JSON object, the values whose names cannot be columns, else NULL.
+    """
+    stored, clashing = match_fields(schema, field)
+    found = document_elements(raw, field).select(
+        F.expr("cast(season as string)").alias("temporada"), spec.SOURCE_FILE_COL,
+        _got("e", "$", _texts(stored)).alias("partido"),
+        (F.nullif(F.to_json(_got("e", "$", _texts(clashing))), F.lit("{}")) if clashing else F.lit(None).cast("string")).alias(RESCUED),
+    )
+    found = found.where("partido is not null")
+    return add_load_time(found.select("temporada", spec.SOURCE_FILE_COL, *[F.col(f"partido.{quote(f.name)}") for f in stored], RESCUED))
+
+
+def stray_elements(raw: DataFrame, field: str = spec.DATA_FIELD) -> DataFrame:
+    """(value, source file) of what stands in a match list and is no match, as JSON text."""
+    found = document_elements(raw, field).where(F.col("e").isNotNull() & _got("e", "$", "struct<>").isNull())
+    return found.select(F.to_json("e").alias("value"), spec.SOURCE_FILE_COL)
 
 
 def _merge_types(a: T.DataType, b: T.DataType) -> T.DataType:
@@ -185,15 +252,12 @@ def bronze_schema(doc_schema: T.StructType, field: str = spec.DATA_FIELD) -> T.S
     Lets a reader of the Bronze folder state its schema from the schema
     memory instead of merging the footers of every Bronze file.
     """
-    by_name = {f.name: f for f in doc_schema.fields}
-    season = by_name.get("temporada", T.StructField("temporada", T.StringType()))
-    data = by_name[field].dataType if field in by_name else None
-    element = data.elementType if isinstance(data, T.ArrayType) and isinstance(data.elementType, T.StructType) else T.StructType([])
+    season = next((f.dataType for f in doc_schema.fields if f.name == "temporada"), T.StringType())
     return T.StructType(
         [
-            T.StructField("temporada", season.dataType, True),
+            T.StructField("temporada", season, True),
             T.StructField(spec.SOURCE_FILE_COL, T.StringType(), True),
-            *[T.StructField(f.name, f.dataType, True) for f in element.fields],
+            *[T.StructField(f.name, f.dataType, True) for f in match_fields(doc_schema, field)[0]],
             T.StructField(spec.LOAD_TIME_COL, T.TimestampType(), True),
         ]
     )

@@ -26,9 +26,10 @@ from pitchflow.sources.landing import (
     as_stored,
     bronze_schema,
     document_schema,
-    parse_documents,
+    RESCUED,
+    bronze_rows,
     raw_documents,
-    to_bronze,
+    stray_elements,
     typed_columns,
 )
 from pitchflow.sources.tables import BATCH, committed_batches, path_exists, read_batches, write_batch
@@ -46,12 +47,14 @@ QUARANTINE_SCHEMA = T.StructType(
 
 @dataclass
 class IngestResult:
-    """What one run read: micro-batches, documents, texts set aside, and the schema memory after it."""
+    """What one run read: micro-batches, documents, texts set aside, the schema memory after it, and how many
+    elements of match lists were no matches and were set aside."""
 
     batches: int
     documents: int
     malformed: int
     schema: T.StructType
+    stray: int = 0
 
 
 def quarantine_path(bronze_path: str) -> str:
@@ -86,18 +89,18 @@ def ingest_landing(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    done: list[tuple[int, int]] = []
+    done: list[tuple[int, int, int]] = []
 
     def write(text: DataFrame, batch: int) -> None:
         raw = text.persist()  # read and parsed once for the fields, the rows and the quarantine
-        found, good, bad = document_schema(raw)
+        found, good, bad, stray = document_schema(raw)
         schema = store.merge(found)
-        write_batch(to_bronze(parse_documents(raw, schema)), bronze_path, batch)
-        if bad:
-            aside = add_load_time(raw.where("v is null").select("value", spec.SOURCE_FILE_COL))
-            write_batch(aside, quarantine_path(bronze_path), batch)
+        write_batch(bronze_rows(raw, schema), bronze_path, batch)
+        if bad or stray:
+            aside = raw.where("v is null").select("value", spec.SOURCE_FILE_COL).union(stray_elements(raw))
+            write_batch(add_load_time(aside), quarantine_path(bronze_path), batch)
         raw.unpersist()
-        done.append((good, bad))
+        done.append((good, bad, stray))
 
     query = (
         raw_documents(reader.text(landing, wholetext=multi_line))
@@ -112,7 +115,8 @@ def ingest_landing(
         query.stop()
         raise TimeoutError(f"bronze ingest did not finish within {timeout_seconds} s")
     schema, _ = store.load()
-    return IngestResult(len(done), sum(g for g, _ in done), sum(b for _, b in done), schema or T.StructType([]))
+    good, bad, stray = (sum(n) for n in zip((0, 0, 0), *done, strict=True))
+    return IngestResult(len(done), good, bad, schema or T.StructType([]), stray)
 
 
 def read_bronze(
@@ -121,20 +125,26 @@ def read_bronze(
     doc_schema: T.StructType | None = None,
     batches: list[int] | None = None,
     typed: bool = False,
+    rescued: bool = False,
 ) -> DataFrame:
     """Batch scan of the committed Bronze batches.
 
     With the schema memory (``doc_schema``) the columns are stated; rows ingested
     before a column appeared read it as NULL, and ``typed`` gives numbers where
-    every document had numbers. Without it the files' columns are merged.
+    every document had numbers. ``rescued`` adds the values that have no column (``_rescatado``).
+    Without the memory the files' columns are merged.
     """
     if doc_schema is None:
         chosen = list(committed_batches(spark, bronze_path)) if batches is None else batches
         if not chosen:
             return read_batches(spark, bronze_path, bronze_schema(T.StructType([])), [])
         paths = [f"{bronze_path}/{BATCH}={b}" for b in chosen]
-        return spark.read.option("mergeSchema", "true").parquet(*paths)
-    rows = read_batches(spark, bronze_path, bronze_schema(as_stored(doc_schema)), batches)
+        found = spark.read.option("mergeSchema", "true").parquet(*paths)
+        return found if rescued else found.drop(RESCUED)
+    stated = bronze_schema(as_stored(doc_schema))
+    if rescued:
+        stated = T.StructType([*stated.fields, T.StructField(RESCUED, T.StringType())])
+    rows = read_batches(spark, bronze_path, stated, batches)
     return typed_columns(rows, doc_schema) if typed else rows
 
 

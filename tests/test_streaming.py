@@ -9,7 +9,7 @@ from samples import SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, wri
 
 from pitchflow import spec
 from pitchflow.sources import landing as L
-from pitchflow.streaming.bronze import ingest_landing, read_bronze
+from pitchflow.streaming.bronze import ingest_landing, read_bronze, read_quarantine
 
 
 def _rows(df):
@@ -154,3 +154,34 @@ def test_archive_processed_landing_files(spark, workdir):
     assert read_bronze(spark, bronze).count() == 4
     archived = [f for _, _, files in os.walk(archive) for f in files if f.endswith(".json")]
     assert "2021.json" in archived  # the first run's file, once its batch committed
+
+
+ODD = {"temporada": 2027, "data": [{"url": "m/odd/1", "Remates": 4, "remates": 5, "temporada": "x"}, "suelto", None, [1], {"url": "m/odd/2"}]}
+
+
+def test_odd_documents_lose_no_match(spark, workdir):
+    """What stands in a match list's place, or in it, takes no other match with it, nor the memory."""
+    landing, bronze, state = (os.path.join(workdir, d) for d in ("landing", "bronze", "state"))
+    files = f"{landing}/*.json"
+
+    def run():
+        return ingest_landing(spark, files, bronze, state, multi_line=True)
+
+    write_doc(landing, "a.json", SEASON_2020)
+    assert run().stray == 0
+    write_doc(landing, "b.json", SEASON_2021)
+    write_doc(landing, "c.json", {"temporada": 2021, "data": "sin datos"})
+    write_doc(landing, "d.json", {"temporada": 2021, "data": {"url": "m/one"}})
+    write_doc(landing, "e.json", ODD)
+    write_doc(landing, "f.json", {"temporada": 2021, "data": None})
+    second = run()
+    assert (second.documents, second.malformed, second.stray) == (5, 0, 4)
+    write_doc(landing, "g.json", SEASON_2026)
+    known = run().schema
+    rows = {r.url: r for r in read_bronze(spark, bronze, known, rescued=True).collect()}
+    want = [m["url"] for s in (SEASON_2020, SEASON_2021, SEASON_2026) for m in s["data"]] + ["m/one", "m/odd/1", "m/odd/2"]
+    assert sorted(rows) == sorted(want)
+    odd = rows["m/odd/1"]
+    assert (odd.temporada, odd.Remates, odd._rescatado) == ("2027", "4", '{"remates":"5","temporada":"x"}')
+    assert all(r._rescatado is None for u, r in rows.items() if u != "m/odd/1")
+    assert sorted(r.value for r in read_quarantine(spark, bronze).collect()) == ['"sin datos"', '"suelto"', "[1]", "null"]
