@@ -37,17 +37,18 @@ def _side(own: str, other: str, win: str, loss: str, stats: list[str]):
     )
 
 
-def team_view(matches: DataFrame, stats: list[str] | None = None) -> DataFrame:
+def team_view(matches: DataFrame, stats: list[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One match row -> two team rows.
 
     Goals and result are turned round for the away side; ``rol`` is
     ``local`` or ``visitante``; each ``<stat>_local`` / ``<stat>_visitante``
-    becomes ``<stat>`` for its side. Duplicates are kept, as a union would.
+    becomes ``<stat>`` for its side. Duplicates are kept, as a union would. ``keep`` names
+    columns of the match that both rows get.
     """
     stats = list(stats or [])
     home = _side(spec.SIDE_HOME, spec.SIDE_AWAY, spec.RESULT_HOME_WIN, spec.RESULT_AWAY_WIN, stats)
     away = _side(spec.SIDE_AWAY, spec.SIDE_HOME, spec.RESULT_AWAY_WIN, spec.RESULT_HOME_WIN, stats)
-    return matches.select("temporada", F.inline(F.array(home, away)))
+    return matches.select("temporada", *keep, F.inline(F.array(home, away)))
 
 
 def played(matches: DataFrame) -> DataFrame:
@@ -62,22 +63,22 @@ def played(matches: DataFrame) -> DataFrame:
 _RECORD = ["partidos", "es_victoria", "es_empate", "es_derrota", "goles_favor", "goles_contra"]
 
 
-def team_rows(silver: DataFrame, stats: list[str]) -> DataFrame:
+def team_rows(silver: DataFrame, stats: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Team rows of the played matches, each counting as one match, with each statistic's
     value and whether it is there (``<stat>_n``)."""
     present = [flag(F.col(s).isNotNull()).alias(f"{s}_n") for s in stats]
-    return team_view(played(silver), stats).select("*", F.lit(1).alias("partidos"), *present)
+    return team_view(played(silver), stats, keep).select("*", F.lit(1).alias("partidos"), *present)
 
 
-def roll_up(rows: DataFrame, stats: list[str]) -> DataFrame:
-    """Team rows added up by season, team and role."""
+def roll_up(rows: DataFrame, stats: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Team rows added up by season, team and role, and by the columns in ``keep``."""
     added = [*_RECORD, *stats, *[f"{s}_n" for s in stats]]
-    return rows.groupBy("temporada", "equipo", "rol").agg(*[F.sum(c).cast("long").alias(c) for c in added])
+    return rows.groupBy(*keep, "temporada", "equipo", "rol").agg(*[F.sum(c).cast("long").alias(c) for c in added])
 
 
-def team_sums(silver: DataFrame) -> DataFrame:
-    """The sums both Gold tables are made of."""
-    return roll_up(team_rows(silver, spec.gold_stat_bases()), spec.gold_stat_bases())
+def team_sums(silver: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The sums both Gold tables are made of, by the columns in ``keep`` too."""
+    return roll_up(team_rows(silver, spec.gold_stat_bases(), keep), spec.gold_stat_bases(), keep)
 
 
 def _record_measures() -> list:

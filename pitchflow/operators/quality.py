@@ -42,7 +42,11 @@ def rule_counts(rules: list[Rule]) -> list[Column]:
 
 def rule_report(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row per rule: ``rule, passed, failed, unknown`` (Q2); rows are not touched."""
-    counts = df.agg(*rule_counts(rules))
+    return df.agg(*rule_counts(rules)).select(F.inline(report_rows([name for name, _ in rules])))
+
+
+def report_rows(names: list[str]) -> Column:
+    """Array of ``(rule, passed, failed, unknown)`` from the columns of :func:`rule_counts`."""
     rows = [
         F.struct(
             F.lit(name).alias("rule"),
@@ -50,9 +54,9 @@ def rule_report(df: DataFrame, rules: list[Rule]) -> DataFrame:
             F.col(f"failed_{i}").alias("failed"),
             (F.col("rows") - F.col(f"passed_{i}") - F.col(f"failed_{i}")).alias("unknown"),
         )
-        for i, (name, _) in enumerate(rules)
+        for i, name in enumerate(names)
     ]
-    return counts.select(F.inline(F.array(*rows)))
+    return F.array(*rows)
 
 
 def observe_rules(df: DataFrame, rules: list[Rule], name: str) -> tuple[DataFrame, Observation]:

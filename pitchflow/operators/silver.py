@@ -44,7 +44,7 @@ def _field_type(fields: dict[str, T.DataType], landing_name: str) -> T.DataType
     return fields.get(names.sanitized(landing_name), fields.get(landing_name))
 
 
-def unify_languages(df: DataFrame) -> DataFrame:
+def unify_languages(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Base projection plus one column per statistic, Spanish before English.
 
     * base fields are renamed to their Silver names, season cast to int;
@@ -139,9 +139,9 @@ def _cast(c: Column, source: T.DataType, target: str) -> Column:
     return c.try_cast(target)
 
 
-def cast_to_schema(df: DataFrame) -> DataFrame:
-    """Select the declared Silver columns in declared order, each cast to its type."""
-    return df.select(*_schema_columns(app_key(df), schema_key(df)))
+def cast_to_schema(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Select the declared Silver columns in declared order, each cast to its type, after the columns in ``keep``."""
+    return df.select(*keep, *_schema_columns(app_key(df), schema_key(df)))
 
 
 @per_application
@@ -160,18 +160,18 @@ def _schema_columns(schema: str) -> list[Column]:
     return out
 
 
-def silver_matches(bronze: DataFrame) -> DataFrame:
+def silver_matches(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The whole Silver chain (T9): sanitize, unify, dates, score, value/pct, types.
 
     Unification reads every field by its sanitized name or as written and
     drops the rest, so sanitizing needs no projection of its own here; its
-    collision check still runs.
+    collision check still runs. Columns in ``keep`` are passed through, in front.
     """
     check_distinct(bronze.columns)
     return (
-        bronze.transform(unify_languages)
+        bronze.transform(unify_languages, keep)
         .transform(parse_dates)
         .transform(parse_score)
         .transform(split_value_pct)
-        .transform(cast_to_schema)
+        .transform(cast_to_schema, keep)
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchflow import spec
@@ -22,8 +22,8 @@ from pitchflow.plans import oracle
 from pitchflow.plans import layers
 from pitchflow.session import new_run_dir
 from pitchflow.sources import landing
-from pitchflow.sources.fixture import documents_of, raw_matches, read_orders, season_documents, write_documents
-from pitchflow.streaming.bronze import ingest_landing, read_bronze, read_quarantine
+from pitchflow.sources.fixture import ORDER_KEY, documents_of, raw_matches, read_orders, season_documents, write_documents
+from pitchflow.streaming.bronze import ingest_landing, read_bronze, read_quarantine, replay_quarantine
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -128,6 +128,77 @@ def q_bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.join(aside, "temporada", "full").select("temporada", "partidos", "apartados")
 
 
+def q_bronze_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops in which stray texts stand between the matches, single matches and texts in the
+    place of the list, and a field has the season's name: matches kept, values rescued and set aside (S3, P1)."""
+    run = new_run_dir(spark, "bronze_rescue")
+    raw, k = raw_matches(read_orders(spark, sf_dir), keep_key=True), F.col(ORDER_KEY)
+    fields = [F.col(f"`{c}`") for c in raw.columns if c not in (ORDER_KEY, "temporada")]
+    match = F.to_json(F.struct(*fields, F.when(k % 7 == 0, F.lit("x")).alias("Temporada")))
+    stray = F.when(k % 10 == 1, F.concat(F.lit(', "suelto '), F.col("temporada").cast("string"), F.lit('"'))).otherwise("")
+    rows = raw.select("temporada", k, F.floor(k / MATCHES_PER_DOCUMENT).alias("block"), match.alias("match"), F.concat(match, stray).alias("element"))
+
+    def document(data: Column) -> Column:
+        return F.concat(F.lit('{"temporada": '), F.col("temporada").cast("string"), F.lit(', "data": '), data, F.lit("}")).alias("value")
+
+    listed = rows.where(k % 100 != 0).groupBy("temporada", "block").agg(F.collect_list("element").alias("all"))
+    parts = [
+        listed.select("temporada", document(F.concat(F.lit("["), F.array_join("all", ", "), F.lit("]")))),
+        rows.where(k % 100 == 0).select("temporada", document(F.col("match"))),
+        rows.select("temporada").distinct().select("temporada", document(F.concat(F.lit('"sin datos '), F.col("temporada").cast("string"), F.lit('"')))),
+    ]
+    bronze, state = f"{run}/bronze", f"{run}/state"
+    first = F.col("temporada") <= FIRST_DROP_LAST_SEASON
+    for drop, chosen in (("drop1", first), ("drop2", ~F.coalesce(first, F.lit(False)))):
+        for i, part in enumerate(parts):
+            part.where(chosen).select("value").write.text(f"{run}/landing/{drop}_{i}")
+        known = ingest_landing(spark, f"{run}/landing/*/*", bronze, state).schema
+    kept = read_bronze(spark, bronze, known, rescued=True).groupBy("temporada")
+    kept = kept.agg(F.count(F.lit(1)).alias("partidos"), F.count(landing.RESCUED).alias("rescatados"))
+    season = F.regexp_extract("value", r"(\d+)", 1).alias("temporada")
+    aside = read_quarantine(spark, bronze).groupBy(season).agg(F.count(F.lit(1)).alias("apartados"))
+    return kept.join(aside, "temporada", "full").select("temporada", "partidos", "rescatados", "apartados")
+
+
+def q_bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents of the English seasons land cut off and are set aside; mended, they are fed back, once (K1)."""
+    run = new_run_dir(spark, "bronze_replay")
+    docs = _documents(spark, sf_dir)
+    late = F.col("temporada") > FIRST_DROP_LAST_SEASON
+    write_documents(docs.filter(~late), f"{run}/landing/good")
+    broken = F.regexp_replace(F.to_json(F.struct("temporada", spec.DATA_FIELD)), r"\]\}$", "")
+    docs.filter(late).select(broken.alias("value")).write.text(f"{run}/landing/broken")
+    bronze, state = f"{run}/bronze", f"{run}/state"
+    ingest_landing(spark, f"{run}/landing/*/*", bronze, state)
+    for _ in range(2):
+        known = replay_quarantine(spark, bronze, state, lambda text: F.concat(text, F.lit("]}"))).schema
+    return read_bronze(spark, bronze, known).drop(spec.SOURCE_FILE_COL, spec.LOAD_TIME_COL)
+
+
+def q_bronze_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops, then the stream's state is lost; a third drop goes on with a new state."""
+    run = new_run_dir(spark, "bronze_restart")
+    docs = _documents(spark, sf_dir)
+    season = F.col("temporada")
+    drops = [season <= FIRST_DROP_LAST_SEASON, (season > FIRST_DROP_LAST_SEASON) & (season <= 2023), season > 2023]
+    bronze = f"{run}/bronze"
+    for i, (chosen, state) in enumerate(zip(drops, ("state", "state", "new_state"), strict=True)):
+        write_documents(docs.filter(chosen), f"{run}/landing/drop{i}")
+        ingest_landing(spark, f"{run}/landing/*/*.json", bronze, f"{run}/{state}")
+    return read_bronze(spark, bronze).groupBy("temporada").agg(F.count(F.lit(1)).alias("partidos"))
+
+
+def q_dq_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three drops and refreshes; the rules' state of the whole Silver table from the counts of its batches (Q2)."""
+    run = new_run_dir(spark, "dq_history")
+    docs = _documents(spark, sf_dir)
+    season = F.col("temporada")
+    for i, chosen in enumerate((season <= FIRST_DROP_LAST_SEASON, (season > FIRST_DROP_LAST_SEASON) & (season <= 2023), season > 2023)):
+        write_documents(docs.filter(chosen), f"{run}/landing/drop{i}")
+        layers.refresh_layers(spark, f"{run}/landing/*/*.json", f"{run}/tables", skip_gold=True)
+    return layers.rule_totals(spark, f"{run}/tables")
+
+
 TYPED_CHANGES = spec.STATS[0][1]  # a plain statistic of the English layout, number first, then text
 TYPED_STAYS = spec.STATS[1][1]
 
@@ -302,6 +373,18 @@ def _sql_bronze_quarantine() -> str:
     )
 
 
+def _sql_bronze_rescue() -> str:
+    return (
+        "SELECT CAST(year(o_orderdate) + 25 AS VARCHAR) AS temporada, count(*) AS partidos,"
+        " count(*) FILTER (WHERE o_orderkey % 7 = 0) AS rescatados,"
+        " count(*) FILTER (WHERE o_orderkey % 10 = 1) + 1 AS apartados FROM orders GROUP BY 1"
+    )
+
+
+def _sql_bronze_restart() -> str:
+    return "SELECT CAST(year(o_orderdate) + 25 AS VARCHAR) AS temporada, count(*) AS partidos FROM orders GROUP BY 1"
+
+
 def _sql_bronze_typed() -> str:
     changes, stays = oracle.q(TYPED_CHANGES), oracle.q(TYPED_STAYS)
     return (
@@ -454,6 +537,9 @@ QUERIES: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
     "bronze_stream_ingest": (q_bronze_stream_ingest, lambda: oracle.raw_sql(as_text=True)),
     "bronze_lineage": (q_bronze_lineage, _sql_bronze_lineage),
     "bronze_quarantine": (q_bronze_quarantine, _sql_bronze_quarantine),
+    "bronze_rescue": (q_bronze_rescue, _sql_bronze_rescue),
+    "bronze_replay": (q_bronze_replay, lambda: oracle.raw_sql(as_text=True)),
+    "bronze_restart": (q_bronze_restart, _sql_bronze_restart),
     "bronze_typed": (q_bronze_typed, _sql_bronze_typed),
     "layer_refresh": (q_layer_refresh, lambda: oracle.standings_sql()),
     "layer_refresh_recovery": (q_layer_refresh_recovery, lambda: oracle.standings_sql()),
@@ -472,6 +558,10 @@ QUERIES: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
         q_dq_silver,
         lambda: oracle.rule_report_sql(oracle.silver_sql(), spec.SILVER_RULES),
     ),
+    "dq_history": (
+        q_dq_history,
+        lambda: oracle.rule_report_sql(oracle.silver_sql(), spec.SILVER_RULES),
+    ),
     "dq_standings": (
         q_dq_standings,
         lambda: oracle.rule_report_sql(oracle.standings_sql(), spec.STANDINGS_RULES),

@@ -16,8 +16,11 @@ written. A refresh after a failure, wherever it happened, does what is missing.
   rows per batch, season and team. Both tables are rewritten by every refresh,
   so neither can stay behind Silver.
 
-Quality rules ride on the writes: the counts are observed while the rows are
-written, so checking them costs no extra scan.
+All batches that are due go through a layer in one job, however many they are.
+
+Quality rules: the counts of every Silver batch and rule are a table that grows with
+the batches, so that the rules' state of the whole table, or of any update, can be
+read without scanning Silver. Gold's counts are observed while it is written.
 """
 
 from __future__ import annotations
@@ -25,11 +28,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchflow import spec
 from pitchflow.operators import gold, silver
-from pitchflow.operators.quality import load_rules, observation_report, observe_rules
+from pitchflow.operators.quality import load_rules, observation_report, observe_rules, report_rows, rule_counts
 from pitchflow.sources.landing import SchemaStore, as_stored, bronze_schema
 from pitchflow.sources.tables import (
     BATCH,
@@ -39,13 +43,14 @@ from pitchflow.sources.tables import (
     read_table,
     register_table,
     table_path,
-    write_batch,
+    write_batches,
     write_table,
 )
 from pitchflow.streaming.bronze import IngestResult, ingest_landing, read_bronze
 
 BRONZE = ("bronze", "bronze_partidos")
 SILVER = ("silver", "silver_partidos")
+RULES = ("silver", "silver_reglas")
 SUMS = ("gold", "gold_sumas_equipo")
 STANDINGS = ("gold", "gold_tabla_posiciones")
 PERFORMANCE = ("gold", "gold_rendimiento_equipo")
@@ -98,43 +103,56 @@ def read_layer(spark: SparkSession, root: str, layer_table: tuple[str, str]) ->
     return read_table(spark, root, *layer_table, schema)
 
 
-def _added(reports: list[list[dict]], rules: dict[str, str]) -> list[dict]:
-    """The rule counts of several writes, added up."""
-    total = {name: {"rule": name, "passed": 0, "failed": 0, "unknown": 0} for name in rules}
-    for report in reports:
-        for r in report:
-            for k in ("passed", "failed", "unknown"):
-                total[r["rule"]][k] += r[k]
-    return list(total.values())
+RULE_COUNTS = T.StructType(
+    [T.StructField("rule", T.StringType()), *[T.StructField(c, T.LongType()) for c in ("passed", "failed", "unknown")]]
+)
+
+
+def rule_history(spark: SparkSession, root: str, batches: list[int] | None = None) -> DataFrame:
+    """(lote, rule, passed, failed, unknown) of every Silver batch, or of some."""
+    return read_batches(spark, table_path(root.rstrip("/"), *RULES), RULE_COUNTS, batches, numbered=True)
+
+
+def rule_totals(spark: SparkSession, root: str, batches: list[int] | None = None) -> DataFrame:
+    """(rule, passed, failed, unknown) of the whole Silver table, added up from its batches' counts, or of some batches."""
+    counts = [F.sum(c).alias(c) for c in ("passed", "failed", "unknown")]
+    return rule_history(spark, root, batches).groupBy("rule").agg(*counts)
 
 
 def refresh_silver(
     spark: SparkSession, root: str, *, full: bool = False, typed: bool = False, register: bool = False
 ) -> tuple[list[dict], list[int]]:
-    """Write the Silver batches that are missing, or all of them.
+    """Write the Silver batches that are missing, or all of them, in one job, and their rule counts in another.
 
     Returns the rule report of the rows written and the batches' numbers.
     """
     source, target = table_path(root, *BRONZE), table_path(root, *SILVER)
     pending = list(committed_batches(spark, source)) if full else pending_batches(spark, source, target)
     known, _ = SchemaStore(spark, f"{_state(root)}/schema").load()
+    if pending:
+        bronze = read_bronze(spark, source, known, pending, typed, numbered=True)
+        write_batches(silver.silver_matches(bronze, keep=(BATCH,)), target, pending, ["temporada"])
     rules = load_rules(spec.SILVER_RULES)
-    reports = []
-    for b in pending:
-        rows = silver.silver_matches(read_bronze(spark, source, known, [b], typed))
-        observed, obs = observe_rules(rows, list(rules.items()), f"dq_{SILVER[1]}_{b}")
-        write_batch(observed, target, b, ["temporada"])
-        reports.append(observation_report(obs, list(rules.items())))
+    history = table_path(root, *RULES)
+    uncounted = pending_batches(spark, target, history)
+    if uncounted:
+        rows = read_batches(spark, target, silver_table_schema(), uncounted, numbered=True)
+        counts = rows.groupBy(BATCH).agg(*rule_counts(list(rules.items())))
+        write_batches(counts.select(BATCH, F.inline(report_rows(list(rules)))), history, uncounted)
     if register:
         _register_batches(spark, root, SILVER, silver_table_schema(), "silver", ["temporada"])
-    return _added(reports, rules), pending
+    # a batch without rows has no counts
+    totals = {r["rule"]: r.asDict() for r in rule_totals(spark, root, pending).collect()} if pending else {}
+    return [totals.get(name, {"rule": name, "passed": 0, "failed": 0, "unknown": 0}) for name in rules], pending
 
 
 def refresh_sums(spark: SparkSession, root: str) -> None:
-    """Add up the Silver batches that have no sums yet, or were written again since."""
+    """Add up the Silver batches that have no sums yet, or were written again since, in one job."""
     source, target = table_path(root, *SILVER), table_path(root, *SUMS)
-    for b in pending_batches(spark, source, target):
-        write_batch(gold.team_sums(read_batches(spark, source, silver_table_schema(), [b])), target, b)
+    pending = pending_batches(spark, source, target)
+    if pending:
+        rows = read_batches(spark, source, silver_table_schema(), pending, numbered=True)
+        write_batches(gold.team_sums(rows, (BATCH,)), target, pending)
 
 
 def refresh_gold(spark: SparkSession, root: str, register: bool = False) -> dict[str, list[dict]]:

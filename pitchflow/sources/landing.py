@@ -62,11 +62,14 @@ def read_documents(
     return reader.json(path)
 
 
+def parsed(texts: DataFrame) -> DataFrame:
+    """``texts`` with the document ``v`` of each ``value``; NULL for a text that is no JSON object."""
+    return texts.withColumn("v", F.when(F.col("value").rlike(r"^\s*\{"), F.try_parse_json("value")))
+
+
 def raw_documents(text: DataFrame) -> DataFrame:
-    """(value, source file, v) of a text read of landing files; ``v`` is the parsed document,
-    NULL for a text that is no JSON object. Blank lines are no documents."""
-    parsed = F.when(F.col("value").rlike(r"^\s*\{"), F.try_parse_json("value"))
-    return text.where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias(spec.SOURCE_FILE_COL), parsed.alias("v"))
+    """(value, source file, v) of a text read of landing files (:func:`parsed`). Blank lines are no documents."""
+    return parsed(text.where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias(spec.SOURCE_FILE_COL)))
 
 
 def _got(variant: str, path: str, kind: str) -> Column:

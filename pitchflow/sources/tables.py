@@ -34,25 +34,24 @@ def write_table(
     comment: str | None = None,
     properties: dict[str, str] | None = None,
     register: bool = False,
-    replace_partitions: bool = False,
 ) -> str:
-    """Result sink: overwrite ``<root>/<layer>/<name>`` with ``df``.
+    """Result sink: ``df`` becomes the content of the table ``<root>/<layer>/<name>``.
 
-    With ``replace_partitions`` only the partitions present in ``df`` are
-    replaced (dynamic partition overwrite); the others are kept.
+    Every call writes a folder ``version=<n>`` of its own, which counts once Spark has
+    committed it; until then, and if the write fails, readers get the version before as a whole. A
+    registered table's location is then switched to the new version. The version before is
+    kept for readers that are still on it, older ones and what failed writes left are deleted.
     """
-    path = table_path(root, layer, name)
-    writer = df.write.mode("overwrite").format("parquet")
-    if replace_partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    spark, path = df.sparkSession, table_path(root, layer, name)
+    before = list(committed_batches(spark, path, VERSION))
+    number = max(before, default=-1) + 1
+    df.write.mode("overwrite").partitionBy(*partition_by or []).parquet(f"{path}/{VERSION}={number}")
     if register:
         register_table(
-            df.sparkSession, root, layer, name, comment=comment, properties=properties,
-            schema=df.schema, partition_by=partition_by,
+            spark, root, layer, name, comment=comment, properties=properties,
+            schema=df.schema, partition_by=partition_by, folder=f"{path}/{VERSION}={number}",
         )
+    drop_batches(spark, path, [n for n in batch_folders(spark, path, VERSION) if n < number and n not in before[-1:]], VERSION)
     return path
 
 
@@ -66,14 +65,15 @@ def register_table(
     properties: dict[str, str] | None = None,
     schema: StructType | None = None,
     partition_by: list[str] | None = None,
+    folder: str | None = None,
 ) -> str:
     """Name the folder ``<layer>.<name>`` in the session catalog, with comment and properties.
 
     With ``schema`` the columns (and partition columns) are stated, so an
     empty partitioned table registers too; otherwise they are read from
-    the files.
+    the files. ``folder`` is where the files are, by default the table's own folder.
     """
-    path = table_path(root, layer, name)
+    path = folder or table_path(root, layer, name)
     qualified = f"`{layer}`.`{name}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
     spark.sql(f"DROP TABLE IF EXISTS {qualified}")
@@ -97,11 +97,15 @@ def register_table(
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str, schema: StructType) -> DataFrame:
-    """Scan of a layer table by path (filters on partition columns prune folders).
+    """Scan of a full-result table's last committed version (filters on partition columns prune folders).
 
-    The schema is stated, so a table without rows can be read too.
+    The schema is stated, so a table without rows, or without a version, can be read too.
     """
-    return spark.read.schema(schema).parquet(table_path(root, layer, name))
+    path = table_path(root, layer, name)
+    versions = committed_batches(spark, path, VERSION)
+    if not versions:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{VERSION}={max(versions)}")
 
 
 # ---------------------------------------------------------------------------
@@ -110,6 +114,7 @@ def read_table(spark: SparkSession, root: str, layer: str, name: str, schema: St
 # ---------------------------------------------------------------------------
 
 BATCH = "lote"
+VERSION = "version"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -118,12 +123,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
 
 
-def committed_batches(spark: SparkSession, path: str) -> dict[int, int]:
+def _folders(spark: SparkSession, path: str, pattern: str) -> list:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")
+    return list(found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(found) or [])
+
+
+def committed_batches(spark: SparkSession, path: str, kind: str = BATCH) -> dict[int, int]:
     """Numbers of the batches whose write was committed, ascending, with the time of that."""
-    marks = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{BATCH}=*/_SUCCESS")
-    store = marks.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = {int(s.getPath().getParent().getName().split("=")[1]): s.getModificationTime() for s in store.globStatus(marks) or []}
-    return dict(sorted(found.items()))
+    marks = _folders(spark, path, f"{kind}=*/_SUCCESS")
+    return dict(sorted((int(s.getPath().getParent().getName().split("=")[1]), s.getModificationTime()) for s in marks))
+
+
+def batch_folders(spark: SparkSession, path: str, kind: str = BATCH) -> list[int]:
+    """Numbers of all batches that have a folder, committed or not."""
+    return sorted(int(s.getPath().getName().split("=")[1]) for s in _folders(spark, path, f"{kind}=*"))
+
+
+def drop_batches(spark: SparkSession, path: str, batches: list[int], kind: str = BATCH) -> None:
+    for b in batches:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}={b}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def pending_batches(spark: SparkSession, source: str, target: str) -> list[int]:
@@ -136,11 +155,28 @@ def write_batch(df: DataFrame, path: str, batch: int, partition_by: list[str] |
     df.write.mode("overwrite").partitionBy(*partition_by or []).parquet(f"{path}/{BATCH}={batch}")
 
 
-def read_batches(spark: SparkSession, path: str, schema: StructType, batches: list[int] | None = None) -> DataFrame:
-    """The rows of the committed batches, or of some of them."""
+def write_batches(df: DataFrame, path: str, batches: list[int], partition_by: list[str] | None = None) -> None:
+    """Write several batches in one job: ``df`` has their rows, and their numbers as the column ``lote``.
+
+    Each batch counts once its own mark is there, which is set after the job; a
+    batch without rows gets a mark too.
+    """
+    spark = df.sparkSession
+    drop_batches(spark, path, batches)
+    df.write.mode("append").partitionBy(BATCH, *partition_by or []).parquet(path)
+    for b in batches:
+        mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{BATCH}={b}/_SUCCESS")
+        mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(mark, True).close()
+
+
+def read_batches(
+    spark: SparkSession, path: str, schema: StructType, batches: list[int] | None = None, numbered: bool = False
+) -> DataFrame:
+    """The rows of the committed batches, or of some of them; ``numbered`` adds the column ``lote``."""
     chosen = list(committed_batches(spark, path)) if batches is None else batches
-    if not chosen:
-        return spark.createDataFrame([], schema)
     stated = StructType([*schema.fields, StructField(BATCH, IntegerType())])
-    rows = spark.read.schema(stated).option("basePath", path).parquet(*[f"{path}/{BATCH}={b}" for b in chosen])
-    return rows.select(*[F.col(quote(f.name)) for f in schema.fields])
+    if not chosen:
+        rows = spark.createDataFrame([], stated)
+    else:
+        rows = spark.read.schema(stated).option("basePath", path).parquet(*[f"{path}/{BATCH}={b}" for b in chosen])
+    return rows.select(*[F.col(quote(f.name)) for f in (stated if numbered else schema).fields])

@@ -14,20 +14,23 @@ and files of any age are taken.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchflow import spec
 from pitchflow.sources.landing import (
+    RESCUED,
     SchemaStore,
     add_load_time,
     as_stored,
     bronze_schema,
     document_schema,
-    RESCUED,
     bronze_rows,
+    parsed,
     raw_documents,
     stray_elements,
     typed_columns,
@@ -75,14 +78,14 @@ def ingest_landing(
     """Run one incremental ingest of ``landing`` into ``bronze_path``.
 
     ``state_dir`` holds the stream checkpoint and the schema memory; keep it
-    outside the landing folder, on storage every executor shares. With
+    outside the landing folder, on storage every executor shares. If the checkpoint
+    is lost, the files that Bronze and the quarantine name as their source are not taken
+    again, and the batches go on behind those that are there. With
     ``archive_dir``, files whose batch committed are moved there, so the
     landing folder each trigger lists stays small over a long history.
     """
     state_dir = state_dir.rstrip("/")
-    if committed_batches(spark, bronze_path) and not path_exists(spark, f"{state_dir}/checkpoint/offsets"):
-        # a new checkpoint would count batches from 0 again and replace the ones there
-        raise ValueError(f"{bronze_path} has batches, but {state_dir} has no checkpoint of them")
+    ledger, base = _ledger(spark, bronze_path, state_dir)
     store = SchemaStore(spark, f"{state_dir}/schema")
     reader = spark.readStream.option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
@@ -92,6 +95,9 @@ def ingest_landing(
     done: list[tuple[int, int, int]] = []
 
     def write(text: DataFrame, batch: int) -> None:
+        batch += base
+        if ledger is not None:
+            text = text.join(ledger, spec.SOURCE_FILE_COL, "left_anti")
         raw = text.persist()  # read and parsed once for the fields, the rows and the quarantine
         found, good, bad, stray = document_schema(raw)
         schema = store.merge(found)
@@ -119,6 +125,57 @@ def ingest_landing(
     return IngestResult(len(done), good, bad, schema or T.StructType([]), stray)
 
 
+def _ledger(spark: SparkSession, bronze_path: str, state_dir: str) -> tuple[DataFrame | None, int]:
+    """The files that were ingested under an earlier checkpoint, if there was one, and the number of this checkpoint's first batch.
+
+    Both are written when a checkpoint begins beside existing batches, before its first
+    batch, and hold as long as it does.
+    """
+    path = f"{state_dir}/ledger"
+    if not path_exists(spark, f"{state_dir}/checkpoint/offsets"):
+        there = [n for p in (bronze_path, quarantine_path(bronze_path)) for n in committed_batches(spark, p) if n < REPLAYED]
+        if there:
+            stated = T.StructType([T.StructField(spec.SOURCE_FILE_COL, T.StringType())])
+            files = [read_batches(spark, p, stated) for p in (bronze_path, quarantine_path(bronze_path))]
+            files[0].union(files[1]).distinct().write.mode("overwrite").parquet(f"{path}/from={max(there) + 1}")
+    begun = committed_batches(spark, path, "from")
+    if not begun:
+        return None, 0
+    return spark.read.parquet(f"{path}/from={max(begun)}"), max(begun)
+
+
+#: Batches of replayed texts are numbered from here on, apart from the stream's.
+REPLAYED = 1_000_000_000
+
+
+def replayed_path(bronze_path: str) -> str:
+    return f"{bronze_path.rstrip('/')}_repuestos"
+
+
+def replay_quarantine(spark: SparkSession, bronze_path: str, state_dir: str, fix: Callable[[Column], Column]) -> IngestResult:
+    """Feed texts that were set aside back as documents, after ``fix``, which maps their text.
+
+    A text is known by its file and the digest of what was set aside. Those that ``fix`` makes a document
+    become one batch of Bronze, once: the batch's keys are written after its rows, so a replay that ended between
+    the two writes the same batch again. What is still no document stays for a later fix.
+    """
+    keys = T.StructType([T.StructField(spec.SOURCE_FILE_COL, T.StringType()), T.StructField("digest", T.StringType())])
+    batch = max(committed_batches(spark, replayed_path(bronze_path)), default=REPLAYED - 1) + 1
+    aside = read_quarantine(spark, bronze_path).withColumn("digest", F.sha2("value", 256))
+    waiting = aside.join(read_batches(spark, replayed_path(bronze_path), keys), keys.names, "left_anti")
+    raw = parsed(waiting.withColumn("value", fix(F.col("value")))).where("v is not null").persist()
+    found, good, _, stray = document_schema(raw)
+    store = SchemaStore(spark, f"{state_dir.rstrip('/')}/schema")
+    if good:
+        schema = store.merge(found)
+        write_batch(bronze_rows(raw, schema), bronze_path, batch)
+        if stray:
+            write_batch(add_load_time(stray_elements(raw)), quarantine_path(bronze_path), batch)
+        write_batch(raw.select(*keys.names).distinct(), replayed_path(bronze_path), batch)
+    raw.unpersist()
+    return IngestResult(int(good > 0), good, 0, store.load()[0] or T.StructType([]), stray)
+
+
 def read_bronze(
     spark: SparkSession,
     bronze_path: str,
@@ -126,13 +183,13 @@ def read_bronze(
     batches: list[int] | None = None,
     typed: bool = False,
     rescued: bool = False,
+    numbered: bool = False,
 ) -> DataFrame:
     """Batch scan of the committed Bronze batches.
 
     With the schema memory (``doc_schema``) the columns are stated; rows ingested
     before a column appeared read it as NULL, and ``typed`` gives numbers where
-    every document had numbers. ``rescued`` adds the values that have no column (``_rescatado``).
-    Without the memory the files' columns are merged.
+    every document had numbers. ``rescued`` adds the values that have no column (``_rescatado``), ``numbered`` the batch (``lote``). Without the memory the files' columns are merged.
     """
     if doc_schema is None:
         chosen = list(committed_batches(spark, bronze_path)) if batches is None else batches
@@ -144,7 +201,7 @@ def read_bronze(
     stated = bronze_schema(as_stored(doc_schema))
     if rescued:
         stated = T.StructType([*stated.fields, T.StructField(RESCUED, T.StringType())])
-    rows = read_batches(spark, bronze_path, stated, batches)
+    rows = read_batches(spark, bronze_path, stated, batches, numbered)
     return typed_columns(rows, doc_schema) if typed else rows
 
 

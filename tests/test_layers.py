@@ -5,10 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pytest
+from pyspark.sql import functions as F
 from samples import EMPTY_SEASON, SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
 
 from pitchflow.plans import layers
 from pitchflow.plans.layers import read_layer
+from pitchflow.sources.tables import batch_folders, read_table, table_path, write_table
 from pitchflow.streaming.bronze import read_bronze, read_quarantine
 
 
@@ -263,3 +266,46 @@ def test_command_line_refresh(spark, workdir, capsys):
     out = json.loads(capsys.readouterr().out)
     assert out["documents"] == 1
     assert _rules(out["rules"]["gold_tabla_posiciones"])["posicion positiva"] == (4, 0, 0)
+
+
+def test_gold_readers_keep_the_old_table_while_it_is_replaced(spark, workdir):
+    def write(df):
+        write_table(df, workdir, "gold", "t", partition_by=["g"])
+
+    def read():
+        return sorted(r.id for r in read_table(spark, workdir, "gold", "t", schema).collect())
+
+    first = spark.range(3).withColumn("g", F.lit(1))
+    schema = first.schema
+    assert read() == []
+    write(first)
+    held = read_table(spark, workdir, "gold", "t", schema)
+    with pytest.raises(Exception, match="midway"):
+        write(spark.range(9, numPartitions=3).select(F.expr("if(id < 8, id, raise_error('midway'))").alias("id"), F.lit(1).alias("g")))
+    assert read() == [0, 1, 2]
+    write(spark.range(5).withColumn("g", F.lit(2)))
+    assert read() == [0, 1, 2, 3, 4] and held.count() == 3
+    write(spark.range(1).withColumn("g", F.lit(2)))
+    assert read() == [0] and batch_folders(spark, table_path(workdir, "gold", "t"), "version") == [1, 2]
+
+
+def test_many_due_batches_in_one_job(spark, workdir):
+    """Twenty due batches make one Silver write, one of rule counts and one of sums, with the rows and
+    counts of twenty single refreshes."""
+    land = os.path.join(workdir, "landing")
+    for i in range(20):
+        doc = {"temporada": 2021, "data": [{**m, "url": f"{m['url']}/{i}"} for m in SEASON_2021["data"]]}
+        write_doc(land, f"{i:02d}.json", doc)
+    root = os.path.join(workdir, "tables")
+    before = layers.MAX_FILES_PER_TRIGGER
+    layers.MAX_FILES_PER_TRIGGER = 1
+    try:
+        run = layers.refresh_layers(spark, f"{land}/*.json", root, multi_line=True)
+    finally:
+        layers.MAX_FILES_PER_TRIGGER = before
+    assert run.bronze.batches == 20 and run.silver_batches == list(range(20))
+    assert read_layer(spark, root, layers.SILVER).count() == 40
+    assert {r["passed"] + r["failed"] + r["unknown"] for r in run.rules["silver_partidos"]} == {40}
+    assert layers.rule_history(spark, root).select("lote").distinct().count() == 20
+    assert {r.partidos_jugados for r in read_layer(spark, root, layers.STANDINGS).collect()} == {20}
+    assert layers.refresh_layers(spark, f"{land}/*.json", root, multi_line=True).silver_batches == []

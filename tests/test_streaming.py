@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from samples import SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
 
 from pitchflow import spec
 from pitchflow.sources import landing as L
-from pitchflow.streaming.bronze import ingest_landing, read_bronze, read_quarantine
+from pitchflow.streaming.bronze import ingest_landing, read_bronze, read_quarantine, replay_quarantine
 
 
 def _rows(df):
@@ -133,14 +135,39 @@ def test_silver_same_from_typed_and_string_bronze(spark, workdir):
     assert _rows(a) == _rows(b)
 
 
-def test_lost_checkpoint_is_refused(spark, workdir):
+def test_lost_checkpoint(spark, workdir):
+    """A new state takes no file again that Bronze or the quarantine has, and replaces no batch."""
     land = os.path.join(workdir, "landing")
     write_doc(land, "2021.json", SEASON_2021)
+    with open(os.path.join(land, "broken.json"), "w") as f:
+        f.write('{"temporada": ')
     bronze = os.path.join(workdir, "bronze")
-    ingest_landing(spark, f"{land}/*.json", bronze, os.path.join(workdir, "state"), multi_line=True)
-    with pytest.raises(ValueError):
-        ingest_landing(spark, f"{land}/*.json", bronze, os.path.join(workdir, "other"), multi_line=True)
-    assert read_bronze(spark, bronze).count() == 2
+
+    def run(state):
+        return ingest_landing(spark, f"{land}/*.json", bronze, os.path.join(workdir, state), multi_line=True)
+
+    run("state")
+    write_doc(land, "2026.json", SEASON_2026)
+    for _ in range(2):
+        run("other")
+    write_doc(land, "2020.json", SEASON_2020)
+    run("other")
+    assert sorted(r.url for r in read_bronze(spark, bronze).collect()) == sorted(m["url"] for s in (SEASON_2020, SEASON_2021, SEASON_2026) for m in s["data"])
+    assert read_quarantine(spark, bronze).count() == 1
+
+
+def test_replay_once(spark, workdir):
+    land, bronze, state = (os.path.join(workdir, d) for d in ("landing", "bronze", "state"))
+    write_doc(land, "2021.json", SEASON_2021)
+    for name, text in (("a.json", json.dumps(SEASON_2026)[:-1]), ("b.json", "nothing")):
+        with open(os.path.join(land, name), "w") as f:
+            f.write(text)
+    assert ingest_landing(spark, f"{land}/*.json", bronze, state, multi_line=True).malformed == 2
+    got = [replay_quarantine(spark, bronze, state, lambda c: F.concat(c, F.lit(end))).documents for end in ("", "}", "}")]
+    assert got == [0, 1, 0]
+    write_doc(land, "2020.json", SEASON_2020)
+    ingest_landing(spark, f"{land}/*.json", bronze, state, multi_line=True)
+    assert sorted(r.url for r in read_bronze(spark, bronze).collect()) == sorted(m["url"] for s in (SEASON_2020, SEASON_2021, SEASON_2026) for m in s["data"])
 
 
 def test_archive_processed_landing_files(spark, workdir):
