@@ -53,9 +53,10 @@ def unify_languages(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     * a field present in no file becomes a typed NULL instead of an error.
 
     Field names are looked up sanitized first, then as written, so the input
-    may be Bronze as stored or after :func:`sanitize_column_names`.
+    may be Bronze as stored or after :func:`sanitize_column_names`. Columns in
+    ``keep`` are passed through as they are.
     """
-    return df.select(*_unify_columns(app_key(df), schema_key(df)))
+    return df.select(*keep, *_unify_columns(app_key(df), schema_key(df)))
 
 
 @per_application
