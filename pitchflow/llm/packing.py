@@ -5,25 +5,20 @@ The global histogram of lengths gives, by dynamic programming, the boundaries of
 boundary adds the fewest tokens. Inside a bucket documents are numbered without
 gaps, and each run of ``budget // boundary`` of them is one batch.
 
-Lengths up to 4096 are told apart exactly; longer ones are rounded up to 12
-significant bits (by less than 0.05 %), so that the histogram has a few
-thousand entries for each doubling of the longest document at most, however
-many documents there are.
+All lengths are told apart, so the boundaries are optimal for any lengths; the histogram has
+a row for each different length, however many documents there are.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import stored
+from pitchflow.llm.common import in_order, numbered, stored
 
 BUCKETS = 16
 TOKEN_BUDGET = 65_536
-#: Documents that are numbered together, on average; they are one task's work.
-CELL_DOCS = 20_000
-_EXACT_BITS = 12
 
 
 def word_tokens(text: str = "text") -> Column:
@@ -31,13 +26,6 @@ def word_tokens(text: str = "text") -> Column:
     return F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long") + 1
 
 
-def length_class(n: Column) -> Column:
-    """``n`` rounded up to 12 significant bits."""
-    shift = F.greatest(F.length(F.bin(n)) - _EXACT_BITS, F.lit(0))
-    step = F.pow(F.lit(2.0), shift).cast("long")
-    return (F.floor((n + step - 1) / step) * step).cast("long")
-
-
 def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """Upper bounds, ascending, of at most ``buckets`` buckets with the least total padding.
 
@@ -97,30 +85,21 @@ def pack(docs: DataFrame, tokens: Column | None = None, buckets: int = BUCKETS,
         F.col("doc_id").cast("long").alias("doc_id"),
         (word_tokens() if tokens is None else tokens).cast("long").alias("n_tokens"),
         F.xxhash64("doc_id", "text").alias("deal"),
-    ).withColumn("length", length_class(F.col("n_tokens")))
+    )
     rows = stored(rows, "packing-lengths")
-    histogram = rows.groupBy("length").agg(F.count("*").alias("docs")).orderBy("length").toPandas()
-    bounds = boundaries(histogram["length"].to_numpy(), histogram["docs"].to_numpy(), buckets)
-    cells = max(1, -(-int(histogram["docs"].sum()) // CELL_DOCS))
+    histogram = rows.groupBy("n_tokens").agg(F.count("*").alias("docs")).orderBy("n_tokens").toPandas()
+    bounds = boundaries(histogram["n_tokens"].to_numpy(), histogram["docs"].to_numpy(), buckets)
     boundary = F.lit(None).cast("long")
     for b in reversed(bounds):
-        boundary = F.when(F.col("length") <= b, F.lit(b)).otherwise(boundary)
-    placed = rows.withColumn("boundary", boundary).withColumn("cell", F.pmod("deal", F.lit(cells)))
-    before = (
-        placed.groupBy("boundary", "cell")
-        .agg(F.count("*").alias("n"))
-        .withColumn("before", F.sum("n").over(Window.partitionBy("boundary").orderBy("cell")) - F.col("n"))
-        .select("boundary", "cell", "before")
-    )
-    within = F.row_number().over(Window.partitionBy("boundary", "cell").orderBy("deal", "doc_id", "n_tokens")) - 1
-    numbered = placed.withColumn("within", within).join(before, ["boundary", "cell"])
+        boundary = F.when(F.col("n_tokens") <= b, F.lit(b)).otherwise(boundary)
+    placed = in_order(rows.withColumn("boundary", boundary), [F.col(c) for c in ("boundary", "deal", "doc_id", "n_tokens")], "packing-order")
+    numbered_rows = numbered(placed, "boundary", "packing-runs")
     each = F.greatest(F.floor(F.lit(budget) / F.col("boundary")), F.lit(1))
-    index = F.col("before") + F.col("within")
-    return numbered.select(
+    return numbered_rows.select(
         "doc_id",
         "n_tokens",
         "boundary",
         (F.col("boundary") - F.col("n_tokens")).alias("padding"),
-        F.floor(index / each).cast("long").alias("batch"),
-        (index % each).cast("long").alias("slot"),
+        F.floor(F.col("idx") / each).cast("long").alias("batch"),
+        (F.col("idx") % each).cast("long").alias("slot"),
     )

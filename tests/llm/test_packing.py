@@ -42,8 +42,7 @@ def check(rows, out, buckets, budget):
         assert all(s == each for s in sizes[:-1]) and 1 <= sizes[-1] <= each
 
 
-def test_every_row_is_packed(docs, monkeypatch):
-    monkeypatch.setattr(packing, "CELL_DOCS", 5)
+def test_every_row_is_packed(docs):
     rows = [(i, "w " * (i * i % 47)) for i in range(80)] + [(3, "a b"), (3, "a b"), (None, None), (None, ""), (None, "x"), (99, "long " * 30_000)]
     df = docs(rows).selectExpr("*", "1 as boundary", "2 as batch", "3 as cell", "4 as `length`", "5 as n")
     check(rows, packing.pack(df, buckets=4, budget=100).collect(), 4, 100)
@@ -58,10 +57,24 @@ def test_given_documents_and_total_padding(sf_docs):
     assert sum(r.padding for r in out) < 0.1 * one
 
 
-def test_empty_table_and_length_classes(docs, spark):
+def test_empty_table(docs):
     assert packing.pack(docs([])).count() == 0
-    n = [1, 4095, 4096, 4097, 5000, 8192, 8193, 123_456_789]
-    got = [r[0] for r in spark.createDataFrame([(x,) for x in n], "n long").select(packing.length_class(F.col("n"))).collect()]
-    for x, c in zip(n, got):
-        step = 1 << max(0, x.bit_length() - 12)
-        assert c == -(-x // step) * step
+
+
+def test_long_lengths_are_exact(spark):
+    """Boundaries over lengths beyond 4096 are the best there are, to the token."""
+    r = np.random.default_rng(2)
+    lengths = np.unique(np.concatenate([r.integers(1, 100, 4), r.integers(4097, 6000, 4), r.integers(60_000, 10**9, 3)]))
+    counts = r.integers(1, 9, len(lengths))
+    rows = [(i, n) for i, n in enumerate(np.repeat(lengths, counts).tolist())]
+    df = spark.createDataFrame(rows, "doc_id long, n long").withColumn("text", F.lit("a b"))
+    for k in (1, 3, 20):
+        out = packing.pack(df, tokens=F.col("n"), buckets=k).collect()
+        best = min(cost(lengths, counts, c) for m in range(1, min(k, 4) + 1) for c in combinations(lengths.tolist(), m) if c[-1] == lengths[-1]) if k < 20 else 0
+        assert sum(x.padding for x in out) == best and sorted(x.n_tokens for x in out) == sorted(n for _, n in rows)
+
+
+def test_equal_rows_are_dealt_to_several_blocks(docs):
+    """Equal rows do not have to meet in one task, and every slot is still taken once."""
+    rows = [(1, "same text here")] * 300 + [(i, "w " * (i % 40)) for i in range(100)]
+    check(rows, packing.pack(docs(rows).repartition(8), buckets=3, budget=50).collect(), 3, 50)
