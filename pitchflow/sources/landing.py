@@ -77,7 +77,7 @@ def _got(variant: str, path: str, kind: str) -> Column:
 
 
 def document_elements(raw: DataFrame, field: str = spec.DATA_FIELD) -> DataFrame:
-    """(source file, v, season, pos, e) of the documents of :func:`raw_documents`: one row for each element
+    """(source file, season, pos, e) of the documents of :func:`raw_documents`: one row for each element
     ``e`` of the match list, numbered by ``pos``; one row without element for a document without any.
 
     What stands in the place of the list, a single match or a value that is none, is
@@ -85,8 +85,9 @@ def document_elements(raw: DataFrame, field: str = spec.DATA_FIELD) -> DataFrame
     """
     whole = _got("v", f"$.{field}", "variant")
     listed = F.coalesce(_got("v", f"$.{field}", "array<variant>"), F.when(~F.is_variant_null(whole), F.array(whole)))
-    found = raw.where("v is not null").select(spec.SOURCE_FILE_COL, "v", F.posexplode_outer(listed).alias("pos", "e"))
-    return found.withColumn("season", _got("v", "$.temporada", "variant"))
+    # The document itself stays behind: its rows must not carry a copy of it each.
+    docs = raw.where("v is not null").select(spec.SOURCE_FILE_COL, _got("v", "$.temporada", "variant").alias("season"), listed.alias("listed"))
+    return docs.select(spec.SOURCE_FILE_COL, "season", F.posexplode_outer("listed").alias("pos", "e"))
 
 
 def document_schema(raw: DataFrame, field: str = spec.DATA_FIELD) -> tuple[T.StructType, int, int, int]:
