@@ -2,24 +2,54 @@
 
 They answer the questions the Gold tables are documented to serve. Inputs
 are already aggregated (season x team [x role]), so windows partitioned by
-team and the ranks over all rows work on a few rows per team and season.
+team work on a few rows per team and season. Ranks over all rows are counted in blocks.
 A ranking returns every row with its rank; ``k`` keeps the ranks up to k where
 the caller wants a top-k report.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import accumulate
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from pitchflow import spec
 from pitchflow.operators.gold import played, team_view
+from pitchflow.session import new_run_dir
+
 
+def _ranked(df: DataFrame, order: list[str], k: int | None) -> DataFrame:
+    """``puesto`` (rank by ``order``, each descending, NULLs last) in front of the rows; ties share a rank.
 
-def _ranked(df: DataFrame, order: list, k: int | None) -> DataFrame:
-    """``puesto`` (rank by ``order``) in front of the rows; ties share a rank."""
-    ranked = df.select(F.rank().over(Window.orderBy(*order)).alias("puesto"), "*")
-    return ranked if k is None else ranked.filter(F.col("puesto") <= k)
+    No task sees all rows. They are written once in blocks by range, equal rows spread
+    by their other columns too. A rank is one more than the rows before it: those of the
+    blocks before (one number per block, at most ``spark.sql.shuffle.partitions``, added up at the driver) and those
+    before it in the block where its values first occur, counted over different values only.
+    """
+    spark = df.sparkSession
+    by = [F.col(c).desc() for c in order]
+    path = new_run_dir(spark, "puestos")
+    dealt = df.repartitionByRange(*by, *[F.col(c) for c in df.columns if c not in order])
+    dealt.withColumn("_bloque", F.spark_partition_id()).write.parquet(path)
+    rows = spark.read.schema(StructType([*dealt.schema.fields, StructField("_bloque", IntegerType())])).parquet(path)
+    values = rows.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"), F.min("_bloque").alias("_bloque"))
+    sizes = {r["_bloque"]: r["n"] for r in values.groupBy("_bloque").agg(F.sum("_n").alias("n")).collect()}
+    blocks = sorted(sizes)
+    starts = [(b, total - sizes[b]) for b, total in zip(blocks, accumulate(sizes[b] for b in blocks), strict=True)]
+    offsets = spark.createDataFrame(starts, "_bloque int, _antes long")
+    here = Window.partitionBy("_bloque").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = values.select(*order, "_bloque", F.coalesce(F.sum("_n").over(here), F.lit(0)).alias("_previas"))
+    ranks = ranks.join(F.broadcast(offsets), "_bloque").select(
+        *[F.col(c).alias(f"_{c}") for c in order], (F.col("_antes") + F.col("_previas") + 1).cast("int").alias("puesto")
+    )
+    if k is not None:
+        ranks = ranks.filter(F.col("puesto") <= k)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order])
+    return rows.join(ranks, same).select("puesto", *df.columns)
 
 
 def season_table(standings: DataFrame, season: int | None = None) -> DataFrame:
@@ -44,7 +74,7 @@ def all_time_points(standings: DataFrame, k: int | None = None) -> DataFrame:
         F.sum("partidos_jugados").alias("partidos_jugados"),
         F.count(F.lit(1)).alias("temporadas"),
     )
-    return _ranked(totals, [F.col("puntos_totales").desc(), F.col("diferencia_goles_total").desc()], k)
+    return _ranked(totals, ["puntos_totales", "diferencia_goles_total"], k)
 
 
 def season_record(standings: DataFrame) -> DataFrame:
@@ -107,7 +137,7 @@ def possession_and_accuracy(
         F.avg("posesion").alias("posesion_promedio"),
         F.try_divide(F.sum("disparos_puerta"), F.sum("tiros_totales")).alias("precision_tiro"),
     )
-    return _ranked(sums, [F.col("posesion_promedio").desc(), F.col("precision_tiro").desc()], k)
+    return _ranked(sums, ["posesion_promedio", "precision_tiro"], k)
 
 
 def shots_on_target_evolution(performance: DataFrame) -> DataFrame:
@@ -129,7 +159,7 @@ def away_fouls(performance: DataFrame, k: int | None = None) -> DataFrame:
     away = performance.filter(F.col("rol") == F.lit(spec.SIDE_AWAY)).select(
         "temporada", "equipo", "faltas_promedio", "tarjetas_amarillas_promedio", "tarjetas_rojas_promedio"
     )
-    return _ranked(away, [F.col("faltas_promedio").desc()], k)
+    return _ranked(away, ["faltas_promedio"], k)
 
 
 def fouls_and_cards(silver: DataFrame, k: int | None = None) -> DataFrame:
@@ -147,4 +177,4 @@ def fouls_and_cards(silver: DataFrame, k: int | None = None) -> DataFrame:
         F.avg("faltas").alias("faltas_por_partido"),
         F.avg(cards).alias("tarjetas_por_partido"),
     )
-    return _ranked(sums, [F.col("faltas_por_partido").desc(), F.col("tarjetas_por_partido").desc()], k)
+    return _ranked(sums, ["faltas_por_partido", "tarjetas_por_partido"], k)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from bisect import bisect_left
 
 import pytest
 from samples import SEASON_2020, SEASON_2021, SEASON_2026, SEASON_2026_LATE, write_doc
@@ -89,3 +90,27 @@ def test_shots_on_target_evolution(gold):
     rows = consume.shots_on_target_evolution(perf).collect()
     assert {(r.equipo, r.rol, r.disparos_puerta_promedio) for r in rows} >= {("Delta", "local", 4.0)}
     assert all(r.disparos_puerta_anterior is None for r in rows)  # one season with statistics
+
+
+def test_ranks_in_blocks_equal_one_window(spark):
+    """Ties over block borders, one value in a third of the rows, NULLs last, no rows."""
+    rows = [(i, None if i % 7 == 0 else 5.0 if i % 3 == 0 else float(i % 41), i % 4) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, x double, y int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = consume._ranked(df, ["x", "y"], None)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and "CartesianProduct" not in plan
+        got = {r.id: r.puesto for r in found.collect()}
+        top = {r.id for r in consume._ranked(df, ["x", "y"], 50).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+    def place(row):
+        return (row[1] is None, -(row[1] or 0.0), -row[2])
+
+    keys = sorted(place(r) for r in rows)
+    want = {r[0]: bisect_left(keys, place(r)) + 1 for r in rows}
+    assert got == want
+    assert top == {i for i, n in want.items() if n <= 50}
+    assert consume._ranked(df.limit(0), ["x"], None).count() == 0
