@@ -1,16 +1,20 @@
 """Main text of web pages by two passes of block rules (operator 1).
 
 The page is cut into blocks of text at block-level tags. What stands in a menu,
-header, footer, sidebar, notice, advert, form, script, style or reader comment is
-no candidate. Pass one decides blocks by link density, length and stop-word
-density; pass two gives ambiguous, mostly short, blocks the label of the nearest
-decided neighbours, those of the same article first.
+header, footer, sidebar, notice, advert, form, script, style or reader comment, by its
+element, role or name, is no candidate. Pass one decides every other block by link density,
+length and stop-word density. Where the page has article or main elements, the text
+that this pass finds inside and outside of them is compared, and the larger part is where the
+main text is: articles outweighed by the page's own text are teasers. Pass two
+gives ambiguous, mostly short, blocks the label of the nearest decided neighbours, those of
+the same article first.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -37,7 +41,7 @@ _BLOCK = frozenset(
     tfoot th thead tr ul video audio caption title""".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_NEVER = frozenset("head nav footer aside form script style noscript template button select option svg math iframe object canvas dialog menu textarea title video audio".split())
+_NEVER = frozenset("head nav footer aside form script style noscript template button select option svg annotation annotation-xml iframe object canvas dialog menu textarea title video audio".split())
 _RAW = frozenset("script style textarea title iframe noscript xmp noembed noframes".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 # Words of class and id names that mark what is not the article.
@@ -50,6 +54,18 @@ _MARKS = frozenset(
     commentlist commentform commentarea commentbox commentsection adsbygoogle adsense adslot adbox adunit adcontainer adwrapper
     topnav sidenav subnav mainnav sitenav pagefooter sitefooter siteheader sharebar sharedaddy""".split()
 )
+# Marks that are ordinary words too, so that they mark only names made of marks and of words for parts of a page.
+_COMMON_MARKS = frozenset(
+    """social share sharing search login skip copyright alert alerts notice notices notification notifications menu menus related
+    recommended recommendations discussion reply replies respond banner banners rail rails overlay promotion sponsor sponsors subscription""".split()
+)
+_PARTS = frozenset(
+    """area bar block body bottom box button buttons card cards center col column container content cta footer form grid group
+    head header heading icon icons inline inner input item items js layout left link links list main mobile module outer page panel
+    post posts article articles row section site slot stack sticky stories story strip text title top right unit wrap wrapper
+    also follow for holder label like links may media more most network networks placeholder popular prompt read reading region see to toggle
+    tools you zone""".split()
+)
 _ARTICLE_MARKS = _MARKS & frozenset("ad ads advert sponsored promo comment comments reply related recommended".split())
 _IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
@@ -65,6 +81,8 @@ LINK_DENSITY = 0.5
 STOP_DENSITY = 0.12
 SHORT_WORDS = 8
 LONG_CHARS = 200
+#: Articles with less text than this share of the text outside of them are teasers.
+TEASER = 0.25
 
 
 @dataclass
@@ -87,16 +105,24 @@ def _excluded(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     if of.get("role", "").lower() in _ROLES:
         return True
-    named = {w.lower() for w in _NAME_WORD.findall(f"{of.get('class', '')} {of.get('id', '')}")}
+    names = [{w.lower() for w in _NAME_WORD.findall(n)} for n in f"{of.get('class', '')} {of.get('id', '')}".split()]
     if tag == "article":
-        return bool(named & _ARTICLE_MARKS)
-    return bool(named & _MARKS) or (not in_article and "header" in named)
+        return any(n & _ARTICLE_MARKS for n in names)
+    return any(_marked(n) for n in names) or (not in_article and any("header" in n for n in names))
+
+
+def _marked(name: set[str]) -> bool:
+    """Whether the words of one class or id name say that the element is no part of the article."""
+    if name & (_MARKS - _COMMON_MARKS):
+        return True
+    return bool(name & _MARKS) and all(w in _MARKS or w in _PARTS or w.isdigit() for w in name)
 
 
 def blocks(page: str) -> list[Block]:
     """The page's candidate blocks, in order."""
     out: list[Block] = []
     stack: list[tuple[str, bool, int, bool]] = []  # element, whether in a left-out part, article, whether in a link
+    open_now: Counter[str] = Counter()  # elements of each name on the stack
     parts: list[tuple[str, bool]] = []
     articles = 0
     at = 0
@@ -122,6 +148,7 @@ def blocks(page: str) -> list[Block]:
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in names:
                 end_block()
+                open_now.subtract(s[0] for s in stack[i:])
                 del stack[i:]
                 return
             if stack[i][0] in scope:
@@ -134,12 +161,13 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         if m[1] or m[4]:
-            if any(s[0] == tag for s in stack):
+            if open_now[tag] > 0:
                 if tag in _BLOCK:
                     close({tag}, set())
                 else:  # an inline end tag does not leave the block it stands in
                     for i in range(len(stack) - 1, -1, -1):
                         if stack[i][0] == tag:
+                            open_now[tag] -= 1
                             del stack[i]
                             break
                         if stack[i][0] in _BLOCK:
@@ -152,9 +180,9 @@ def blocks(page: str) -> list[Block]:
             add(" ")
             continue
         if tag in _BLOCK:
-            if stack and any(s[0] == "p" for s in stack):
+            if open_now["p"] > 0:
                 close({"p"}, {"td", "th", "li", "button", "article", "section", "div"})
-            if tag in _IMPLIED:
+            if tag in _IMPLIED and any(open_now[t] > 0 for t in _IMPLIED[tag]):
                 close(_IMPLIED[tag], _SCOPES[tag])
             end_block()
         if tag in _VOID or attributes.endswith("/") and tag not in _BLOCK:
@@ -169,33 +197,41 @@ def blocks(page: str) -> list[Block]:
             articles += 1
             article = articles
         stack.append((tag, left_out, article, in_link or tag == "a"))
+        open_now[tag] += 1
     add(page[at:])
     end_block()
     return out
 
 
+def first_pass(b: Block) -> bool | None:
+    """Whether a block is text by its own links, length and stop words; None if that is not clear."""
+    if b.linked > LINK_DENSITY * len(b.text):
+        return None if b.article and b.tag not in ("li", "ul", "ol", "td") else False
+    words = [w.lower() for w in _WORD.findall(b.text)]
+    if len(words) < SHORT_WORDS:
+        return None
+    if sum(w in STOP_WORDS for w in words) >= STOP_DENSITY * len(words) or b.article and len(b.text) >= LONG_CHARS:
+        return True
+    return None
+
+
 def decide(found: list[Block]) -> list[bool]:
     """Whether each block belongs to the main text."""
-    scoped = any(b.article for b in found)
-    labels: list[bool | None] = []
-    for b in found:
-        words = [w.lower() for w in _WORD.findall(b.text)]
-        stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-        if scoped and not b.article:
-            labels.append(False)
-        elif b.linked > LINK_DENSITY * len(b.text):
-            labels.append(None if b.article and b.tag not in ("li", "ul", "ol", "td") else False)
-        elif len(words) < SHORT_WORDS:
-            labels.append(None)
-        elif stops >= STOP_DENSITY or b.article and len(b.text) >= LONG_CHARS:
-            labels.append(True)
-        else:
-            labels.append(None)
+    labels = [first_pass(b) for b in found]
+    inside, outside = (sum(len(b.text) for b, label in zip(found, labels, strict=True) if label and bool(b.article) == part) for part in (True, False))
+    # Articles with a small part of the page's text are teasers; with none of it on either side, the element tells.
+    teasers = inside < TEASER * outside
+    scoped = any(b.article for b in found) and not teasers and outside <= inside
+    for i, b in enumerate(found):
+        if scoped and not b.article or teasers and b.article:
+            labels[i] = False
     last: dict[int, int] = {}  # nearest decided block so far, by article
     before, after = [None] * len(found), [None] * len(found)
     for order, side in ((range(len(found)), before), (reversed(range(len(found))), after)):
         last.clear()
         for i in order:
+            if teasers and found[i].article:
+                continue
             scope = found[i].article if scoped else 0
             side[i] = last.get(scope)
             if labels[i] is not None:
@@ -208,7 +244,7 @@ def decide(found: list[Block]) -> list[bool]:
                 label = not min(sides)[1]  # on a tie, text
             else:
                 label = scoped or not any(labels)
-            if scoped and found[i].article and found[i].linked <= LINK_DENSITY * len(found[i].text):
+            if scoped and found[i].linked <= LINK_DENSITY * len(found[i].text):
                 label = True  # unlinked text inside the article stays
         out.append(label)
     return out
@@ -226,8 +262,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages``.
 
     A NULL or empty html, or a page without text, gives an empty text; rows with
-    equal or NULL page_ids each give a row. Columns besides page_id, url and html
-    are not read.
+    equal or NULL page_ids each give a row. Very long or deeply nested pages are read whole, in
+    time that grows with their length. An empty table gives no rows. Columns besides
+    page_id, url and html are not read.
     """
 
     def run(batches):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -69,3 +70,39 @@ def test_edge_cases(spark, docs):
     assert [by[i] for i in (1, 2, 3, 8, 9)] == [""] * 5 and by[4] == "no markup at all" and by[None] == LONG
     assert by[7].count("\n\n") == 4999
     assert extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("teaser", [f"<article><h3>Next</h3><p>{MORE[:60]}</p></article>", f"<article><a href=x>{MORE}</a></article>"])
+@pytest.mark.parametrize("place", ["before", "after"])
+def test_teaser_articles_do_not_hide_the_text(teaser, place):
+    text = f"<div><h1>A heading</h1><div>{LONG}</div><div>{MORE}</div><div>{LONG} {LONG}</div></div>"
+    page = f"<body>{teaser if place == 'before' else ''}{text}{teaser if place == 'after' else ''}</body>"
+    assert main_text(page) == f"A heading\n\n{LONG}\n\n{MORE}\n\n{LONG} {LONG}"
+
+
+def test_pages_where_tags_alone_fail(spark):
+    """No article or main element marks the text, link lists and fragments stand between; the passes alone decide."""
+    links = "<div><a href=1>Read this one</a> <a href=2>and that one of them</a></div>"
+    rows = []
+    for i in range(40):
+        body = "".join(f"<div>{LONG} ({i}.{j})</div>" for j in range(1 + i % 5))
+        rows.append((i, "u", f"<body><div>{links * 2}</div><div><h1>Title {i}</h1>{body}<div>Short one.</div><div>{MORE}</div></div>{links}</body>"))
+    out = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(40):
+        assert out[i].split("\n\n")[-2 - 1 - i % 5 :] == [*[f"{LONG} ({i}.{j})" for j in range(1 + i % 5)], "Short one.", MORE]
+        assert "Read this one" not in out[i]
+
+
+def test_names_that_only_hold_a_mark_lose_nothing():
+    for name in ("social-history", "search-results", "share-prices", "notice-period"):
+        assert main_text(f'<article><p>{LONG}</p><div class="x {name}"><p id="{name}">{MORE}</p></div></article>') == f"{LONG}\n\n{MORE}"
+    for name in ("share-buttons", "social", "relatedPosts", "ad-slot-3", "search-box", "inline-ad", "cookieNotice", "newsletter-of-the-day", "comment-42-text"):
+        assert main_text(f'<article><p>{LONG}</p><div class="{name}"><p>{MORE}</p></div></article>') == LONG
+    assert main_text(f"<article><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p></article>") == f"{LONG} x=2"
+
+
+def test_deep_nesting_takes_linear_time():
+    for page in ("<div>" * 16_000 + LONG, "<div><b>" * 8_000 + LONG, "<ul><li>" * 8_000 + LONG, "<p></i>" * 16_000 + LONG):
+        start = time.perf_counter()
+        assert main_text(page) == LONG
+        assert time.perf_counter() - start < 1
