@@ -20,13 +20,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import batched, crc32_mod
+from pitchflow.llm.common import batched, crc32_mod, discard, stored
 
-#: Bounds of the training sample: texts of each label, and bytes of a text in it.
+#: Bounds of the training sample: texts of each label, and bytes of all texts of a label.
 MAX_PER_LABEL = 2_000
-MAX_SAMPLE_BYTES = 16_384
+MAX_SAMPLE_BYTES = 32 << 20
+#: Windows start every half window, so a passage of up to 17 words lies whole in one of them.
 WINDOW = 32
-STRIDE = 24
+STRIDE = 16
 #: Words with an embedding of their own: the most frequent in the sample, in so many texts at least.
 VOCABULARY = 8_000
 LEAST_TEXTS = 8
@@ -323,19 +324,29 @@ def _calibrate(net: Network, logit: np.ndarray, y: np.ndarray, prior: float) ->
     net.scale, net.shift = float(a), float(b - a * mid)
 
 
-def fit(docs: DataFrame, labels: DataFrame, eligible: Column, most: int = MAX_PER_LABEL) -> Network:
+def fit(docs: DataFrame, labels: DataFrame, eligible: Column, most: int = MAX_PER_LABEL, most_bytes: int = MAX_SAMPLE_BYTES) -> Network:
     """Train on at most ``most`` texts of each value of ``labels.toxic`` for which ``eligible`` holds.
 
-    The sample is the smallest hashes of doc_id among the rows with texts up to
-    ``MAX_SAMPLE_BYTES``. A doc_id with several label rows counts once, with the larger
-    label; labels other than 0 and 1 don't count.
+    The sample is the smallest hashes of doc_id; of these, whole texts of whatever length
+    are taken while a label's texts have at most ``most_bytes`` together, those that
+    don't fit left out. A doc_id counts once: with the larger label of several
+    label rows, with the text of the smallest hash of several texts. Labels other than 0 and 1 don't count.
     """
     own = labels.where(F.col("toxic").isin(0, 1) & F.coalesce(eligible, F.lit(False))).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("y"))
     share = own.agg(F.avg("y")).first()[0]
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     parts = [own.where(F.col("y") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for v in (0, 1)]
-    raw = F.coalesce("text", F.lit("")).cast("binary")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw.alias("text")).where(F.octet_length("text") <= MAX_SAMPLE_BYTES)
-    rows = texts.join(F.broadcast(parts[0].union(parts[1])), "doc_id").select("doc_id", "y", "text").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    rows = texts.join(F.broadcast(parts[0].union(parts[1])), "doc_id")
+    sample = stored(rows.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "toxicity-sample")
+    sizes = sample.select("doc_id", "y", F.octet_length("text").alias("n"), F.xxhash64("doc_id").alias("h")).toArrow().to_pylist()
+    taken, room = [], {0: most_bytes, 1: most_bytes}
+    for r in sorted(sizes, key=lambda r: (r["h"], r["doc_id"])):
+        if r["n"] <= room[r["y"]]:
+            room[r["y"]] -= r["n"]
+            taken.append((r["doc_id"],))
+    chosen = docs.sparkSession.createDataFrame(taken, "doc_id long")
+    rows = sample.join(F.broadcast(chosen), "doc_id").toArrow().sort_by("doc_id")
+    discard(sample)
     return train([bytes(t) for t in rows.column("text").to_pylist()], np.array(rows.column("y").to_pylist(), np.float64), share or 0.0)
 
 
@@ -344,8 +355,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, most: int = MAX_PER_LABE
 
     Only labels of rows whose crc32(doc_id) modulo 5 is not 0 are learnt; rows with
     remainder 0 are held out. A NULL or empty text is scored as one window of
-    padding. A NULL doc_id is not held out. Repeated rows each give a row. Columns
-    besides doc_id and text are not read.
+    padding; a very long one by all of its windows. A NULL doc_id is not held out. Repeated rows each give a
+    row, an empty table none; without usable labels every score is near 0. Columns besides doc_id and text are not read.
     """
     net = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, crc32_mod("doc_id", 5) != 0, most))
 

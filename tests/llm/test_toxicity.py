@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from pitchflow.llm import toxicity
 
@@ -86,3 +87,29 @@ def test_empty_tables_and_one_label(spark, docs):
     assert [r.predicted for r in toxicity.toxicity_scores(docs([(1, "a b"), (2, None)]), none).collect()] == [0, 0]
     ones = spark.createDataFrame([(i, 1, 1) for i in range(9)], LABELS)
     assert {r.predicted for r in toxicity.toxicity_scores(docs([(i, "a b") for i in range(9)]), ones).collect()} == {1}
+
+
+def test_short_passages_lie_whole_in_a_window():
+    for n in (33, 100, 200):
+        cut, _ = toxicity.windows_of([np.arange(1, n + 1, dtype=np.int32)])
+        for size in (8, 17):
+            for at in range(1, n - size + 2):
+                assert any(at in row and at + size - 1 in row for row in cut)
+
+
+def test_one_labelled_id_in_a_third_of_the_rows_and_long_texts(spark, docs, monkeypatch):
+    rows = made(80, 4)
+    hot = [(3, f"scoundrel {i}") for i in range(40)]
+    long = [(500 + i, "word1 word2 word3 " * 3000 + ("villain" if i % 2 else "")) for i in range(8)]
+    labels = spark.createDataFrame([(i, 1, t) for i, _, t in rows] + [(i, 1, i % 2) for i, _ in long], LABELS)
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, y, prior: seen.append((texts, y)))
+    df = docs([(i, x) for i, x, _ in rows] + hot + long)
+    toxicity.fit(df, labels, F.lit(True))
+    texts, y = seen.pop()
+    assert len(texts) == 88 and sum(len(t) > 16_384 for t in texts) == 8 and y.sum() == 44
+    toxicity.fit(df, labels, F.lit(True), most_bytes=75_000)
+    texts, y = seen.pop()
+    for v in (0, 1):
+        assert sum(len(t) for t, own in zip(texts, y, strict=True) if own == v) <= 75_000
+    assert len(texts) == 82  # one long text of each label fits beside the short ones
