@@ -1,15 +1,16 @@
 """Quality classifier (operator 10): nearest-neighbour voting in a latent-semantic space.
 
-A text is counted into hashed terms: trigrams of character classes, and a few
-whole-text terms on words. The counts of a bounded sample of labelled texts give
-inverse document frequencies and, by singular value decomposition, a latent
-space. The labelled vectors (``max_labelled`` rows of ``rank`` numbers) are
+A text is counted into hashed terms: trigrams of character classes with a few
+whole-text terms on repeated and capital words, and the words themselves. The counts of a bounded sample of
+labelled texts give inverse document frequencies and, by singular value decomposition, a latent
+space for either kind of term; a vector is made of both parts. The labelled vectors (``MAX_LABELLED`` rows of ``RANK`` and ``WORD_RANK`` numbers) are
 broadcast; every text is projected, compared with all of them by blocked exact
 cosine products, and its nearest neighbours vote with their similarity.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 from operator import eq
 
@@ -27,7 +28,12 @@ NEIGHBOURS = 15
 THRESHOLD = 0.7
 _HASHED = 1_000
 _WORD_TERMS = 24
-TERMS = _HASHED + _WORD_TERMS
+_SHAPE = _HASHED + _WORD_TERMS
+#: Slots of hashed words, dimensions of their latent space, and the mean length of their part of a vector beside 1.
+WORD_SLOTS = 1_024
+WORD_RANK = 16
+WORD_WEIGHT = 0.5
+TERMS = _SHAPE + WORD_SLOTS
 
 
 def _classes() -> np.ndarray:
@@ -69,9 +75,23 @@ def term_counts(text: bytes) -> np.ndarray:
         out[_HASHED + _level(sum(map(eq, found, found[1:])), n)] = n
         out[_HASHED + 8 + _level(sum(map(bytes.isupper, found)), n)] = n
         out[_HASHED + 16 + _level(n - len(set(found)), n)] = n
+        slots = np.fromiter(map(zlib.crc32, text.lower().split()), np.int64, n) % WORD_SLOTS
+        out[_SHAPE:] = np.bincount(slots, minlength=WORD_SLOTS)
     return out
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    size = np.linalg.norm(x, axis=1, keepdims=True)
+    return x / np.where(size > 0, size, 1)
+
+
+def _latent(x: np.ndarray, rank: int) -> np.ndarray:
+    """The first ``rank`` right singular vectors of the rows, each of length one."""
+    x = _unit(x)
+    _, axes = np.linalg.eigh((x.T @ x).astype(np.float64))  # largest last
+    return np.ascontiguousarray(axes[:, ::-1][:, :rank], np.float32)
+
+
 @dataclass
 class Model:
     """Term weights, projection and the labelled vectors; ``prior`` is the labels' mean."""
@@ -84,9 +104,7 @@ class Model:
     neighbours: int = NEIGHBOURS
 
     def project(self, counts: np.ndarray) -> np.ndarray:
-        x = (np.log1p(counts) * self.idf) @ self.basis
-        size = np.linalg.norm(x, axis=1, keepdims=True)
-        return x / np.where(size > 0, size, 1)
+        return _unit((np.log1p(counts) * self.idf) @ self.basis)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         """Vote of the nearest labelled vectors, weighted by cosine; the prior where
@@ -107,8 +125,8 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, eligible: Column,
     """(doc_id, y, text) of at most ``most`` labelled documents.
 
     The sample is the smallest hashes of doc_id, so it is the same on every run.
-    A doc_id with several label rows counts once, with the smaller label; labels
-    other than 0 and 1 don't count.
+    A doc_id counts once: with the smaller label of several label rows, with the text of
+    the smallest hash of several texts. Labels other than 0 and 1 don't count.
     """
     chosen = (
         labels.where(F.col(column).isin(0, 1) & F.coalesce(eligible, F.lit(False)))
@@ -117,8 +135,8 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, eligible: Column,
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, eligible: Column, most: int = MAX_LABELLED, rank: int = RANK) -> Model:
@@ -137,9 +155,11 @@ def fit(docs: DataFrame, labels: DataFrame, eligible: Column, most: int = MAX_LA
     counts = np.stack([np.frombuffer(x, np.float32) for x in rows.column("counts").to_pylist()])
     idf = (np.log((1 + len(y)) / (1 + (counts > 0).sum(axis=0))) + 0.1).astype(np.float32)
     x = np.log1p(counts) * idf
-    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-    _, axes = np.linalg.eigh((x.T @ x).astype(np.float64))  # right singular vectors, largest last
-    model = Model(idf, np.ascontiguousarray(axes[:, ::-1][:, :rank], np.float32), np.zeros((0, rank)), y, float(y.mean()))
+    shape, words = _latent(x[:, :_SHAPE], rank), _latent(x[:, _SHAPE:], WORD_RANK)
+    far = [np.linalg.norm(part, axis=1).mean() for part in (x[:, :_SHAPE] @ shape, x[:, _SHAPE:] @ words)]
+    basis = np.zeros((TERMS, rank + WORD_RANK), np.float32)
+    basis[:_SHAPE, :rank], basis[_SHAPE:, rank:] = shape, words * (WORD_WEIGHT * far[0] / max(far[1], 1e-9))
+    model = Model(idf, basis, np.zeros((0, rank + WORD_RANK)), y, float(y.mean()))
     model.vectors = model.project(counts).astype(np.float32)
     return model
 
@@ -163,7 +183,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED)
     Only labels of rows whose crc32(doc_id) modulo 4 is not 2 are learnt; rows with
     remainder 2 are held out. A text without terms (NULL, empty) gets the share of
     label 1 in the sample; without any usable label that share is 1. A NULL doc_id
-    is not held out. Repeated rows each give a row.
+    is not held out. Repeated rows each give a row, an empty table none. Very long texts are counted
+    whole. Columns besides doc_id and text are not read.
     """
     model = fit(docs, labels, crc32_mod("doc_id", 4) != 2, most)
     return score(docs, model).select(

@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from pitchflow.llm import quality
 
@@ -63,3 +64,20 @@ def test_votes_are_exact_neighbours():
         near = np.argsort(-cos)[:5]
         weight = np.maximum(cos[near], 0).astype(float) ** 8
         assert abs(s - (weight * y[near]).sum() / weight.sum()) < 1e-5
+
+
+def test_texts_that_differ_in_their_words_alone(spark, docs):
+    """Words of equal lengths and letters of one class: only the words themselves tell the labels apart."""
+    r = np.random.default_rng(3)
+    good, bad = ["stone", "river", "cloud", "field"], ["click", "bonus", "prize", "offer"]
+    rows = [(i, " ".join(r.choice(good if i % 2 else bad, 30))) for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in rows], LABELS)
+    out = quality.quality_scores(docs(rows), labels).collect()
+    assert any(x.held_out for x in out) and all(x.predicted == x.doc_id % 2 for x in out)
+
+
+def test_one_labelled_id_in_a_third_of_the_rows(spark, docs):
+    rows = [(i, f"plain words {i}") for i in range(60)] + [(5, f"other words {i}") for i in range(30)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], LABELS)
+    model = quality.fit(docs(rows), labels, F.lit(True))
+    assert len(model.labels) == 60
