@@ -34,10 +34,11 @@ from pyspark.sql import types as T
 from pitchflow import spec
 from pitchflow.operators import gold, silver
 from pitchflow.operators.quality import load_rules, observation_report, observe_rules, report_rows, rule_counts
-from pitchflow.sources.landing import SchemaStore, as_stored, bronze_schema
+from pitchflow.sources.landing import RESCUED, SchemaStore, as_stored, bronze_schema
 from pitchflow.sources.tables import (
     BATCH,
     committed_batches,
+    merge_batches,
     pending_batches,
     read_batches,
     read_table,
@@ -173,6 +174,21 @@ def refresh_gold(spark: SparkSession, root: str, register: bool = False) -> dict
     return out
 
 
+def merge_layers(spark: SparkSession, root: str, **limits: int) -> dict[str, int]:
+    """Merge the old batch folders of every layer that grows by batches; folders written by table.
+
+    Which batches are due in the next layer stays as it is."""
+    known, _ = SchemaStore(spark, f"{_state(root)}/schema").load()
+    matches = spark.createDataFrame([], silver_table_schema())
+    tables = (
+        (BRONZE, T.StructType([*bronze_schema(as_stored(known or T.StructType([]))).fields, T.StructField(RESCUED, T.StringType())]), []),
+        (SILVER, matches.schema, ["temporada"]),
+        (RULES, RULE_COUNTS, []),
+        (SUMS, gold.team_sums(matches).schema, []),
+    )
+    return {table[1]: merge_batches(spark, table_path(root, *table), schema, by, **limits) for table, schema, by in tables}
+
+
 def _register_batches(spark, root, table, schema: T.StructType, quality: str, partition_by: list[str]) -> None:
     stated = T.StructType([*schema.fields, T.StructField(BATCH, T.IntegerType())])
     register_table(
@@ -211,4 +227,7 @@ def refresh_layers(
     if not skip_gold:
         refresh_sums(spark, root)
         run.rules.update(refresh_gold(spark, root, register))
+    if any(merge_layers(spark, root).values()) and register:
+        _register_batches(spark, root, BRONZE, bronze_schema(as_stored(ingest.schema)), "bronze", [])
+        _register_batches(spark, root, SILVER, silver_table_schema(), "silver", ["temporada"])
     return run

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from pitchflow import spec
 from pitchflow.functions.names import col, quote
+from pitchflow.sources.tables import BATCH, ORIGIN
 
 ENCODING = "UTF-8"
 
@@ -146,7 +147,7 @@ def match_fields(schema: T.StructType, field: str = spec.DATA_FIELD) -> tuple[li
     """
     data = next((f.dataType for f in schema.fields if f.name == field), None)
     inner = data.elementType.fields if isinstance(data, T.ArrayType) and isinstance(data.elementType, T.StructType) else []
-    taken = {"temporada", spec.SOURCE_FILE_COL, spec.LOAD_TIME_COL, RESCUED}
+    taken = {"temporada", spec.SOURCE_FILE_COL, spec.LOAD_TIME_COL, RESCUED, BATCH, ORIGIN}
     stored, clashing = [], []
     for f in inner:
         (clashing if f.name.lower() in taken else stored).append(f)

@@ -35,7 +35,7 @@ from pitchflow.sources.landing import (
     stray_elements,
     typed_columns,
 )
-from pitchflow.sources.tables import BATCH, committed_batches, path_exists, read_batches, write_batch
+from pitchflow.sources.tables import BATCH, ORIGIN, batch_rows, committed_batches, path_exists, read_batches, write_batch
 
 #: The file source forgets files older than this, counted from the newest; a hundred years.
 MAX_FILE_AGE = "36500d"
@@ -192,11 +192,9 @@ def read_bronze(
     every document had numbers. ``rescued`` adds the values that have no column (``_rescatado``), ``numbered`` the batch (``lote``). Without the memory the files' columns are merged.
     """
     if doc_schema is None:
-        chosen = list(committed_batches(spark, bronze_path)) if batches is None else batches
-        if not chosen:
+        if not (committed_batches(spark, bronze_path) if batches is None else batches):
             return read_batches(spark, bronze_path, bronze_schema(T.StructType([])), [])
-        paths = [f"{bronze_path}/{BATCH}={b}" for b in chosen]
-        found = spark.read.option("mergeSchema", "true").parquet(*paths)
+        found = batch_rows(spark, bronze_path, None, batches).drop(BATCH, ORIGIN)
         return found if rescued else found.drop(RESCUED)
     stated = bronze_schema(as_stored(doc_schema))
     if rescued:

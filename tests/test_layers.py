@@ -309,3 +309,72 @@ def test_many_due_batches_in_one_job(spark, workdir):
     assert layers.rule_history(spark, root).select("lote").distinct().count() == 20
     assert {r.partidos_jugados for r in read_layer(spark, root, layers.STANDINGS).collect()} == {20}
     assert layers.refresh_layers(spark, f"{land}/*.json", root, multi_line=True).silver_batches == []
+
+
+def test_old_batches_merge_into_few_folders(spark, workdir):
+    """Fifty drops: few folders and files a season, the rows of one drop, no batch due again; a batch written again counts once."""
+    from pitchflow.sources.tables import committed_batches, pending_batches
+
+    land, once, root = (os.path.join(workdir, d) for d in ("landing", "once", "tables"))
+    for i in range(50):
+        write_doc(land, f"{i:02d}.json", {"temporada": 2021, "data": [{**m, "url": f"{m['url']}/{i}"} for m in SEASON_2021["data"]]})
+    before = layers.MAX_FILES_PER_TRIGGER
+    layers.refresh_layers(spark, f"{land}/*.json", once, multi_line=True)
+    layers.MAX_FILES_PER_TRIGGER = 1
+    try:
+        run = layers.refresh_layers(spark, f"{land}/*.json", root, multi_line=True)
+    finally:
+        layers.MAX_FILES_PER_TRIGGER = before
+    assert run.bronze.batches == 50
+    for table in (layers.BRONZE, layers.SILVER, layers.SUMS):
+        path = table_path(root, *table)
+        assert len(batch_folders(spark, path)) == 1 and list(committed_batches(spark, path)) == list(range(50))
+    silver = read_layer(spark, root, layers.SILVER)
+    assert len(silver.inputFiles()) <= 2
+    for table, drop in ((layers.SILVER, ["fecha_carga"]), (layers.STANDINGS, ()), (layers.PERFORMANCE, ())):
+        assert _rows(spark, root, table, drop) == _rows(spark, once, table, drop)
+    assert read_bronze(spark, table_path(root, *layers.BRONZE)).count() == 100
+    again = layers.refresh_layers(spark, f"{land}/*.json", root, multi_line=True)
+    assert again.silver_batches == [] and read_layer(spark, root, layers.SILVER).count() == 100
+    # All batches written again stand beside the merged folder, and win over it.
+    layers.refresh_silver(spark, root, full=True)
+    assert read_layer(spark, root, layers.SILVER).count() == 100
+    assert pending_batches(spark, table_path(root, *layers.SILVER), table_path(root, *layers.SUMS))
+    layers.refresh_layers(spark, f"{land}/*.json", root, multi_line=True)
+    assert len(batch_folders(spark, table_path(root, *layers.SILVER))) == 1
+    assert _rows(spark, root, layers.STANDINGS, ()) == _rows(spark, once, layers.STANDINGS, ())
+    late = layers.refresh_layers(spark, f"{land}/*.json", root, multi_line=True)
+    assert late.silver_batches == []
+
+
+def test_merge_that_ends_before_its_mark_does_not_count(spark, workdir, monkeypatch):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    from pitchflow.sources import tables
+
+    path, schema = os.path.join(workdir, "t"), StructType([StructField("id", LongType())])
+    for b in range(6):
+        tables.write_batch(spark.range(b, b + 1), path, b)
+
+    def read(batches=None):
+        rows = tables.read_batches(spark, path, schema, batches, numbered=True).collect()
+        assert all(r.id == r.lote for r in rows)
+        return sorted(r.id for r in rows)
+
+    def stop(*_):
+        raise RuntimeError("midway")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_mark", stop)
+        with pytest.raises(RuntimeError):
+            tables.merge_batches(spark, path, schema, at=2)
+    assert read() == list(range(6))
+    with monkeypatch.context() as m:  # counts, but the old folders are still there
+        m.setattr(tables, "drop_batches", lambda *_: None)
+        assert tables.merge_batches(spark, path, schema, at=2) == 1
+    assert read() == list(range(6)) and read([1, 4]) == [1, 4]
+    assert tables.merge_batches(spark, path, schema, at=2) == 1
+    assert read() == list(range(6)) and read([1, 4]) == [1, 4] and len(tables.batch_folders(spark, path)) == 1
+    assert tables.merge_batches(spark, path, schema, at=2) == 0
+    tables.write_batch(spark.range(4, 5), path, 4)
+    assert read() == list(range(6)) and read([4]) == [4] and read([3, 5]) == [3, 5]
