@@ -96,3 +96,53 @@ def test_exchange_never_lowers_the_likelihood():
     start[order] = np.arange(40) % 6
     values = [likelihood(start, 6), *[likelihood(brown.exchange(counts, 6, rounds), 6) for rounds in (1, 2, 4)]]
     assert values == sorted(values) and values[1] > values[0]
+
+
+def test_words_move_to_the_class_that_explains_their_neighbours_best():
+    """Against the likelihood's change worked out from the whole grid, word by word."""
+    r = np.random.default_rng(5)
+    k, words = 6, 40
+    grid = r.integers(60, 200, (k, k)).astype(float)
+    now = r.integers(0, k, words)
+    near = r.poisson(0.8, (words, 2 * k))
+    word, beside = np.nonzero(near)
+    new = brown.moved(grid, now, word, beside, near[word, beside])
+
+    def likelihood(rows, cols, inner):
+        f = lambda x: (x * np.log(np.maximum(x, 1e-300))).sum()
+        return f(inner) - f(rows) - f(cols)
+
+    for w in range(words):
+        left, right, g = near[w, :k].astype(float), near[w, k:].astype(float), now[w]
+        gains = []
+        for c in range(k):
+            # the word's own bigrams on each side, in class c or taken out of its class
+            sign = -1.0 if c == g else 1.0
+            follow, precede = grid.copy(), grid.copy()
+            follow[c] += sign * right
+            precede[:, c] += sign * left
+            change = sum(
+                sign * (likelihood(0 * x, 0 * x, x) - likelihood(0 * x, 0 * x, grid)) for x in (follow, precede)
+            )
+            for total, n in ((grid.sum(1)[c], right.sum()), (grid.sum(0)[c], left.sum())):
+                change -= sign * ((total + sign * n) * math.log(total + sign * n) - total * math.log(total))
+            gains.append(change)
+        assert gains[new[w]] >= max(gains) - 1e-6 and (new[w] == g or gains[new[w]] > gains[g])
+
+
+def test_scores_do_not_depend_on_shards(docs, monkeypatch):
+    """Words outside the head are exchanged over all shards' counts, however the texts are cut."""
+    r = random.Random(3)
+    vocabulary = [[f"{kind}{i}" for i in range(900)] for kind in "xyz"]
+    rows = [(d, " ".join(r.choice(vocabulary[i % 3]) for i in range(120))) for d in range(150)]
+    whole = {x.doc_id: x for x in brown.lm_scores(docs(rows)).collect()}
+    monkeypatch.setattr(brown, "BUCKET_BYTES", 3000)
+    cut = brown.lm_scores(docs(rows).repartition(5)).collect()
+    assert len(cut) == len(rows) and all(abs(x.score - whole[x.doc_id].score) < 1e-6 * abs(x.score) for x in cut)
+
+
+def test_an_end_rarer_than_the_head(docs):
+    rows = [(1, " ".join(f"w{i}" for i in range(1500)) * 1 + " " + " ".join(f"w{i}" for i in range(1500)))]
+    assert not held(1)
+    (out,) = brown.lm_scores(docs(rows)).collect()
+    assert (out.n_tokens, out.n_known) == (3001, 3001) and math.isfinite(out.score) and out.score < 0
