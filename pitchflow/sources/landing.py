@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import re
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,7 +66,9 @@ def read_documents(
 
 def parsed(texts: DataFrame) -> DataFrame:
     """``texts`` with the document ``v`` of each ``value``; NULL for a text that is no JSON object."""
-    return texts.withColumn("v", F.when(F.col("value").rlike(r"^\s*\{"), F.try_parse_json("value")))
+    # No pattern: it would decode the whole text to see its first character.
+    begun = F.startswith(F.ltrim("value", F.lit(" \t\n\x0b\f\r")), F.lit("{"))
+    return texts.withColumn("v", F.when(begun, F.try_parse_json("value")))
 
 
 def raw_documents(text: DataFrame) -> DataFrame:
@@ -73,6 +76,13 @@ def raw_documents(text: DataFrame) -> DataFrame:
     return parsed(text.where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias(spec.SOURCE_FILE_COL)))
 
 
+def persist_parsed(raw: DataFrame) -> DataFrame:
+    """``raw``, parsed once for all that is made of it. The parsed documents are kept, and the texts of those
+    that are none, on the executors' disks: in memory they would take the room of the tasks."""
+    none = {"value": F.when(F.col("v").isNull(), F.col("value"))} if "value" in raw.columns else {}
+    return raw.withColumns(none).persist(StorageLevel.DISK_ONLY)
+
+
 def _got(variant: str, path: str, kind: str) -> Column:
     return F.expr(f"try_variant_get({variant}, '{path}', '{kind}')")
 
@@ -93,21 +103,31 @@ def document_elements(raw: DataFrame, field: str = spec.DATA_FIELD) -> DataFrame
 
 def document_schema(raw: DataFrame, field: str = spec.DATA_FIELD) -> tuple[T.StructType, int, int, int]:
     """Fields and types of the documents (numbers kept), how many texts are documents, how many are
-    none, and how many elements of match lists are no matches. One aggregation over the parsed documents."""
-    found = document_elements(raw, field).withColumn("is_match", _got("e", "$", "struct<>").isNotNull())
-    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
-    row = found.agg(
-        F.schema_of_variant_agg(F.when(F.col("is_match"), F.col("e"))).alias("s"),
-        F.schema_of_variant_agg(F.when(first, F.col("season"))).alias("t"),
-        F.count_if(first).alias("good"),
-        F.count_if(F.col("e").isNotNull() & ~F.col("is_match")).alias("stray"),
+    none, and how many elements of match lists are no matches. One aggregation over the parsed documents;
+    a second one, element by element, only if something else than lists of matches is among them."""
+    void = F.filter(_got("v", f"$.{field}", "array<variant>"), F.is_variant_null)
+    row = raw.agg(
+        F.schema_of_variant_agg(_got("v", f"$.{field}", "variant")).alias("data"),
+        F.schema_of_variant_agg(_got("v", "$.temporada", "variant")).alias("t"),
+        F.count("v").alias("good"),
+        F.count_if(F.col("v").isNull()).alias("bad"),
+        F.coalesce(F.sum(F.size(void)), F.lit(0)).alias("void"),
     ).first()
-    bad = raw.where("v is null").count()
+    data, stray = _type(row["data"]), 0
+    plain = isinstance(data, T.ArrayType) and isinstance(data.elementType, (T.StructType, T.NullType))
+    if isinstance(data, T.NullType) or (plain and not row["void"]):
+        match = data.elementType if plain else data
+    else:
+        found = document_elements(raw, field).withColumn("is_match", _got("e", "$", "struct<>").isNotNull())
+        odd = found.agg(
+            F.schema_of_variant_agg(F.when(F.col("is_match"), F.col("e"))).alias("s"),
+            F.count_if(F.col("e").isNotNull() & ~F.col("is_match")).alias("stray"),
+        ).first()
+        match, stray = _type(odd["s"]), odd["stray"]
     fields = [T.StructField("temporada", _plain(_type(row["t"])))] if row["good"] else []
-    match = _type(row["s"])
     if isinstance(match, T.StructType):
         fields.append(T.StructField(field, T.ArrayType(_plain(match), True)))
-    return T.StructType(fields), row["good"], bad, row["stray"]
+    return T.StructType(fields), row["good"], row["bad"], stray
 
 
 def _type(of_variants: str) -> T.DataType:
@@ -166,13 +186,22 @@ def bronze_rows(raw: DataFrame, schema: T.StructType, field: str = spec.DATA_FIE
     ``_rescatado`` has, as a JSON object, the values whose names cannot be columns, else NULL.
     """
     stored, clashing = match_fields(schema, field)
-    found = document_elements(raw, field).select(
-        F.expr("cast(season as string)").alias("temporada"), spec.SOURCE_FILE_COL,
-        _got("e", "$", _texts(stored)).alias("partido"),
-        (F.nullif(F.to_json(_got("e", "$", _texts(clashing))), F.lit("{}")) if clashing else F.lit(None).cast("string")).alias(RESCUED),
+
+    def listed(fields: list[T.StructField]) -> Column:
+        kind = _texts(fields)
+        return F.coalesce(_got("v", f"$.{field}", f"array<{kind}>"), F.array(_got("v", f"$.{field}", kind)))
+
+    # The generator makes the texts: a projection below a filter on them would make them twice.
+    found = raw.where("v is not null").select(
+        _got("v", "$.temporada", "string").alias("temporada"), spec.SOURCE_FILE_COL, listed(stored).alias("partido"),
+        *[listed(clashing).alias(RESCUED)] * bool(clashing),
+    )
+    pairs = F.arrays_zip("partido", *[RESCUED] * bool(clashing))
+    found = found.select("temporada", spec.SOURCE_FILE_COL, F.inline(pairs)).where("partido is not null")
+    rescued = F.nullif(F.to_json(RESCUED), F.lit("{}")) if clashing else F.lit(None).cast("string")
+    return add_load_time(
+        found.select("temporada", spec.SOURCE_FILE_COL, *[F.col(f"partido.{quote(f.name)}") for f in stored], rescued.alias(RESCUED))
     )
-    found = found.where("partido is not null")
-    return add_load_time(found.select("temporada", spec.SOURCE_FILE_COL, *[F.col(f"partido.{quote(f.name)}") for f in stored], RESCUED))
 
 
 def stray_elements(raw: DataFrame, field: str = spec.DATA_FIELD) -> DataFrame:

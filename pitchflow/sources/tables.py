@@ -190,8 +190,10 @@ def pending_batches(spark: SparkSession, source: str, target: str) -> list[int]:
     return [b for b, at in committed_batches(spark, source).items() if done.get(b, -1) < at]
 
 
-def write_batch(df: DataFrame, path: str, batch: int, partition_by: list[str] | None = None) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by or []).parquet(f"{path}/{BATCH}={batch}")
+def write_batch(
+    df: DataFrame, path: str, batch: int, partition_by: list[str] | None = None, options: dict[str, str] | None = None
+) -> None:
+    df.write.mode("overwrite").options(**options or {}).partitionBy(*partition_by or []).parquet(f"{path}/{BATCH}={batch}")
 
 
 def write_batches(df: DataFrame, path: str, batches: list[int], partition_by: list[str] | None = None) -> None:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from pitchflow.sources.landing import (
     document_schema,
     bronze_rows,
     parsed,
+    persist_parsed,
     raw_documents,
     stray_elements,
     typed_columns,
@@ -46,6 +48,14 @@ QUARANTINE_SCHEMA = T.StructType(
         T.StructField(spec.LOAD_TIME_COL, T.TimestampType()),
     ]
 )
+#: A whole document set aside is one value. Row groups, which readers decode at once, and pages are closed by their
+#: bytes after every value; by default a hundred values are gathered before the first look.
+WHOLE_TEXTS = {
+    "parquet.block.size": str(4 << 20),
+    "parquet.block.size.row.check.min": "1",
+    "parquet.page.size.row.check.min": "1",
+    "parquet.enable.dictionary#value": "false",
+}
 
 
 @dataclass
@@ -64,6 +74,10 @@ def quarantine_path(bronze_path: str) -> str:
     return f"{bronze_path.rstrip('/')}_apartados"
 
 
+def _write_aside(texts: DataFrame, bronze_path: str, batch: int) -> None:
+    write_batch(add_load_time(texts), quarantine_path(bronze_path), batch, options=WHOLE_TEXTS)
+
+
 def ingest_landing(
     spark: SparkSession,
     landing: str,
@@ -98,13 +112,13 @@ def ingest_landing(
         batch += base
         if ledger is not None:
             text = text.join(ledger, spec.SOURCE_FILE_COL, "left_anti")
-        raw = text.persist()  # read and parsed once for the fields, the rows and the quarantine
+        raw = persist_parsed(text)
         found, good, bad, stray = document_schema(raw)
         schema = store.merge(found)
         write_batch(bronze_rows(raw, schema), bronze_path, batch)
         if bad or stray:
-            aside = raw.where("v is null").select("value", spec.SOURCE_FILE_COL).union(stray_elements(raw))
-            write_batch(add_load_time(aside), quarantine_path(bronze_path), batch)
+            parts = [raw.where("v is null").select("value", spec.SOURCE_FILE_COL)] * bool(bad) + [stray_elements(raw)] * bool(stray)
+            _write_aside(reduce(DataFrame.union, parts), bronze_path, batch)
         raw.unpersist()
         done.append((good, bad, stray))
 
@@ -163,14 +177,14 @@ def replay_quarantine(spark: SparkSession, bronze_path: str, state_dir: str, fix
     batch = max(committed_batches(spark, replayed_path(bronze_path)), default=REPLAYED - 1) + 1
     aside = read_quarantine(spark, bronze_path).withColumn("digest", F.sha2("value", 256))
     waiting = aside.join(read_batches(spark, replayed_path(bronze_path), keys), keys.names, "left_anti")
-    raw = parsed(waiting.withColumn("value", fix(F.col("value")))).where("v is not null").persist()
+    raw = persist_parsed(parsed(waiting.withColumn("value", fix(F.col("value")))).where("v is not null").drop("value"))
     found, good, _, stray = document_schema(raw)
     store = SchemaStore(spark, f"{state_dir.rstrip('/')}/schema")
     if good:
         schema = store.merge(found)
         write_batch(bronze_rows(raw, schema), bronze_path, batch)
         if stray:
-            write_batch(add_load_time(stray_elements(raw)), quarantine_path(bronze_path), batch)
+            _write_aside(stray_elements(raw), bronze_path, batch)
         write_batch(raw.select(*keys.names).distinct(), replayed_path(bronze_path), batch)
     raw.unpersist()
     return IngestResult(int(good > 0), good, 0, store.load()[0] or T.StructType([]), stray)
