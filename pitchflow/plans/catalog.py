@@ -22,12 +22,13 @@ from pitchflow.plans import oracle
 from pitchflow.plans import layers
 from pitchflow.session import new_run_dir
 from pitchflow.sources import landing
-from pitchflow.sources.fixture import ORDER_KEY, documents_of, raw_matches, read_orders, season_documents, write_documents
+from pitchflow.sources.fixture import ORDER_KEY, raw_matches, read_orders, season_documents, write_documents
 from pitchflow.streaming.bronze import ingest_landing, read_bronze, read_quarantine, replay_quarantine
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 MATCHES_PER_DOCUMENT = 5000  # a landing document covers this many order keys of one season
+COMPRESSION = "lz4"  # of landing files: their field names repeat in every match
 FIRST_DROP_LAST_SEASON = 2021  # the stream test lands seasons up to here first, the rest later
 
 
@@ -62,10 +63,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return season_documents(read_orders(spark, sf_dir), MATCHES_PER_DOCUMENT)
 
 
+def _land(docs: DataFrame, path: str, **layout: bool) -> str:
+    return write_documents(docs, path, compression=COMPRESSION, **layout)
+
+
 def q_bronze_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON Lines landing, typed schema inference, explode + flatten."""
     run = new_run_dir(spark, "bronze_explode")
-    write_documents(_documents(spark, sf_dir), f"{run}/landing")
+    _land(_documents(spark, sf_dir), f"{run}/landing")
     docs = landing.read_documents(spark, f"{run}/landing", infer_types=True)
     return landing.explode_matches(docs, lineage=False)
 
@@ -88,12 +93,12 @@ def q_bronze_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     run = new_run_dir(spark, "bronze_stream")
     docs = _documents(spark, sf_dir)
-    files = f"{run}/landing/*/*.json"
+    files = f"{run}/landing/*/*.json.lz4"
     bronze, state = f"{run}/bronze", f"{run}/state"
-    write_documents(docs.filter(F.col("temporada") <= FIRST_DROP_LAST_SEASON), f"{run}/landing/drop1")
+    _land(docs.filter(F.col("temporada") <= FIRST_DROP_LAST_SEASON), f"{run}/landing/drop1")
     ingest_landing(spark, files, bronze, state)
-    write_documents(docs.filter(F.col("temporada") > FIRST_DROP_LAST_SEASON), f"{run}/landing/drop2")
-    _date_back(spark, f"{run}/landing/drop2/*.json", 30)
+    _land(docs.filter(F.col("temporada") > FIRST_DROP_LAST_SEASON), f"{run}/landing/drop2")
+    _date_back(spark, f"{run}/landing/drop2/*.json.lz4", 30)
     ingest_landing(spark, files, bronze, state)
     known = ingest_landing(spark, files, bronze, state).schema
     return read_bronze(spark, bronze, known).drop(spec.SOURCE_FILE_COL, spec.LOAD_TIME_COL)
@@ -103,11 +108,11 @@ def q_bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multi-line layout, one document per file, with file lineage and load time."""
     run = new_run_dir(spark, "bronze_lineage")
     written = _documents(spark, sf_dir)
-    write_documents(written, f"{run}/landing", one_document_per_file=True)
+    _land(written, f"{run}/landing", one_document_per_file=True)
     schema = landing.as_stored(written.drop("doc").schema)
-    docs = landing.read_documents(spark, f"{run}/landing/*/*.json", schema, multi_line=True)
+    docs = landing.read_documents(spark, f"{run}/landing/*/*.json.lz4", schema, multi_line=True)
     rows = landing.to_bronze(docs)
-    name = F.regexp_extract(spec.SOURCE_FILE_COL, r"/doc=([^/]+)/[^/]+\.json$", 1)
+    name = F.regexp_extract(spec.SOURCE_FILE_COL, r"/doc=([^/]+)/[^/]+\.json\.lz4$", 1)
     return rows.groupBy("temporada", name.alias("documento")).agg(
         F.count(F.lit(1)).alias("partidos"),
         F.count(spec.LOAD_TIME_COL).alias("con_hora_de_carga"),
@@ -118,9 +123,9 @@ def q_bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A drop with one broken document per season: rows kept, and texts set aside."""
     run = new_run_dir(spark, "bronze_quarantine")
     docs = _documents(spark, sf_dir)
-    write_documents(docs, f"{run}/landing/good")
+    _land(docs, f"{run}/landing/good")
     cut_off = F.concat(F.lit('{"temporada": '), F.col("temporada").cast("string"), F.lit(', "data": [{"local": "tea'))
-    docs.select("temporada").distinct().select(cut_off.alias("value")).write.text(f"{run}/landing/broken")
+    docs.select("temporada").distinct().select(cut_off.alias("value")).write.option("compression", COMPRESSION).text(f"{run}/landing/broken")
     known = ingest_landing(spark, f"{run}/landing/*/*", f"{run}/bronze", f"{run}/state").schema
     kept = read_bronze(spark, f"{run}/bronze", known).groupBy("temporada").agg(F.count(F.lit(1)).alias("partidos"))
     season = F.regexp_extract("value", r'"temporada": (\d+)', 1).alias("temporada")
@@ -151,7 +156,7 @@ def q_bronze_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.col("temporada") <= FIRST_DROP_LAST_SEASON
     for drop, chosen in (("drop1", first), ("drop2", ~F.coalesce(first, F.lit(False)))):
         for i, part in enumerate(parts):
-            part.where(chosen).select("value").write.text(f"{run}/landing/{drop}_{i}")
+            part.where(chosen).select("value").write.option("compression", COMPRESSION).text(f"{run}/landing/{drop}_{i}")
         known = ingest_landing(spark, f"{run}/landing/*/*", bronze, state).schema
     kept = read_bronze(spark, bronze, known, rescued=True).groupBy("temporada")
     kept = kept.agg(F.count(F.lit(1)).alias("partidos"), F.count(landing.RESCUED).alias("rescatados"))
@@ -165,9 +170,9 @@ def q_bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = new_run_dir(spark, "bronze_replay")
     docs = _documents(spark, sf_dir)
     late = F.col("temporada") > FIRST_DROP_LAST_SEASON
-    write_documents(docs.filter(~late), f"{run}/landing/good")
+    _land(docs.filter(~late), f"{run}/landing/good")
     broken = F.regexp_replace(F.to_json(F.struct("temporada", spec.DATA_FIELD)), r"\]\}$", "")
-    docs.filter(late).select(broken.alias("value")).write.text(f"{run}/landing/broken")
+    docs.filter(late).select(broken.alias("value")).write.option("compression", COMPRESSION).text(f"{run}/landing/broken")
     bronze, state = f"{run}/bronze", f"{run}/state"
     ingest_landing(spark, f"{run}/landing/*/*", bronze, state)
     for _ in range(2):
@@ -183,8 +188,8 @@ def q_bronze_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     drops = [season <= FIRST_DROP_LAST_SEASON, (season > FIRST_DROP_LAST_SEASON) & (season <= 2023), season > 2023]
     bronze = f"{run}/bronze"
     for i, (chosen, state) in enumerate(zip(drops, ("state", "state", "new_state"), strict=True)):
-        write_documents(docs.filter(chosen), f"{run}/landing/drop{i}")
-        ingest_landing(spark, f"{run}/landing/*/*.json", bronze, f"{run}/{state}")
+        _land(docs.filter(chosen), f"{run}/landing/drop{i}")
+        ingest_landing(spark, f"{run}/landing/*/*.json.lz4", bronze, f"{run}/{state}")
     return read_bronze(spark, bronze).groupBy("temporada").agg(F.count(F.lit(1)).alias("partidos"))
 
 
@@ -194,8 +199,8 @@ def q_dq_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     season = F.col("temporada")
     for i, chosen in enumerate((season <= FIRST_DROP_LAST_SEASON, (season > FIRST_DROP_LAST_SEASON) & (season <= 2023), season > 2023)):
-        write_documents(docs.filter(chosen), f"{run}/landing/drop{i}")
-        layers.refresh_layers(spark, f"{run}/landing/*/*.json", f"{run}/tables", skip_gold=True)
+        _land(docs.filter(chosen), f"{run}/landing/drop{i}")
+        layers.refresh_layers(spark, f"{run}/landing/*/*.json.lz4", f"{run}/tables", skip_gold=True)
     return layers.rule_totals(spark, f"{run}/tables")
 
 
@@ -206,11 +211,11 @@ TYPED_STAYS = spec.STATS[1][1]
 def q_bronze_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops in which one statistic goes from number to text, read with the remembered types."""
     run = new_run_dir(spark, "bronze_typed")
-    raw = raw_matches(read_orders(spark, sf_dir), keep_key=True)
-    text = F.concat(F.col(f"`{TYPED_CHANGES}`").cast("string"), F.lit(" (9%)"))
-    files, bronze, state = f"{run}/landing/*/*.json", f"{run}/bronze", f"{run}/state"
-    for drop, part in (("drop1", raw.filter("temporada <= 2023")), ("drop2", raw.filter("temporada > 2023").withColumn(TYPED_CHANGES, text))):
-        write_documents(documents_of(part, MATCHES_PER_DOCUMENT), f"{run}/landing/{drop}")
+    docs, season = _documents(spark, sf_dir), F.col("temporada")
+    text = F.transform(spec.DATA_FIELD, lambda m: m.withField(f"`{TYPED_CHANGES}`", F.concat(m[TYPED_CHANGES].cast("string"), F.lit(" (9%)"))))
+    files, bronze, state = f"{run}/landing/*/*.json.lz4", f"{run}/bronze", f"{run}/state"
+    for drop, part in (("drop1", docs.filter(season <= 2023)), ("drop2", docs.filter(season > 2023).withColumn(spec.DATA_FIELD, text))):
+        _land(part, f"{run}/landing/{drop}")
         known = ingest_landing(spark, files, bronze, state).schema
     rows = read_bronze(spark, bronze, known, typed=True)
     return rows.select("url", "temporada", F.col(f"`{TYPED_CHANGES}`").alias("cambia"), F.col(f"`{TYPED_STAYS}`").alias("sigue"))
@@ -219,8 +224,8 @@ def q_bronze_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_layer_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing -> Bronze stream -> Silver table -> Gold tables; standings read back."""
     run = new_run_dir(spark, "layers")
-    write_documents(_documents(spark, sf_dir), f"{run}/landing/drop1")
-    layers.refresh_layers(spark, f"{run}/landing/*/*.json", f"{run}/tables")
+    _land(_documents(spark, sf_dir), f"{run}/landing/drop1")
+    layers.refresh_layers(spark, f"{run}/landing/*/*.json.lz4", f"{run}/tables")
     return layers.read_layer(spark, f"{run}/tables", layers.STANDINGS)
 
 
@@ -229,10 +234,10 @@ def q_layer_refresh_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     new files must bring Gold up to date (K3)."""
     run = new_run_dir(spark, "layers_recovery")
     docs = _documents(spark, sf_dir)
-    files, tables = f"{run}/landing/*/*.json", f"{run}/tables"
-    write_documents(docs.filter(F.col("temporada") <= FIRST_DROP_LAST_SEASON), f"{run}/landing/drop1")
+    files, tables = f"{run}/landing/*/*.json.lz4", f"{run}/tables"
+    _land(docs.filter(F.col("temporada") <= FIRST_DROP_LAST_SEASON), f"{run}/landing/drop1")
     layers.refresh_layers(spark, files, tables)
-    write_documents(docs.filter(F.col("temporada") > FIRST_DROP_LAST_SEASON), f"{run}/landing/drop2")
+    _land(docs.filter(F.col("temporada") > FIRST_DROP_LAST_SEASON), f"{run}/landing/drop2")
     layers.refresh_layers(spark, files, tables, skip_gold=True)
     layers.refresh_layers(spark, files, tables)
     return layers.read_layer(spark, tables, layers.STANDINGS)

@@ -21,6 +21,8 @@ plain statistics as numbers, the others as strings.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,9 @@ ENGLISH_FROM = 2022
 
 ORDER_KEY = "o_orderkey"
 
+#: Documents in a compressed landing file, which one task reads.
+DOCUMENTS_PER_FILE = 64
+
 
 def read_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/orders.parquet")
@@ -68,23 +73,31 @@ def raw_matches(orders: DataFrame, keep_key: bool = False) -> DataFrame:
     computed once in a first projection; Catalyst keeps it separate rather
     than inline them into the 131 fields that reference them.
     """
-    k, c = F.col(ORDER_KEY), F.col("o_custkey")
+    return orders.select(*_row_terms()).select(*_raw_columns(app_key(orders), keep_key))
+
+
+def _row_terms() -> list[Column]:
+    """What the fields of a match are made of, a few numbers a row."""
     season = (F.year("o_orderdate") + SEASON_SHIFT_YEARS).cast("bigint")
-    per_row = orders.select(
-        k,
-        c,
+    return [
+        F.col(ORDER_KEY),
+        F.col("o_custkey"),
         season.alias("_season"),
         F.add_months(F.to_date("o_orderdate"), 12 * SEASON_SHIFT_YEARS).alias("_day"),
         (season == SPANISH_SEASON).alias("_spanish"),
-        ((season >= ENGLISH_FROM) & (k % 5 != 0)).alias("_english"),
-    )
-    return per_row.select(*_raw_columns(app_key(orders), keep_key))
+        ((season >= ENGLISH_FROM) & (F.col(ORDER_KEY) % 5 != 0)).alias("_english"),
+    ]
 
 
 @per_application
 def _raw_columns(keep_key: bool) -> list[Column]:
-    k, c = F.col(ORDER_KEY), F.col("o_custkey")
-    day, season = F.col("_day"), F.col("_season")
+    return _fields_of(F.col, keep_key)
+
+
+def _fields_of(term: Callable[[str], Column], keep_key: bool = False) -> list[Column]:
+    """The fields of a match, of the terms of :func:`_row_terms` that ``term`` gives by name."""
+    k, c = term(ORDER_KEY), term("o_custkey")
+    day, season = term("_day"), term("_season")
     score = (
         F.when(k % 23 == 0, F.lit("Sin jugar"))
         .when(k % 29 == 0, F.lit("2d - 1"))
@@ -104,7 +117,7 @@ def _raw_columns(keep_key: bool) -> list[Column]:
         score.alias("marcador"),
         F.concat(F.lit("match/"), k.cast("string")).alias("url"),
     ]
-    spanish, english = F.col("_spanish"), F.col("_english")
+    spanish, english = term("_spanish"), term("_english")
     spanish_cols, english_cols = [], []
     for j, (es, en, target) in enumerate(spec.STATS):
         value = _stat_value(target, j, k)
@@ -125,17 +138,26 @@ def season_documents(orders: DataFrame, keys_per_document: int = 5000) -> DataFr
     document can hold more than that many matches however the seasons or
     teams are skewed, and ``collect_list`` never gathers an unbounded group.
     ``doc`` is the document id, for writers that lay out one document per file.
+
+    Only the terms of the matches are dealt out by document; their fields, many times
+    as wide, are made of the terms afterwards, document by document.
     """
-    return documents_of(raw_matches(orders, keep_key=True), keys_per_document)
+    terms = orders.select(*_row_terms())
+    docs = _grouped(terms, "_season", F.struct(*terms.columns), keys_per_document)
+    fields = F.transform(spec.DATA_FIELD, lambda m: F.struct(*_fields_of(lambda name: m[name])[1:]))
+    return docs.withColumn(spec.DATA_FIELD, fields)
 
 
 def documents_of(raw: DataFrame, keys_per_document: int) -> DataFrame:
     """Raw matches with their order key, as landing documents (see :func:`season_documents`)."""
     fields = [c for c in raw.columns if c not in (ORDER_KEY, "temporada")]
+    return _grouped(raw, "temporada", F.struct(*[F.col(f"`{f}`") for f in fields]), keys_per_document)
+
+
+def _grouped(rows: DataFrame, season: str, match: Column, keys_per_document: int) -> DataFrame:
     block = F.floor(F.col(ORDER_KEY) / F.lit(keys_per_document))
-    match = F.struct(*[F.col(f"`{f}`") for f in fields])
     return (
-        raw.groupBy("temporada", block.alias("block"))
+        rows.groupBy(F.col(season).alias("temporada"), block.alias("block"))
         .agg(F.collect_list(match).alias(spec.DATA_FIELD))
         .select(
             F.format_string("%d-%06d", F.col("temporada"), F.col("block")).alias("doc"),
@@ -145,16 +167,21 @@ def documents_of(raw: DataFrame, keys_per_document: int) -> DataFrame:
     )
 
 
-def write_documents(docs: DataFrame, path: str, one_document_per_file: bool = False) -> str:
+def write_documents(docs: DataFrame, path: str, one_document_per_file: bool = False, compression: str | None = None) -> str:
     """Write landing documents as JSON.
 
     By default JSON Lines (one document per line, many per file). With
     ``one_document_per_file`` each document goes to its own file under
     ``doc=<id>/``, the layout of a multi-line landing drop. NULL fields are
-    left out, as a source that lacks a statistic would do.
+    left out, as a source that lacks a statistic would do. ``compression`` names
+    a codec; a compressed file cannot be split, so files end after some documents.
     """
+    written = docs if one_document_per_file else docs.drop("doc")
+    writer = written.write.mode("errorifexists")
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", DOCUMENTS_PER_FILE)
     if one_document_per_file:
-        docs.write.mode("errorifexists").partitionBy("doc").json(path)
+        writer.partitionBy("doc").json(path)
     else:
-        docs.drop("doc").write.mode("errorifexists").json(path)
+        writer.json(path)
     return path
