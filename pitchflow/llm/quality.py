@@ -86,8 +86,9 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _latent(x: np.ndarray, rank: int) -> np.ndarray:
-    """The first ``rank`` right singular vectors of the rows, each of length one."""
-    x = _unit(x)
+    """The first ``rank`` right singular vectors of the rows, each made of length one in place."""
+    size = np.linalg.norm(x, axis=1, keepdims=True)
+    x /= np.where(size > 0, size, 1)
     _, axes = np.linalg.eigh((x.T @ x).astype(np.float64))  # largest last
     return np.ascontiguousarray(axes[:, ::-1][:, :rank], np.float32)
 
@@ -139,28 +140,60 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, eligible: Column,
     return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
+def _packed(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """The terms that occur, two bytes each, and their counts."""
+    at = np.flatnonzero(counts)
+    return at.astype(np.uint16).tobytes(), counts[at].tobytes()
+
+
+def _unpacked(rows: pa.Table, first: int = 0, last: int = TERMS) -> np.ndarray:
+    """Counts of the terms from ``first`` to ``last`` of :func:`_packed` rows."""
+    out = np.zeros((len(rows), last - first), np.float32)
+    for row, at, n in zip(out, rows.column("terms"), rows.column("counts"), strict=True):
+        at = np.frombuffer(at.as_buffer(), np.uint16)
+        own = slice(*np.searchsorted(at, (first, last)))
+        row[at[own] - first] = np.frombuffer(n.as_buffer(), np.float32)[own]
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, eligible: Column, most: int = MAX_LABELLED, rank: int = RANK) -> Model:
-    """Fit on at most ``most`` labelled rows of ``labels.quality`` for which ``eligible`` holds."""
+    """Fit on at most ``most`` labelled rows of ``labels.quality`` for which ``eligible`` holds.
+
+    The driver holds the sample's counts packed, and spread out for one kind of term at a time.
+    """
 
     def run(batches):
         for b in batches:
-            counts = [term_counts(t).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(counts, pa.binary())], names=["doc_id", "y", "counts"])
+            terms, counts = zip(*[_packed(term_counts(t)) for t in b.column("text").to_pylist()]) if b.num_rows else ((), ())
+            columns = [b.column("doc_id"), b.column("y"), pa.array(terms, pa.binary()), pa.array(counts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "y", "terms", "counts"])
 
-    rows = labelled(docs, labels, "quality", eligible, most).mapInArrow(run, "doc_id long, y int, counts binary").toArrow()
+    rows = labelled(docs, labels, "quality", eligible, most).mapInArrow(run, "doc_id long, y int, terms binary, counts binary").toArrow()
     rows = rows.sort_by("doc_id")
     y = np.array(rows.column("y").to_pylist(), np.float64)
     if not len(y):
         return Model(np.ones(TERMS, np.float32), np.eye(TERMS, rank, dtype=np.float32), np.zeros((0, rank), np.float32), y, 1.0)
-    counts = np.stack([np.frombuffer(x, np.float32) for x in rows.column("counts").to_pylist()])
-    idf = (np.log((1 + len(y)) / (1 + (counts > 0).sum(axis=0))) + 0.1).astype(np.float32)
-    x = np.log1p(counts) * idf
-    shape, words = _latent(x[:, :_SHAPE], rank), _latent(x[:, _SHAPE:], WORD_RANK)
-    far = [np.linalg.norm(part, axis=1).mean() for part in (x[:, :_SHAPE] @ shape, x[:, _SHAPE:] @ words)]
+    known = np.zeros(TERMS, np.int64)
+    for at in rows.column("terms"):
+        known[np.frombuffer(at.as_buffer(), np.uint16)] += 1
+    idf = (np.log((1 + len(y)) / (1 + known)) + 0.1).astype(np.float32)
+
+    def weighed(first: int, last: int) -> np.ndarray:
+        x = _unpacked(rows, first, last)
+        np.log1p(x, out=x)
+        x *= idf[first:last]
+        return x
+
+    def part(first: int, last: int, dims: int) -> tuple[np.ndarray, float]:
+        axes = _latent(weighed(first, last), dims)
+        return axes, np.linalg.norm(weighed(first, last) @ axes, axis=1).mean()
+
+    (shape, far), (words, word_far) = part(0, _SHAPE, rank), part(_SHAPE, TERMS, WORD_RANK)
     basis = np.zeros((TERMS, rank + WORD_RANK), np.float32)
-    basis[:_SHAPE, :rank], basis[_SHAPE:, rank:] = shape, words * (WORD_WEIGHT * far[0] / max(far[1], 1e-9))
+    basis[:_SHAPE, :rank], basis[_SHAPE:, rank:] = shape, words * (WORD_WEIGHT * far / max(word_far, 1e-9))
     model = Model(idf, basis, np.zeros((0, rank + WORD_RANK)), y, float(y.mean()))
-    model.vectors = model.project(counts).astype(np.float32)
+    pieces = [model.project(_unpacked(rows.slice(at, 1_000))) for at in range(0, len(y), 1_000)]
+    model.vectors = np.concatenate(pieces).astype(np.float32)
     return model
 
 

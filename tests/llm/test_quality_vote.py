@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -81,3 +82,35 @@ def test_one_labelled_id_in_a_third_of_the_rows(spark, docs):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], LABELS)
     model = quality.fit(docs(rows), labels, F.lit(True))
     assert len(model.labels) == 60
+
+
+def test_driver_holds_the_sample_packed(spark, docs):
+    """The sample's counts came to the driver with all their zeros, and were copied several times."""
+    r = np.random.default_rng(4)
+    rows = [(i, " ".join(r.choice(["stone", "river", "cloud", "field"], 12))) for i in range(2_500)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in rows], LABELS)
+    spread = len(rows) * quality.TERMS * 4
+    tracemalloc.start()
+    try:
+        model = quality.fit(docs(rows), labels, F.lit(True))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(model.labels) == len(rows) and most < 3 * spread
+
+
+def test_fit_is_that_of_whole_counts(spark, docs):
+    r = np.random.default_rng(5)
+    rows = [(i, " ".join(r.choice(["Stone", "river,", "cloud", "FIELD", "x1", "é"], int(n)))) for i, n in enumerate(r.integers(0, 40, 1_203))]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in rows], LABELS)
+    model = quality.fit(docs(rows), labels, F.lit(True))
+    counts = np.stack([quality.term_counts(t.encode()) for _, t in rows])
+    idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 0.1).astype(np.float32)
+    x = np.log1p(counts) * idf
+    a, b = (quality._latent(p.copy(), n) for p, n in ((x[:, : quality._SHAPE], quality.RANK), (x[:, quality._SHAPE :], quality.WORD_RANK)))
+    far = [np.linalg.norm(p, axis=1).mean() for p in (x[:, : quality._SHAPE] @ a, x[:, quality._SHAPE :] @ b)]
+    basis = np.zeros((quality.TERMS, quality.RANK + quality.WORD_RANK), np.float32)
+    basis[: quality._SHAPE, : quality.RANK], basis[quality._SHAPE :, quality.RANK :] = a, b * (quality.WORD_WEIGHT * far[0] / far[1])
+    vectors = quality._unit(x @ basis)
+    assert np.array_equal(model.idf, idf)
+    assert np.allclose(model.vectors @ model.vectors.T, vectors @ vectors.T, atol=1e-4)
