@@ -22,7 +22,7 @@ from pitchflow.plans import oracle
 from pitchflow.plans import layers
 from pitchflow.session import new_run_dir
 from pitchflow.sources import landing
-from pitchflow.sources.fixture import ORDER_KEY, raw_matches, read_orders, season_documents, write_documents
+from pitchflow.sources.fixture import DOCUMENTS_PER_FILE, ORDER_KEY, documents_made_of, raw_matches, read_orders, season_documents, write_documents
 from pitchflow.streaming.bronze import ingest_landing, read_bronze, read_quarantine, replay_quarantine
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -137,18 +137,25 @@ def q_bronze_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops in which stray texts stand between the matches, single matches and texts in the
     place of the list, and a field has the season's name: matches kept, values rescued and set aside (S3, P1)."""
     run = new_run_dir(spark, "bronze_rescue")
-    raw, k = raw_matches(read_orders(spark, sf_dir), keep_key=True), F.col(ORDER_KEY)
+    orders, k = read_orders(spark, sf_dir), F.col(ORDER_KEY)
+    raw = raw_matches(orders, keep_key=True)
+
+    def match(key: Column, fields: list[Column]) -> Column:
+        return F.to_json(F.struct(*fields, F.when(key % 7 == 0, F.lit("x")).alias("Temporada")))
+
+    def element(key: Column, season: Column, fields: list[Column]) -> Column:
+        stray = F.when(key % 10 == 1, F.concat(F.lit(', "suelto '), season.cast("string"), F.lit('"'))).otherwise("")
+        return F.concat(match(key, fields), stray)
+
     fields = [F.col(f"`{c}`") for c in raw.columns if c not in (ORDER_KEY, "temporada")]
-    match = F.to_json(F.struct(*fields, F.when(k % 7 == 0, F.lit("x")).alias("Temporada")))
-    stray = F.when(k % 10 == 1, F.concat(F.lit(', "suelto '), F.col("temporada").cast("string"), F.lit('"'))).otherwise("")
-    rows = raw.select("temporada", k, F.floor(k / MATCHES_PER_DOCUMENT).alias("block"), match.alias("match"), F.concat(match, stray).alias("element"))
+    rows = raw.select("temporada", k, match(k, fields).alias("match"))
 
     def document(data: Column) -> Column:
         return F.concat(F.lit('{"temporada": '), F.col("temporada").cast("string"), F.lit(', "data": '), data, F.lit("}")).alias("value")
 
-    listed = rows.where(k % 100 != 0).groupBy("temporada", "block").agg(F.collect_list("element").alias("all"))
+    listed = documents_made_of(orders.where(k % 100 != 0), element, MATCHES_PER_DOCUMENT)
     parts = [
-        listed.select("temporada", document(F.concat(F.lit("["), F.array_join("all", ", "), F.lit("]")))),
+        listed.select("temporada", document(F.concat(F.lit("["), F.array_join(spec.DATA_FIELD, ", "), F.lit("]")))),
         rows.where(k % 100 == 0).select("temporada", document(F.col("match"))),
         rows.select("temporada").distinct().select("temporada", document(F.concat(F.lit('"sin datos '), F.col("temporada").cast("string"), F.lit('"')))),
     ]
@@ -156,7 +163,9 @@ def q_bronze_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.col("temporada") <= FIRST_DROP_LAST_SEASON
     for drop, chosen in (("drop1", first), ("drop2", ~F.coalesce(first, F.lit(False)))):
         for i, part in enumerate(parts):
-            part.where(chosen).select("value").write.option("compression", COMPRESSION).text(f"{run}/landing/{drop}_{i}")
+            most = 0 if i else DOCUMENTS_PER_FILE  # the others are small documents
+            writer = part.where(chosen).select("value").write.option("compression", COMPRESSION).option("maxRecordsPerFile", most)
+            writer.text(f"{run}/landing/{drop}_{i}")
         known = ingest_landing(spark, f"{run}/landing/*/*", bronze, state).schema
     kept = read_bronze(spark, bronze, known, rescued=True).groupBy("temporada")
     kept = kept.agg(F.count(F.lit(1)).alias("partidos"), F.count(landing.RESCUED).alias("rescatados"))

@@ -142,10 +142,15 @@ def season_documents(orders: DataFrame, keys_per_document: int = 5000) -> DataFr
     Only the terms of the matches are dealt out by document; their fields, many times
     as wide, are made of the terms afterwards, document by document.
     """
+    return documents_made_of(orders, lambda key, season, fields: F.struct(*fields), keys_per_document)
+
+
+def documents_made_of(orders: DataFrame, match: Callable[[Column, Column, list[Column]], Column], keys_per_document: int) -> DataFrame:
+    """:func:`season_documents` with other matches: ``match`` makes one of its order key, its season and its other fields."""
     terms = orders.select(*_row_terms())
     docs = _grouped(terms, "_season", F.struct(*terms.columns), keys_per_document)
-    fields = F.transform(spec.DATA_FIELD, lambda m: F.struct(*_fields_of(lambda name: m[name])[1:]))
-    return docs.withColumn(spec.DATA_FIELD, fields)
+    made = F.transform(spec.DATA_FIELD, lambda m: match(m[ORDER_KEY], m["_season"], _fields_of(lambda name: m[name])[1:]))
+    return docs.withColumn(spec.DATA_FIELD, made)
 
 
 def documents_of(raw: DataFrame, keys_per_document: int) -> DataFrame:

@@ -8,10 +8,12 @@ import os
 import random
 
 import pyarrow.parquet as pq
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from samples import SEASON_2021, SMALL_SF, write_doc
 
 from pitchflow import spec
+from pitchflow.plans import catalog
 from pitchflow.sources import landing as L
 from pitchflow.sources.fixture import raw_matches, read_orders, season_documents, write_documents
 from pitchflow.streaming.bronze import ingest_landing, quarantine_path, read_bronze, read_quarantine, replay_quarantine
@@ -88,6 +90,25 @@ def test_documents_shuffle_terms_and_not_fields(spark):
     assert rows.select(*[f"`{c}`" for c in want.columns]).exceptAll(want).isEmpty() and rows.count() == want.count()
 
 
+def test_rescue_drops_shuffle_terms_and_not_texts(spark, workdir, monkeypatch):
+    """The JSON of every match was shuffled to its document."""
+    plans, write = [], DataFrameWriter.text
+
+    def text(writer, path, *args, **options):
+        plans.append((path, writer._df._jdf.queryExecution().executedPlan().toString()))
+        return write(writer, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "text", text)
+    got = {r.temporada: (r.partidos, r.rescatados, r.apartados) for r in catalog.q_bronze_rescue(spark, SMALL_SF).collect()}
+    lists = [plan for path, plan in plans if path.endswith(("/drop1_0", "/drop2_0"))]
+    assert len(lists) == 2 and all("to_json" not in plan.split("Exchange", 1)[1] for plan in lists)
+    k, season = F.col("o_orderkey"), (F.year("o_orderdate") + 25).cast("string")
+    want = read_orders(spark, SMALL_SF).groupBy(season.alias("s")).agg(
+        F.count(k), F.count_if(k % 7 == 0), F.count_if((k % 10 == 1) & (k % 100 != 0)) + 1
+    )
+    assert got == {r[0]: tuple(r[1:]) for r in want.collect()}
+
+
 def test_compressed_landing_files(spark, workdir):
     docs = season_documents(read_orders(spark, SMALL_SF), 50)
     plain, small = write_documents(docs, f"{workdir}/plain"), write_documents(docs, f"{workdir}/small", compression="lz4")
