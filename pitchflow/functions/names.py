@@ -1,4 +1,4 @@
-"""Helpers for column names that carry spaces, accents or dots."""
+"""Helpers for column names that carry spaces, accents or dots, and for wide projections."""
 
 from __future__ import annotations
 
@@ -19,3 +19,12 @@ def col(name: str) -> Column:
 def sanitized(name: str) -> str:
     """Spaces become underscores: ``"Accurate crosses_local"`` -> ``"Accurate_crosses_local"``."""
     return name.replace(" ", "_")
+
+
+def unfused(value: Column) -> Column:
+    """``value``, by way of a lambda; for one column of a wide projection.
+
+    Spark fuses a projection with its neighbours into one method, and the JVM runs a method of over 8000 bytes
+    uncompiled. A projection with a lambda is not fused: it is cut into short methods, which are compiled.
+    """
+    return F.transform(F.array(value), lambda v: v)[0]

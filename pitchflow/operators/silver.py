@@ -105,7 +105,7 @@ def parse_score(df: DataFrame) -> DataFrame:
 def _score_columns() -> tuple[dict[str, Column], dict[str, Column]]:
     home, away = parsing.score_goals(F.col("marcador"))
     result = parsing.result_letter(F.col("goles_local"), F.col("goles_visitante"))
-    return {"goles_local": home, "goles_visitante": away}, {"resultado": result}
+    return {"goles_local": names.unfused(home), "goles_visitante": away}, {"resultado": names.unfused(result)}
 
 
 def split_value_pct(df: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchflow import spec
-from pitchflow.functions.names import col, quote
+from pitchflow.functions.names import col, quote, unfused
 from pitchflow.sources.tables import BATCH, ORIGIN
 
 ENCODING = "UTF-8"
@@ -105,18 +105,28 @@ def document_schema(raw: DataFrame, field: str = spec.DATA_FIELD) -> tuple[T.Str
     """Fields and types of the documents (numbers kept), how many texts are documents, how many are
     none, and how many elements of match lists are no matches. One aggregation over the parsed documents;
     a second one, element by element, only if something else than lists of matches is among them."""
-    void = F.filter(_got("v", f"$.{field}", "array<variant>"), F.is_variant_null)
+    return document_types(raw, field)[:4]
+
+
+def document_types(raw: DataFrame, field: str = spec.DATA_FIELD) -> tuple[T.StructType, int, int, int, dict[str, T.DataType] | None]:
+    """:func:`document_schema`, and the types, as they are, of the season and the match fields, for :func:`bronze_rows`.
+    The types are None if a text is no document, or if something else than lists of matches is among the documents."""
+    # The types are read of the document in place: what is got of it as a variant is built anew, element by element.
+    matches = _got("v", f"$.{field}", "array<struct<>>")
     row = raw.agg(
-        F.schema_of_variant_agg(_got("v", f"$.{field}", "variant")).alias("data"),
-        F.schema_of_variant_agg(_got("v", "$.temporada", "variant")).alias("t"),
+        F.schema_of_variant_agg("v").alias("v"),
         F.count("v").alias("good"),
         F.count_if(F.col("v").isNull()).alias("bad"),
-        F.coalesce(F.sum(F.size(void)), F.lit(0)).alias("void"),
+        F.count_if(F.exists(matches, F.isnull)).alias("void"),
     ).first()
-    data, stray = _type(row["data"]), 0
+    document = _type(row["v"])
+    types = {f.name: f.dataType for f in document.fields} if isinstance(document, T.StructType) else {}
+    season, data, stray, known = types.get("temporada", T.NullType()), types.get(field, T.NullType()), 0, None
     plain = isinstance(data, T.ArrayType) and isinstance(data.elementType, (T.StructType, T.NullType))
     if isinstance(data, T.NullType) or (plain and not row["void"]):
         match = data.elementType if plain else data
+        if not row["bad"]:
+            known = {f.name: f.dataType for f in (match.fields if isinstance(match, T.StructType) else [])} | {"temporada": season}
     else:
         found = document_elements(raw, field).withColumn("is_match", _got("e", "$", "struct<>").isNotNull())
         odd = found.agg(
@@ -124,15 +134,15 @@ def document_schema(raw: DataFrame, field: str = spec.DATA_FIELD) -> tuple[T.Str
             F.count_if(F.col("e").isNotNull() & ~F.col("is_match")).alias("stray"),
         ).first()
         match, stray = _type(odd["s"]), odd["stray"]
-    fields = [T.StructField("temporada", _plain(_type(row["t"])))] if row["good"] else []
+    fields = [T.StructField("temporada", _plain(season))] if row["good"] else []
     if isinstance(match, T.StructType):
         fields.append(T.StructField(field, T.ArrayType(_plain(match), True)))
-    return T.StructType(fields), row["good"], row["bad"], stray
+    return T.StructType(fields), row["good"], row["bad"], stray, known
 
 
 def _type(of_variants: str) -> T.DataType:
     ddl = re.sub(r"`(?:[^`]|``)*`|\bOBJECT<", lambda m: m[0] if m[0].startswith("`") else "STRUCT<", of_variants)
-    return T.StringType() if ddl == "VARIANT" else T.DataType.fromDDL(ddl)
+    return T.DataType.fromDDL(ddl)
 
 
 def _plain(t: T.DataType) -> T.DataType:
@@ -180,27 +190,52 @@ def _texts(fields: list[T.StructField]) -> str:
     return f"struct<{','.join(quote(f.name) + ':string' for f in fields)}>".replace("'", "\\'")
 
 
-def bronze_rows(raw: DataFrame, schema: T.StructType, field: str = spec.DATA_FIELD) -> DataFrame:
+#: Types whose values a JSON reader gives as a variant has them. Others (1.50, nested values, a field of several types) may differ.
+_AS_WRITTEN = (T.LongType, T.StringType, T.BooleanType, T.NullType)
+
+
+def bronze_rows(
+    raw: DataFrame, schema: T.StructType, field: str = spec.DATA_FIELD, types: dict[str, T.DataType] | None = None
+) -> DataFrame:
     """One row per match of the documents of :func:`raw_documents`, all values as text (T8 for the ingest).
 
     ``_rescatado`` has, as a JSON object, the values whose names cannot be columns, else NULL.
+
+    ``types`` are those that :func:`document_types` found in these documents, whose ``value`` is then at hand. The
+    fields of plain types are read of it, with their types; to cast every value of a variant to text is several times dearer.
     """
     stored, clashing = match_fields(schema, field)
 
+    def as_written(name: str) -> bool:
+        return types is not None and isinstance(types.get(name, T.NullType()), _AS_WRITTEN)
+
+    def read_as(name: str) -> T.StructField:
+        found = types.get(name) if types else None
+        return T.StructField(name, found if isinstance(found, (T.LongType, T.BooleanType)) else T.StringType())
+
     def listed(fields: list[T.StructField]) -> Column:
         kind = _texts(fields)
         return F.coalesce(_got("v", f"$.{field}", f"array<{kind}>"), F.array(_got("v", f"$.{field}", kind)))
 
+    read = [f for f in stored if as_written(f.name)]
+    cast = [f for f in stored if f not in read]
+    document = T.StructType([read_as("temporada"), T.StructField(field, T.ArrayType(T.StructType([read_as(f.name) for f in read])))])
+    docs = raw
+    if types is None:
+        docs = docs.where("v is not null")
+    elif read or as_written("temporada"):
+        docs = docs.withColumn("leido", F.from_json("value", document, {"mode": "FAILFAST"}))
+    season = F.col("leido.temporada").cast("string") if as_written("temporada") else _got("v", "$.temporada", "string")
     # The generator makes the texts: a projection below a filter on them would make them twice.
-    found = raw.where("v is not null").select(
-        _got("v", "$.temporada", "string").alias("temporada"), spec.SOURCE_FILE_COL, listed(stored).alias("partido"),
-        *[listed(clashing).alias(RESCUED)] * bool(clashing),
-    )
-    pairs = F.arrays_zip("partido", *[RESCUED] * bool(clashing))
-    found = found.select("temporada", spec.SOURCE_FILE_COL, F.inline(pairs)).where("partido is not null")
+    parts = {"leido": F.col(f"leido.{quote(field)}")} if read else {}
+    parts |= {"partido": listed(cast)} if cast or not read else {}
+    parts |= {RESCUED: listed(clashing)} if clashing else {}
+    found = docs.select(season.alias("temporada"), spec.SOURCE_FILE_COL, *[c.alias(n) for n, c in parts.items()])
+    found = found.select("temporada", spec.SOURCE_FILE_COL, F.inline(F.arrays_zip(*parts))).where(F.col(next(iter(parts))).isNotNull())
     rescued = F.nullif(F.to_json(RESCUED), F.lit("{}")) if clashing else F.lit(None).cast("string")
+    columns = [F.col(f"{'leido' if f in read else 'partido'}.{quote(f.name)}").cast("string").alias(f.name) for f in stored]
     return add_load_time(
-        found.select("temporada", spec.SOURCE_FILE_COL, *[F.col(f"partido.{quote(f.name)}") for f in stored], rescued.alias(RESCUED))
+        found.select(unfused(F.col("temporada")).alias("temporada"), spec.SOURCE_FILE_COL, *columns, rescued.alias(RESCUED))
     )
 
 

@@ -30,6 +30,7 @@ from pitchflow.sources.landing import (
     as_stored,
     bronze_schema,
     document_schema,
+    document_types,
     bronze_rows,
     parsed,
     persist_parsed,
@@ -112,14 +113,16 @@ def ingest_landing(
         batch += base
         if ledger is not None:
             text = text.join(ledger, spec.SOURCE_FILE_COL, "left_anti")
-        raw = persist_parsed(text)
-        found, good, bad, stray = document_schema(raw)
-        schema = store.merge(found)
-        write_batch(bronze_rows(raw, schema), bronze_path, batch)
-        if bad or stray:
-            parts = [raw.where("v is null").select("value", spec.SOURCE_FILE_COL)] * bool(bad) + [stray_elements(raw)] * bool(stray)
-            _write_aside(reduce(DataFrame.union, parts), bronze_path, batch)
-        raw.unpersist()
+        found, good, bad, stray, types = document_types(text)
+        if types is not None:
+            write_batch(bronze_rows(text, store.merge(found), types=types), bronze_path, batch)
+        else:
+            raw = persist_parsed(text)
+            write_batch(bronze_rows(raw, store.merge(found)), bronze_path, batch)
+            if bad or stray:
+                parts = [raw.where("v is null").select("value", spec.SOURCE_FILE_COL)] * bool(bad) + [stray_elements(raw)] * bool(stray)
+                _write_aside(reduce(DataFrame.union, parts), bronze_path, batch)
+            raw.unpersist()
         done.append((good, bad, stray))
 
     query = (

@@ -8,11 +8,13 @@ import os
 import random
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from samples import SEASON_2021, SMALL_SF, write_doc
 
 from pitchflow import spec
+from pitchflow.operators import silver
 from pitchflow.plans import catalog
 from pitchflow.sources import landing as L
 from pitchflow.sources.fixture import raw_matches, read_orders, season_documents, write_documents
@@ -116,3 +118,68 @@ def test_compressed_landing_files(spark, workdir):
     assert 0 < size[small] * 3 < size[plain]
     assert spark.read.text(small).exceptAll(spark.read.text(plain)).isEmpty()
     assert spark.read.text(small).count() == docs.count()
+
+
+ODD_TEXTS = [
+    '{"temporada":2021,"x":1e999,"data":[{"a":1,"b":"x","m":1,"f":1.50,"n":{"q":[1, 2.0]},"t":true,"v":null,"Temporada":5,"A":"c",'
+    + r'"é `k":"\u0001\"\\/\u2028 \ud83d\ude00 \ud800"},{"a":-0,"w":-0,"m":"x","f":1e-7,"n":3,"b":""}]}',
+    '{"temporada":"2022","data":[]}',
+    '{"temporada":null,"data":null}',
+    '{"t":1}',
+    '{"data":[{"a":3}],"data2":{"data":[1]}}',
+    '{"data":[{"w":9007199254740993,"b":"  -0"},{}]}',
+    '{"temporada":2020,"data":[{"w":1}]} {"x":2',
+]
+
+
+def test_fields_read_of_the_text_are_those_of_the_variant(spark, workdir):
+    """Every value was cast to text out of its variant, one by one. Plain fields are read of the text, odd ones as before."""
+
+    def found(texts):
+        path = os.path.join(workdir, f"{len(texts)}.json")
+        with open(path, "w") as f:
+            f.write("\n".join(texts))
+        raw = L.raw_documents(spark.read.text(path))
+        schema, *counts, types = L.document_types(raw)
+        return raw, schema, counts, types
+
+    raw, schema, counts, types = found(ODD_TEXTS)
+    assert counts == [7, 0, 0]
+    assert {n for n, t in types.items() if not isinstance(t, L._AS_WRITTEN)} == {"f", "m", "n", "temporada"}
+    want, got = (L.bronze_rows(raw, schema, types=t).drop(spec.LOAD_TIME_COL) for t in (None, types))
+    assert got.schema == want.schema and got.count() == 6
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert "0" in [r.w for r in got.collect()] and "  -0" in [r.b for r in got.collect()]
+
+    raw, schema, _, types = found(['{"temporada": 2022, "data": [{"a": 1, "b": "x"}]}'])
+    plan = L.bronze_rows(raw, schema, types=types)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" in plan and "parseJson" not in plan and "try_variant_get" not in plan
+
+    for odd, bad, stray in (('{"dat', 1, 0), ('{"data": [null]}', 0, 1), ('{"data": "x"}', 0, 1), ('{"data": {"a": 1}}', 0, 0)):
+        _, _, counts, types = found([*ODD_TEXTS, odd])
+        assert counts[1:] == [bad, stray] and types is None
+
+
+def test_types_are_read_of_the_documents_in_place(spark, workdir):
+    """The match list was got of every document as a variant, which builds it anew, twice."""
+    write_doc(workdir, "2021.json", SEASON_2021)
+    seen, frame = [], type(spark.range(1))
+    agg = frame.agg
+
+    def kept(df, *columns):
+        seen.append(agg(df, *columns))
+        return seen[-1]
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(frame, "agg", kept)
+        L.document_types(L.raw_documents(spark.read.text(f"{workdir}/*.json", wholetext=True)))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(seen) == 1 and "VariantType" not in plan
+
+
+def test_wide_projections_are_not_fused(spark, workdir):
+    """Fused with the sort of the write, the Silver projection was one method that the JVM didn't compile."""
+    rows = silver.silver_matches(raw_matches(read_orders(spark, SMALL_SF))).sortWithinPartitions("temporada")
+    plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    projects = [line for line in plan if "Project [" in line]
+    assert "equipo_local" in projects[1] and not any("*(" in line for line in projects[:2])
