@@ -128,36 +128,50 @@ def document_shards(rows: DataFrame, label: str, shard_bytes: int = SHARD_BYTES)
 # ---------------------------------------------------------------------------
 
 
+#: Narrow rows that a task takes at most on average, where :func:`in_tasks` counts the tasks.
+TASK_ROWS = 200_000
+
+
+def in_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, narrow rows grouped by a key, ``rows`` at most, in as many tasks as they need,
+    but one for each core at least; never in more than it has.
+
+    The shuffle's partitions are counted for a query's largest tables. A step that writes a
+    few rows from each of them would spend its time on starting tasks and closing files.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)))
+
+
 def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b: long, a != b); component
     is the smallest node reachable.
 
     Alternating large-star and small-star steps on written tables: every step
-    is an aggregation with a map-side part and a join with its written result, so
+    is an aggregation with a map-side part or a join with its written result, so
     that Spark can split a node with many neighbours; no neighbourhood is gathered
-    in a task, and nothing but two numbers a round comes to the driver. Stops when
-    a round changes no edge.
+    in a task, and nothing but the number of edges and, each round, whether a node
+    is unsettled comes to the driver. No round has more edges than the one before. Stops
+    when all edges form stars: a node then has larger neighbours only, or a single one.
     """
-    ordered = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    now, before = stored(ordered, label), None
-    while (sign := _signature(now)) != before:
+    ordered = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
+    now = stored(ordered, label)
+    n = now.count()
+    while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), label)
-        large = stored(both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), label)
-        lower = stored(large.groupBy("u").agg(F.min("v").alias("m")), label)
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("top"))
+        least = least.select("u", F.least("u", "m").alias("m"), ((F.col("m") > F.col("u")) | (F.col("m") == F.col("top"))).alias("settled"))
+        least = stored(in_tasks(least, 2 * n), label)
+        if least.where("not settled").isEmpty():
+            discard(now)
+            return least.select(F.col("u").alias("node"), F.col("m").alias("component"))
+        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = stored(in_tasks(large, n), label)
+        lower = stored(in_tasks(large.groupBy("u").agg(F.min("v").alias("m")), n), label)
         small = large.join(lower, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lower).distinct()
-        old, before = [now, least, large, lower], sign
-        now = stored(small, label)
+        old = [now, least, large, lower]
+        now = stored(in_tasks(small, n), label)
         for table in old:
             discard(table)
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    )
-
-
-def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
 
 
 # ---------------------------------------------------------------------------

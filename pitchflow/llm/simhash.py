@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchflow.functions.names import col
-from pitchflow.llm.common import connected_components, stored
+from pitchflow.llm.common import connected_components, in_tasks, stored
 
 SEED = 42
 #: Class rows that one shard gets on average; its BK-trees stay far below an executor's memory.
@@ -180,7 +180,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
     members have none. Columns besides doc_id and text are not read.
     """
     fps = stored(fingerprints(docs, shingle), "simhash-fingerprints")
-    classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
+    classes = stored(in_tasks(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), fps.count()), "simhash-classes")
     joined = _components(classes, radius)
     first = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = stored(joined.join(first, "component").select("fp", "component_id"), "simhash-named")
@@ -204,7 +204,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """
     fps = stored(fingerprints(docs, shingle, with_digest=True), "simhash-fingerprints")
     keys = stored(fps.groupBy("doc_id", "digest", "fp").agg(F.count("*").alias("n")), "simhash-keys")
-    named = stored(_components(stored(keys.select("fp").distinct(), "simhash-classes"), radius), "simhash-named")
+    classes = stored(in_tasks(keys.select("fp").distinct(), keys.count()), "simhash-classes")
+    named = stored(_components(classes, radius), "simhash-named")
     least = keys.join(named, "fp").groupBy("component", F.col("doc_id").isNull().alias("no_id")).agg(F.min(F.struct("doc_id", "digest")).alias("x"))
     first = least.select("x.doc_id", "x.digest", F.lit(True).alias("kept"))
     marked = keys.alias("r").join(first.alias("k"), _same("r", "k"), "left").select("r.doc_id", "r.digest", "n", F.col("kept").isNotNull().alias("kept"))

@@ -63,3 +63,40 @@ def test_connected_components(spark):
     want = {**dict.fromkeys((1, 2, 3), 1), **dict.fromkeys(range(5, 11), 5), 20: 20, 21: 20, **dict.fromkeys([*range(100, 150), 400, -5], -5)}
     assert got == want
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def tasks_and_jobs(spark, run):
+    """(tasks, jobs) that ``run`` takes with 64 shuffle partitions which Spark doesn't merge."""
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    group = f"counted-{run.__name__}"
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    stages = map(tracker.getStageInfo, {s for j in jobs for s in j.stageIds})
+    return sum(s.numCompletedTasks for s in stages if s), len(jobs)  # Spark forgets skipped stages in a long session
+
+
+def test_few_edges_take_few_tasks_for_components(spark):
+    def chain():
+        got = connected_components(spark.createDataFrame([(i, i + 1) for i in range(0, 60)], "a long, b long").coalesce(1)).collect()
+        assert sorted(map(tuple, got)) == [(i, 0) for i in range(61)]
+
+    assert 100 < tasks_and_jobs(spark, chain)[0] < 600
+
+
+def test_stars_are_components_without_a_round(spark):
+    def stars():
+        got = connected_components(spark.createDataFrame([(9, 1), (1, 8), (1, 8), (7, 2)], "a long, b long").coalesce(1)).collect()
+        assert sorted(map(tuple, got)) == [(1, 1), (2, 2), (7, 2), (8, 1), (9, 1)]
+
+    assert 0 < tasks_and_jobs(spark, stars)[1] < 10
