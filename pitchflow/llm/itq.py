@@ -115,21 +115,43 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def _hash_bound(n: int, most: int) -> int:
+    """A bound on a 64-bit hash of ``n`` different ids that ``most`` of them, and hardly more, stay below."""
+    share = (most + 8 * math.sqrt(most) + 8) / max(1, n)
+    return min(2**63 - 1, int(share * 2**64) - 2**63)
+
+
+def sampled(classes: DataFrame, n: int, most: int) -> pa.Table:
+    """(dims, v) of the ``most`` of the ``n`` classes whose ids have the least hashes, in the order of these.
+
+    Each task would send its own ``most`` vectors to be compared. So only those are looked at whose
+    hashes are below a bound that hardly more than ``most`` meet, whatever the number of tasks.
+    """
+    rows = classes.select("dims", "v", "id", F.xxhash64("id").alias("hash"))
+    bound = _hash_bound(n, most)
+    low = rows.where(F.col("hash") <= bound)
+    while bound < 2**63 - 1 and low.count() < most:
+        bound = min(2**63 - 1, 2 * bound + 2**63)
+        low = rows.where(F.col("hash") <= bound)
+    return low.orderBy("hash", "id").limit(most).select("dims", "v").toArrow()
+
+
 def links(classes: DataFrame, least: float = COSINE, radius: int = RADIUS, sample: int = SAMPLE) -> DataFrame:
     """(a, b), a < b, of the classes (id, dims, v) found with cosine ``least`` or more."""
     spark = classes.sparkSession
     sizes = {r["dims"]: r["n"] for r in classes.groupBy("dims").agg(F.count("*").alias("n")).collect()}
-    chosen = classes.orderBy(F.xxhash64("id"), "id").limit(sample).select("dims", "v").toPandas()
-    learnt = {d: learn(np.stack(part["v"].to_list()).astype(np.float64)) for d, part in chosen.groupby("dims")}
-    # Vectors of a length that the sample misses are coded by their own signs.
-    turns = spark.sparkContext.broadcast({d: learnt.get(d, Rotation(np.zeros(d), np.eye(d, min(d, BITS)))) for d in sizes})
+    chosen = sampled(classes, sum(sizes.values()), sample)
+    dims = chosen.column("dims").to_numpy()
+    turns = spark.sparkContext.broadcast({d: learn(_matrix(chosen.column("v").filter(pa.array(dims == d)).combine_chunks())) for d in np.unique(dims).tolist()})
 
     def code(batches):
         for b in batches:
             dims = b.column("dims").to_numpy()
             for d in np.unique(dims):
                 own = b.filter(pa.array(dims == d))
-                made = turns.value[d].codes(_matrix(own.column("v")))
+                # Vectors of a length that the sample misses are coded by their own signs.
+                turn = turns.value.get(d) or Rotation(np.zeros(d), np.eye(d, min(d, BITS)))
+                made = turn.codes(_matrix(own.column("v")))
                 yield pa.RecordBatch.from_arrays([own.column("id"), own.column("dims"), pa.array(made.view(np.int64))], names=["id", "dims", "code"])
 
     codes = stored(classes.select("id", "dims", "v").mapInArrow(code, "id long, dims int, code long"), "itq-codes")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from pitchflow.llm import itq
 
@@ -73,6 +74,26 @@ def test_candidates_are_all_codes_within_the_radius_once(spark):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_sample_is_compared_below_a_bound(spark, docs, monkeypatch):
+    """Every task sent as many vectors as the sample has to the driver, which compared them."""
+    x = clusters(4000, 8, 4)
+    rows = [(i * 7 + (i % 16 << 33), 8 if i % 3 else 7, x[i, : 8 if i % 3 else 7].astype(float).tolist()) for i in range(len(x))]
+    classes = spark.createDataFrame(rows, "id long, dims int, v array<double>").repartition(16)
+    seen, frame, limit, learn = [], type(classes), type(classes).limit, itq.learn
+    monkeypatch.setattr(frame, "limit", lambda df, n: seen.append(df.count()) or limit(df, n))
+    monkeypatch.setattr(itq, "learn", lambda v: seen.append(v) or learn(v))
+    itq.links(classes, sample=200).collect()
+    monkeypatch.undo()
+    assert 200 <= seen[0] < 400
+    want = classes.orderBy(F.xxhash64("id"), "id").limit(200).collect()
+    for got, dims in zip(seen[1:], (7, 8), strict=True):
+        assert got.tolist() == [r.v for r in want if r.dims == dims]
+    # A bound that too few ids meet is raised until enough do.
+    monkeypatch.setattr(itq, "_hash_bound", lambda n, most: -(2**63) + 2**50)
+    low = itq.sampled(classes, len(rows), 200)
+    assert low.column("v").to_pylist() == [r.v for r in want]
+
+
 def test_rotation_balances_the_bits():
     x = clusters(2000, 64, 9)
     codes = itq.learn(x.astype(float)).codes(x.astype(float))
