@@ -181,7 +181,8 @@ def q_bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = F.col("temporada") > FIRST_DROP_LAST_SEASON
     _land(docs.filter(~late), f"{run}/landing/good")
     broken = F.regexp_replace(F.to_json(F.struct("temporada", spec.DATA_FIELD)), r"\]\}$", "")
-    docs.filter(late).select(broken.alias("value")).write.option("compression", COMPRESSION).text(f"{run}/landing/broken")
+    writer = docs.filter(late).select(broken.alias("value")).write.option("compression", COMPRESSION)
+    writer.option("maxRecordsPerFile", DOCUMENTS_PER_FILE).text(f"{run}/landing/broken")
     bronze, state = f"{run}/bronze", f"{run}/state"
     ingest_landing(spark, f"{run}/landing/*/*", bronze, state)
     for _ in range(2):

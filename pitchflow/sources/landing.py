@@ -78,7 +78,9 @@ def raw_documents(text: DataFrame) -> DataFrame:
 
 def persist_parsed(raw: DataFrame) -> DataFrame:
     """``raw``, parsed once for all that is made of it. The parsed documents are kept, and the texts of those
-    that are none, on the executors' disks: in memory they would take the room of the tasks."""
+    that are none, on the executors' disks: in memory they would take the room of the tasks.
+
+    Spark's writer and reader of these hold up to a hundred pieces of 4 MB, or one document, in a task until they let go of them."""
     none = {"value": F.when(F.col("v").isNull(), F.col("value"))} if "value" in raw.columns else {}
     return raw.withColumns(none).persist(StorageLevel.DISK_ONLY)
 

@@ -18,6 +18,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +30,6 @@ from pitchflow.sources.landing import (
     add_load_time,
     as_stored,
     bronze_schema,
-    document_schema,
     document_types,
     bronze_rows,
     parsed,
@@ -114,14 +114,13 @@ def ingest_landing(
         if ledger is not None:
             text = text.join(ledger, spec.SOURCE_FILE_COL, "left_anti")
         found, good, bad, stray, types = document_types(text)
-        if types is not None:
-            write_batch(bronze_rows(text, store.merge(found), types=types), bronze_path, batch)
-        else:
-            raw = persist_parsed(text)
-            write_batch(bronze_rows(raw, store.merge(found)), bronze_path, batch)
-            if bad or stray:
-                parts = [raw.where("v is null").select("value", spec.SOURCE_FILE_COL)] * bool(bad) + [stray_elements(raw)] * bool(stray)
-                _write_aside(reduce(DataFrame.union, parts), bronze_path, batch)
+        # Parsed documents are kept only if stray elements are looked for in them, see persist_parsed; texts are parsed again.
+        raw = persist_parsed(text) if stray else text
+        write_batch(bronze_rows(raw, store.merge(found), types=types), bronze_path, batch)
+        if bad or stray:
+            parts = [raw.where("v is null").select("value", spec.SOURCE_FILE_COL)] * bool(bad) + [stray_elements(raw)] * bool(stray)
+            _write_aside(reduce(DataFrame.union, parts), bronze_path, batch)
+        if stray:
             raw.unpersist()
         done.append((good, bad, stray))
 
@@ -169,27 +168,54 @@ def replayed_path(bronze_path: str) -> str:
     return f"{bronze_path.rstrip('/')}_repuestos"
 
 
+#: What a replayed text is known by.
+KEYS = T.StructType([T.StructField(spec.SOURCE_FILE_COL, T.StringType()), T.StructField("digest", T.StringType())])
+#: Keys that are sent to every executor at most, a few hundred bytes each.
+BROADCAST_KEYS = 100_000
+
+
+def _waiting(aside: DataFrame, replayed: DataFrame, left: list[DataFrame]) -> DataFrame:
+    """The texts of ``aside`` whose keys are not among ``replayed``.
+
+    Keys come to the texts, which are whole documents and are not shuffled: those replayed if they are few, else those
+    that wait, which are found by their keys alone and added to ``left`` to be unpersisted. Only if both are many, texts are shuffled.
+    """
+    if (n := replayed.count()) <= BROADCAST_KEYS:
+        return aside.join(F.broadcast(replayed), KEYS.names, "left_anti") if n else aside
+    left.append(aside.select(*KEYS.names).join(replayed, KEYS.names, "left_anti").distinct().persist(StorageLevel.DISK_ONLY))
+    if left[0].count() <= BROADCAST_KEYS:
+        return aside.join(F.broadcast(left[0]), KEYS.names, "left_semi")
+    return aside.join(replayed, KEYS.names, "left_anti")
+
+
 def replay_quarantine(spark: SparkSession, bronze_path: str, state_dir: str, fix: Callable[[Column], Column]) -> IngestResult:
-    """Feed texts that were set aside back as documents, after ``fix``, which maps their text.
+    """Feed texts that were set aside back as documents, after ``fix``, which maps their text and gives the same for the same.
 
     A text is known by its file and the digest of what was set aside. Those that ``fix`` makes a document
     become one batch of Bronze, once: the batch's keys are written after its rows, so a replay that ended between
     the two writes the same batch again. What is still no document stays for a later fix.
     """
-    keys = T.StructType([T.StructField(spec.SOURCE_FILE_COL, T.StringType()), T.StructField("digest", T.StringType())])
     batch = max(committed_batches(spark, replayed_path(bronze_path)), default=REPLAYED - 1) + 1
-    aside = read_quarantine(spark, bronze_path).withColumn("digest", F.sha2("value", 256))
-    waiting = aside.join(read_batches(spark, replayed_path(bronze_path), keys), keys.names, "left_anti")
-    raw = persist_parsed(parsed(waiting.withColumn("value", fix(F.col("value")))).where("v is not null").drop("value"))
-    found, good, _, stray = document_schema(raw)
+    # Strays that a replay which ended early set aside are written again with its batch.
+    there = [b for b in committed_batches(spark, quarantine_path(bronze_path)) if b != batch]
+    aside = read_batches(spark, quarantine_path(bronze_path), QUARANTINE_SCHEMA, there).withColumn("digest", F.sha2("value", 256))
+    left: list[DataFrame] = []
+    waiting = _waiting(aside, read_batches(spark, replayed_path(bronze_path), KEYS), left)
+    raw = parsed(waiting.withColumn("value", fix(F.col("value"))))
+    found, good, bad, stray, types = document_types(raw)
     store = SchemaStore(spark, f"{state_dir.rstrip('/')}/schema")
     if good:
-        schema = store.merge(found)
-        write_batch(bronze_rows(raw, schema), bronze_path, batch)
+        mended = raw.where("v is not null") if bad else raw
+        if stray:
+            mended = persist_parsed(mended.drop("value"))
+        write_batch(bronze_rows(mended, store.merge(found), types=types), bronze_path, batch)
+        if stray:
+            _write_aside(stray_elements(mended), bronze_path, batch)
+        write_batch(mended.select(*KEYS.names).distinct(), replayed_path(bronze_path), batch)
         if stray:
-            _write_aside(stray_elements(raw), bronze_path, batch)
-        write_batch(raw.select(*keys.names).distinct(), replayed_path(bronze_path), batch)
-    raw.unpersist()
+            mended.unpersist()
+    for df in left:
+        df.unpersist()
     return IngestResult(int(good > 0), good, 0, store.load()[0] or T.StructType([]), stray)
 
 

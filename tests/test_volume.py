@@ -18,6 +18,8 @@ from pitchflow.operators import silver
 from pitchflow.plans import catalog
 from pitchflow.sources import landing as L
 from pitchflow.sources.fixture import raw_matches, read_orders, season_documents, write_documents
+from pitchflow.sources.tables import drop_batches
+from pitchflow.streaming import bronze as B
 from pitchflow.streaming.bronze import ingest_landing, quarantine_path, read_bronze, read_quarantine, replay_quarantine
 
 
@@ -183,3 +185,69 @@ def test_wide_projections_are_not_fused(spark, workdir):
     plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
     projects = [line for line in plan if "Project [" in line]
     assert "equipo_local" in projects[1] and not any("*(" in line for line in projects[:2])
+
+
+def _land_broken(workdir, texts):
+    land, bronze, state = (os.path.join(workdir, n) for n in ("landing", "bronze", "state"))
+    os.makedirs(land)
+    with open(f"{land}/broken.json", "w") as f:
+        f.write("\n".join(texts))
+    return f"{land}/*.json", bronze, state
+
+
+def test_texts_are_neither_kept_nor_shuffled(spark, workdir, monkeypatch):
+    """A task that persisted or read whole documents held a hundred pieces of 4 MB; a replay dealt the texts out by their keys."""
+    files, bronze, state = _land_broken(workdir, [json.dumps({"temporada": 2021, "data": [{"url": str(i)}]})[: None if i < 5 else -1] for i in range(20)])
+    plans, persisted, frame, found = [], [], type(spark.range(1)), B.document_types
+    persist = frame.persist
+    monkeypatch.setattr(B, "document_types", lambda raw: plans.append(raw._jdf.queryExecution().executedPlan().toString()) or found(raw))
+    monkeypatch.setattr(frame, "persist", lambda df, *level: persisted.append(df) or persist(df, *level))
+    assert ingest_landing(spark, files, bronze, state).malformed == 15
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [replay_quarantine(spark, bronze, state, lambda t: F.concat(t, F.lit("}"))).documents for _ in range(2)] == [15, 0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not persisted
+    assert len(plans) == 3 and not any("Exchange hashpartitioning" in p or "SortMergeJoin" in p for p in plans)
+    assert sorted(int(r.url) for r in read_bronze(spark, bronze).collect()) == list(range(20))
+
+
+@pytest.mark.parametrize("most", [0, 3, 100_000])
+def test_replays_of_some_texts(spark, workdir, monkeypatch, most):
+    """Every replay takes what is new to it, whichever keys are few enough to be sent to the texts."""
+    texts = [json.dumps({"temporada": 2021, "data": [{"url": str(i)}]})[:-1] for i in range(8)]
+    files, bronze, state = _land_broken(workdir, [*texts, texts[0], "nothing"])
+    monkeypatch.setattr(B, "BROADCAST_KEYS", most)
+    ingest_landing(spark, files, bronze, state)
+
+    def mend(numbers):
+        some = F.regexp_extract("value", r'"url": "(\d+)"', 1).isin([str(i) for i in numbers])
+        return replay_quarantine(spark, bronze, state, lambda t: F.when(some, F.concat(t, F.lit("}"))).otherwise(t)).documents
+
+    assert [mend(n) for n in ([5, 6], [], [0, 1, 2, 3, 5], [0, 5], range(8), range(8))] == [2, 0, 5, 0, 2, 0]
+    assert sorted(r.url for r in read_bronze(spark, bronze).collect()) == sorted("001234567")
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_replay_that_ended_before_its_keys(spark, workdir):
+    """Its batch, strays included, is written again and not beside itself."""
+    files, bronze, state = _land_broken(workdir, ['{"temporada": 2021, "data": [{"url": "1"}, "suelto"]', "nothing"])
+    ingest_landing(spark, files, bronze, state)
+    for _ in range(2):
+        drop_batches(spark, B.replayed_path(bronze), [B.REPLAYED])
+        assert replay_quarantine(spark, bronze, state, lambda t: F.concat(t, F.lit("}"))).documents == 1
+    assert replay_quarantine(spark, bronze, state, lambda t: F.concat(t, F.lit("}"))).documents == 0
+    assert [r.url for r in read_bronze(spark, bronze).collect()] == ["1"]
+    assert sorted(r.value for r in read_quarantine(spark, bronze).collect()) == sorted(['"suelto"', '{"temporada": 2021, "data": [{"url": "1"}, "suelto"]', "nothing"])
+
+
+def test_broken_drop_has_few_documents_a_file(spark, workdir, monkeypatch):
+    """A compressed file is one task, and the broken documents of a task were one file."""
+    monkeypatch.setattr(catalog, "new_run_dir", lambda spark, name: f"{workdir}/{name}")
+    monkeypatch.setattr(catalog, "MATCHES_PER_DOCUMENT", 20)
+    monkeypatch.setattr(catalog, "DOCUMENTS_PER_FILE", 10)
+    want = read_orders(spark, SMALL_SF).count()
+    assert catalog.q_bronze_replay(spark, SMALL_SF).count() == want
+    sizes = spark.read.text(f"{workdir}/bronze_replay/landing/broken").groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) > 10 and max(r["count"] for r in sizes) <= 10
