@@ -142,7 +142,17 @@ def in_tasks(df: DataFrame, rows: int) -> DataFrame:
     return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)))
 
 
-def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
+#: Rows of one side of a join that Spark may send to every executor. It judges a table by the bytes of its files, of
+#: which ids take few; the driver needs some 250 bytes a row while it makes the table that is sent.
+BROADCAST_ROWS = 100_000
+
+
+def joined_to(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, ``rows`` at most, for a join that sends it to every executor only if these are few."""
+    return df.hint("merge") if rows > BROADCAST_ROWS else df
+
+
+def connected_components(edges: DataFrame, label: str = "components", nodes: int = 0) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b: long, a != b); component
     is the smallest node reachable.
 
@@ -152,10 +162,12 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
     in a task, and nothing but the number of edges and, each round, whether a node
     is unsettled comes to the driver. No round has more edges than the one before. Stops
     when all edges form stars: a node then has larger neighbours only, or a single one.
+    ``nodes`` is a bound of the number of nodes, if one is known (:func:`joined_to`).
     """
     ordered = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
     now = stored(ordered, label)
     n = now.count()
+    most = min(nodes, 2 * n)
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("top"))
@@ -164,10 +176,10 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
         if least.where("not settled").isEmpty():
             discard(now)
             return least.select(F.col("u").alias("node"), F.col("m").alias("component"))
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(joined_to(least, most), "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(in_tasks(large, n), label)
         lower = stored(in_tasks(large.groupBy("u").agg(F.min("v").alias("m")), n), label)
-        small = large.join(lower, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lower).distinct()
+        small = large.join(joined_to(lower, most), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lower).distinct()
         old = [now, least, large, lower]
         now = stored(in_tasks(small, n), label)
         for table in old:

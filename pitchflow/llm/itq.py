@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import connected_components, stored
+from pitchflow.llm.common import connected_components, joined_to, stored
 
 COSINE = 0.95
 #: Bits by which the codes of a pair may differ. At cosine 0.95 about a tenth of the bits do.
@@ -99,7 +99,8 @@ def candidates(codes: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
     ma, mb = F.col("mask_a"), F.col("mask_b")
     bits_a, bits_b = F.bit_count(ma), F.bit_count(mb)
     once = (bits_a == F.greatest(bits_a + bits_b - there, F.lit(0))) & (ma.bitwiseAND(mb) == 0) & ((ma == 0) | (ma < mb.bitwiseAND(-mb)))
-    found = index.join(queries, ["dims", "t", "key"]).where((F.col("a") < F.col("b")) & once & (F.bit_count(x) <= radius) & (first == F.col("t")))
+    # Spark takes the entries to be as large as the codes that they are made of, and would send them all to every executor.
+    found = index.hint("merge").join(queries, ["dims", "t", "key"]).where((F.col("a") < F.col("b")) & once & (F.bit_count(x) <= radius) & (first == F.col("t")))
     return found.select("a", "b")
 
 
@@ -188,15 +189,17 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE, radius: int = RAD
     classes = rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("first"), F.count("*").alias("n"))
     classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), F.size("v").alias("dims"), "v", "first", "n"), "itq-classes")
     linked = stored(links(classes, least, radius, sample), "itq-links")
-    sizes = classes.select("id", "n")
+    n = classes.count()
+    groups = connected_components(linked, "itq-components", n).withColumnRenamed("node", "id")
+    n = max(n, 2 * linked.count())
+    sizes = joined_to(classes.select("id", "n"), n)
     both = linked.select(F.col("a").alias("id"), F.col("b").alias("other")).union(linked.select(F.col("b").alias("id"), F.col("a").alias("other")))
     others = both.join(sizes.withColumnRenamed("id", "other"), "other").groupBy("id").agg(F.sum("n").alias("beyond"))
-    groups = connected_components(linked, "itq-components")
-    known = classes.select("id", "first", "n").join(others, "id", "left").join(groups.withColumnRenamed("node", "id"), "id", "left")
+    known = classes.select("id", "first", "n").join(joined_to(others, n), "id", "left").join(joined_to(groups, n), "id", "left")
     known = known.select("id", "first", (F.col("n") - 1 + F.coalesce("beyond", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component"))
     least_id = known.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = stored(known.join(least_id, "component").select("id", "n_links", "component_id"), "itq-named")
-    told = classes.select("id", "v").join(named, "id").select("v", "n_links", "component_id", F.lit(True).alias("linked"))
-    joined = rows.join(told, "v", "left")
+    named = stored(known.join(joined_to(least_id, n), "component").select("id", "n_links", "component_id"), "itq-named")
+    told = classes.select("id", "v").join(joined_to(named, n), "id").select("v", "n_links", "component_id", F.lit(True).alias("linked"))
+    joined = rows.join(joined_to(told, n), "v", "left")
     component = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("vec_id"))
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))

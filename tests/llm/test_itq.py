@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from pitchflow.llm import itq
+from pitchflow.llm import common, itq
 
 VECTORS = "vec_id long, embedding array<float>, label int"
 
@@ -94,6 +94,38 @@ def test_sample_is_compared_below_a_bound(spark, docs, monkeypatch):
     assert low.column("v").to_pylist() == [r.v for r in want]
 
 
+def test_entries_are_not_sent_to_every_executor(spark, workdir):
+    """The file of the codes is small, so Spark broadcast the many entries made of each, which took the driver's memory."""
+    codes = np.random.default_rng(2).integers(0, 2**63, 500)
+    spark.createDataFrame([(i, 64, int(c)) for i, c in enumerate(codes)], "id long, dims int, code long").write.parquet(f"{workdir}/codes")
+    for n in (1_000, 60_000, 2_000_000):
+        pairs = itq.candidates(spark.read.parquet(f"{workdir}/codes"), n)
+        assert pairs.count() >= 0
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_no_table_of_many_rows_is_broadcast(spark, docs, monkeypatch):
+    """The same results with no broadcast at all in a join of two tables; by the bytes of its files, a table of millions of ids was one."""
+    x = clusters(160, 16, 6)
+    rows = spark.createDataFrame([(i, v.astype(float).tolist(), 0) for i, v in enumerate(x)], VECTORS)
+
+    def run():
+        out = itq.near_duplicates(rows)
+        return sorted(out.collect()), out._jdf.queryExecution().executedPlan().toString()
+
+    written, save = [], itq.stored
+    monkeypatch.setattr(itq, "stored", lambda df, label: written.append(df._jdf.queryExecution().executedPlan().toString()) or save(df, label))
+    want, _ = run()
+    assert any("BroadcastHashJoin" in p for p in written)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    written.clear()
+    got, plan = run()
+    assert got == want
+    named = [p for p in written if "component" in p and "Join" in p]
+    assert named and not any("BroadcastHashJoin" in p for p in [*named, plan])
+
+
 def test_rotation_balances_the_bits():
     x = clusters(2000, 64, 9)
     codes = itq.learn(x.astype(float)).codes(x.astype(float))
