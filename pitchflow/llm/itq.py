@@ -191,8 +191,7 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE, radius: int = RAD
     linked = stored(links(classes, least, radius, sample), "itq-links")
     n = classes.count()
     groups = connected_components(linked, "itq-components", n).withColumnRenamed("node", "id")
-    n = max(n, 2 * linked.count())
-    sizes = joined_to(classes.select("id", "n"), n)
+    sizes = joined_to(classes.select("id", "n"), max(n, 2 * linked.count()))
     both = linked.select(F.col("a").alias("id"), F.col("b").alias("other")).union(linked.select(F.col("b").alias("id"), F.col("a").alias("other")))
     others = both.join(sizes.withColumnRenamed("id", "other"), "other").groupBy("id").agg(F.sum("n").alias("beyond"))
     known = classes.select("id", "first", "n").join(joined_to(others, n), "id", "left").join(joined_to(groups, n), "id", "left")
